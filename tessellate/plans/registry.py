@@ -31,7 +31,9 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            # + 0.0 turns -0.0 into 0.0 so signed zeros hash alike on both sides
+            cols.append((F.round(F.col(f"`{f.name}`").cast("double"), digits) + F.lit(0.0))
+                        .alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
@@ -39,4 +41,4 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import every query module so their decorators run."""
-    from . import (q_calendar, q_columns, q_panel)  # noqa: F401
+    from . import q_calendar, q_columns, q_panel  # noqa: F401
