@@ -156,13 +156,14 @@ def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = No
         mu = valid.groupBy(*cols).agg(F.avg(target).alias("_mu"))
         per = (valid.join(mu, on=cols).groupBy(*cols, as_of)
                .agg(F.count(target).alias("_n"),
+                    F.sum(target).alias("_raw"),
                     F.sum(F.col(target) - F.col("_mu")).alias("_s"),
                     F.sum((F.col(target) - F.col("_mu")) ** 2).alias("_q"),
                     F.first("_mu").alias("_mu")))
         w = Window.partitionBy(*cols).orderBy(as_of).rowsBetween(Window.unboundedPreceding, -1)
         n, sm, sq = F.sum("_n").over(w), F.sum("_s").over(w), F.sum("_q").over(w)
         run = per.select(*cols, as_of,
-                         F.when(n > 0, F.col("_mu") + sm / n).alias(m),
+                         F.when(n > 0, F.sum("_raw").over(w) / n).alias(m),
                          F.when(n > 1, F.sqrt(F.greatest((sq - sm * sm / n) / (n - 1), F.lit(0.0))))
                           .alias(s))
         out = out.join(run, on=cols + [as_of], how="left").select(*base_cols, m, s)

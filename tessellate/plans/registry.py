@@ -20,12 +20,47 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = spark_rounding_sql(sql)
         return fn
 
     return deco
 
 
+def spark_rounding_sql(sql: str) -> str:
+    """Rewrite DuckDB ``round(x, d)`` to round like Spark.
+
+    Spark rounds a double HALF_UP on its shortest decimal text; DuckDB
+    computes ``round(x * 10^d) / 10^d``, which can differ on ties. Going
+    through text and DECIMAL reproduces Spark's result for the same double.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner_expr = spark_rounding_sql(sql[j + 6:comma])
+        digits = sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"CAST(round(CAST(CAST(({inner_expr}) AS VARCHAR) AS DECIMAL(38,18)), {digits})"
+                   " AS DOUBLE)")
+        i = k
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double/float column (oracle hygiene: both sides round)."""
     cols = []
@@ -41,4 +76,4 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import every query module so their decorators run."""
-    from . import q_calendar, q_columns, q_panel, q_relational  # noqa: F401
+    from . import q_calendar, q_columns, q_features, q_panel, q_relational  # noqa: F401
