@@ -76,4 +76,4 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import every query module so their decorators run."""
-    from . import q_calendar, q_columns, q_features, q_panel, q_relational  # noqa: F401
+    from . import q_calendar, q_columns, q_features, q_ingest, q_panel, q_relational  # noqa: F401
