@@ -65,7 +65,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double/float column (oracle hygiene: both sides round)."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(f.dataType, T.DoubleType):
             # + 0.0 turns -0.0 into 0.0 so signed zeros hash alike on both sides
             cols.append((F.round(F.col(f"`{f.name}`").cast("double"), digits) + F.lit(0.0))
                         .alias(f.name))
@@ -76,4 +76,4 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import every query module so their decorators run."""
-    from . import q_calendar, q_columns, q_features, q_ingest, q_panel, q_relational  # noqa: F401
+    from . import q_calendar, q_columns, q_features, q_forecast, q_ingest, q_panel, q_relational  # noqa: F401
