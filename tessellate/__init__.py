@@ -6,3 +6,14 @@ prune, push down and plan the shuffles.
 """
 
 __version__ = "0.1.0"
+
+# Functions of this package used inside Python UDFs (grouped pandas, map in
+# pandas) are pickled by value, so executors need no installed copy.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass

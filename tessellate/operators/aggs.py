@@ -64,24 +64,32 @@ def quartiles(df: DataFrame, keys, value: str) -> DataFrame:
 
 
 def column_profile(df: DataFrame, columns=None) -> DataFrame:
-    """One row per column: non-null count, distinct count, min and max as text.
+    """One row per column: dtype, non-null count, distinct count, min and max as text.
 
-    One aggregate pass over the data computes every statistic; the single
-    result row is unpivoted with ``inline``.
+    Counts, minima and maxima come from one aggregate pass; each distinct
+    count is its own grouped aggregate over one pruned column (partial
+    aggregation keeps only distinct values per task before the shuffle),
+    rather than one aggregate that expands every row once per column.
     """
     columns = columns or df.columns
+    dtypes = dict(df.dtypes)
     aggs = []
     for c in columns:
         q = F.col(f"`{c}`")
-        aggs += [F.count(q).alias(f"nn__{c}"), F.count_distinct(q).alias(f"nd__{c}"),
-                 F.min(q).cast("string").alias(f"mn__{c}"), F.max(q).cast("string").alias(f"mx__{c}")]
-    dtypes = dict(df.dtypes)
+        aggs += [F.count(q).alias(f"nn__{c}"), F.min(q).cast("string").alias(f"mn__{c}"),
+                 F.max(q).cast("string").alias(f"mx__{c}")]
     row = df.agg(*aggs)
-    items = [F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
-                      F.col(f"nn__{c}").alias("non_null"), F.col(f"nd__{c}").alias("n_distinct"),
-                      F.col(f"mn__{c}").alias("min_value"), F.col(f"mx__{c}").alias("max_value"))
-             for c in columns]
-    return row.select(F.inline(F.array(*items)))
+    basic = row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
+                 F.col(f"nn__{c}").alias("non_null"), F.col(f"mn__{c}").alias("min_value"),
+                 F.col(f"mx__{c}").alias("max_value")) for c in columns])))
+    distinct = None
+    for c in columns:
+        d = (df.select(F.col(f"`{c}`").alias("v")).where(F.col("v").isNotNull()).distinct()
+             .agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit(c).alias("column"), "n_distinct"))
+        distinct = d if distinct is None else distinct.unionByName(d)
+    out = basic.join(distinct, "column")
+    return out.select("column", "dtype", "non_null", "n_distinct", "min_value", "max_value")
 
 
 def status_summary(df: DataFrame, status_col: str, failed="FAILED", skipped="SKIPPED") -> DataFrame:

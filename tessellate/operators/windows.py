@@ -97,35 +97,25 @@ def ewm_features(df: DataFrame, keys, order, target: str, alphas, lags) -> DataF
     cols = df.columns
 
     def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
+        pdf = pdf.sort_values(order, kind="mergesort", ignore_index=True)
         x = pdf[target].astype("float64")
         null_key = pdf[keys].isna().any(axis=1).to_numpy()
-        base = {a: _ewm_adjusted(x.to_numpy(), a) for a in alphas}
         extra = {}
-        for n, a, l in names:
-            v = pd.Series(base[a]).shift(l).to_numpy()
-            v[null_key] = np.nan
-            extra[n] = v
-        return pd.concat([pdf[cols], pd.DataFrame(extra, index=pdf.index)], axis=1)
+        for a in alphas:
+            base = x.ewm(alpha=a).mean()  # compiled; pandas' default semantics
+            for l in lags:
+                v = base.shift(l).to_numpy()
+                v[null_key] = np.nan
+                extra[ewm_name(target, l, a)] = v
+        return pd.concat([pdf[cols], pd.DataFrame(extra, index=pdf.index)[[n for n, _, _ in names]]], axis=1)
 
     return df.groupBy(*keys).applyInPandas(per_key, schema=out_schema)
 
 
-def _ewm_adjusted(x: np.ndarray, alpha: float) -> np.ndarray:
-    """Adjusted EWM mean with position-based decay (nulls advance the decay)."""
-    decay = 1.0 - alpha
-    out = np.empty(len(x))
-    num = den = 0.0
-    seen = False
-    for i, v in enumerate(x):
-        num *= decay
-        den *= decay
-        if v == v:  # not NaN
-            num += v
-            den += 1.0
-            seen = True
-        out[i] = num / den if seen else np.nan
-    return out
+def ewm_decay(alpha: float) -> float:
+    """Decay factor as pandas derives it (alpha -> centre of mass -> alpha)."""
+    com = (1.0 - alpha) / alpha
+    return 1.0 - 1.0 / (1.0 + com)
 
 
 def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = None) -> DataFrame:
@@ -152,16 +142,20 @@ def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = No
             stats = valid.groupBy(*cols).agg(F.avg(target).alias(m), F.stddev_samp(target).alias(s))
             out = out.join(stats, on=cols, how="left").select(*base_cols, m, s)
             continue
-        # centre by the group mean so running sums of squares do not cancel
-        mu = valid.groupBy(*cols).agg(F.avg(target).alias("_mu"))
-        per = (valid.join(mu, on=cols).groupBy(*cols, as_of)
-               .agg(F.count(target).alias("_n"),
-                    F.sum(target).alias("_raw"),
-                    F.sum(F.col(target) - F.col("_mu")).alias("_s"),
-                    F.sum((F.col(target) - F.col("_mu")) ** 2).alias("_q"),
-                    F.first("_mu").alias("_mu")))
+        # one row per (group, period): count, exact sum, and the within-period
+        # sum of squared deviations; running sums of deviations from the
+        # group mean K combine them without cancellation (Chan et al.)
+        per = (valid.groupBy(*cols, as_of)
+               .agg(F.count(target).alias("_n"), F.sum(target).alias("_raw"),
+                    F.avg(target).alias("_mean"),
+                    (F.var_pop(target) * F.count(target)).alias("_m2")))
+        whole = Window.partitionBy(*cols)
+        per = per.select("*", (F.sum("_raw").over(whole) / F.sum("_n").over(whole)).alias("_k"))
         w = Window.partitionBy(*cols).orderBy(as_of).rowsBetween(Window.unboundedPreceding, -1)
-        n, sm, sq = F.sum("_n").over(w), F.sum("_s").over(w), F.sum("_q").over(w)
+        dev = F.col("_mean") - F.col("_k")
+        n = F.sum("_n").over(w)
+        sm = F.sum(F.col("_n") * dev).over(w)
+        sq = F.sum(F.col("_m2") + F.col("_n") * dev * dev).over(w)
         run = per.select(*cols, as_of,
                          F.when(n > 0, F.sum("_raw").over(w) / n).alias(m),
                          F.when(n > 1, F.sqrt(F.greatest((sq - sm * sm / n) / (n - 1), F.lit(0.0))))

@@ -42,21 +42,24 @@ def enc_sql(target, cols, src="dense"):
 
 
 def ewm_recursive_sql(keys, alphas, src="dense", out="eb", extra=""):
-    """CTEs computing the adjusted EWM with the same IEEE recurrence as the
-    Spark side (num = num*d + x, den = den*d + 1), so the doubles are
+    """CTEs computing the EWM with the same IEEE update as pandas' ewm mean
+    (weighted running mean w, decaying weight o), so the doubles are
     bit-identical and rounding agrees even on exact decimal ties.
 
     Produces CTE ``out`` with keys, date, qty and ``e_{alpha}`` columns.
     Requires a null-free target (a dense, zero-filled panel).
     """
+    from ..operators.windows import ewm_decay
     k = ", ".join(keys)
     on = " AND ".join(f"e.{c} = r.{c}" for c in keys)
     tags = [alpha_tag(a) for a in alphas]
-    decays = [repr(1.0 - a) for a in alphas]
-    first = ", ".join(f"qty AS n_{t}, 1.0::DOUBLE AS d_{t}" for t in tags)
-    step = ", ".join(f"r.n_{t} * {d} + e.qty AS n_{t}, r.d_{t} * {d} + 1.0 AS d_{t}"
-                     for t, d in zip(tags, decays))
-    ratio = ", ".join(f"n_{t} / d_{t} AS e_{t}" for t in tags)
+    decays = [repr(ewm_decay(a)) for a in alphas]
+    first = ", ".join(f"qty AS w_{t}, 1.0::DOUBLE AS o_{t}" for t in tags)
+    step = ", ".join(
+        f"CASE WHEN r.w_{t} <> e.qty THEN (r.o_{t} * {d} * r.w_{t} + e.qty) / (r.o_{t} * {d} + 1.0) "
+        f"ELSE r.w_{t} END AS w_{t}, r.o_{t} * {d} + 1.0 AS o_{t}"
+        for t, d in zip(tags, decays))
+    ratio = ", ".join(f"w_{t} AS e_{t}" for t in tags)
     return f"""
 _seq AS (SELECT {k}, date, qty{extra}, row_number() OVER (PARTITION BY {k} ORDER BY date) AS rn FROM {src}),
 _rec AS (SELECT {k}, rn, {first} FROM _seq WHERE rn = 1
