@@ -10,10 +10,14 @@ from ..functions._util import as_list
 
 
 def group_stats(df: DataFrame, keys, value: str, prefix: str | None = None,
-                stats=("max", "min", "std", "mean", "nunique")) -> DataFrame:
-    """max / min / sample std / mean / distinct count of ``value`` per key."""
+                stats=("max", "min", "std", "mean", "nunique"), money: bool = False) -> DataFrame:
+    """max / min / sample std / mean / distinct count of ``value`` per key.
+
+    ``money``: the mean is summed exactly in DECIMAL (order-independent).
+    """
     p = prefix or value
-    fns = {"max": F.max, "min": F.min, "std": F.stddev_samp, "mean": F.avg,
+    mean = (lambda c: F.sum(F.col(c).cast("decimal(38,8)")).cast("double") / F.count(c)) if money else F.avg
+    fns = {"max": F.max, "min": F.min, "std": F.stddev_samp, "mean": mean,
            "nunique": lambda c: F.count_distinct(c)}
     keys = as_list(keys)
     return (df.where(_not_null(keys)).groupBy(*keys)

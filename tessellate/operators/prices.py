@@ -14,6 +14,22 @@ from ..functions._util import as_list
 from ..functions.columns import signed_fraction
 from .aggs import group_stats
 
+MONEY = "decimal(38,8)"
+
+
+def money_mean(c: str, window=None):
+    """Mean of a money column summed exactly in DECIMAL, then one division.
+
+    Summing doubles depends on the order of addition; for prices, which are
+    short decimals, the exact mean often sits on a rounding tie, so an
+    order-dependent last bit would change the rounded result between runs.
+    """
+    total = F.sum(F.col(c).cast(MONEY))
+    n = F.count(c)
+    if window is not None:
+        total, n = total.over(window), n.over(window)
+    return total.cast("double") / n
+
 
 def price_features(df: DataFrame, keys, price: str, order: str,
                    month: str = "month", year: str = "year") -> DataFrame:
@@ -27,7 +43,11 @@ def price_features(df: DataFrame, keys, price: str, order: str,
     """
     keys = as_list(keys)
     p = price
-    stats = group_stats(df, keys, p)
+    stats = group_stats(df, keys, p, stats=("max", "min", "std"))
+    means = df.where(F.col(p).isNotNull()).groupBy(*keys).agg(money_mean(p).alias(f"{p}_mean"),
+                                                             F.count_distinct(p).alias(f"{p}_nunique"))
+    stats = stats.join(means, on=keys, how="left").select(
+        *keys, f"{p}_max", f"{p}_min", f"{p}_std", f"{p}_mean", f"{p}_nunique")
     out = df.join(stats, on=keys, how="left")
     out = out.withColumn(f"{p}_norm", F.col(p) / F.col(f"{p}_max"))
     for col in keys:
@@ -42,8 +62,8 @@ def price_features(df: DataFrame, keys, price: str, order: str,
     return out.select(
         "*",
         (F.col(p) / F.lag(p).over(w)).alias(f"{p}_momentum"),
-        (F.col(p) / F.avg(p).over(wm)).alias(f"{p}_momentum_m"),
-        (F.col(p) / F.avg(p).over(wy)).alias(f"{p}_momentum_y"),
+        (F.col(p) / money_mean(p, wm)).alias(f"{p}_momentum_m"),
+        (F.col(p) / money_mean(p, wy)).alias(f"{p}_momentum_y"),
         signed_fraction(p).alias(f"{p}_cent"),
         signed_fraction(f"{p}_max").alias(f"{p}_max_cent"),
         signed_fraction(f"{p}_min").alias(f"{p}_min_cent"),

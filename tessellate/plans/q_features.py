@@ -141,6 +141,11 @@ def weekly_prices(spark, sf_dir):
             .select(*K4, "week", "price", F.month("week").alias("month"), F.year("week").alias("year")))
 
 
+# exact money mean: decimal sum of the shortest decimal text, one division
+MONEY_MEAN = "(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,8))) AS DOUBLE) / count({x}))"
+MONEY_MEAN_W = ("(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,8))) OVER ({w}) AS DOUBLE) "
+                "/ count({x}) OVER ({w}))")
+
 P4_SQL = f"""
 p4 AS (SELECT l_suppkey, l_partkey, week, price, CAST(month(week) AS INTEGER) AS month,
               CAST(year(week) AS INTEGER) AS year
@@ -148,7 +153,7 @@ p4 AS (SELECT l_suppkey, l_partkey, week, price, CAST(month(week) AS INTEGER) AS
                     max(l_extendedprice / l_quantity) AS price
              FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL GROUP BY 1, 2, 3) t),
 st AS (SELECT l_suppkey, l_partkey, max(price) AS price_max, min(price) AS price_min,
-              stddev_samp(price) AS price_std, avg(price) AS price_mean,
+              stddev_samp(price) AS price_std, {MONEY_MEAN.format(x='price')} AS price_mean,
               count(DISTINCT price) AS price_nunique FROM p4 GROUP BY 1, 2),
 nu_p AS (SELECT l_partkey, price, count(DISTINCT l_suppkey) AS price_nunique_l_partkey
          FROM p4 GROUP BY 1, 2),
@@ -159,8 +164,8 @@ pf AS (SELECT p4.*, st.price_max, st.price_min, st.price_std, st.price_mean, st.
               nu_p.price_nunique_l_partkey, nu_s.price_nunique_l_suppkey,
               p4.price / lag(p4.price) OVER (PARTITION BY p4.l_suppkey, p4.l_partkey ORDER BY week)
                 AS price_momentum,
-              p4.price / avg(p4.price) OVER (PARTITION BY p4.l_suppkey, p4.l_partkey, month) AS price_momentum_m,
-              p4.price / avg(p4.price) OVER (PARTITION BY p4.l_suppkey, p4.l_partkey, year) AS price_momentum_y,
+              p4.price / {MONEY_MEAN_W.format(x='p4.price', w='PARTITION BY p4.l_suppkey, p4.l_partkey, month')} AS price_momentum_m,
+              p4.price / {MONEY_MEAN_W.format(x='p4.price', w='PARTITION BY p4.l_suppkey, p4.l_partkey, year')} AS price_momentum_y,
               p4.price % 1 AS price_cent, st.price_max % 1 AS price_max_cent, st.price_min % 1 AS price_min_cent
        FROM p4 JOIN st USING (l_suppkey, l_partkey)
        JOIN nu_p ON nu_p.l_partkey = p4.l_partkey AND nu_p.price = p4.price

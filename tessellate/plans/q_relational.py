@@ -35,13 +35,14 @@ PRICE_SQL = "l_extendedprice / l_quantity"
 
 @query("price_stats", f"""
 SELECT l_suppkey, round(max({PRICE_SQL}), 6) + 0.0 AS price_max, round(min({PRICE_SQL}), 6) + 0.0 AS price_min,
-       round(stddev_samp({PRICE_SQL}), 6) + 0.0 AS price_std, round(avg({PRICE_SQL}), 6) + 0.0 AS price_mean,
+       round(stddev_samp({PRICE_SQL}), 6) + 0.0 AS price_std, round(CAST(sum(CAST(CAST({PRICE_SQL} AS VARCHAR) AS DECIMAL(38,8))) AS DOUBLE) / count({PRICE_SQL}), 6) + 0.0
+         AS price_mean,
        count(DISTINCT {PRICE_SQL}) AS price_nunique
 FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY 1""")
 def price_stats(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.select(
         "l_suppkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
-    return rounded(aggs.group_stats(li, ["l_suppkey"], "price"))
+    return rounded(aggs.group_stats(li, ["l_suppkey"], "price", money=True))
 
 
 @query("value_counts", """

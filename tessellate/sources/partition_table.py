@@ -2,7 +2,7 @@
 transactional table format.
 
 Layout: ``root/data/<part>=<value>/_v=<version>/*.parquet`` and a pointer
-table ``root/_pointers`` of ``(part_value, version, rows_written)`` rows. The
+table ``root/_pointers`` of ``(part_value, version, live, at)`` rows. The
 current table is, per partition value, the folder of its latest pointer. An
 upsert rewrites only the partitions it touches into a new version folder and
 then appends pointers, so readers see either the old or the new partition,
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import path_exists
 
-POINTER_SCHEMA = "part_value string, version bigint, at timestamp_ntz"
+POINTER_SCHEMA = "part_value string, version bigint, live boolean, at timestamp_ntz"
 
 
 class PartitionTable:
@@ -39,7 +39,8 @@ class PartitionTable:
 
     def pointers(self) -> DataFrame:
         p = self.spark.read.schema(POINTER_SCHEMA).parquet(self.pointer_root)
-        return p.groupBy("part_value").agg(F.max("version").alias("version"))
+        return p.groupBy("part_value").agg(F.max("version").alias("version"),
+                                           F.max_by("live", "version").alias("live"))
 
     def next_version(self) -> int:
         if not self.exists():
@@ -49,7 +50,7 @@ class PartitionTable:
 
     def current_paths(self) -> list[str]:
         """Folders of the live partitions (one per partition value: bounded)."""
-        live = self.pointers().where(F.col("version") >= 0).collect()
+        live = self.pointers().where(F.col("live")).collect()
         return [f"{self.data_root}/{self.part}={r['part_value']}/_v={r['version']}" for r in live]
 
     def read(self) -> DataFrame:
@@ -70,8 +71,8 @@ class PartitionTable:
         out.write.mode("append").partitionBy(self.part, "_v").parquet(self.data_root)
         written = [str(r[0]) for r in df.select(F.col(self.part).cast("string")).distinct().collect()]
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(p, version, now) for p in written]
-        rows += [(str(p), -1, now) for p in (touched or []) if str(p) not in set(written)]
+        rows = [(p, version, True, now) for p in written]
+        rows += [(str(p), version, False, now) for p in (touched or []) if str(p) not in set(written)]
         if rows:
             self.spark.createDataFrame(rows, POINTER_SCHEMA).coalesce(1) \
                 .write.mode("append").parquet(self.pointer_root)
