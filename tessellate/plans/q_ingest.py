@@ -334,3 +334,72 @@ def q_attempt_rollup(spark, sf_dir):
     a = e.select("user_id", F.col("event_type").alias("status"), F.col("ts").alias("start_time"),
                  F.col("ts").alias("end_time"), F.row_number().over(w).alias("attempt"))
     return attempt_rollup(a, "user_id", "attempt")
+
+
+# ------------------------------------------------- change folders on storage
+def write_change_folders(spark, sf_dir, root):
+    """Lay out events as change folders: ``root/<day folder>/<event type>/*.csv``
+    plus a ``model.json`` manifest per folder listing its entities."""
+    e = entity_rows(spark, sf_dir).select("__folder", "event_type", "Id", "SinkModifiedOn", "IsDelete", "value")
+    (e.write.mode("overwrite").partitionBy("__folder", "event_type").option("header", True).csv(f"{root}/data"))
+    manifest = (e.groupBy("__folder").agg(F.sort_array(F.collect_set(F.struct(F.col("event_type").alias("name"))))
+                                          .alias("entities")))
+    manifest.write.mode("overwrite").partitionBy("__folder").json(f"{root}/manifest")
+    log = e.select("__folder").distinct().agg(F.concat_ws(",", F.sort_array(F.collect_list("__folder"))).alias("value"))
+    log.write.mode("overwrite").text(f"{root}/changelog")
+    return root
+
+
+ENTITY_CSV_SCHEMA = "Id bigint, SinkModifiedOn timestamp_ntz, IsDelete boolean, value double"
+
+
+@query("manifest_scan", f"""
+SELECT event_type AS entity, count(*) AS n_rows, count(DISTINCT {FOLDER_SQL}) AS n_folders
+FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1""")
+def q_manifest_scan(spark, sf_dir):
+    """Entities come from the folders' manifests; every (folder, entity) CSV
+    is read in one permissive multi-path scan with an explicit schema, and
+    the file listing supplies folder and modification time per row."""
+    root = write_change_folders(spark, sf_dir, scratch_path(spark, "cdm"))
+    entities = io.read_manifest_entities(spark, f"{root}/manifest")
+    wanted = entities.where(F.col("entity").isin("click", "view", "purchase")).select("entity").distinct()
+    data = io.read_csv(spark, f"{root}/data", schema=ENTITY_CSV_SCHEMA + ", __folder string, event_type string",
+                       mode="PERMISSIVE")
+    files = io.with_file_info(data).select(F.col("event_type").alias("entity"), "__folder", "_file_modified")
+    rows = files.join(wanted, "entity", "left_semi")
+    return rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n_rows"),
+                                      F.count_distinct("__folder").alias("n_folders"))
+
+
+@query("change_log_folders", f"""
+SELECT DISTINCT {FOLDER_SQL} AS folder FROM events
+WHERE {FOLDER_SQL} >= '2024-01-10T00.00.00Z' AND {FOLDER_SQL} < '2024-01-20T00.00.00Z'""")
+def q_change_log_folders(spark, sf_dir):
+    """Folder list from the comma-separated change log, then last <= f < current."""
+    from ..operators.increment import folder_range
+    root = write_change_folders(spark, sf_dir, scratch_path(spark, "cdm"))
+    folders = io.read_change_log(spark, f"{root}/changelog")
+    return folder_range(folders, "2024-01-10T00.00.00Z", "2024-01-20T00.00.00Z").distinct()
+
+
+AUDIT_AT = "2024-01-31 12:00:00"
+
+
+@query("audit_log", PLAN_SQL.replace(
+    "SELECT table_name,\n       CAST(CASE",
+    "SELECT table_name, 20240131 AS _datekey, 202401 AS _monthkey, true AS secret_masked,\n       CAST(CASE"))
+def q_audit_log(spark, sf_dir):
+    """Work plan rows appended as JSON under _yearkey/_monthkey/_datekey with
+    the secret column replaced, then read back."""
+    from ..sources.sinks import write_audit_log
+    plan = q_load_plan(spark, sf_dir)
+    rows = plan.select("*", F.lit("app-key-value").alias("app_key"),
+                       F.lit(AUDIT_AT).cast("timestamp_ntz").alias("job_time"))
+    root = scratch_path(spark, "audit")
+    write_audit_log(rows, root, "job_time", secret_cols=("app_key",))
+    back = spark.read.json(root)
+    return back.select("table_name", F.col("_datekey").cast("int").alias("_datekey"),
+                       F.col("_monthkey").cast("int").alias("_monthkey"),
+                       (F.col("app_key") != "app-key-value").alias("secret_masked"),
+                       F.col("n_folders").cast("int").alias("n_folders"), "new_watermark", "last_watermark",
+                       "is_exists", "has_data", "is_first_load")
