@@ -68,9 +68,9 @@ def densify(panel: DataFrame, keys, date_col: str = "date", target: str = "qty",
     staged = (panel.where(keys_not_null(keys))
               .select(*keys, d.alias("_d"), F.col(target).alias("_v"),
                       F.min(F.when(F.col(target) > 0, d)).over(wk).alias("_rel"),
-                      F.lead(d).over(w).alias("_next"))
-              .where((F.col("_d") >= F.col("_rel")) & (F.col("_d") <= end_col)))
-    last = F.least(F.coalesce(F.date_sub("_next", step_days), end_col), end_col)
+                      F.lead(d).over(w).alias("_next"), end_col.alias("_end"))
+              .where((F.col("_d") >= F.col("_rel")) & (F.col("_d") <= F.col("_end"))))
+    last = F.least(F.coalesce(F.date_sub("_next", step_days), F.col("_end")), F.col("_end"))
     filled = staged.select(*keys, "_d", "_v", "_rel",
                            F.explode(F.sequence("_d", last, step)).alias(date_col))
     return filled.select(

@@ -84,32 +84,56 @@ def ewm_features(df: DataFrame, keys, order, target: str, alphas, lags) -> DataF
 
     Semantics of pandas ``ewm(alpha).mean()`` with default arguments: adjusted
     weights, nulls still advance the decay, a null row repeats the last value,
-    leading nulls give null. Each key's series goes through one Arrow batch
-    (``applyInPandas``) and all alphas are computed in one O(n) pass; the
-    series length is bounded by the number of periods of the key. Lags follow
-    from ``ewm(shift(x, l)) == shift(ewm(x), l)``.
+    leading nulls give null; rows with a null key get null.
+
+    Rows are clustered by key and sorted by (key, order) inside each
+    partition (the exchange a key window needs anyway); each Arrow batch then
+    goes through one compiled grouped ``ewm`` call per alpha for all keys in
+    it. A key whose rows continue in the next batch is held back and joined
+    to it, so a key is never split across calls; the held rows are one key's
+    series, bounded by its number of periods. Lags follow from
+    ``ewm(shift(x, l)) == shift(ewm(x), l)``.
     """
     keys, order = as_list(keys), as_list(order)
     alphas, lags = [float(a) for a in alphas], [int(l) for l in lags]
     names = [(ewm_name(target, l, a), a, l) for l in lags for a in alphas]
-    fields = [f for f in df.schema.fields]
-    out_schema = T.StructType(fields + [T.StructField(n, T.DoubleType(), True) for n, _, _ in names])
+    out_schema = T.StructType(list(df.schema.fields)
+                              + [T.StructField(n, T.DoubleType(), True) for n, _, _ in names])
     cols = df.columns
 
-    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort", ignore_index=True)
-        x = pdf[target].astype("float64")
+    def compute(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.reset_index(drop=True)
+        grouped = pdf.groupby(keys, sort=False, dropna=False)
+        gid = grouped.ngroup()
         null_key = pdf[keys].isna().any(axis=1).to_numpy()
+        x = pdf[target].astype("float64")
         extra = {}
         for a in alphas:
-            base = x.ewm(alpha=a).mean()  # compiled; pandas' default semantics
+            base = x.groupby(gid, sort=False).ewm(alpha=a).mean()
+            base = base.reset_index(level=0, drop=True).sort_index()
             for l in lags:
-                v = base.shift(l).to_numpy()
+                v = base.groupby(gid, sort=False).shift(l).to_numpy(copy=True) if l else base.to_numpy(copy=True)
                 v[null_key] = np.nan
                 extra[ewm_name(target, l, a)] = v
         return pd.concat([pdf[cols], pd.DataFrame(extra, index=pdf.index)[[n for n, _, _ in names]]], axis=1)
 
-    return df.groupBy(*keys).applyInPandas(per_key, schema=out_schema)
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            gid = pdf.groupby(keys, sort=False, dropna=False).ngroup()
+            tail = (gid == gid.iloc[-1]).to_numpy()
+            carry = pdf[tail]
+            if (~tail).any():
+                yield compute(pdf[~tail])
+        if carry is not None and len(carry):
+            yield compute(carry)
+
+    clustered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    return clustered.mapInPandas(run, schema=out_schema)
 
 
 def ewm_decay(alpha: float) -> float:
@@ -118,7 +142,8 @@ def ewm_decay(alpha: float) -> float:
     return 1.0 - 1.0 / (1.0 + com)
 
 
-def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = None) -> DataFrame:
+def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = None,
+                    stats_from: DataFrame | None = None) -> DataFrame:
     """``enc_{cols}_mean`` / ``enc_{cols}_std`` of ``target`` per group of columns.
 
     Default (as in the original) uses all rows of the group, including the
@@ -137,7 +162,7 @@ def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = No
         name = "_".join(cols)
         m, s = f"enc_{name}_mean", f"enc_{name}_std"
         base_cols = out.columns
-        valid = df.where(_gate(cols))
+        valid = (stats_from if stats_from is not None else df).where(_gate(cols))
         if as_of is None:
             stats = valid.groupBy(*cols).agg(F.avg(target).alias(m), F.stddev_samp(target).alias(s))
             out = out.join(stats, on=cols, how="left").select(*base_cols, m, s)

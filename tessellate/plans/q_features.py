@@ -224,13 +224,15 @@ FM_ENC = [["l_suppkey"], ["l_suppkey", "l_returnflag"]]
 
 
 def feature_matrix(spark, sf_dir):
-    """Composition W1-W5 on the dense weekly panel: EWM first (grouped
-    pandas over the key partitioning), then the JVM windows reuse it."""
-    d = dense_p2(spark, sf_dir)
-    d = ewm_features(d, K2, "date", "qty", FM_ALPHAS, FM_EL)
-    d = lag_features(d, K2, "date", "qty", FM_LAGS)
+    """Composition W1-W5 on the dense weekly panel. The JVM windows reuse the
+    panel's key partitioning; the EWM batches run on that same clustering;
+    encodings aggregate the panel itself (not the Python output, which
+    column pruning cannot see through) and join back."""
+    dense = dense_p2(spark, sf_dir)
+    d = lag_features(dense, K2, "date", "qty", FM_LAGS)
     d = rolling_features(d, K2, "date", "qty", FM_RW, FM_RL)
-    d = target_encoding(d, "qty", FM_ENC)
+    d = ewm_features(d, K2, "date", "qty", FM_ALPHAS, FM_EL)
+    d = target_encoding(d, "qty", FM_ENC, stats_from=dense.select(*K2, "date", "qty"))
     return d
 
 

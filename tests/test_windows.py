@@ -84,3 +84,16 @@ def test_target_encoding_as_of_uses_only_earlier_rows(sdf):
         stds.append(prev.std() if prev.notna().sum() > 1 else np.nan)
     pdf["enc_k_mean"], pdf["enc_k_std"] = means, stds
     close_frames(out, pdf, ["k", "date"])
+
+
+def test_ewm_keys_spanning_arrow_batches(spark, sdf):
+    """Tiny Arrow batches force keys to straddle batches (carry-over path)."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        out = ewm_features(sdf.repartition(1), ["k"], "date", "qty", [0.5], [1]).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    pdf, g = pandas_ref(frame(), None)
+    pdf["qty_ewm_lag_1_alpha_05"] = g.transform(lambda x: x.shift(1).ewm(alpha=0.5).mean())
+    close_frames(out[pdf.columns], pdf, ["k", "date"], rtol=1e-12, atol=1e-12)
