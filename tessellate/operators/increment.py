@@ -7,6 +7,8 @@ listing instead of a driver loop over folders and tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,8 +102,19 @@ def upsert_soft_delete(target: DataFrame, source: DataFrame, keys=("Id",),
     ``source`` must hold at most one row per key (see ``source_snapshot``).
     """
     keys = as_list(keys)
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns], F.lit(True).alias("__t"))
-    s = source.select(*[F.col(c).alias(f"s__{c}") for c in source.columns], F.lit(True).alias("__s"))
+    cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
+    any_null_t = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    any_null_s = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # rows with a null key can never match: keep them out of the join, where
+    # they would all hash to one task, and append them directly
+    t_null = target.where(any_null_t).select(*[
+        (F.col(c) if c in target.columns else F.lit(None).cast(source.schema[c].dataType)).alias(c) for c in cols])
+    s_null = source.where(any_null_s).select(*[
+        (F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType)).alias(c) for c in cols])
+    t = target.where(~any_null_t).select(*[F.col(c).alias(f"t__{c}") for c in target.columns],
+                                         F.lit(True).alias("__t"))
+    s = source.where(~any_null_s).select(*[F.col(c).alias(f"s__{c}") for c in source.columns],
+                                         F.lit(True).alias("__s"))
     cond = None
     for k in keys:
         e = F.col(f"t__{k}") == F.col(f"s__{k}")
@@ -111,7 +124,6 @@ def upsert_soft_delete(target: DataFrame, source: DataFrame, keys=("Id",),
     matched = has_t & has_s
     deleted = matched & F.col(f"s__{delete_col}").eqNullSafe(F.lit(True))
     out = []
-    cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
     for c in cols:
         in_t, in_s = c in target.columns, c in source.columns
         tc, sc = F.col(f"t__{c}"), F.col(f"s__{c}")
@@ -126,7 +138,7 @@ def upsert_soft_delete(target: DataFrame, source: DataFrame, keys=("Id",),
         else:
             e = F.when(has_s & ~deleted, sc)
         out.append(e.alias(c))
-    return j.select(*out)
+    return j.select(*out).unionByName(t_null).unionByName(s_null)
 
 
 def attempt_rollup(status: DataFrame, key: str, attempt: str, status_col: str = "status",

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions._util import as_list
 from ..functions.columns import signed_fraction
-from .aggs import group_stats
 
 MONEY = "decimal(38,8)"
 
@@ -43,11 +42,10 @@ def price_features(df: DataFrame, keys, price: str, order: str,
     """
     keys = as_list(keys)
     p = price
-    stats = group_stats(df, keys, p, stats=("max", "min", "std"))
-    means = df.where(F.col(p).isNotNull()).groupBy(*keys).agg(money_mean(p).alias(f"{p}_mean"),
-                                                             F.count_distinct(p).alias(f"{p}_nunique"))
-    stats = stats.join(means, on=keys, how="left").select(
-        *keys, f"{p}_max", f"{p}_min", f"{p}_std", f"{p}_mean", f"{p}_nunique")
+    stats = (df.where(F.col(p).isNotNull()).groupBy(*keys)
+             .agg(F.max(p).alias(f"{p}_max"), F.min(p).alias(f"{p}_min"),
+                  F.stddev_samp(p).alias(f"{p}_std"), money_mean(p).alias(f"{p}_mean"),
+                  F.count_distinct(p).alias(f"{p}_nunique")))
     out = df.join(stats, on=keys, how="left")
     out = out.withColumn(f"{p}_norm", F.col(p) / F.col(f"{p}_max"))
     for col in keys:

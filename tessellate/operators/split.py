@@ -49,21 +49,24 @@ def stage_feature_names(stage: int, target: str = "qty", step: int = 4, horizon:
             "roll_features": rolls, "ewm_features": ewms, "enc_features": encs}
 
 
-def global_position(df: DataFrame, order, pos_col: str = "pos") -> DataFrame:
+def global_position(df: DataFrame, order, pos_col: str = "pos", total_col: str | None = None) -> DataFrame:
     """0-based position of each row in the total order ``order`` (distributed).
 
     Range-partitioned sort, then per-task row counts (one row per task) are
-    turned into offsets; no single-partition window is involved.
+    turned into offsets; no single-partition window over the data is
+    involved. ``total_col`` also attaches the total row count.
     """
     order = as_list(order)
     s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
                                   F.monotonically_increasing_id().alias("_mid"))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy()).alias("_total"))
     # one row per task: bounded by the partition count
     j = s.join(F.broadcast(offsets), "_pid")
-    return j.select(*df.columns, (F.col("_off") + F.col("_mid") - F.col("_first")).alias(pos_col))
+    extra = [F.col("_total").alias(total_col)] if total_col else []
+    return j.select(*df.columns, (F.col("_off") + F.col("_mid") - F.col("_first")).alias(pos_col), *extra)
 
 
 def ts_split(df: DataFrame, order, n_splits: int = 5, test_size: int | None = None,
@@ -76,13 +79,13 @@ def ts_split(df: DataFrame, order, n_splits: int = 5, test_size: int | None = No
     The default test size is ``n // (n_splits + 1)``; the tests are the last
     ``n_splits * test_size`` rows.
     """
-    pos = global_position(df, order)
-    n = df.agg(F.count(F.lit(1))).scalar()
+    pos = global_position(df, order, total_col="_n_rows")
+    n = F.col("_n_rows")
     size = F.lit(test_size) if test_size else F.floor(n / (n_splits + 1))
     first_test = n - size * n_splits
     fold = F.when(F.col("pos") >= first_test, F.floor((F.col("pos") - first_test) / size)) \
             .otherwise(F.lit(-1))
-    return pos.select("*", fold.cast("int").alias("test_fold"))
+    return pos.select(*df.columns, "pos", fold.cast("int").alias("test_fold"))
 
 
 def day_split(df: DataFrame, day_col: str, train_end: int, test_end: int, start: int = 0) -> DataFrame:
