@@ -73,6 +73,33 @@ def weekly_calendar(days: DataFrame, date_col: str = "date",
 
 
 def build_weekly_calendar(facts: DataFrame, date_col: str, rules: DataFrame) -> DataFrame:
-    """Weekly calendar over the whole weeks spanned by ``facts[date_col]``."""
+    """Weekly calendar over the whole weeks spanned by ``facts[date_col]`` (lazy)."""
     days = day_spine(span_of(facts, date_col, weekly=True))
     return weekly_calendar(attach_holidays(days, rules))
+
+
+class WeeklyCalendar:
+    """Weekly calendar with a known span.
+
+    The span is two scalars read with one small aggregate over the date
+    column; the calendar is then built from literals, so its row count is
+    known on the driver before any join: it is broadcast only when the span
+    is within ``MAX_BROADCAST_DAYS`` and joined normally beyond that.
+    """
+
+    def __init__(self, spark: SparkSession, facts: DataFrame, date_col: str, rules: DataFrame):
+        row = span_of(facts, date_col, weekly=True).first()
+        self.start, self.end = row["start"], row["end"]
+        self.days = 0 if self.start is None else (self.end - self.start).days + 1
+        bounds = spark.range(1).select(F.lit(self.start).alias("start"), F.lit(self.end).alias("end"))
+        self.frame = weekly_calendar(attach_holidays(day_spine(bounds), rules))
+
+    @property
+    def last_week(self):
+        """Label (first day) of the last whole week of the span."""
+        import datetime as dt
+        return None if self.end is None else self.end - dt.timedelta(days=6)
+
+    @property
+    def broadcastable(self) -> bool:
+        return self.days <= MAX_BROADCAST_DAYS

@@ -103,11 +103,20 @@ def residual_stack(train: DataFrame, test: DataFrame, group_cols, residual_keys,
 
 
 def standard_scale(df: DataFrame, cols, group_cols=None, suffix: str = "_scaled") -> DataFrame:
-    """(x - mean) / population std, over all rows or per group (aggregate + join)."""
+    """(x - mean) / population std, over all rows or per group.
+
+    Per group: aggregate and join back. Over all rows: one scalar subquery
+    returning a struct of all statistics (one aggregate pass, no join).
+    """
     cols, g = as_list(cols), as_list(group_cols)
-    stats = (df.groupBy(*g) if g else df.groupBy()).agg(
-        *[F.avg(c).alias(f"__m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
-    j = df.join(stats, on=g, how="left") if g else df.join(F.broadcast(stats), how="inner")
+    if not g:
+        sq = df.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                             *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])).scalar()
+        return df.select(*df.columns, *[((F.col(c) - sq[f"m_{c}"]) / sq[f"s_{c}"]).alias(f"{c}{suffix}")
+                                        for c in cols])
+    stats = df.groupBy(*g).agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
+                               *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
+    j = df.join(stats, on=g, how="left")
     return j.select(*df.columns, *[((F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}")).alias(f"{c}{suffix}")
                                    for c in cols])
 

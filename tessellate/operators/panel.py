@@ -81,14 +81,23 @@ def densify(panel: DataFrame, keys, date_col: str = "date", target: str = "qty",
     )
 
 
-def spine_fill(panel: DataFrame, calendar: DataFrame, keys, date_col: str = "date",
+def spine_fill(panel: DataFrame, calendar, keys, date_col: str = "date",
                target: str = "qty", end=None) -> DataFrame:
     """Dense weekly panel joined with weekly calendar attributes.
 
-    ``calendar`` has one row per week of the span (bounded by the span), so it
-    is broadcast; the big side keeps its key partitioning for later windows.
+    ``calendar``: a ``WeeklyCalendar`` (span known on the driver: broadcast
+    when within its size bound, else a normal join; its last week is the
+    default end) or a plain DataFrame (joined normally; AQE decides).
+    The big side keeps its key partitioning for later windows.
     """
+    from .calendar import WeeklyCalendar
+    if isinstance(calendar, WeeklyCalendar):
+        frame = F.broadcast(calendar.frame) if calendar.broadcastable else calendar.frame
+        if end is None and calendar.last_week is not None:
+            end = calendar.last_week
+    else:
+        frame = calendar
     dense = densify(panel, keys, date_col, target, end)
-    cal_cols = [c for c in calendar.columns if c != date_col]
-    return (dense.join(F.broadcast(calendar), date_col, "left")
+    cal_cols = [c for c in frame.columns if c != date_col]
+    return (dense.join(frame, date_col, "left")
             .select(*as_list(keys), date_col, *cal_cols, target, "release"))

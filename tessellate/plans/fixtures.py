@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.calendar import build_weekly_calendar, holiday_rules
+from ..operators.calendar import WeeklyCalendar, build_weekly_calendar, holiday_rules
 from ..operators.panel import period_aggregate
 from ..sources.tables import Tables
 
@@ -70,9 +70,15 @@ FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY 1, 2,
 
 
 def weekly_calendar_for(spark: SparkSession, facts: DataFrame, date_col: str) -> DataFrame:
+    """Lazy weekly calendar frame over the span of ``facts[date_col]``."""
     return build_weekly_calendar(facts, date_col, holiday_rules(spark, HOLIDAYS))
 
 
+def weekly_calendar_known(spark: SparkSession, facts: DataFrame, date_col: str) -> WeeklyCalendar:
+    """Weekly calendar whose span is read first (size-checked broadcast)."""
+    return WeeklyCalendar(spark, facts, date_col, holiday_rules(spark, HOLIDAYS))
+
+
 def weekly_calendar_sql(facts_table: str, date_expr: str) -> str:
     """CTE body list: ``span``, ``days``, ``cal`` (weekly calendar)."""
     return f"""

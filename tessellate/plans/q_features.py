@@ -19,7 +19,7 @@ K2 = ["l_suppkey", "l_returnflag"]
 
 def dense_p2(spark, sf_dir):
     facts = fx.p2(spark, sf_dir)
-    cal = fx.weekly_calendar_for(spark, Tables(spark, sf_dir).lineitem, "l_shipdate")
+    cal = fx.weekly_calendar_known(spark, Tables(spark, sf_dir).lineitem, "l_shipdate")
     return spine_fill(facts, cal, K2)
 
 

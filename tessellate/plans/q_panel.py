@@ -20,7 +20,7 @@ def roll_sql(keys, fn, lag, win):
 
 def weekly_panel_p1(spark, sf_dir):
     facts = fx.p1(spark, sf_dir)
-    cal = fx.weekly_calendar_for(spark, fx.Tables(spark, sf_dir).orders, "o_orderdate")
+    cal = fx.weekly_calendar_known(spark, fx.Tables(spark, sf_dir).orders, "o_orderdate")
     return spine_fill(facts, cal, ["o_orderpriority"])
 
 
