@@ -1,11 +1,14 @@
 """Nearest-point lookup and per-location series by haversine distance.
 
-Exact k-nearest search without a cross join: points are bucketed in
-latitude bands; each location joins only the stations of the bands around
-its own (an equi-join on band id). Stations outside those bands are at least
-the uncovered latitude distance away, so when the k-th nearest candidate is
-within that guaranteed radius the answer is exact; otherwise the location is
-retried with twice as many bands. Rounds only carry unresolved locations.
+Exact k-nearest search without a cross join: every point becomes a unit
+vector in 3-D and is bucketed in a cubic grid of side ``h``. A location joins
+only the stations in the (2m+1)^3 cells around its own (an equi-join on cell
+id). The straight-line (chord) distance to any point outside that block is
+at least the distance from the location to the block's boundary, and the
+great-circle distance is a monotone function of the chord, so when the k-th
+nearest candidate is within that guaranteed radius the answer is exact;
+otherwise the location is retried with a block twice as wide. Rounds only
+carry unresolved locations, and the cell size follows the station count.
 """
 
 from __future__ import annotations
@@ -28,47 +31,74 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(a))
 
 
+def _unit(lat, lon):
+    p, l = F.radians(as_col(lat)), F.radians(as_col(lon))
+    return F.cos(p) * F.cos(l), F.cos(p) * F.sin(l), F.sin(p)
+
+
+def _cell_id(ix, iy, iz, k: int) -> Column:
+    m = 2 * k + 1
+    return ((ix + k) * m + (iy + k)) * m + (iz + k)
+
+
 def k_nearest(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str = "loc_id",
-              st_id: str = "st_id", band_deg: float = 2.0, max_rounds: int = 12) -> DataFrame:
+              st_id: str = "st_id", cell: float | None = None, max_rounds: int = 16) -> DataFrame:
     """``(loc_id, st_id, distance_km, rank)`` for the ``k`` nearest stations.
 
     ``locations``: loc_id, lat, lon; ``stations``: st_id, lat, lon, ... .
-    Ranks break distance ties by station id.
+    Ranks break distance ties by station id. ``cell``: grid side on the unit
+    sphere; by default about ``k`` stations per occupied cell.
     """
+    if cell is None:
+        n = max(stations.count(), 1)  # one scalar
+        cell = min(1.0, max(1e-4, math.sqrt(16 * math.pi * k / n)))
+    half = int(math.ceil(1.0 / cell)) + 1
+    sx, sy, sz = _unit("lat", "lon")
     st = stations.select(st_id, F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"),
-                         F.floor(F.col("lat") / band_deg).cast("int").alias("band"))
-    n_bands = int(math.ceil(180.0 / band_deg)) + 1
-    pending = locations.select(loc_id, "lat", "lon")
+                         _cell_id(F.floor(sx / cell), F.floor(sy / cell), F.floor(sz / cell), half)
+                         .alias("cell"))
+    base = locations.select(loc_id, "lat", "lon")
+    x, y, z = _unit("lat", "lon")
+    base = base.select("*", x.alias("_x"), y.alias("_y"), z.alias("_z"))
+    pending = base
     done = None
     m = 1
     for _ in range(max_rounds):
-        lb = F.floor(F.col("lat") / band_deg).cast("int")
-        cand_bands = F.sequence(lb - m, lb + m)
-        loc = pending.select("*", F.explode(cand_bands).alias("band"),
-                             F.least(F.col("lat") - (lb - m) * band_deg,
-                                     (lb + m + 1) * band_deg - F.col("lat")).alias("guard_deg"))
-        pairs = loc.join(st, "band").select(
-            loc_id, st_id, "guard_deg", haversine_km("lat", "lon", "s_lat", "s_lon").alias("distance_km"))
+        offs = F.sequence(F.lit(-m), F.lit(m))
+        ix, iy, iz = (F.floor(F.col(c) / cell) for c in ("_x", "_y", "_z"))
+        guard = F.least(*[F.least(F.col(c) - (i - m) * cell, (i + m + 1) * cell - F.col(c))
+                          for c, i in (("_x", ix), ("_y", iy), ("_z", iz))])
+        loc = (pending.select("*", guard.alias("guard"), ix.alias("_ix"), iy.alias("_iy"), iz.alias("_iz"))
+               .select("*", F.explode(offs).alias("_dx"))
+               .select("*", F.explode(offs).alias("_dy"))
+               .select("*", F.explode(offs).alias("_dz"))
+               .select(loc_id, "lat", "lon", "guard",
+                       _cell_id(F.col("_ix") + F.col("_dx"), F.col("_iy") + F.col("_dy"),
+                                F.col("_iz") + F.col("_dz"), half).alias("cell")))
+        pairs = loc.join(st, "cell").select(
+            loc_id, st_id, "guard", haversine_km("lat", "lon", "s_lat", "s_lon").alias("distance_km"))
         w = Window.partitionBy(loc_id).orderBy("distance_km", st_id)
         top = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
         worst = top.groupBy(loc_id).agg(F.max("distance_km").alias("_kth"), F.count(F.lit(1)).alias("_n"),
-                                        F.first("guard_deg").alias("_g"))
-        covers_all = F.lit(2 * m + 1 >= n_bands)
-        guard_km = F.radians(F.col("_g")) * EARTH_KM
-        ok = worst.where(covers_all | ((F.col("_n") >= k) & (F.col("_kth") <= guard_km))).select(loc_id)
+                                        F.first("guard").alias("_g"))
+        covers_all = m * cell >= 2.0
+        guard_km = F.lit(2 * EARTH_KM) * F.asin(F.least(F.col("_g"), F.lit(2.0)) / 2)
+        ok = worst.where(F.lit(covers_all) | ((F.col("_n") >= k) & (F.col("_kth") <= guard_km))).select(loc_id)
         res = top.join(ok, loc_id, "left_semi").select(loc_id, st_id, "distance_km", "rank")
         done = res if done is None else done.unionByName(res)
+        if covers_all:
+            break
         pending = pending.join(ok, loc_id, "left_anti").cache()
-        if 2 * m + 1 >= n_bands or pending.isEmpty():
+        if pending.isEmpty():
             break
         m *= 2
     return done
 
 
 def nearest_with_data(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str = "loc_id",
-                      st_id: str = "st_id", has_data: str = "daily_end", band_deg: float = 2.0) -> DataFrame:
+                      st_id: str = "st_id", has_data: str = "daily_end", cell: float | None = None) -> DataFrame:
     """Of the ``k`` nearest stations keep those with data, then the nearest."""
-    top = k_nearest(locations, stations, k, loc_id, st_id, band_deg)
+    top = k_nearest(locations, stations, k, loc_id, st_id, cell)
     flag = stations.select(st_id, has_data)
     with_data = top.join(flag, st_id).where(F.col(has_data).isNotNull())
     w = Window.partitionBy(loc_id).orderBy("rank")

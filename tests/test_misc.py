@@ -30,7 +30,7 @@ def test_k_nearest_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     st = pd.DataFrame({"st_id": range(300), "lat": rng.uniform(-80, 80, 300), "lon": rng.uniform(-180, 180, 300)})
     lo = pd.DataFrame({"loc_id": range(20), "lat": rng.uniform(-60, 60, 20), "lon": rng.uniform(-180, 180, 20)})
-    got = k_nearest(spark.createDataFrame(lo), spark.createDataFrame(st), k=5, band_deg=1.0).toPandas()
+    got = k_nearest(spark.createDataFrame(lo), spark.createDataFrame(st), k=5).toPandas()
 
     def hav(a, b, c, d):
         p1, p2, dp, dl = map(math.radians, (a, c, c - a, d - b))
@@ -54,3 +54,13 @@ def test_load_plan_watermark_and_empty(spark):
     assert plan["t2"].is_first_load and plan["t2"].last_watermark == 0
     empty = load_plan(files.where("false"), state)
     assert empty.count() == 0
+
+
+def test_k_nearest_small_cells_still_exact(spark):
+    rng = np.random.default_rng(5)
+    st = pd.DataFrame({"st_id": range(200), "lat": rng.uniform(-89, 89, 200), "lon": rng.uniform(-180, 180, 200)})
+    lo = pd.DataFrame({"loc_id": range(5), "lat": [89.5, -89.5, 0.0, 45.0, -10.0], "lon": [0.0, 10.0, 179.9, -179.9, 0.0]})
+    got = k_nearest(spark.createDataFrame(lo), spark.createDataFrame(st), k=3, cell=0.01).toPandas()
+    ref = k_nearest(spark.createDataFrame(lo), spark.createDataFrame(st), k=3, cell=1.0).toPandas()
+    key = lambda d: sorted(zip(d.loc_id, d.st_id, d["rank"]))
+    assert key(got) == key(ref) and len(got) == 15
