@@ -54,9 +54,10 @@ def expired_files(files: DataFrame, live_dirs: DataFrame, now: Column, retention
 
 
 def input_bytes(spark, df: DataFrame) -> int:
-    """Total size of the files behind ``df`` (file metadata only)."""
-    from ..sources.files import list_files
-    total = 0
-    for p in df.inputFiles():
-        total += list_files(spark, p).agg(F.sum("length")).first()[0] or 0
-    return int(total)
+    """Total size of the files behind ``df``: one listing job over all of
+    them (file metadata only, contents are not read)."""
+    paths = df.inputFiles()
+    if not paths:
+        return 0
+    listing = spark.read.format("binaryFile").load(paths).select("length")
+    return int(listing.agg(F.sum("length")).first()[0] or 0)
