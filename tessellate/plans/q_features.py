@@ -303,3 +303,54 @@ FROM w d {' '.join(g.enc_sql('qty', c, src='dense') for c in GRID_ENC)}"""
 @query("feature_grid", _grid_sql())
 def q_feature_grid(spark, sf_dir):
     return rounded(feature_grid(spark, sf_dir), 4)
+
+
+# ------------------------------------------------------ daily panel (P3, m5)
+K3 = ["user_id", "event_type"]
+DAILY_LAGS = [1, 7, 14]
+DAILY_RW, DAILY_RL = [7, 14], [1, 7]
+
+
+def daily_panel(spark, sf_dir):
+    """Daily value per (user, event type), gap-free from first positive day
+    to the last day of the data, with calendar parts and moon phase."""
+    from ..functions.calendar import date_parts, moon_phase
+    from ..operators.panel import densify
+    facts = fx.p3(spark, sf_dir)
+    end = facts.agg(F.max("date")).first()[0]  # one scalar: the last day
+    d = densify(facts, K3, "date", "qty", end=end, step_days=1)
+    return d.select(*K3, "date", "qty", (F.col("release") * 7).cast("int").alias("age_days"),
+                    *date_parts("date"), moon_phase("date").alias("moon"))
+
+
+DAILY_SQL = f"""
+f AS ({fx.P3_SQL}),
+rel AS (SELECT user_id, event_type, min(date) AS rel FROM f WHERE qty > 0 GROUP BY 1, 2),
+endd AS (SELECT max(date) AS e FROM f),
+grid AS (SELECT r.user_id, r.event_type, r.rel,
+                CAST(unnest(range(CAST(r.rel AS TIMESTAMP), CAST(endd.e AS TIMESTAMP) + INTERVAL 1 DAY,
+                                  INTERVAL 1 DAY)) AS DATE) AS date FROM rel r, endd),
+dd AS (SELECT g.user_id, g.event_type, g.date, coalesce(f.qty, 0) AS qty,
+              CAST(g.date - g.rel AS INTEGER) AS age_days
+       FROM grid g LEFT JOIN f ON f.user_id = g.user_id AND f.event_type = g.event_type AND f.date = g.date)"""
+
+
+@query("daily_features", f"""
+WITH {DAILY_SQL}
+SELECT user_id, event_type, date, round(qty, 6) + 0.0 AS qty, age_days,
+       CAST(day(date) AS INTEGER) AS day_of_month, CAST(dayofyear(date) AS INTEGER) AS day_of_year,
+       CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, CAST(weekofyear(date) AS INTEGER) AS week_of_year,
+       CAST(month(date) AS INTEGER) AS month, CAST(year(date) AS INTEGER) AS year,
+       CAST(isodow(date) >= 6 AS INTEGER) AS is_wknd, CAST(day(date) = 1 AS INTEGER) AS is_month_start,
+       CAST(date = last_day(date) AS INTEGER) AS is_month_end,
+       CAST(floor(((0.20439731 + datediff('microsecond', TIMESTAMP '2001-01-01 00:00:00', CAST(date AS TIMESTAMP))
+         / 86400e6 * 0.03386319269) - floor(0.20439731 + datediff('microsecond', TIMESTAMP '2001-01-01 00:00:00',
+         CAST(date AS TIMESTAMP)) / 86400e6 * 0.03386319269)) * 8 + 0.5) AS INTEGER) & 7 AS moon,
+       {', '.join(f"round({g.lag_sql(K3, 'qty', l)}, 6) + 0.0 AS qty_lag_{l}" for l in DAILY_LAGS)},
+       {', '.join(g.roll_sql(K3, 'qty', s, l, w) for l in DAILY_RL for w in DAILY_RW for s in ('mean', 'std'))}
+FROM dd""")
+def q_daily_features(spark, sf_dir):
+    d = daily_panel(spark, sf_dir)
+    d = lag_features(d, K3, "date", "qty", DAILY_LAGS)
+    d = rolling_features(d, K3, "date", "qty", DAILY_RW, DAILY_RL)
+    return rounded(d)
