@@ -88,3 +88,10 @@ def add_weeks(c, k) -> Column:
 def weeks_between(later, earlier) -> Column:
     """Age in weeks as a double (days / 7)."""
     return F.datediff(to_day(later), to_day(earlier)) / F.lit(7.0)
+
+
+def epoch_seconds(c) -> Column:
+    """Whole seconds since 1970-01-01 of a wall-clock (``timestamp_ntz``) value,
+    independent of the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, as_col(c).cast("timestamp_ntz"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.calendar import epoch_seconds
 from ..operators.increment import attempt_rollup, load_plan, source_snapshot, upsert_soft_delete
 from ..operators.dedup import latest_by
 from ..session import scratch_path
@@ -96,7 +97,7 @@ def event_files(spark, sf_dir):
     return e.select(F.date_format(F.date_trunc("day", "ts"), FOLDER_FMT).alias("folder"),
                     F.col("event_type").alias("entity"),
                     F.concat_ws("/", F.date_format(F.date_trunc("day", "ts"), FOLDER_FMT), "event_type").alias("path"),
-                    F.unix_seconds(F.col("ts").cast("timestamp")).alias("modified"))
+                    epoch_seconds("ts").alias("modified"))
 
 
 PLAN_SQL = f"""
@@ -121,7 +122,7 @@ FROM j"""
 def q_load_plan(spark, sf_dir):
     files = event_files(spark, sf_dir)
     state = spark.createDataFrame(STATE_ROWS, "table_name string, w string").select(
-        "table_name", F.unix_seconds(F.to_timestamp("w")).alias("last_watermark"))
+        "table_name", epoch_seconds(F.to_timestamp_ntz("w")).alias("last_watermark"))
     manifest = files.select("folder", "entity").where(F.col("entity").isin(*MANIFEST))
     plan = load_plan(files, state, manifest, last_folder="2024-01-03T00.00.00Z",
                      current_folder="2024-01-28T00.00.00Z")
@@ -134,7 +135,7 @@ def q_load_plan(spark, sf_dir):
 def q_hash_sharded_plan(spark, sf_dir):
     files = event_files(spark, sf_dir)
     state = spark.createDataFrame(STATE_ROWS, "table_name string, w string").select(
-        "table_name", F.unix_seconds(F.to_timestamp("w")).alias("last_watermark"))
+        "table_name", epoch_seconds(F.to_timestamp_ntz("w")).alias("last_watermark"))
     manifest = files.select("folder", "entity").where(F.col("entity").isin(*MANIFEST))
     plan = load_plan(files, state, manifest, num_shards=3, shard=1,
                      last_folder="2024-01-03T00.00.00Z", current_folder="2024-01-28T00.00.00Z")
