@@ -404,3 +404,39 @@ def q_audit_log(spark, sf_dir):
                        (F.col("app_key") != "app-key-value").alias("secret_masked"),
                        F.col("n_folders").cast("int").alias("n_folders"), "new_watermark", "last_watermark",
                        "is_exists", "has_data", "is_first_load")
+
+
+@query("ingest_job", f"""
+WITH e AS (SELECT event_type, user_id, ts >= TIMESTAMP '{SPLIT_TS}' AS late FROM events)
+SELECT event_type AS table_name, 'SUCCEEDED' AS first_status,
+       CASE WHEN bool_or(late) THEN 'SUCCEEDED' ELSE 'SKIPPED' END AS second_status,
+       count(DISTINCT user_id) AS table_rows
+FROM e GROUP BY 1""")
+def q_ingest_job(spark, sf_dir):
+    """Two runs of the whole job over change folders: the first creates every
+    table (first load), the second merges the newer folders into them."""
+    from ..operators.ingest_job import run_ingest
+    from ..sources.state import StateTable
+    root = scratch_path(spark, "ingest")
+    rows = entity_rows(spark, sf_dir)
+    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    state = StateTable(spark, f"{root}/state")
+
+    def files_of(df):
+        return df.select(F.col("__folder").alias("folder"), F.col("event_type").alias("entity"),
+                         F.concat_ws("/", "__folder", "event_type").alias("path"),
+                         epoch_seconds("SinkModifiedOn").alias("modified"))
+
+    def snapshot(table, folders):
+        src = rows.where((F.col("event_type") == table) & F.col("__folder").isin(folders))
+        return _snapshot(src)
+
+    first = run_ingest(spark, files_of(rows.where(F.col("SinkModifiedOn") < split)), state,
+                       f"{root}/tables", snapshot)
+    second = run_ingest(spark, files_of(rows), state, f"{root}/tables", snapshot)
+    counts = [(t, PartitionTable(spark, f"{root}/tables/{t}").read().count())
+              for t in [r.table_name for r in first.collect()]]  # one count per table
+    sizes = spark.createDataFrame(counts, "table_name string, table_rows long")
+    return (first.select("table_name", F.col("status").alias("first_status"))
+            .join(second.select("table_name", F.col("status").alias("second_status")), "table_name", "full")
+            .join(sizes, "table_name", "left"))
