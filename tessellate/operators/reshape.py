@@ -42,9 +42,17 @@ def frame_diff(left: DataFrame, right: DataFrame, keys, columns=None) -> DataFra
     """
     keys = as_list(keys)
     columns = columns or [c for c in left.columns if c not in keys]
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     l = left.select(*keys, *[F.col(c).alias(f"l__{c}") for c in columns])
     r = right.select(*keys, *[F.col(c).alias(f"r__{c}") for c in columns])
-    j = l.join(r, on=keys, how="full_outer")
+    # a null key never matches: such rows skip the join (where they would all
+    # hash to one task) and are one-sided by definition
+    l_only = l.where(null_key).select(*keys, *[F.col(f"l__{c}") for c in columns],
+                                      *[F.lit(None).cast(left.schema[c].dataType).alias(f"r__{c}") for c in columns])
+    r_only = r.where(null_key).select(*keys, *[F.lit(None).cast(right.schema[c].dataType).alias(f"l__{c}")
+                                               for c in columns], *[F.col(f"r__{c}") for c in columns])
+    j = (l.where(~null_key).join(r.where(~null_key), on=keys, how="full_outer")
+         .unionByName(l_only).unionByName(r_only))
     cells = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"l__{c}").cast("string").alias("left_value"),
                  F.col(f"r__{c}").cast("string").alias("right_value"),

@@ -64,3 +64,12 @@ def test_k_nearest_small_cells_still_exact(spark):
     ref = k_nearest(spark.createDataFrame(lo), spark.createDataFrame(st), k=3, cell=1.0).toPandas()
     key = lambda d: sorted(zip(d.loc_id, d.st_id, d["rank"]))
     assert key(got) == key(ref) and len(got) == 15
+
+
+def test_frame_diff_null_keys_are_one_sided(spark):
+    from tessellate.operators.reshape import frame_diff
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "n")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, "z"), (None, "n")], "k int, v string")
+    got = sorted(((r.k if r.k is not None else -1), r.column, r.left_value or "", r.right_value or "")
+                 for r in frame_diff(a, b, ["k"]).collect())
+    assert got == [(-1, "v", "", "n"), (-1, "v", "n", ""), (2, "v", "y", "z")]
