@@ -14,7 +14,7 @@ from ..sources.tables import Tables
 from . import fixtures as fx
 from . import sqlgen as g
 from .q_features import DENSE_P2_CTE, K2, dense_p2
-from .registry import query, rounded
+from .registry import fast_round, query, rounded
 
 PART = "l_returnflag"
 HORIZON, STEP = 12, 4
@@ -183,7 +183,7 @@ SELECT l_suppkey, l_returnflag, date, CAST(qty AS FLOAT) AS qty, NULL AS qty_hat
 def q_append_history(spark, sf_dir):
     fc = ols_forecast(spark, sf_dir)
     fc = fc.select(*K2, "date", F.col("qty").cast("float").alias("qty"),
-                   F.round("qty_hat", 2).cast("float").alias("qty_hat"), "partition_key", "stage")
+                   fast_round("qty_hat", 2).cast("float").alias("qty_hat"), "partition_key", "stage")
     hist = base(spark, sf_dir).where(F.col("date").between("2000-01-01", "2000-12-31")) \
         .select(*K2, "date", F.col("qty").cast("float").alias("qty"), F.col(PART).alias("partition_key"))
     return fc.unionByName(hist, allowMissingColumns=True)
@@ -293,7 +293,7 @@ def q_grid_ewm_alpha(spark, sf_dir):
               .agg(F.sqrt(F.avg(F.pow(F.col("qty") - F.col("pred"), 2))).alias("rmse")))
     best = scores.groupBy(*K2).agg(F.min_by("alpha", F.struct("rmse", "alpha")).alias("best_alpha"),
                                    F.min("rmse").alias("best_rmse"))
-    return rounded(best.select(*K2, "best_alpha", F.round("best_rmse", 4).alias("best_rmse")), 4)
+    return rounded(best.select(*K2, "best_alpha", fast_round("best_rmse", 4).alias("best_rmse")), 4)
 
 
 @query("day_split", """

@@ -8,7 +8,7 @@ from ..functions.calendar import week_bucket
 from ..operators import aggs, dedup, joins, reshape
 from ..sources.tables import Tables
 from . import fixtures as fx
-from .registry import query, rounded
+from .registry import fast_round, query, rounded
 
 
 @query("weekly_sum", f"SELECT l_suppkey, l_returnflag, date, round(qty, 6) + 0.0 AS qty FROM ({fx.P2_SQL}) t")
@@ -308,13 +308,13 @@ UNION ALL SELECT o_orderkey, 'o_orderpriority', l2, r2 FROM j WHERE l2 IS DISTIN
 UNION ALL SELECT o_orderkey, 'price', CAST(l3 AS VARCHAR), CAST(r3 AS VARCHAR) FROM j WHERE l3 IS DISTINCT FROM r3""")
 def frame_diff(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    a = o.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.round("o_totalprice", 2).alias("price"))
+    a = o.select("o_orderkey", "o_orderstatus", "o_orderpriority", fast_round("o_totalprice", 2).alias("price"))
     b = (o.where((F.col("o_orderstatus") != "O") | (F.col("o_totalprice") > 1000))
          .select("o_orderkey", "o_orderstatus",
                  F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderpriority"))
                  .alias("o_orderpriority"),
-                 F.when(F.col("o_orderstatus") == "F", F.round(F.col("o_totalprice") + 100.0, 2))
-                 .otherwise(F.round("o_totalprice", 2)).alias("price")))
+                 F.when(F.col("o_orderstatus") == "F", fast_round(F.col("o_totalprice") + 100.0, 2))
+                 .otherwise(fast_round("o_totalprice", 2)).alias("price")))
     return reshape.frame_diff(a, b, ["o_orderkey"], ["o_orderstatus", "o_orderpriority", "price"])
 
 

@@ -26,13 +26,25 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def spark_rounding_sql(sql: str) -> str:
-    """Rewrite DuckDB ``round(x, d)`` to round like Spark.
+def _scale(digits: str) -> str:
+    return repr(10.0 ** int(digits))
+
+
+def fast_round(c, digits: int):
+    """Round half up in plain double arithmetic: ``floor(x * 10^d + 0.5) / 10^d``.
 
-    Spark rounds a double HALF_UP on its shortest decimal text; DuckDB
-    computes ``round(x * 10^d) / 10^d``, which can differ on ties. Going
-    through text and DECIMAL reproduces Spark's result for the same double.
+    Used on both sides of the oracle comparison: the same IEEE operations
+    on the same input give the same result in Spark and DuckDB, and unlike
+    ``round()`` (which goes through BigDecimal per value) it stays inside
+    generated code, which matters for outputs with hundreds of columns.
     """
+    col = c if not isinstance(c, str) else F.col(f"`{c}`")
+    k = 10.0 ** digits
+    return F.floor(col.cast("double") * F.lit(k) + F.lit(0.5)) / F.lit(k)
+
+
+def spark_rounding_sql(sql: str) -> str:
+    """Rewrite DuckDB ``round(x, d)`` into the ``fast_round`` expression."""
     out, i, low = [], 0, sql.lower()
     while True:
         j = low.find("round(", i)
@@ -56,8 +68,7 @@ def spark_rounding_sql(sql: str) -> str:
         inner_expr = spark_rounding_sql(sql[j + 6:comma])
         digits = sql[comma + 1:k - 1].strip()
         out.append(sql[i:j])
-        out.append(f"CAST(round(CAST(CAST(({inner_expr}) AS VARCHAR) AS DECIMAL(38,18)), {digits})"
-                   " AS DOUBLE)")
+        out.append(f"(floor(CAST(({inner_expr}) AS DOUBLE) * {_scale(digits)} + 0.5) / {_scale(digits)})")
         i = k
 
 
@@ -67,8 +78,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
             # + 0.0 turns -0.0 into 0.0 so signed zeros hash alike on both sides
-            cols.append((F.round(F.col(f"`{f.name}`").cast("double"), digits) + F.lit(0.0))
-                        .alias(f.name))
+            cols.append((fast_round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
