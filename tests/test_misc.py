@@ -73,3 +73,16 @@ def test_frame_diff_null_keys_are_one_sided(spark):
     got = sorted(((r.k if r.k is not None else -1), r.column, r.left_value or "", r.right_value or "")
                  for r in frame_diff(a, b, ["k"]).collect())
     assert got == [(-1, "v", "", "n"), (-1, "v", "n", ""), (2, "v", "y", "z")]
+
+
+def test_left_merge_null_keys_match_like_pandas(spark):
+    from tessellate.operators.joins import left_merge
+    l = pd.DataFrame({"k": [1.0, 2.0, None, None], "a": [10, 20, 30, 40]})
+    r = pd.DataFrame({"k": [1.0, None, 3.0], "a": [0, 0, 0], "b": ["x", "n", "z"]})
+    got = left_merge(spark.createDataFrame(l, "k double, a long"), spark.createDataFrame(r, "k double, a long, b string"),
+                     ["k"]).toPandas()
+    ref = pd.merge(l, r, on="k", how="left", suffixes=("", "__y"))
+    ref = ref[[c for c in ref.columns if not c.endswith("__y")]]
+    key = lambda d: sorted((-1 if pd.isna(x) else x, y, z if isinstance(z, str) else "") for x, y, z in
+                           zip(d["k"], d["a"], d["b"]))
+    assert key(got) == key(ref)
