@@ -143,7 +143,7 @@ def ewm_decay(alpha: float) -> float:
 
 
 def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = None,
-                    stats_from: DataFrame | None = None) -> DataFrame:
+                    stats_from: DataFrame | None = None, unique_keys=None) -> DataFrame:
     """``enc_{cols}_mean`` / ``enc_{cols}_std`` of ``target`` per group of columns.
 
     Default (as in the original) uses all rows of the group, including the
@@ -167,6 +167,11 @@ def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = No
             stats = valid.groupBy(*cols).agg(F.avg(target).alias(m), F.stddev_samp(target).alias(s))
             out = out.join(stats, on=cols, how="left").select(*base_cols, m, s)
             continue
+        if unique_keys is not None and set(cols) == set(as_list(unique_keys)):
+            w = Window.partitionBy(*cols).orderBy(as_of).rowsBetween(Window.unboundedPreceding, -1)
+            out = out.select(*base_cols, F.when(_gate(cols), F.avg(target).over(w)).alias(m),
+                             F.when(_gate(cols), F.stddev_samp(target).over(w)).alias(s))
+            continue
         # one row per (group, period): count, exact sum, and the within-period
         # sum of squared deviations; running sums of deviations from the
         # group mean K combine them without cancellation (Chan et al.)

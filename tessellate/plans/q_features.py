@@ -125,7 +125,7 @@ SELECT l_suppkey, l_returnflag, date, round(qty, 4) + 0.0 AS qty,
 FROM dense""")
 def q_target_encode_asof(spark, sf_dir):
     d = dense_p2(spark, sf_dir).select(*K2, "date", "qty")
-    return rounded(target_encoding(d, "qty", ENC, as_of="date"), 4)
+    return rounded(target_encoding(d, "qty", ENC, as_of="date", unique_keys=K2), 4)
 
 
 # ---------------------------------------------------------------- prices (P4)
