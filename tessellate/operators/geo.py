@@ -52,21 +52,21 @@ def k_nearest(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str
     if cell is None:
         n = max(stations.count(), 1)  # one scalar
         cell = min(1.0, max(1e-4, math.sqrt(16 * math.pi * k / n)))
-    half = int(math.ceil(1.0 / cell)) + 1
     sx, sy, sz = _unit("lat", "lon")
-    st = stations.select(st_id, F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"),
-                         _cell_id(F.floor(sx / cell), F.floor(sy / cell), F.floor(sz / cell), half)
-                         .alias("cell"))
-    base = locations.select(loc_id, "lat", "lon")
+    stations_u = stations.select(st_id, F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"),
+                                 sx.alias("_sx"), sy.alias("_sy"), sz.alias("_sz"))
     x, y, z = _unit("lat", "lon")
-    base = base.select("*", x.alias("_x"), y.alias("_y"), z.alias("_z"))
-    pending = base
+    pending = locations.select(loc_id, "lat", "lon", x.alias("_x"), y.alias("_y"), z.alias("_z"))
     done = None
-    m = 1
+    size = cell
     for _ in range(max_rounds):
-        offs = F.sequence(F.lit(-m), F.lit(m))
-        ix, iy, iz = (F.floor(F.col(c) / cell) for c in ("_x", "_y", "_z"))
-        guard = F.least(*[F.least(F.col(c) - (i - m) * cell, (i + m + 1) * cell - F.col(c))
+        half = int(math.ceil(1.0 / size)) + 1
+        st = stations_u.select(st_id, "s_lat", "s_lon", _cell_id(
+            F.floor(F.col("_sx") / size), F.floor(F.col("_sy") / size), F.floor(F.col("_sz") / size), half)
+            .alias("cell"))
+        offs = F.sequence(F.lit(-1), F.lit(1))
+        ix, iy, iz = (F.floor(F.col(c) / size) for c in ("_x", "_y", "_z"))
+        guard = F.least(*[F.least(F.col(c) - (i - 1) * size, (i + 2) * size - F.col(c))
                           for c, i in (("_x", ix), ("_y", iy), ("_z", iz))])
         loc = (pending.select("*", guard.alias("guard"), ix.alias("_ix"), iy.alias("_iy"), iz.alias("_iz"))
                .select("*", F.explode(offs).alias("_dx"))
@@ -81,7 +81,7 @@ def k_nearest(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str
         top = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
         worst = top.groupBy(loc_id).agg(F.max("distance_km").alias("_kth"), F.count(F.lit(1)).alias("_n"),
                                         F.first("guard").alias("_g"))
-        covers_all = m * cell >= 2.0
+        covers_all = size >= 2.0  # the 3x3x3 block then contains the whole sphere
         guard_km = F.lit(2 * EARTH_KM) * F.asin(F.least(F.col("_g"), F.lit(2.0)) / 2)
         ok = worst.where(F.lit(covers_all) | ((F.col("_n") >= k) & (F.col("_kth") <= guard_km))).select(loc_id)
         res = top.join(ok, loc_id, "left_semi").select(loc_id, st_id, "distance_km", "rank")
@@ -91,7 +91,7 @@ def k_nearest(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str
         pending = pending.join(ok, loc_id, "left_anti").cache()
         if pending.isEmpty():
             break
-        m *= 2
+        size *= 2  # coarser grid, still 27 cells per location
     return done
 
 
