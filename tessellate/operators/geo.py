@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import as_col
+from ..session import cut_lineage
 
 EARTH_KM = 6371.0088
 
@@ -88,7 +89,9 @@ def k_nearest(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str
         done = res if done is None else done.unionByName(res)
         if covers_all:
             break
-        pending = pending.join(ok, loc_id, "left_anti").cache()
+        # reliable checkpoint in the shared folder: cuts the lineage that grows
+        # every round and survives the loss of the executor holding it
+        pending = cut_lineage(pending.join(ok, loc_id, "left_anti"))
         if pending.isEmpty():
             break
         size *= 2  # coarser grid, still 27 cells per location
