@@ -12,17 +12,17 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_LOADED: dict = {}
+from .common import per_worker
 
 
 def encoding(ranks_file: str, pattern: str) -> tiktoken.Encoding:
     """The encoding of a rank file, loaded once for each Python worker."""
-    key = (ranks_file, pattern)
-    if key not in _LOADED:
+    loaded, key = per_worker(), f"ranks {ranks_file} {pattern}"
+    if key not in loaded:
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, map(bytes.strip, f)))}
-        _LOADED[key] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _LOADED[key]
+        loaded[key] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return loaded[key]
 
 
 def chunk_starts(n: int, chunk: int) -> list[int]:

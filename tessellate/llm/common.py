@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +57,10 @@ def range_of(key: Column, bounds: list[int]) -> Column:
     coarse = below(last)
     found = coarse * F.lit(step) + below(F.element_at(inner, coarse + 1))
     return F.when(key.isNull(), F.lit(0)).otherwise(found).cast("int")
+
+
+def per_worker() -> dict:
+    """A dict that lives as long as the Python process. Functions of this
+    package reach the workers by value, so their module's own globals start
+    anew with each task; tables that take long to load are kept here."""
+    return sys.modules.setdefault("tessellate_worker_memo", types.ModuleType("tessellate_worker_memo")).__dict__
