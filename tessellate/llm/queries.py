@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessellate.session import scratch_path
 
-from . import byte_bpe, simhash, token_files
+from . import byte_bpe, fingerprints, language_id, simhash, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_fingerprints")
+def op2_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_simhash")
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
