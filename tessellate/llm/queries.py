@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessellate.session import scratch_path
 
-from . import byte_bpe, decontam, fingerprints, language_id, simhash, token_files
+from . import byte_bpe, decontam, fingerprints, html_text, language_id, simhash, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op6_byte_bpe(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query("op7_html_text")
+def op7_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
