@@ -59,6 +59,16 @@ def range_of(key: Column, bounds: list[int]) -> Column:
     return F.when(key.isNull(), F.lit(0)).otherwise(found).cast("int")
 
 
+def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, salts: int = 64) -> DataFrame:
+    """Left outer join to a right side of few rows with keys that may be hot on
+    the left: left rows take a salt from their own values and the right side
+    has a copy for each salt, so a key's rows are spread over ``salts`` groups."""
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    copies = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_copy")), "left").drop(
+        "_salt", "_copy")
+
+
 def per_worker() -> dict:
     """A dict that lives as long as the Python process. Functions of this
     package reach the workers by value, so their module's own globals start

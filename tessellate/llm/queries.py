@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessellate.session import scratch_path
 
-from . import byte_bpe, decontam, fingerprints, html_text, language_id, simhash, token_files
+from . import byte_bpe, decontam, fingerprints, html_text, language_id, quality, simhash, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op6_byte_bpe(spark, sf_dir):
 @query("op7_html_text")
 def op7_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_quality")
+def op10_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
