@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessellate.session import scratch_path
 
-from . import byte_bpe, decontam, fingerprints, html_text, language_id, quality, simhash, token_files
+from . import byte_bpe, decontam, fingerprints, html_text, language_id, pii, preferences, quality, simhash, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,17 @@ def op7_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op8_preferences", preferences.NEIGHBOURS_SQL)
+def op8_preferences(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return preferences.format_preferences(turns, preferences.neighbours(turns))
+
+
+@query("op9_pii")
+def op9_pii(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 @query("op10_quality")
 def op10_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
