@@ -4,30 +4,59 @@ files of the one before it."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellate.llm import byte_bpe, simhash
+from tessellate.llm import byte_bpe, decontam, pii, quality, simhash
 from tessellate.llm.common import stored, table
 
 ORACLE_SQL = None  # no stage's method can be stated in SQL; tests hold them against brute force
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _key() -> Column:
+    """A document's id; one without an id goes by a hash of its text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64(F.col("text")), 1))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(_key().alias("doc_id"), "text", "lang")
+
+
+def drop_bad_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is above their language's threshold go."""
+    docs = docs.select(*DOCUMENT)
+    rejected = (quality.classify(_keyed(docs), table(spark, sf_dir, "labels")).where(~F.col("accepted"))
+                .select(F.col("doc_id").alias("key")).distinct())
+    return docs.join(rejected, _key() == F.col("key"), "left_anti")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group that SimHash links, the document whose id names the group stays
-    (of repeated rows with this id the least); documents without an id stay."""
+    (of repeated rows with this id the least)."""
+    docs = docs.select(*DOCUMENT)
+    kept = (simhash.near_duplicates(_keyed(docs), shingle=3, radius=3)
+            .where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct())
+    return (docs.withColumn("key", _key()).join(kept, "key", "left_semi").groupBy("key")
+            .agg(F.min(F.struct(*DOCUMENT)).alias("least")).select("least.*"))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the same or other parameters, go."""
     docs = docs.select(*DOCUMENT)
-    kept = (simhash.near_duplicates(docs, shingle=3, radius=3)
-            .where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
-    rest = [F.col(c) for c in DOCUMENT[1:]]
-    named = (docs.join(kept, "doc_id", "left_semi").groupBy("doc_id")
-             .agg(F.min(F.struct(*rest)).alias("least")).select("doc_id", "least.*"))
-    return named.union(docs.where(F.col("doc_id").isNull()))
+    leaks = (decontam.contaminated(_keyed(docs), table(spark, sf_dir, "benchmark"))
+             .select(F.col("doc_id").alias("key")).distinct())
+    return docs.join(leaks, _key() == F.col("key"), "left_anti")
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets become surrogates; n_chars is that of the new text."""
+    return pii.pseudonymise(docs.select(*DOCUMENT)).withColumn(
+        "n_chars", F.length("text").cast("long")).select(*DOCUMENT)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, and whether decoding them gave back its text."""
+    """Ids of every document, and the digest of the bytes they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return byte_bpe.decode(coded, ranks, public_tokenizers.PATTERN).select(
@@ -36,12 +65,18 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", drop_bad_text),
     ("simhash near-dedup", drop_near_copies),
-    ("byte-level BPE", to_tokens),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("pii surrogates", replace_personal_data),
+    ("byte-level bpe", to_tokens),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage over ``documents``. Rows without doc_id, null and
+    empty texts, repeated rows and empty tables are treated as the stages'
+    operators say; other columns than those of documents are not read."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
