@@ -68,3 +68,9 @@ def merge_condition(left_alias: str, right_alias: str, cols) -> Column:
 def null_safe_condition(left, right, cols) -> Column:
     conds = [left[c].eqNullSafe(right[c]) for c in as_list(cols)]
     return reduce(lambda a, b: a & b, conds)
+
+
+def utc_stamp(c, zone: str) -> Column:
+    """Wall-clock time of ``zone`` as UTC wall-clock time, whatever the session's zone."""
+    local = as_col(c).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), local)

@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import holiday_flag, to_day, week_bucket
 
-# A calendar wider than this many days is not broadcast (about 270 years).
-MAX_BROADCAST_DAYS = 100_000
-
-
 def span_of(df: DataFrame, date_col: str, weekly: bool = True) -> DataFrame:
     """One-row frame ``(start, end)`` covering the dates of ``df``.
 
@@ -79,27 +75,14 @@ def build_weekly_calendar(facts: DataFrame, date_col: str, rules: DataFrame) ->
 
 
 class WeeklyCalendar:
-    """Weekly calendar with a known span.
+    """Weekly calendar over the span of the facts, all lazy.
 
-    The span is two scalars read with one small aggregate over the date
-    column; the calendar is then built from literals, so its row count is
-    known on the driver before any join: it is broadcast only when the span
-    is within ``MAX_BROADCAST_DAYS`` and joined normally beyond that.
+    ``frame`` has one row per week. Dates lie in the years 1 to 9999, so it has
+    at most 521,722 rows of five small columns: that bound is what makes the
+    broadcast into the fact side safe at any size of the facts.
+    ``last_week`` is a scalar subquery: the first day of the last whole week.
     """
 
-    def __init__(self, spark: SparkSession, facts: DataFrame, date_col: str, rules: DataFrame):
-        row = span_of(facts, date_col, weekly=True).first()
-        self.start, self.end = row["start"], row["end"]
-        self.days = 0 if self.start is None else (self.end - self.start).days + 1
-        bounds = spark.range(1).select(F.lit(self.start).alias("start"), F.lit(self.end).alias("end"))
-        self.frame = weekly_calendar(attach_holidays(day_spine(bounds), rules))
-
-    @property
-    def last_week(self):
-        """Label (first day) of the last whole week of the span."""
-        import datetime as dt
-        return None if self.end is None else self.end - dt.timedelta(days=6)
-
-    @property
-    def broadcastable(self) -> bool:
-        return self.days <= MAX_BROADCAST_DAYS
+    def __init__(self, facts: DataFrame, date_col: str, rules: DataFrame):
+        self.frame = build_weekly_calendar(facts, date_col, rules)
+        self.last_week = span_of(facts, date_col, weekly=True).select(F.date_sub("end", 6)).scalar()

@@ -35,15 +35,17 @@ def earliest_by(df: DataFrame, keys, order) -> DataFrame:
     return _pick(df, keys, order, descending=False)
 
 
+def _ordering(order, descending: bool) -> list:
+    """Column names in the given direction, nulls last; sort columns as they are."""
+    return [(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()) if isinstance(c, str) else c
+            for c in as_list(order)]
+
+
 def top_n_per_group(df: DataFrame, keys, order, n: int, descending: bool = True) -> DataFrame:
-    keys, order = as_list(keys), as_list(order)
-    ocols = [(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()) for c in order]
-    w = Window.partitionBy(*keys).orderBy(*ocols)
+    w = Window.partitionBy(*as_list(keys)).orderBy(*_ordering(order, descending))
     return (df.withColumn("rank_in_group", F.row_number().over(w))
             .where(F.col("rank_in_group") <= n))
 
 
 def top_n(df: DataFrame, order, n: int, descending: bool = True) -> DataFrame:
-    order = as_list(order)
-    ocols = [(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()) for c in order]
-    return df.orderBy(*ocols).limit(n)
+    return df.orderBy(*_ordering(order, descending)).limit(n)

@@ -22,6 +22,7 @@ from ..functions._util import as_col
 from ..session import cut_lineage
 
 EARTH_KM = 6371.0088
+SMALLEST_CELL = 2e-6  # about 13 m; cell numbers stay within a long
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
@@ -43,16 +44,19 @@ def _cell_id(ix, iy, iz, k: int) -> Column:
 
 
 def k_nearest(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str = "loc_id",
-              st_id: str = "st_id", cell: float | None = None, max_rounds: int = 16) -> DataFrame:
+              st_id: str = "st_id", cell: float | None = None) -> DataFrame:
     """``(loc_id, st_id, distance_km, rank)`` for the ``k`` nearest stations.
 
     ``locations``: loc_id, lat, lon; ``stations``: st_id, lat, lon, ... .
     Ranks break distance ties by station id. ``cell``: grid side on the unit
-    sphere; by default about ``k`` stations per occupied cell.
+    sphere; by default about ``k`` stations per occupied cell. The rounds end
+    when every location is resolved or the block covers the sphere, so each
+    location has all its stations whatever the cell.
     """
     if cell is None:
         n = max(stations.count(), 1)  # one scalar
         cell = min(1.0, max(1e-4, math.sqrt(16 * math.pi * k / n)))
+    cell = max(cell, SMALLEST_CELL)
     sx, sy, sz = _unit("lat", "lon")
     stations_u = stations.select(st_id, F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"),
                                  sx.alias("_sx"), sy.alias("_sy"), sz.alias("_sz"))
@@ -60,7 +64,7 @@ def k_nearest(locations: DataFrame, stations: DataFrame, k: int = 5, loc_id: str
     pending = locations.select(loc_id, "lat", "lon", x.alias("_x"), y.alias("_y"), z.alias("_z"))
     done = None
     size = cell
-    for _ in range(max_rounds):
+    while True:
         half = int(math.ceil(1.0 / size)) + 1
         st = stations_u.select(st_id, "s_lat", "s_lon", _cell_id(
             F.floor(F.col("_sx") / size), F.floor(F.col("_sy") / size), F.floor(F.col("_sz") / size), half)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions._util import as_list
 
 
-def left_merge(left: DataFrame, right: DataFrame, on, max_null_matches: int = 100_000) -> DataFrame:
+def left_merge(left: DataFrame, right: DataFrame, on, salts: int = 32) -> DataFrame:
     """Left join on ``on`` where null keys match each other (like a pandas merge).
 
     Right-side columns that clash with a left column are dropped; the key
@@ -18,10 +18,9 @@ def left_merge(left: DataFrame, right: DataFrame, on, max_null_matches: int = 10
 
     Rows whose key has a null go their own way: with a plain null-safe join
     they would all hash to one task. Non-null keys use an ordinary equi-join;
-    null-key left rows meet only the right side's null-key rows, which are
-    counted (one small action) and broadcast when within
-    ``max_null_matches``; beyond that the null-key part falls back to the
-    null-safe shuffle join, so the result is always whole.
+    null-key left rows take one of ``salts`` salts and meet a copy of the
+    right side's null-key rows for it, so they are spread over that many
+    tasks at any size.
     """
     on = as_list(on)
     extra = [c for c in right.columns if c not in left.columns]
@@ -30,18 +29,16 @@ def left_merge(left: DataFrame, right: DataFrame, on, max_null_matches: int = 10
     any_null_r = reduce(lambda a, b: a | b, [F.col(f"__r_{c}").isNull() for c in on])
 
     def joined(lft, rgt, null_safe):
-        cond = None
+        cond = lft["__salt"] == rgt["__salt"] if null_safe else None
         for c in on:
             e = lft[c].eqNullSafe(rgt[f"__r_{c}"]) if null_safe else lft[c] == rgt[f"__r_{c}"]
             cond = e if cond is None else cond & e
         return lft.join(rgt, cond, "left").select(*[lft[c] for c in left.columns], *[rgt[c] for c in extra])
 
     main = joined(left.where(~any_null_l), r.where(~any_null_r), False)
-    r_null = r.where(any_null_r)
-    n_null = r_null.count()
-    l_null = left.where(any_null_l)
-    side = F.broadcast(r_null) if n_null <= max_null_matches else r_null
-    return main.unionByName(joined(l_null, side, True))
+    r_null = r.where(any_null_r).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    l_null = left.where(any_null_l).withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    return main.unionByName(joined(l_null, r_null, True))
 
 
 def attach_group_stats(df: DataFrame, stats: DataFrame, keys) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import as_list
+from ..sources.files import list_files
 
 
 def maintenance_candidates(history: DataFrame, table: str = "table_name", ts: str = "timestamp",
@@ -15,7 +16,7 @@ def maintenance_candidates(history: DataFrame, table: str = "table_name", ts: st
                            last_n: int = 20, op_value: str = "MERGE", min_count: int = 1,
                            tie=None) -> DataFrame:
     """Tables whose last ``last_n`` commits hold more than ``min_count`` merges
-    since yesterday 00:00 (relative to ``now``).
+    since yesterday 00:00 (relative to ``now``) and not after ``now``.
 
     ``row_number() <= n`` per table is planned as a group limit (top rows per
     task kept before the shuffle), so a table with a huge history is cheap.
@@ -25,7 +26,8 @@ def maintenance_candidates(history: DataFrame, table: str = "table_name", ts: st
     w = Window.partitionBy(table).orderBy(*order)
     since = F.date_sub(F.to_date(now), 1).cast("timestamp_ntz")
     recent = history.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= last_n)
-    return (recent.where((F.col(operation) == op_value) & (F.col(ts) >= since))
+    until = now.cast("timestamp_ntz")
+    return (recent.where((F.col(operation) == op_value) & (F.col(ts) >= since) & (F.col(ts) <= until))
             .groupBy(table).agg(F.count(F.lit(1)).alias("n_merges"))
             .where(F.col("n_merges") > min_count))
 
@@ -33,12 +35,14 @@ def maintenance_candidates(history: DataFrame, table: str = "table_name", ts: st
 def compact(df: DataFrame, by, total_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> DataFrame:
     """Cluster rows by ``by`` into files of about ``target_bytes``.
 
-    Range partitioning samples the key distribution, so a hot key range is
-    split across files instead of landing in one task.
+    Equal values of ``by`` would stay in one range (one load time may hold all
+    rows), so a hash of the row is a further range column: a hot value is
+    split across files.
     """
     n = max(1, math.ceil(total_bytes / target_bytes))
     by = as_list(by)
-    return df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    rest = F.xxhash64(*df.columns)
+    return df.repartitionByRange(n, *[F.col(c) for c in by], rest).sortWithinPartitions(*by)
 
 
 def expired_files(files: DataFrame, live_dirs: DataFrame, now: Column, retention_hours: int = 168) -> DataFrame:
@@ -53,11 +57,8 @@ def expired_files(files: DataFrame, live_dirs: DataFrame, now: Column, retention
     return f.join(live_dirs, "dir", "left_anti").select("path", "modified")
 
 
-def input_bytes(spark, df: DataFrame) -> int:
-    """Total size of the files behind ``df``: one listing job over all of
-    them (file metadata only, contents are not read)."""
-    paths = df.inputFiles()
-    if not paths:
-        return 0
-    listing = spark.read.format("binaryFile").load(paths).select("length")
+def input_bytes(spark, root: str) -> int:
+    """Total size of the files under ``root``: one listing job (file metadata
+    only, contents are not read)."""
+    listing = list_files(spark, root)
     return int(listing.agg(F.sum("length")).first()[0] or 0)

@@ -85,15 +85,15 @@ def spine_fill(panel: DataFrame, calendar, keys, date_col: str = "date",
                target: str = "qty", end=None) -> DataFrame:
     """Dense weekly panel joined with weekly calendar attributes.
 
-    ``calendar``: a ``WeeklyCalendar`` (span known on the driver: broadcast
-    when within its size bound, else a normal join; its last week is the
-    default end) or a plain DataFrame (joined normally; AQE decides).
+    ``calendar``: a ``WeeklyCalendar`` (bounded by the range of dates, so it is
+    broadcast; its last week is the default end) or a plain DataFrame
+    (joined normally; AQE decides).
     The big side keeps its key partitioning for later windows.
     """
     from .calendar import WeeklyCalendar
     if isinstance(calendar, WeeklyCalendar):
-        frame = F.broadcast(calendar.frame) if calendar.broadcastable else calendar.frame
-        if end is None and calendar.last_week is not None:
+        frame = F.broadcast(calendar.frame)
+        if end is None:
             end = calendar.last_week
     else:
         frame = calendar

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import as_list
+from ..session import stored
 
 
 def horizon_split(df: DataFrame, partition_cols, date_col: str = "date", horizon: int = 12,
@@ -27,26 +31,39 @@ def horizon_split(df: DataFrame, partition_cols, date_col: str = "date", horizon
     return j.select(*df.columns, cutoff.alias("cutoff"), role.alias("role"), stage.alias("stage"))
 
 
-def stage_feature_names(stage: int, target: str = "qty", step: int = 4, horizon: int = 12,
-                        common_lags=(26, 39, 52, 78, 104), roll_lags=(4, 8, 12, 16, 20, 26, 39, 52),
-                        roll_windows=(4, 8, 12, 16, 26, 39, 52), ewm_lags=(4, 8, 12, 16, 20, 26, 39, 52),
-                        ewm_alphas=(0.99, 0.95, 0.9, 0.8, 0.5, 0.2, 0.1), enc_cols=(("item",),),
-                        other=("is_holiday", "is_offline", "year", "week_of_year", "release")) -> dict:
-    """Feature columns usable at ``stage``: nothing lagged less than stage*step.
+@dataclass(frozen=True)
+class Stage:
+    """A forecast stage: weeks ``first``..``last`` after the cut-off, for which only
+    what was known ``lag`` weeks before is a feature."""
 
-    Lags stage*step .. stage*step + 3*step plus the common seasonal lags;
-    rolling / EWM features whose lag is at least stage*step; encodings.
-    """
-    lo = stage * step
-    lags = list(range(lo, lo + step * 3 + 1)) + list(common_lags)
-    rolls = [f"{target}_roll_{s}_lag_{l}_win_{w}" for l in roll_lags if l >= lo
-             for w in roll_windows for s in ("mean", "std")]
-    ewms = [f"{target}_ewm_lag_{l}_alpha_{str(a).replace('.', '')}" for l in ewm_lags if l >= lo
-            for a in ewm_alphas]
-    encs = [f"enc_{'_'.join(c)}_{s}" for c in enc_cols for s in ("mean", "std")]
-    return {"stage": stage, "start": (stage - 1) * step + 1, "end": min(stage * step, horizon),
-            "other_features": list(other), "lag_features": [f"{target}_lag_{l}" for l in lags],
-            "roll_features": rolls, "ewm_features": ewms, "enc_features": encs}
+    number: int
+    first: int
+    last: int
+    lag: int
+    lags: tuple[int, ...]
+
+    def allows(self, column: str) -> bool:
+        """Lagged columns (``.._lag_<weeks>..``) must be old enough, plain lags also one
+        of the stage's; columns without a lag are always known."""
+        found = _LAG.search(column)
+        if found is None:
+            return True
+        weeks = int(found["weeks"])
+        return weeks in self.lags if found["kind"] is None else weeks >= self.lag
+
+    def features(self, columns) -> list[str]:
+        return [c for c in columns if self.allows(c)]
+
+
+_LAG = re.compile(r"(?:_(?P<kind>roll_mean|roll_std|ewm))?_lag_(?P<weeks>\d+)(?:_|$)")
+
+
+def stages(horizon: int = 12, step: int = 4, seasonal: tuple[int, ...] = ()) -> list[Stage]:
+    """The stages of a horizon. A stage's plain lags are its own lag, the weeks of
+    three further steps, and the ``seasonal`` ones."""
+    return [Stage(k, (k - 1) * step + 1, min(k * step, horizon), k * step,
+                  (*range(k * step, k * step + 3 * step + 1), *seasonal))
+            for k in range(1, -(-horizon // step) + 1)]
 
 
 def global_position(df: DataFrame, order, pos_col: str = "pos", total_col: str | None = None) -> DataFrame:
@@ -54,11 +71,14 @@ def global_position(df: DataFrame, order, pos_col: str = "pos", total_col: str |
 
     Range-partitioned sort, then per-task row counts (one row per task) are
     turned into offsets; no single-partition window over the data is
-    involved. ``total_col`` also attaches the total row count.
+    involved. The sorted rows are written once with their task and number:
+    a sort that ran twice could be cut differently, and its counts would not
+    fit its rows. Ties in ``order`` take any order among themselves.
+    ``total_col`` also attaches the total row count.
     """
     order = as_list(order)
-    s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
-                                  F.monotonically_increasing_id().alias("_mid"))
+    s = stored(df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
+                                         F.monotonically_increasing_id().alias("_mid")), "positions")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),

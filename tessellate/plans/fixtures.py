@@ -76,7 +76,7 @@ def weekly_calendar_for(spark: SparkSession, facts: DataFrame, date_col: str) ->
 
 def weekly_calendar_known(spark: SparkSession, facts: DataFrame, date_col: str) -> WeeklyCalendar:
     """Weekly calendar whose span is read first (size-checked broadcast)."""
-    return WeeklyCalendar(spark, facts, date_col, holiday_rules(spark, HOLIDAYS))
+    return WeeklyCalendar(facts, date_col, holiday_rules(spark, HOLIDAYS))
 
 
 def weekly_calendar_sql(facts_table: str, date_expr: str) -> str:

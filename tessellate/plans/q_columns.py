@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as fc
-from ..operators.encode import label_codes, narrow_types_plan
+from ..operators.encode import label_codes, label_encode, narrow_types, narrow_types_plan
 from ..operators.reshape import dropna_any, select_except
 from ..sources.tables import Tables
 from .registry import query, rounded
@@ -82,11 +82,11 @@ def parse_suffix(spark, sf_dir):
 
 
 @query("load_stamp", """
-SELECT o_orderkey, true AS stamped FROM orders""")
+SELECT event_id, (ts AT TIME ZONE 'Europe/Rome') AT TIME ZONE 'UTC' AS loaded_at FROM events""")
 def load_stamp(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders
-    stamp = F.current_timestamp()
-    return o.select("o_orderkey", stamp.isNotNull().alias("stamped"))
+    """Load times noted on a local clock, as UTC."""
+    e = Tables(spark, sf_dir).events
+    return e.select("event_id", fc.utc_stamp("ts", "Europe/Rome").alias("loaded_at"))
 
 
 @query("price_cents", """
@@ -120,6 +120,28 @@ def narrow_types_q(spark, sf_dir):
     return rounded(narrow_types_plan(Tables(spark, sf_dir).lineitem))
 
 
+@query("narrowed_rows", """
+SELECT l_orderkey, l_linenumber, l_quantity, '{types}' AS l_types FROM lineitem""".replace("'{types}'", """
+(SELECT max(CASE WHEN {0} THEN 'tinyint' WHEN {1} THEN 'smallint' WHEN {2} THEN 'int' ELSE 'bigint' END)
+ FROM (SELECT min(l_linenumber) AS lo, max(l_linenumber) AS hi FROM lineitem) r)""".format(
+    *[f"lo >= -{2 ** b} AND hi < {2 ** b}" for b in (7, 15, 31)])))
+def narrowed_rows(spark, sf_dir):
+    """The cast frame itself: same values, narrow types."""
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_quantity")
+    out = narrow_types(li)
+    return out.select(F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"),
+                      F.col("l_quantity").cast("double").alias("l_quantity"), F.lit(dict(out.dtypes)["l_linenumber"]).alias("l_types"))
+
+
+@query("label_encode_rows", """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_suppkey,
+       CAST(CASE WHEN l_suppkey IS NOT NULL THEN dense_rank() OVER (
+              PARTITION BY l_returnflag ORDER BY l_suppkey NULLS LAST) - 1 END AS INTEGER) AS l_suppkey_le FROM lineitem""")
+def label_encode_rows(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_suppkey")
+    return label_encode(li, ["l_returnflag"], "l_suppkey")
+
+
 @query("hash_shard", """
 SELECT c_custkey, c_name, CAST(('0x' || md5(c_name))::UHUGEINT % 7 AS BIGINT) AS shard FROM customer""")
 def hash_shard(spark, sf_dir):

@@ -257,7 +257,7 @@ def q_feature_matrix(spark, sf_dir):
 
 
 # ---------------------------------------------- reference-sized weekly grid
-# The weekly feature grid of the original sell-out build.
+# Lags, windows and decay rates of the weekly feature grid.
 GRID_COMMON_LAGS = [26, 39, 52, 78, 104]
 GRID_LAGS = list(range(4, 25))
 GRID_ROLL_LAGS = [4, 8, 12, 16, 20, 26, 39, 52]
@@ -305,7 +305,7 @@ def q_feature_grid(spark, sf_dir):
     return rounded(feature_grid(spark, sf_dir), 4)
 
 
-# ------------------------------------------------------ daily panel (P3, m5)
+# --------------------------------------------------------- daily panel (P3)
 K3 = ["user_id", "event_type"]
 DAILY_LAGS = [1, 7, 14]
 DAILY_RW, DAILY_RL = [7, 14], [1, 7]

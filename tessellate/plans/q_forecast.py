@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggs
 from ..operators.forecast import (fit_ols, gbt_model, predict_linear, residual_stack, standard_scale,
                                   tweedie_glm, with_overrides)
-from ..operators.split import day_split, horizon_split, stage_feature_names, ts_split
+from ..operators.split import day_split, horizon_split, stages, ts_split
 from ..operators.windows import ewm_features, lag_features, rolling_features
 from ..session import scratch_path
 from ..sources.tables import Tables
@@ -49,8 +49,10 @@ def q_horizon_split(spark, sf_dir):
 
 
 # ------------------------------------------------------------ stage features
-STAGE2 = stage_feature_names(2, "qty", STEP, HORIZON)["lag_features"]
-STAGE2_LAGS = [int(c.rsplit("_", 1)[1]) for c in STAGE2]
+# Lags of half a year to two years, known at every stage.
+SEASONAL_LAGS = (26, 39, 52, 78, 104)
+STAGE2_LAGS = stages(HORIZON, STEP, seasonal=SEASONAL_LAGS)[1].lags
+STAGE2 = [f"qty_lag_{lag}" for lag in STAGE2_LAGS]
 
 
 @query("stage_features", f"""

@@ -17,6 +17,7 @@ WITH h AS (SELECT user_id AS table_name, event_type AS operation, ts AS timestam
 SELECT table_name, count(*) AS n_merges FROM h
 WHERE rn <= 20 AND operation = 'purchase'
   AND timestamp >= CAST(CAST((SELECT max(ts) FROM events) AS DATE) - 1 AS TIMESTAMP)
+  AND timestamp <= (SELECT max(ts) FROM events)
 GROUP BY 1 HAVING count(*) > 1""")
 def q_maintenance_candidates(spark, sf_dir):
     e = Tables(spark, sf_dir).events
@@ -29,9 +30,8 @@ def q_maintenance_candidates(spark, sf_dir):
 @query("compact_rowset", "SELECT * FROM events")
 def q_compact_rowset(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    e = t.events
     path = scratch_path(spark, "compact")
-    compact(e, ["ts"], input_bytes(spark, e), target_bytes=64 * 1024).write.mode("overwrite").parquet(path)
+    compact(t.events, ["ts"], input_bytes(spark, t.path("events"))).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

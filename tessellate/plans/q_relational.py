@@ -137,15 +137,17 @@ def quartiles(spark, sf_dir):
     return rounded(aggs.quartiles(scores, ["l_returnflag"], "score"))
 
 
-PROFILE_COLS = ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"]
+PROFILE_COLS = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+                "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+                "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
 
 
 @query("column_profile", "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column, '{t}' AS dtype, count({c}) AS non_null, count(DISTINCT {c}) AS n_distinct, "
     f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM lineitem"
-    for c, t in zip(PROFILE_COLS, ["bigint", "double", "string", "timestamp_ntz"])))
+    for c, t in PROFILE_COLS.items()))
 def column_profile(spark, sf_dir):
-    return aggs.column_profile(Tables(spark, sf_dir).lineitem, PROFILE_COLS)
+    return aggs.column_profile(Tables(spark, sf_dir).lineitem, list(PROFILE_COLS))
 
 
 @query("left_merge", """
@@ -249,7 +251,7 @@ def distinct_keys(spark, sf_dir):
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""")
 def top_n(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    return o.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
+    return dedup.top_n(o.select("o_orderkey", "o_totalprice"), ["o_totalprice", F.asc("o_orderkey")], 20)
 
 
 @query("top_n_per_group", """
@@ -260,38 +262,38 @@ SELECT o_orderpriority, o_orderkey, o_totalprice, rank_in_group FROM (
   FROM orders) t WHERE rank_in_group <= 5""")
 def top_n_per_group(spark, sf_dir):
     o = Tables(spark, sf_dir).orders.select("o_orderpriority", "o_orderkey", "o_totalprice")
-    w_order = [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]
-    from pyspark.sql import Window
-    w = Window.partitionBy("o_orderpriority").orderBy(*w_order)
-    return o.withColumn("rank_in_group", F.row_number().over(w)).where(F.col("rank_in_group") <= 5)
+    return dedup.top_n_per_group(o, ["o_orderpriority"], ["o_totalprice", F.asc("o_orderkey")], 5)
 
 
 @query("union_by_name", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
 UNION ALL BY NAME
-SELECT o_orderkey, o_orderpriority, o_orderdate FROM orders WHERE o_orderstatus = 'O'""")
+SELECT o_orderkey, o_orderpriority, o_orderdate FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""")
 def union_by_name(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     a = o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
-    b = o.where(F.col("o_orderstatus") == "O").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    b = o.where(~F.col("o_orderstatus").eqNullSafe("F")).select("o_orderkey", "o_orderpriority", "o_orderdate")
     return reshape.union_by_name([a, b])
 
 
 @query("concat_all", """
-SELECT o_orderkey, o_orderstatus AS part, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')""")
+SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderstatus ELSE 'rest' END AS part, o_totalprice
+FROM orders""")
 def concat_all(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    parts = [o.where(F.col("o_orderstatus") == s)
-             .select("o_orderkey", F.lit(s).alias("part"), "o_totalprice") for s in ("F", "O", "P")]
+    named = {s: F.col("o_orderstatus").eqNullSafe(s) for s in ("F", "O")}
+    named["rest"] = ~(named["F"] | named["O"])
+    parts = [o.where(cond).select("o_orderkey", F.lit(s).alias("part"), "o_totalprice") for s, cond in named.items()]
     return reshape.union_by_name(parts)
 
 
 @query("unpivot_wide", """
-UNPIVOT (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem)
-ON l_quantity, l_discount, l_tax INTO NAME variable VALUE value""")
+UNPIVOT (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
+ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME variable VALUE value""")
 def unpivot_wide(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
-    return reshape.unpivot_wide(li, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_discount", "l_tax"])
+    return reshape.unpivot_wide(li, ["l_orderkey", "l_linenumber"],
+                                ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
 @query("frame_diff", """

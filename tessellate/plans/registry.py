@@ -26,12 +26,16 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+WHOLE = 2.0 ** 52  # from here on a double has no digits after the point
+
+
 def _scale(digits: str) -> str:
     return repr(10.0 ** int(digits))
 
 
 def fast_round(c, digits: int):
-    """Round half up in plain double arithmetic: ``floor(x * 10^d + 0.5) / 10^d``.
+    """Round half up in plain double arithmetic: ``floor(x * 10^d + 0.5) / 10^d``;
+    values of 2^52 units or more, infinities and NaN have no such digits and stay.
 
     Used on both sides of the oracle comparison: the same IEEE operations
     on the same input give the same result in Spark and DuckDB, and unlike
@@ -40,7 +44,9 @@ def fast_round(c, digits: int):
     """
     col = c if not isinstance(c, str) else F.col(f"`{c}`")
     k = 10.0 ** digits
-    return F.floor(col.cast("double") * F.lit(k) + F.lit(0.5)) / F.lit(k)
+    x = col.cast("double")
+    # NaN compares as the largest value, so it is kept as well
+    return F.when(F.abs(x) * F.lit(k) >= F.lit(WHOLE), x).otherwise(F.floor(x * F.lit(k) + F.lit(0.5)) / F.lit(k))
 
 
 def spark_rounding_sql(sql: str) -> str:
@@ -68,7 +74,8 @@ def spark_rounding_sql(sql: str) -> str:
         inner_expr = spark_rounding_sql(sql[j + 6:comma])
         digits = sql[comma + 1:k - 1].strip()
         out.append(sql[i:j])
-        out.append(f"(floor(CAST(({inner_expr}) AS DOUBLE) * {_scale(digits)} + 0.5) / {_scale(digits)})")
+        x, k10 = f"CAST(({inner_expr}) AS DOUBLE)", _scale(digits)
+        out.append(f"(CASE WHEN abs({x}) * {k10} >= {WHOLE!r} THEN {x} ELSE floor({x} * {k10} + 0.5) / {k10} END)")
         i = k
 
 

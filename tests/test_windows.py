@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -36,6 +38,37 @@ def pandas_ref(pdf, fn):
     return pdf, g
 
 
+def by_definition(pdf, value):
+    """``value(series up to the row)`` for each row of each key, null without a key."""
+    out = []
+    for i in range(len(pdf)):
+        row = pdf.iloc[i]
+        if row.k is None or row.k != row.k:
+            out.append(np.nan)
+        else:
+            out.append(value(pdf[(pdf.k == row.k) & (pdf.date <= row.date)].sort_values("date").qty.tolist()))
+    return out
+
+
+def window_stat(past, lag, width, stat):
+    """Mean or sample deviation of the ``width`` values that end ``lag`` rows ago; null if any is missing."""
+    end = len(past) - lag
+    values = past[end - width:end] if end >= width else []
+    if not values or any(v != v for v in values):
+        return np.nan
+    mean = math.fsum(values) / width
+    if stat == "mean":
+        return mean
+    return math.sqrt(math.fsum((v - mean) ** 2 for v in values) / (width - 1))
+
+
+def weighted_mean(past, lag, alpha):
+    """Weights (1 - alpha)^age over the values up to ``lag`` rows ago; missing ones age the rest."""
+    seen = past[:len(past) - lag]
+    weights = [((1 - alpha) ** (len(seen) - 1 - i), v) for i, v in enumerate(seen) if v == v]
+    return math.fsum(w * v for w, v in weights) / math.fsum(w for w, _ in weights) if weights else np.nan
+
+
 def test_lags(sdf):
     out = lag_features(sdf, ["k"], "date", "qty", [1, 3]).toPandas()
     pdf, g = pandas_ref(frame(), None)
@@ -50,8 +83,7 @@ def test_rolling(sdf, stat):
     pdf, g = pandas_ref(frame(), None)
     for l in [1, 3]:
         for w in [2, 4]:
-            pdf[f"qty_roll_{stat}_lag_{l}_win_{w}"] = g.transform(
-                lambda x: getattr(x.shift(l).rolling(w), stat)())
+            pdf[f"qty_roll_{stat}_lag_{l}_win_{w}"] = by_definition(pdf, lambda past: window_stat(past, l, w, stat))
     close_frames(out, pdf, ["k", "date"], rtol=1e-9, atol=1e-9)
 
 
@@ -61,8 +93,8 @@ def test_ewm_nulls(sdf):
     pdf, g = pandas_ref(frame(), None)
     for l in lags:
         for a in alphas:
-            pdf[f"qty_ewm_lag_{l}_alpha_{str(a).replace('.', '')}"] = g.transform(
-                lambda x: x.shift(l).ewm(alpha=a).mean())
+            pdf[f"qty_ewm_lag_{l}_alpha_{str(a).replace('.', '')}"] = by_definition(
+                pdf, lambda past: weighted_mean(past, l, a))
     close_frames(out[pdf.columns], pdf, ["k", "date"], rtol=1e-12, atol=1e-12)
 
 
@@ -95,5 +127,5 @@ def test_ewm_keys_spanning_arrow_batches(spark, sdf):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     pdf, g = pandas_ref(frame(), None)
-    pdf["qty_ewm_lag_1_alpha_05"] = g.transform(lambda x: x.shift(1).ewm(alpha=0.5).mean())
+    pdf["qty_ewm_lag_1_alpha_05"] = by_definition(pdf, lambda past: weighted_mean(past, 1, 0.5))
     close_frames(out[pdf.columns], pdf, ["k", "date"], rtol=1e-12, atol=1e-12)
