@@ -77,9 +77,13 @@ def source_snapshot(df: DataFrame, keys=("Id",), modified: str = "SinkModifiedOn
 
     ``PartitionId`` = year of creation; ``__source_folder`` is each row's own
     folder; ``__updated_at`` the load time. Dedup is a window per key
-    (parallel), not a sort into one partition.
+    (parallel), not a sort into one partition. ``tie``: columns that make
+    the order of a key's rows total; by default all remaining columns, so a
+    tie can only be between equal rows.
     """
-    order = [modified] + [folder_col] + as_list(tie)
+    order = [modified] + [folder_col]
+    rest = as_list(tie) or [c for c in df.columns if c not in [*order, *as_list(keys)]]
+    order += rest
     latest = latest_by(df, as_list(keys), order)
     stamp = load_time if load_time is not None else F.current_timestamp()
     out = latest.withColumn("PartitionId", F.year(created)) \

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import epoch_seconds
+from ..operators.ingest_job import CSV_TIMES, ingest_folders
 from ..operators.increment import attempt_rollup, load_plan, source_snapshot, upsert_soft_delete
 from ..operators.dedup import latest_by
 from ..session import scratch_path
 from ..sources import files as io
-from ..sources.partition_table import PartitionTable, apply_upsert, first_load
+from ..sources.snapshot_table import SnapshotTable, apply_upsert, first_load
 from ..sources.sinks import write_csv, write_parquet, write_partitioned_overwrite
 from ..sources.state import latest_state
 from ..sources.tables import Tables
@@ -215,11 +216,11 @@ SPLIT_TS = "2024-01-16 00:00:00"
                                     SNAP_COLS, SNAP_COLS))
 def q_apply_increment(spark, sf_dir):
     """First load of the early changes, then an upsert of the later ones into
-    the partition table; returns the table as read back."""
+    the snapshot table; returns the table as read back."""
     rows = entity_rows(spark, sf_dir)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
     t = first_load(spark, scratch_path(spark, "table"), _snapshot(rows.where(F.col("SinkModifiedOn") < split)))
-    apply_upsert(t, _snapshot(rows.where(F.col("SinkModifiedOn") >= split)), ["Id"],
+    apply_upsert(t, _snapshot(rows.where(F.col("SinkModifiedOn") >= split)),
                  lambda a, b: upsert_soft_delete(a, b, ["Id"]))
     return t.read().select(*SNAP_COLS)
 
@@ -242,15 +243,15 @@ def q_stream_upsert(spark, sf_dir):
     """Change folders arrive in two waves; the same stream (one checkpoint)
     first creates the table, then merges only the new files."""
     root = scratch_path(spark, "stream")
-    src, table, state, ckpt = f"{root}/in", f"{root}/table", f"{root}/state", f"{root}/ckpt"
+    src, table, ckpt = f"{root}/in", f"{root}/table", f"{root}/ckpt"
     rows = entity_rows(spark, sf_dir)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
     prep = lambda b: _snapshot(b)
     write_parquet(rows.where(F.col("SinkModifiedOn") < split), f"{src}/wave=1", "overwrite")
-    run_stream_upsert(spark, src, STREAM_SCHEMA, table, state, ckpt, ["Id"], prep)
+    run_stream_upsert(spark, src, STREAM_SCHEMA, table, ckpt, prep)
     write_parquet(rows.where(F.col("SinkModifiedOn") >= split), f"{src}/wave=2", "overwrite")
-    run_stream_upsert(spark, src, STREAM_SCHEMA, table, state, ckpt, ["Id"], prep)
-    return PartitionTable(spark, table).read().select(*SNAP_COLS)
+    run_stream_upsert(spark, src, STREAM_SCHEMA, table, ckpt, prep)
+    return SnapshotTable(spark, table).read().select(*SNAP_COLS)
 
 
 UPSERT_T = """
@@ -407,37 +408,67 @@ def q_audit_log(spark, sf_dir):
                        "is_exists", "has_data", "is_first_load")
 
 
-@query("ingest_job", f"""
-WITH e AS (SELECT event_type, user_id, ts >= TIMESTAMP '{SPLIT_TS}' AS late FROM events)
-SELECT event_type AS table_name, 'SUCCEEDED' AS first_status,
-       CASE WHEN bool_or(late) THEN 'SUCCEEDED' ELSE 'SKIPPED' END AS second_status,
-       count(DISTINCT user_id) AS table_rows
-FROM e GROUP BY 1""")
+# The first wave of change folders has no value column, the second one does.
+JOB_COLS = ["Id", "SinkModifiedOn", "createdon", "IsDelete", "event_id"]
+
+
+def _job_sql() -> str:
+    """Both waves of every entity, deduplicated and merged; one statement for all entities."""
+    wave = f"""
+SELECT *, row_number() OVER (PARTITION BY event_type, Id ORDER BY SinkModifiedOn DESC, __folder DESC, event_id DESC) AS rn
+FROM ({ENTITY_SQL}) e WHERE SinkModifiedOn"""
+    merged = merge_sql(
+        f"SELECT event_type, {', '.join(JOB_COLS)} FROM ({wave} < TIMESTAMP '{SPLIT_TS}') x WHERE rn = 1",
+        f"SELECT event_type, {', '.join(JOB_COLS)}, value FROM ({wave} >= TIMESTAMP '{SPLIT_TS}') x WHERE rn = 1",
+        ["event_type", *JOB_COLS], ["event_type", *JOB_COLS, "value"], keys=("event_type", "Id"))
+    return f"""
+WITH runs AS (SELECT event_type, bool_or(ts < TIMESTAMP '{SPLIT_TS}') AS early, bool_or(ts >= TIMESTAMP '{SPLIT_TS}') AS late
+              FROM events GROUP BY 1)
+SELECT m.*, runs.early, runs.late FROM ({merged}) m JOIN runs ON m.event_type = runs.event_type"""
+
+
+def write_wave(spark, rows, root, columns):
+    """Rows as change folders: ``<folder>/<entity>/*.csv`` and ``<folder>/model.json``."""
+    stage = scratch_path(spark, "wave")
+    kinds = dict(rows.dtypes)
+    (rows.select("__folder", "event_type", *columns).write.partitionBy("__folder", "event_type").option("header", True)
+     .option("timestampNTZFormat", CSV_TIMES).csv(stage))
+    attributes = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(kinds[c]).alias("dataType")) for c in columns])
+    names = rows.select("__folder", "event_type").distinct().groupBy("__folder").agg(
+        F.sort_array(F.collect_set("event_type")).alias("names")).collect()  # one row per folder
+    manifests = spark.createDataFrame(names, "folder string, names array<string>").select(
+        "folder", F.transform("names", lambda n: F.struct(n.alias("name"), attributes.alias("attributes"))).alias("entities"))
+    manifests.write.partitionBy("folder").json(f"{stage}-manifests")
+    # give the folders the layout in which change exports arrive
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for r in names:
+        fs.mkdirs(path(f"{root}/{r['__folder']}"))
+        for n in r["names"]:
+            fs.rename(path(f"{stage}/__folder={r['__folder']}/event_type={n}"), path(f"{root}/{r['__folder']}/{n}"))
+        part = [f.getPath() for f in fs.listStatus(path(f"{stage}-manifests/folder={r['__folder']}"))][0]
+        fs.rename(part, path(f"{root}/{r['__folder']}/model.json"))
+
+
+@query("ingest_job", _job_sql())
 def q_ingest_job(spark, sf_dir):
-    """Two runs of the whole job over change folders: the first creates every
-    table (first load), the second merges the newer folders into them."""
-    from ..operators.ingest_job import run_ingest
+    """Two runs of the whole job over change folders on storage: the first run
+    loads every table, the second merges the newer folders, which have one
+    more column, into them. Returns all tables as read back, with whether
+    each run loaded them."""
+    from ..operators.reshape import union_by_name
     from ..sources.state import StateTable
     root = scratch_path(spark, "ingest")
     rows = entity_rows(spark, sf_dir)
-    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    late = F.col("SinkModifiedOn") >= F.lit(SPLIT_TS).cast("timestamp_ntz")
     state = StateTable(spark, f"{root}/state")
-
-    def files_of(df):
-        return df.select(F.col("__folder").alias("folder"), F.col("event_type").alias("entity"),
-                         F.concat_ws("/", "__folder", "event_type").alias("path"),
-                         epoch_seconds("SinkModifiedOn").alias("modified"))
-
-    def snapshot(table, folders):
-        src = rows.where((F.col("event_type") == table) & F.col("__folder").isin(folders))
-        return _snapshot(src)
-
-    first = run_ingest(spark, files_of(rows.where(F.col("SinkModifiedOn") < split)), state,
-                       f"{root}/tables", snapshot)
-    second = run_ingest(spark, files_of(rows), state, f"{root}/tables", snapshot)
-    counts = [(t, PartitionTable(spark, f"{root}/tables/{t}").read().count())
-              for t in [r.table_name for r in first.collect()]]  # one count per table
-    sizes = spark.createDataFrame(counts, "table_name string, table_rows long")
-    return (first.select("table_name", F.col("status").alias("first_status"))
-            .join(second.select("table_name", F.col("status").alias("second_status")), "table_name", "full")
-            .join(sizes, "table_name", "left"))
+    ran = []
+    for wave, columns, bound in ((~late, JOB_COLS, "2024-01-16"), (late, [*JOB_COLS, "value"], "9999")):
+        write_wave(spark, rows.where(wave), f"{root}/changes", columns)
+        status = ingest_folders(spark, f"{root}/changes", state, f"{root}/tables", tie=("event_id",), current_folder=bound)
+        ran.append({r.table_name for r in status.collect() if r.status == "SUCCEEDED"})
+    tables = [SnapshotTable(spark, f"{root}/tables/{t}").read()
+              .select(F.lit(t).alias("event_type"), "*", F.lit(t in ran[0]).alias("early"), F.lit(t in ran[1]).alias("late"))
+              for t in sorted(ran[0] | ran[1])]
+    return union_by_name(tables).select("event_type", *JOB_COLS, "value", "early", "late")

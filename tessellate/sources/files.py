@@ -69,6 +69,16 @@ def read_manifest_entities(spark: SparkSession, path) -> DataFrame:
             .select("manifest_path", F.col("e.name").alias("entity")))
 
 
+def read_manifests(spark: SparkSession, path) -> DataFrame:
+    """``<folder>/model.json`` manifests -> ``folder, entity, attributes`` (array of
+    name and dataType), one row per folder and entity."""
+    schema = "entities array<struct<name:string,attributes:array<struct<name:string,dataType:string>>>>"
+    m = spark.read.schema(schema).option("multiLine", True).json(as_list(path))
+    return (m.select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("folder"),
+                     F.explode("entities").alias("e"))
+            .select("folder", F.col("e.name").alias("entity"), F.col("e.attributes").alias("attributes")))
+
+
 def read_change_log(spark: SparkSession, path) -> DataFrame:
     """Comma-separated folder names in text files -> one row per folder name."""
     t = spark.read.text(as_list(path))

@@ -46,6 +46,3 @@ class StateTable:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         data = [(n, v, t, now, b) for n, v, t, b in rows]
         self.spark.createDataFrame(data, STATE_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
-
-    def applied_batches(self, name: str) -> DataFrame:
-        return self.history().where(F.col("name") == name).select("batch").distinct()

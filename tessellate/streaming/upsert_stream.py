@@ -1,53 +1,60 @@
 """Change folders as a file-source stream: each micro-batch is deduplicated
-to the latest row per key and merged into the partition table.
+to the latest row per key and merged into the snapshot table.
 
-The stream checkpoint records which files were consumed; the state table
-records which batch ids were applied, so a batch replayed after a failure
-between the table write and the checkpoint commit is skipped (the sink is
-idempotent by batch id).
+The stream checkpoint records which files were consumed; the table notes the
+batch together with the data. A batch is known by the id that the checkpoint
+gives its query and its number, so a replay is skipped and a new checkpoint
+starts anew.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..operators.increment import source_snapshot, upsert_soft_delete
-from ..sources.partition_table import PartitionTable, apply_upsert, first_load
-from ..sources.state import StateTable
+from ..operators.increment import upsert_soft_delete
+from ..sources.snapshot_table import SnapshotTable, apply_upsert, first_load
+
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark wrote into the checkpoint when the stream first started."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").select("id").first()["id"]
 
-def make_batch_writer(spark: SparkSession, table_root: str, state_root: str, keys,
-                      prepare, name: str = "stream_upsert"):
+
+def make_batch_writer(spark: SparkSession, table_root: str, checkpoint: str, keys,
+                      prepare: Callable[[DataFrame], DataFrame]):
     """foreachBatch function: ``prepare(batch_df) -> snapshot`` then merge."""
-    state = StateTable(spark, state_root)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = {r[0] for r in state.applied_batches(name).collect()}  # one row per batch
-        if batch_id in done:
+        mark = f"stream {query_id(spark, checkpoint)}"
+        table = SnapshotTable(spark, table_root)
+        done = table.applied(mark)
+        if done is not None and batch_id <= done:
             return
         snap = prepare(batch)
-        table = PartitionTable(spark, table_root)
-        if not table.exists():
-            first_load(spark, table_root, snap)
+        if table.exists():
+            apply_upsert(table, snap, lambda t, s: upsert_soft_delete(t, s, keys), {mark: batch_id})
         else:
-            apply_upsert(table, snap, list(keys), lambda t, s: upsert_soft_delete(t, s, keys))
-        state.append([(name, batch_id, None, batch_id)])
+            first_load(spark, table_root, snap, marks={mark: batch_id})
 
     return write
 
 
-def run_stream_upsert(spark: SparkSession, source_dir: str, schema, table_root: str,
-                      state_root: str, checkpoint: str, keys=("Id",), prepare=None,
+def run_stream_upsert(spark: SparkSession, source_dir: str, schema, table_root: str, checkpoint: str,
+                      prepare: Callable[[DataFrame], DataFrame], keys=("Id",),
                       max_files_per_trigger: int | None = None) -> None:
-    """Process every file currently in ``source_dir`` (availableNow) and stop."""
-    prepare = prepare or (lambda b: source_snapshot(b, keys))
+    """Process every file currently in ``source_dir`` (availableNow) and stop.
+
+    ``prepare`` picks one row per key of a batch by a total order
+    (``source_snapshot`` with a tie-breaker).
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.option("recursiveFileLookup", True).parquet(source_dir)
     q = (stream.writeStream
-         .foreachBatch(make_batch_writer(spark, table_root, state_root, keys, prepare))
+         .foreachBatch(make_batch_writer(spark, table_root, checkpoint, list(keys), prepare))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

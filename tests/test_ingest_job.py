@@ -7,7 +7,7 @@ import pyspark.sql.functions as F
 from tessellate.operators.increment import source_snapshot
 from tessellate.operators.ingest_job import run_ingest
 from tessellate.session import scratch_path
-from tessellate.sources.partition_table import PartitionTable
+from tessellate.sources.snapshot_table import SnapshotTable
 from tessellate.sources.state import StateTable
 
 SCHEMA = "Id bigint, SinkModifiedOn timestamp_ntz, createdon timestamp_ntz, IsDelete boolean, v double, __folder string, entity string"
@@ -26,8 +26,8 @@ def test_failure_keeps_watermark_and_others_load(spark):
 
     def snapshot(table, folders):
         if table in fail:
-            raise RuntimeError("source unreadable")
-        return source_snapshot(rows.where((F.col("entity") == table) & F.col("__folder").isin(folders))
+            raise RuntimeError("source unreadable " * 100)
+        return source_snapshot(rows.where((F.col("entity") == table) & F.col("__folder").isin([f.name for f in folders]))
                                .drop("entity"), ["Id"]).drop("__updated_at")
 
     st = {(r.table_name, r.attempt): r.status
@@ -35,8 +35,58 @@ def test_failure_keeps_watermark_and_others_load(spark):
     assert st == {("good", 1): "SUCCEEDED", ("bad", 1): "FAILED", ("bad", 2): "FAILED"}
     wm = {r.name: r.value for r in state.current().collect()}
     assert wm == {"good": 300}                     # failed table: no watermark
-    assert PartitionTable(spark, f"{root}/t/good").read().count() == 1
+    assert SnapshotTable(spark, f"{root}/t/good").read().count() == 1
     # next run: the failed table is retried from scratch, the loaded one is skipped
     fail.clear()
     st2 = {r.table_name: r.status for r in run_ingest(spark, files, state, f"{root}/t", snapshot).collect()}
     assert st2 == {"good": "SKIPPED", "bad": "SUCCEEDED"}
+
+
+def test_failed_table_holds_the_folder_watermark_back(spark):
+    t = lambda d: dt.datetime(2024, 1, d)
+    rows = spark.createDataFrame([(i, t(i), t(1), False, float(i), f"2024-01-0{i}", e)
+                                  for i in (1, 2) for e in ("good", "bad")], SCHEMA)
+    files = rows.select(F.col("__folder").alias("folder"), "entity", F.lit("p").alias("path"),
+                        (F.col("v") * 100).cast("long").alias("modified"))
+    root = scratch_path(spark, "job")
+    state = StateTable(spark, f"{root}/state")
+    fail = {"bad"}
+
+    def snapshot(table, folders):
+        if table in fail:
+            raise RuntimeError("source unreadable " * 100)
+        return source_snapshot(rows.where((F.col("entity") == table) & F.col("__folder").isin([f.name for f in folders]))
+                               .drop("entity"), ["Id"]).drop("__updated_at")
+
+    def run(current):
+        out = run_ingest(spark, files, state, f"{root}/t", snapshot, current_folder=current).collect()
+        watermark = [r.text for r in state.current().collect() if r.name == "last_folder"]
+        return {r.table_name: r.status for r in out}, watermark, {r.table_name: r.message for r in out}
+
+    status, watermark, message = run("2024-01-02")
+    assert status == {"good": "SUCCEEDED", "bad": "FAILED"} and watermark == [] and len(message["bad"]) > 1000
+    fail.clear()
+    status, watermark, _ = run("2024-01-02")
+    assert status == {"good": "SKIPPED", "bad": "SUCCEEDED"} and watermark == ["2024-01-02"]
+    status, watermark, _ = run("2024-01-03")
+    assert status == {"good": "SUCCEEDED", "bad": "SUCCEEDED"} and watermark == ["2024-01-03"]
+    assert SnapshotTable(spark, f"{root}/t/bad").read().count() == 2
+    assert run("2024-01-04")[0] == {}  # nothing is planned again
+
+
+def test_crash_between_data_and_state_is_not_applied_twice(spark):
+    rows = spark.createDataFrame([(None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), False, 1.0, "f1", "t")], SCHEMA)
+    files = rows.select(F.col("__folder").alias("folder"), "entity", F.lit("p").alias("path"), F.lit(5).alias("modified"))
+    root = scratch_path(spark, "job")
+
+    class Dying(StateTable):
+        def append(self, rows):
+            raise OSError("driver lost")
+
+    snapshot = lambda table, folders: source_snapshot(rows.drop("entity"), ["Id"]).drop("__updated_at")
+    try:
+        run_ingest(spark, files, Dying(spark, f"{root}/state"), f"{root}/t", snapshot)
+    except OSError:
+        pass
+    st = run_ingest(spark, files, StateTable(spark, f"{root}/state"), f"{root}/t", snapshot).collect()
+    assert [r.status for r in st] == ["SKIPPED"] and SnapshotTable(spark, f"{root}/t/t").read().count() == 1

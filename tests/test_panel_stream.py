@@ -9,7 +9,7 @@ from tessellate.operators.increment import source_snapshot, upsert_soft_delete
 from tessellate.operators.panel import densify
 from tessellate.session import scratch_path
 from tessellate.sources import files as io
-from tessellate.sources.partition_table import PartitionTable, apply_upsert, first_load
+from tessellate.sources.snapshot_table import SnapshotTable, apply_upsert, first_load
 from tessellate.sources.sinks import write_parquet
 from tessellate.streaming.upsert_stream import run_stream_upsert
 
@@ -60,23 +60,29 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark):
     src = f"{root}/in"
     prep = lambda b: source_snapshot(b, ["Id"]).drop("__updated_at")
     write_parquet(_changes(spark, wave1), f"{src}/w1")
-    run_stream_upsert(spark, src, SCHEMA, f"{root}/t", f"{root}/s", f"{root}/c", ["Id"], prep)
+    run_stream_upsert(spark, src, SCHEMA, f"{root}/t", f"{root}/c", prep)
     write_parquet(_changes(spark, wave2), f"{src}/w2")
-    run_stream_upsert(spark, src, SCHEMA, f"{root}/t", f"{root}/s", f"{root}/c", ["Id"], prep)
-    streamed = sorted(tuple(r) for r in PartitionTable(spark, f"{root}/t").read()
+    run_stream_upsert(spark, src, SCHEMA, f"{root}/t", f"{root}/c", prep)
+    streamed = sorted(tuple(r) for r in SnapshotTable(spark, f"{root}/t").read()
                       .select("Id", "v", "IsDelete", "PartitionId").collect())
     # batch: first load of wave 1, upsert of wave 2
     broot = scratch_path(spark, "batch-test")
     table = first_load(spark, broot, prep(_changes(spark, wave1)))
-    apply_upsert(table, prep(_changes(spark, wave2)), ["Id"], lambda a, b: upsert_soft_delete(a, b, ["Id"]))
+    apply_upsert(table, prep(_changes(spark, wave2)), lambda a, b: upsert_soft_delete(a, b, ["Id"]))
     batch = sorted(tuple(r) for r in table.read().select("Id", "v", "IsDelete", "PartitionId").collect())
     assert streamed == batch
     assert (1, 1.5, True, 2024) in streamed          # delete flag only, values kept
     # replay: same checkpoint, no new files -> table unchanged
-    run_stream_upsert(spark, src, SCHEMA, f"{root}/t", f"{root}/s", f"{root}/c", ["Id"], prep)
-    again = sorted(tuple(r) for r in PartitionTable(spark, f"{root}/t").read()
+    run_stream_upsert(spark, src, SCHEMA, f"{root}/t", f"{root}/c", prep)
+    again = sorted(tuple(r) for r in SnapshotTable(spark, f"{root}/t").read()
                    .select("Id", "v", "IsDelete", "PartitionId").collect())
     assert again == streamed
+    # a new checkpoint counts its batches from 0 again: files that arrive for it are not skipped
+    src2 = f"{root}/in2"
+    write_parquet(_changes(spark, [(8, t(9), t(9), False, 8.0, "f9")]), f"{src2}/w1")
+    run_stream_upsert(spark, src2, SCHEMA, f"{root}/t", f"{root}/c2", prep)
+    assert (8, 8.0, False, 2024) in [tuple(r) for r in SnapshotTable(spark, f"{root}/t").read()
+                                     .select("Id", "v", "IsDelete", "PartitionId").collect()]
 
 
 def test_missing_manifest_raises(spark):

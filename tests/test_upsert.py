@@ -4,7 +4,7 @@ import datetime as dt
 
 from tessellate.operators.increment import upsert_soft_delete
 from tessellate.session import scratch_path
-from tessellate.sources.partition_table import PartitionTable, apply_upsert, first_load
+from tessellate.sources.snapshot_table import SnapshotTable, apply_upsert, first_load
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 
@@ -49,13 +49,53 @@ def test_replay_is_idempotent_except_nulls(spark):
     assert twice.where("Id IS NULL").count() == once.where("Id IS NULL").count() + 1
 
 
-def test_partition_table_moves_rows(spark):
+def test_rows_move_between_partitions(spark):
     root = scratch_path(spark, "pt-test")
     t = spark.createDataFrame([(1, "a", 2020, False), (2, "b", 2021, False)],
                               "Id int, name string, PartitionId int, IsDelete boolean")
     table = first_load(spark, root, t)
     # row 2 moves from 2021 to 2022; 2021 becomes empty
     s = spark.createDataFrame([(2, "b2", 2022, False)], "Id int, name string, PartitionId int, IsDelete boolean")
-    apply_upsert(table, s, ["Id"], lambda a, b: upsert_soft_delete(a, b, ["Id"]))
-    rows = sorted((r.Id, r.name, r.PartitionId) for r in PartitionTable(spark, root).read().collect())
+    apply_upsert(table, s, lambda a, b: upsert_soft_delete(a, b, ["Id"]))
+    rows = sorted((r.Id, r.name, r.PartitionId) for r in SnapshotTable(spark, root).read().collect())
     assert rows == [(1, "a", 2020), (2, "b2", 2022)]
+
+
+UPSERT = "Id int, name string, PartitionId int, IsDelete boolean"
+
+
+def merge(a, b):
+    return upsert_soft_delete(a, b, ["Id"])
+
+
+def ids(table):
+    return sorted((r.Id or 0, r.name) for r in table.read().collect())
+
+
+def test_replay_after_a_crash_leaves_nothing_twice(spark):
+    root = scratch_path(spark, "st")
+    table = first_load(spark, root, spark.createDataFrame([(1, "a", 2020, False)], UPSERT))
+    s = spark.createDataFrame([(2, "b", 2020, False), (None, "n", 2020, False)], UPSERT)
+    # the data are written, the job dies before the state row
+    merge(table.read(), s).write.partitionBy("PartitionId").parquet(f"{root}/snapshots/half")
+    assert ids(table) == [(1, "a")]
+    apply_upsert(table, s, merge, {"batch": 7})
+    assert ids(table) == [(0, "n"), (1, "a"), (2, "b")] and table.applied("batch") == 7
+
+
+def test_null_partition_added_column_and_empty_table(spark):
+    root = scratch_path(spark, "st")
+    table = first_load(spark, root, spark.createDataFrame([(1, "a", None, False), (2, "b", 2021, False)], UPSERT))
+    assert ids(table) == [(1, "a"), (2, "b")]
+    s = spark.createDataFrame([(1, "A", None, False, "x")], UPSERT + ", extra string")
+    apply_upsert(table, s, merge)
+    assert {r.Id: (r.extra, r.PartitionId) for r in table.read().collect()} == {1: ("x", None), 2: (None, 2021)}
+    table.publish(table.read().limit(0))
+    assert table.read().count() == 0 and "extra" in table.read().columns
+
+
+def test_first_load_replaces_the_table(spark):
+    root = scratch_path(spark, "st")
+    first_load(spark, root, spark.createDataFrame([(1, "a", 2020, False), (2, "b", 2021, False)], UPSERT))
+    table = first_load(spark, root, spark.createDataFrame([(2, "b", 2022, False)], UPSERT))
+    assert [(r.Id, r.PartitionId) for r in table.read().collect()] == [(2, 2022)]
