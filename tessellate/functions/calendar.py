@@ -77,19 +77,6 @@ def parse_date(c, fmt: str | None = None) -> Column:
     return F.to_date(as_col(c), fmt) if fmt else F.to_date(as_col(c))
 
 
-def parse_timestamp(c, fmt: str | None = None) -> Column:
-    return F.to_timestamp(as_col(c), fmt) if fmt else F.to_timestamp(as_col(c))
-
-
-def add_weeks(c, k) -> Column:
-    return F.date_add(to_day(c), F.lit(7) * (k if isinstance(k, Column) else F.lit(k)))
-
-
-def weeks_between(later, earlier) -> Column:
-    """Age in weeks as a double (days / 7)."""
-    return F.datediff(to_day(later), to_day(earlier)) / F.lit(7.0)
-
-
 def epoch_seconds(c) -> Column:
     """Whole seconds since 1970-01-01 of a wall-clock (``timestamp_ntz``) value,
     independent of the session time zone."""

@@ -59,17 +59,6 @@ def hash_shard(c, n: int) -> Column:
     )
 
 
-def merge_condition(left_alias: str, right_alias: str, cols) -> Column:
-    """``l.c1 = r.c1 AND l.c2 = r.c2 ...`` (plain equality: nulls never match)."""
-    conds = [F.col(f"{left_alias}.{c}") == F.col(f"{right_alias}.{c}") for c in as_list(cols)]
-    return reduce(lambda a, b: a & b, conds)
-
-
-def null_safe_condition(left, right, cols) -> Column:
-    conds = [left[c].eqNullSafe(right[c]) for c in as_list(cols)]
-    return reduce(lambda a, b: a & b, conds)
-
-
 def utc_stamp(c, zone: str) -> Column:
     """Wall-clock time of ``zone`` as UTC wall-clock time, whatever the session's zone."""
     local = as_col(c).cast("timestamp_ntz")

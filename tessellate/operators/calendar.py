@@ -38,10 +38,12 @@ def holiday_rules(spark: SparkSession, rules) -> DataFrame:
 def attach_holidays(days: DataFrame, rules: DataFrame, date_col: str = "date") -> DataFrame:
     """Left join the holiday name for each day (null when none).
 
-    ``rules`` has at most one row per calendar day of the year (<= 366 rows),
-    so it is broadcast.
+    Of several rules for a day the first by name counts, and only days that a
+    month can have; so at most 372 rows are broadcast.
     """
     d = to_day(date_col)
+    rules = (rules.where(F.col("h_month").between(1, 12) & F.col("h_day").between(1, 31))
+             .groupBy("h_month", "h_day").agg(F.min("holiday").alias("holiday")))
     return (days.join(F.broadcast(rules),
                       (F.month(d) == F.col("h_month")) & (F.dayofmonth(d) == F.col("h_day")),
                       "left")

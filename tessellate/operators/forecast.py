@@ -1,10 +1,9 @@
 """Per-partition forecasting from aggregated sufficient statistics.
 
-A least-squares fit needs only n, sums of features, of the target, of
-cross-products and of feature x target per group. Those are ordinary
-aggregates: combined map-side, so one huge partition never has to sit in a
-single task or Python worker. The tiny per-group systems (one row per group
-and stage) are solved in an Arrow batch; predictions are a join of the
+A least-squares fit needs only the count, the means and the centred
+cross-products of a group. Tasks compute them for their batches and merge them,
+so one huge partition never has to sit in a single task; a group's few block
+sums are merged and solved together; predictions are a join of the
 coefficient table plus a dot product in the JVM.
 """
 
@@ -17,61 +16,115 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions._util import as_list
+from .reshape import union_by_name
 
 
-def ols_single(df: DataFrame, group_cols, x: str, y: str) -> DataFrame:
-    """Slope / intercept of ``y ~ x`` per group (SQL regression aggregates)."""
-    g = as_list(group_cols)
-    ok = F.col(x).isNotNull() & F.col(y).isNotNull()
-    d = df.where(ok)
-    return d.groupBy(*g).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
-                             F.regr_count(y, x).alias("n_train"))
+class _Sums:
+    """Count, means and centred cross-products of [features, target] of one group."""
 
+    def __init__(self, n: float, mean: np.ndarray, cross: np.ndarray):
+        self.n, self.mean, self.cross = n, mean, cross
 
-def fit_ols(df: DataFrame, group_cols, features, target: str, ridge: float = 0.0) -> DataFrame:
+    @classmethod
+    def of(cls, x: np.ndarray) -> "_Sums":
+        mean = x.mean(axis=0)
+        centred = x - mean
+        return cls(float(len(x)), mean, centred.T @ centred)
+
+    def merge(self, other: "_Sums") -> "_Sums":
+        n = self.n + other.n
+        d = other.mean - self.mean
+        return _Sums(n, self.mean + d * (other.n / n),
+                     self.cross + other.cross + np.outer(d, d) * (self.n * other.n / n))
+
+
+def block_sums(df: DataFrame, group_cols, features, target: str, held: int = 2_000) -> DataFrame:
+    """``group..., n, mean, cross`` of the rows without nulls: one row per group and
+    task (more where a task sees over ``held`` groups), whatever the rows.
+
+    Centred in each Arrow batch and merged by means, so no digits are lost to
+    large values, and as wide as the features allow: a batch is one matrix
+    product, not an aggregate for every pair of features.
+    """
+    g, cols = as_list(group_cols), [*as_list(features), target]
+    present = df.select(*g, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=cols)
+    keys = [f for f in present.schema.fields if f.name in g]
+    schema = T.StructType(keys + [T.StructField("n", T.DoubleType()), T.StructField("mean", T.ArrayType(T.DoubleType())),
+                                  T.StructField("cross", T.ArrayType(T.DoubleType()))])
+
+    def rows(sums: dict) -> pd.DataFrame:
+        out = pd.DataFrame(list(sums), columns=g) if g else pd.DataFrame(index=range(len(sums)))
+        out["n"] = [s.n for s in sums.values()]
+        out["mean"] = [s.mean for s in sums.values()]
+        out["cross"] = [s.cross.ravel() for s in sums.values()]
+        return out
+
+    def run(batches):
+        sums: dict = {}
+        for pdf in batches:
+            parts = pdf.groupby(g, sort=False, dropna=False) if g else [((), pdf)]
+            for key, part in parts:
+                key = tuple(None if k is None or k != k else k for k in (key if isinstance(key, tuple) else (key,)))
+                new = _Sums.of(part[cols].to_numpy(dtype=float))
+                sums[key] = sums[key].merge(new) if key in sums else new
+            if len(sums) > held:
+                yield rows(sums)
+                sums = {}
+        if sums:
+            yield rows(sums)
+
+    return present.mapInPandas(run, schema)
+
+
+def _merged(pdf: pd.DataFrame) -> _Sums:
+    k = len(pdf["mean"].iloc[0])
+    total = None
+    for n, mean, cross in zip(pdf["n"], pdf["mean"], pdf["cross"]):
+        one = _Sums(n, np.asarray(mean), np.asarray(cross).reshape(k, k))
+        total = one if total is None else total.merge(one)
+    return total
+
+
+def fit_ols(df: DataFrame, group_cols, features, target: str, ridge=0.0) -> DataFrame:
     """Coefficient table ``(group..., term, coef)`` for ``target ~ 1 + features``.
 
-    Rows with any null feature/target are skipped. ``ridge`` adds lambda to
-    the diagonal (not the intercept) for near-singular groups.
+    Rows with any null feature or target are skipped. ``ridge`` adds lambda
+    to the diagonal of the centred system: a number, or the name of a group
+    column (a parameter of the group). A group's task gets its block sums.
     """
     g, feats = as_list(group_cols), as_list(features)
-    terms = ["__one"] + feats
-    ok = F.col(target).isNotNull()
+    sums = block_sums(df, g, feats, target)
+    schema = T.StructType([f for f in sums.schema.fields if f.name in g]
+                          + [T.StructField("term", T.StringType()), T.StructField("coef", T.DoubleType())])
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        s, k = _merged(pdf), len(feats)
+        lam = float(pdf[ridge].iloc[0]) if isinstance(ridge, str) else ridge
+        beta = np.linalg.lstsq(s.cross[:k, :k] + lam * np.eye(k), s.cross[:k, k], rcond=None)[0]
+        out = pd.DataFrame({"term": ["intercept", *feats], "coef": [s.mean[k] - s.mean[:k] @ beta, *beta]})
+        for name in g:
+            out[name] = pdf[name].iloc[0]
+        return out[[f.name for f in schema.fields]]
+
+    return sums.groupBy(*g).applyInPandas(solve, schema)
+
+
+def stage_coefficients(train: DataFrame, stages, group_cols, columns, target: str, ridge=0.0) -> DataFrame:
+    """``(group..., stage, term, coef)``: for every stage a fit on what it may know of ``columns``."""
+    fits = [fit_ols(train, group_cols, s.features(columns), target, ridge).withColumn("stage", F.lit(s.number)) for s in stages]
+    return union_by_name(fits)
+
+
+def predict_stages(test: DataFrame, coefs: DataFrame, group_cols, columns, out: str = "prediction") -> DataFrame:
+    """Score each row by the coefficients of its group and ``stage``; a term the stage
+    does not have counts as zero, a feature it has but the row lacks gives null."""
+    g, feats = as_list(group_cols), as_list(columns)
+    wide = coefs.groupBy(*g, "stage").agg(F.map_from_entries(F.collect_list(F.struct("term", "coef"))).alias("__b"))
+    j = test.join(wide, on=[*g, "stage"], how="left")
+    pred: Column = F.col("__b")["intercept"]
     for f in feats:
-        ok = ok & F.col(f).isNotNull()
-    d = df.where(ok).select(*g, F.lit(1.0).alias("__one"), *[F.col(f).cast("double").alias(f) for f in feats],
-                            F.col(target).cast("double").alias(target))
-    aggs = []
-    for i, a in enumerate(terms):
-        for b in terms[i:]:
-            aggs.append(F.sum(F.col(a) * F.col(b)).alias(f"xx__{a}__{b}"))
-        aggs.append(F.sum(F.col(a) * F.col(target)).alias(f"xy__{a}"))
-    stats = d.groupBy(*g).agg(*aggs)
-    key_fields = [f for f in stats.schema.fields if f.name in g]
-    schema = T.StructType(key_fields + [T.StructField("term", T.StringType()),
-                                        T.StructField("coef", T.DoubleType())])
-    names = [f.name for f in key_fields]
-
-    def solve(it):
-        for pdf in it:
-            out = []
-            for _, r in pdf.iterrows():
-                k = len(terms)
-                xtx = np.zeros((k, k))
-                xty = np.zeros(k)
-                for i, a in enumerate(terms):
-                    for j in range(i, k):
-                        v = r[f"xx__{a}__{terms[j]}"]
-                        xtx[i, j] = xtx[j, i] = v
-                    xty[i] = r[f"xy__{a}"]
-                if ridge:
-                    xtx[1:, 1:] += ridge * np.eye(k - 1)
-                coef = np.linalg.lstsq(xtx, xty, rcond=None)[0]
-                for t, c in zip(terms, coef):
-                    out.append([r[n] for n in names] + ["intercept" if t == "__one" else t, float(c)])
-            yield pd.DataFrame(out, columns=names + ["term", "coef"])
-
-    return stats.mapInPandas(solve, schema)
+        pred = pred + F.when(F.col("__b")[f].isNull(), F.lit(0.0)).otherwise(F.col("__b")[f] * F.col(f))
+    return j.select(*test.columns, pred.alias(out))
 
 
 def predict_linear(df: DataFrame, coefs: DataFrame, group_cols, features, out: str = "prediction") -> DataFrame:
@@ -86,10 +139,6 @@ def predict_linear(df: DataFrame, coefs: DataFrame, group_cols, features, out: s
     return j.select(*df.columns, pred.alias(out))
 
 
-def clamp_prediction(c: str) -> Column:
-    return F.when(F.col(c) < 0, F.lit(0.0)).otherwise(F.col(c))
-
-
 def residual_stack(train: DataFrame, test: DataFrame, group_cols, residual_keys, target: str,
                    pred: str = "prediction", out: str = "stacked") -> DataFrame:
     """Second stage on training residuals: add the mean residual of each
@@ -124,11 +173,11 @@ def standard_scale(df: DataFrame, cols, group_cols=None, suffix: str = "_scaled"
 def with_overrides(df: DataFrame, overrides: DataFrame, key: str, defaults: dict) -> DataFrame:
     """Per-partition parameter columns: override row if present, else default.
 
-    The override table is a short explicit list (one row per overridden
-    partition), so it is broadcast; the default values are literals.
+    The default values are literals; how the override table is joined is left
+    to the planner, since its size is the caller's.
     """
     o = overrides.select(key, *[F.col(k).alias(f"__o_{k}") for k in defaults])
-    j = df.join(F.broadcast(o), on=key, how="left")
+    j = df.join(o, on=key, how="left")
     return j.select(*df.columns, *[F.coalesce(F.col(f"__o_{k}"), F.lit(v)).alias(k) for k, v in defaults.items()])
 
 

@@ -91,41 +91,36 @@ def ewm_features(df: DataFrame, keys, order, target: str, alphas, lags) -> DataF
     goes through one compiled grouped ``ewm`` call per alpha for all keys in
     it. A key whose rows continue in the next batch is held back and joined
     to it, so a key is never split across calls; the held rows are one key's
-    series, bounded by its number of periods. Lags follow from
-    ``ewm(shift(x, l)) == shift(ewm(x), l)``.
+    series, bounded by its number of periods. Rows with a null key belong to
+    no series and are passed on at once. Only the unlagged means cross Arrow:
+    ``ewm(shift(x, l)) == shift(ewm(x), l)``, and the lags are windows.
     """
     keys, order = as_list(keys), as_list(order)
     alphas, lags = [float(a) for a in alphas], [int(l) for l in lags]
-    names = [(ewm_name(target, l, a), a, l) for l in lags for a in alphas]
-    out_schema = T.StructType(list(df.schema.fields)
-                              + [T.StructField(n, T.DoubleType(), True) for n, _, _ in names])
+    base_of = {a: f"__ewm_{i}" for i, a in enumerate(alphas)}
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(n, T.DoubleType(), True) for n in base_of.values()])
     cols = df.columns
 
     def compute(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.reset_index(drop=True)
-        grouped = pdf.groupby(keys, sort=False, dropna=False)
-        gid = grouped.ngroup()
-        null_key = pdf[keys].isna().any(axis=1).to_numpy()
+        gid = pdf.groupby(keys, sort=False).ngroup()
         x = pdf[target].astype("float64")
-        extra = {}
-        for a in alphas:
-            base = x.groupby(gid, sort=False).ewm(alpha=a).mean()
-            base = base.reset_index(level=0, drop=True).sort_index()
-            for l in lags:
-                v = base.groupby(gid, sort=False).shift(l).to_numpy(copy=True) if l else base.to_numpy(copy=True)
-                v[null_key] = np.nan
-                extra[ewm_name(target, l, a)] = v
-        return pd.concat([pdf[cols], pd.DataFrame(extra, index=pdf.index)[[n for n, _, _ in names]]], axis=1)
+        extra = {name: x.groupby(gid, sort=False).ewm(alpha=a).mean().reset_index(level=0, drop=True).sort_index()
+                 for a, name in base_of.items()}
+        return pd.concat([pdf[cols], pd.DataFrame(extra, index=pdf.index)], axis=1)
 
     def run(batches):
         carry = None
         for pdf in batches:
+            null_key = pdf[keys].isna().any(axis=1)
+            if null_key.any():
+                yield pdf[null_key].assign(**{n: np.nan for n in base_of.values()})
+                pdf = pdf[~null_key]
             if carry is not None and len(carry):
                 pdf = pd.concat([carry, pdf], ignore_index=True)
             if not len(pdf):
                 continue
-            gid = pdf.groupby(keys, sort=False, dropna=False).ngroup()
-            tail = (gid == gid.iloc[-1]).to_numpy()
+            tail = (pdf[keys] == pdf[keys].iloc[-1]).all(axis=1).to_numpy()
             carry = pdf[tail]
             if (~tail).any():
                 yield compute(pdf[~tail])
@@ -133,20 +128,18 @@ def ewm_features(df: DataFrame, keys, order, target: str, alphas, lags) -> DataF
             yield compute(carry)
 
     clustered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return clustered.mapInPandas(run, schema=out_schema)
-
-
-def ewm_decay(alpha: float) -> float:
-    """Decay factor as pandas derives it (alpha -> centre of mass -> alpha)."""
-    com = (1.0 - alpha) / alpha
-    return 1.0 - 1.0 / (1.0 + com)
+    staged = clustered.mapInPandas(run, schema=schema)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    lagged = [(F.when(_gate(keys), F.lag(base_of[a], l).over(w)) if l else F.col(base_of[a])).alias(ewm_name(target, l, a))
+              for l in lags for a in alphas]
+    return staged.select(*cols, *lagged)
 
 
 def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = None,
                     stats_from: DataFrame | None = None, unique_keys=None) -> DataFrame:
     """``enc_{cols}_mean`` / ``enc_{cols}_std`` of ``target`` per group of columns.
 
-    Default (as in the original) uses all rows of the group, including the
+    Default uses all rows of the group, including the
     evaluation period. With ``as_of`` (a date/order column) only rows of the
     group with a strictly earlier ``as_of`` value are used (leak-free).
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggs
-from ..operators.forecast import (fit_ols, gbt_model, predict_linear, residual_stack, standard_scale,
-                                  tweedie_glm, with_overrides)
+from ..operators.forecast import (fit_ols, gbt_model, predict_linear, predict_stages, residual_stack,
+                                  stage_coefficients, standard_scale, tweedie_glm, with_overrides)
 from ..operators.split import day_split, horizon_split, stages, ts_split
 from ..operators.windows import ewm_features, lag_features, rolling_features
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources.tables import Tables
 from . import fixtures as fx
 from . import sqlgen as g
@@ -21,15 +21,18 @@ HORIZON, STEP = 12, 4
 FLAGS = [4, 8, 12]
 
 
-def base(spark, sf_dir):
+def base(spark, sf_dir, lags=FLAGS):
+    """The dense panel with lags and horizon stages, written once: a forecast reads it
+    for training, scoring and residuals."""
     d = dense_p2(spark, sf_dir).select(*K2, "date", "qty", "release")
-    d = lag_features(d, K2, "date", "qty", FLAGS)
-    return horizon_split(d, [PART], "date", HORIZON, STEP)
+    d = lag_features(d, K2, "date", "qty", lags)
+    return stored(horizon_split(d, [PART], "date", HORIZON, STEP), "stages")
 
 
-BASE_SQL = f"""{DENSE_P2_CTE},
+def base_sql(lags=FLAGS) -> str:
+    return f"""{DENSE_P2_CTE},
 b AS (SELECT l_suppkey, l_returnflag, date, qty, release,
-             {', '.join(f'{g.lag_sql(K2, "qty", l)} AS qty_lag_{l}' for l in FLAGS)} FROM dense),
+             {', '.join(f'{g.lag_sql(K2, "qty", l)} AS qty_lag_{l}' for l in lags)} FROM dense),
 mx AS (SELECT l_returnflag, max(date) AS mx FROM b GROUP BY 1),
 sp AS (SELECT b.*, mx.mx - {7 * HORIZON} AS cutoff,
               CASE WHEN b.date <= mx.mx - {7 * HORIZON} THEN 'train'
@@ -41,11 +44,15 @@ sp AS (SELECT b.*, mx.mx - {7 * HORIZON} AS cutoff,
        FROM b JOIN mx USING (l_returnflag))"""
 
 
+BASE_SQL = base_sql()
+
+
 @query("horizon_split", f"""
 WITH {BASE_SQL}
 SELECT l_suppkey, l_returnflag, date, cutoff, role, stage FROM sp""")
 def q_horizon_split(spark, sf_dir):
-    return base(spark, sf_dir).select(*K2, "date", "cutoff", "role", "stage")
+    d = dense_p2(spark, sf_dir).select(*K2, "date")
+    return horizon_split(d, [PART], "date", HORIZON, STEP).select(*K2, "date", "cutoff", "role", "stage")
 
 
 # ------------------------------------------------------------ stage features
@@ -75,10 +82,9 @@ def stage_x():
             .otherwise(F.col("qty_lag_12"))
 
 
-def ols_forecast(spark, sf_dir):
+def ols_forecast(b):
     """Per partition and stage: qty ~ a + b * qty_lag_{4*stage}, fitted on the
     training rows by regression aggregates (one pass, all stages at once)."""
-    b = base(spark, sf_dir)
     train = b.where(F.col("role") == "train")
     coefs = train.groupBy(PART).agg(
         *[F.regr_slope("qty", f"qty_lag_{l}").alias(f"slope_{l}") for l in FLAGS],
@@ -108,7 +114,7 @@ WITH {OLS_SQL}
 SELECT l_suppkey, l_returnflag, date, stage, round(qty, 4) + 0.0 AS qty, round(qty_hat, 4) + 0.0 AS qty_hat,
        partition_key FROM fc""")
 def q_grouped_ols_forecast(spark, sf_dir):
-    return rounded(ols_forecast(spark, sf_dir), 4)
+    return rounded(ols_forecast(base(spark, sf_dir)), 4)
 
 
 @query("forecast_totals", f"""
@@ -116,14 +122,14 @@ WITH {OLS_SQL}
 SELECT round(sqrt(avg(pow(qty - qty_hat, 2))), 4) + 0.0 AS rmse, round(sum(qty), 4) + 0.0 AS sum_actual,
        round(sum(qty_hat), 4) + 0.0 AS sum_predicted, count(*) AS n FROM fc""")
 def q_forecast_totals(spark, sf_dir):
-    return rounded(aggs.forecast_totals(ols_forecast(spark, sf_dir), "qty", "qty_hat"), 4)
+    return rounded(aggs.forecast_totals(ols_forecast(base(spark, sf_dir)), "qty", "qty_hat"), 4)
 
 
 @query("rmse_by_group", f"""
 WITH {OLS_SQL}
 SELECT l_suppkey, round(sqrt(avg(pow(qty - qty_hat, 2))), 4) + 0.0 AS rmse, count(*) AS n FROM fc GROUP BY 1""")
 def q_rmse_by_group(spark, sf_dir):
-    return rounded(aggs.rmse_by_group(ols_forecast(spark, sf_dir), ["l_suppkey"], "qty", "qty_hat"), 4)
+    return rounded(aggs.rmse_by_group(ols_forecast(base(spark, sf_dir)), ["l_suppkey"], "qty", "qty_hat"), 4)
 
 
 @query("residual_stack", f"""
@@ -141,7 +147,7 @@ def q_residual_stack(spark, sf_dir):
                                  F.regr_intercept("qty", "qty_lag_4").alias("i"))
     train_pred = train.join(co, PART).select(*K2, "qty", (F.col("i") + F.col("s") * F.col("qty_lag_4"))
                                              .alias("prediction"))
-    fc = ols_forecast(spark, sf_dir).withColumnRenamed("qty_hat", "prediction")
+    fc = ols_forecast(b).withColumnRenamed("qty_hat", "prediction")
     out = residual_stack(train_pred, fc, [PART], K2, "qty", "prediction", "stacked")
     return rounded(out.select(*K2, "date", "stage", "stacked"), 4)
 
@@ -183,10 +189,11 @@ UNION ALL
 SELECT l_suppkey, l_returnflag, date, CAST(qty AS FLOAT) AS qty, NULL AS qty_hat, l_returnflag AS partition_key,
        NULL AS stage FROM sp WHERE date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'""")
 def q_append_history(spark, sf_dir):
-    fc = ols_forecast(spark, sf_dir)
+    b = base(spark, sf_dir)
+    fc = ols_forecast(b)
     fc = fc.select(*K2, "date", F.col("qty").cast("float").alias("qty"),
                    fast_round("qty_hat", 2).cast("float").alias("qty_hat"), "partition_key", "stage")
-    hist = base(spark, sf_dir).where(F.col("date").between("2000-01-01", "2000-12-31")) \
+    hist = b.where(F.col("date").between("2000-01-01", "2000-12-31")) \
         .select(*K2, "date", F.col("qty").cast("float").alias("qty"), F.col(PART).alias("partition_key"))
     return fc.unionByName(hist, allowMissingColumns=True)
 
@@ -326,14 +333,198 @@ def q_coef_table(spark, sf_dir):
     return rounded(back, 4)
 
 
-@query("grouped_model_forecast")
+def two_sums_sql(src: str, x1: str, x2: str, lam: str, name: str, group=PART) -> str:
+    """CTE of the normal equations of qty ~ 1 + x1 + x2 by group, solved by Cramer's rule."""
+    return f"""
+{name}_s AS (SELECT {group}, count(*) AS n, avg({x1}) AS m1, avg({x2}) AS m2, avg(qty) AS my, {lam} AS lam,
+                    var_pop({x1}) * count(*) AS s11, var_pop({x2}) * count(*) AS s22, covar_pop({x1}, {x2}) * count(*) AS s12,
+                    covar_pop({x1}, qty) * count(*) AS s1y, covar_pop({x2}, qty) * count(*) AS s2y,
+                    stddev_pop({x1}) AS d1, stddev_pop({x2}) AS d2
+             FROM {src} WHERE role = 'train' AND {x1} IS NOT NULL AND {x2} IS NOT NULL AND qty IS NOT NULL GROUP BY {group}),
+{name}_b AS (SELECT *, (s1y * (s22 + lam) - s2y * s12) / ((s11 + lam) * (s22 + lam) - s12 * s12) AS b1,
+                    (s2y * (s11 + lam) - s1y * s12) / ((s11 + lam) * (s22 + lam) - s12 * s12) AS b2 FROM {name}_s),
+{name} AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM {name}_b)"""
+
+
+@query("grouped_model_forecast", f"""
+WITH {BASE_SQL},{two_sums_sql("sp", "qty_lag_12", "release", "1e-6::DOUBLE", "co")}
+SELECT l_suppkey, sp.l_returnflag, date, stage, round(qty, 3) + 0.0 AS qty,
+       round(b0 + b1 * qty_lag_12 + b2 * release, 3) + 0.0 AS qty_hat
+FROM sp LEFT JOIN co ON sp.l_returnflag = co.l_returnflag WHERE role = 'test'""")
 def q_grouped_model_forecast(spark, sf_dir):
     """Multi-feature least squares per partition from aggregated cross-products."""
     b = base(spark, sf_dir)
     feats = ["qty_lag_12", "release"]
     coefs = fit_ols(b.where(F.col("role") == "train"), [PART], feats, "qty", ridge=1e-6)
-    return predict_linear(b.where(F.col("role") == "test"), coefs, [PART], feats, "qty_hat") \
-        .select(*K2, "date", "stage", "qty", "qty_hat")
+    out = predict_linear(b.where(F.col("role") == "test"), coefs, [PART], feats, "qty_hat")
+    return rounded(out.select(*K2, "date", "stage", "qty", "qty_hat"), 3)
+
+
+# Default penalty of the stage fits and its overrides by partition.
+RIDGE = {"ridge": 1.0}
+RIDGE_OVERRIDES = [("R", 500.0), ("A", None)]
+STAGE_COLUMNS = ["qty_lag_4", "qty_lag_20", "release"]  # what each stage may use of them is the stage's rule
+_RIDGE_SQL = "CASE WHEN l_returnflag = 'R' THEN 500.0::DOUBLE ELSE 1.0::DOUBLE END"
+
+
+@query("stage_ols_forecast", f"""
+WITH {base_sql([4, 20])},
+sr AS (SELECT *, {_RIDGE_SQL} AS ridge FROM sp),{two_sums_sql("sr", "qty_lag_4", "release", "any_value(ridge)", "near")},
+{two_sums_sql("sr", "qty_lag_20", "release", "any_value(ridge)", "far").lstrip()}
+SELECT l_suppkey, sp.l_returnflag, date, stage, cutoff AS training_date, round(qty, 3) + 0.0 AS qty,
+       round(CASE WHEN stage = 1 THEN near.b0 + near.b1 * qty_lag_4 + near.b2 * release
+                  ELSE far.b0 + far.b1 * qty_lag_20 + far.b2 * release END, 3) + 0.0 AS qty_hat
+FROM sp LEFT JOIN near ON sp.l_returnflag = near.l_returnflag LEFT JOIN far ON sp.l_returnflag = far.l_returnflag
+WHERE role = 'test'""")
+def q_stage_ols_forecast(spark, sf_dir):
+    """Per partition and stage: a fit on the features the stage may know, with the
+    partition's penalty; the coefficients of all stages are stored by
+    partition with their training date, read back, and scored."""
+    b = base(spark, sf_dir, [4, 20])
+    overrides = spark.createDataFrame(RIDGE_OVERRIDES, "l_returnflag string, ridge double")
+    train = with_overrides(b.where(F.col("role") == "train"), overrides, PART, RIDGE)
+    coefs = stage_coefficients(train, stages(HORIZON, STEP), [PART, "ridge", "cutoff"], STAGE_COLUMNS, "qty", "ridge")
+    path = scratch_path(spark, "stage-coefs")
+    coefs.write.partitionBy(PART).parquet(path)
+    back = spark.read.schema(coefs.schema).parquet(path).select(
+        PART, "stage", "term", "coef", F.col("cutoff").alias("training_date"))
+    dates = back.groupBy(PART, "stage").agg(F.max("training_date").alias("training_date"))
+    out = predict_stages(b.where(F.col("role") == "test"), back, [PART], STAGE_COLUMNS, "qty_hat").join(dates, [PART, "stage"], "left")
+    return rounded(out.select(*K2, "date", "stage", "training_date", "qty", "qty_hat"), 3)
+
+
+@query("residual_ols", f"""
+WITH {BASE_SQL},
+one AS (SELECT l_returnflag, regr_slope(qty, qty_lag_4) AS s, regr_intercept(qty, qty_lag_4) AS i
+        FROM sp WHERE role = 'train' GROUP BY 1),
+res AS (SELECT sp.l_returnflag, release, qty - (i + s * qty_lag_4) AS r
+        FROM sp JOIN one ON sp.l_returnflag = one.l_returnflag WHERE role = 'train'),
+two AS (SELECT l_returnflag, regr_slope(r, release) AS s2, regr_intercept(r, release) AS i2 FROM res GROUP BY 1)
+SELECT l_suppkey, sp.l_returnflag, date,
+       round(greatest(i + s * qty_lag_4 + i2 + s2 * release, 0.0), 3) + 0.0 AS qty_hat
+FROM sp JOIN one ON sp.l_returnflag = one.l_returnflag JOIN two ON sp.l_returnflag = two.l_returnflag
+WHERE stage = 1 AND qty_lag_4 IS NOT NULL""")
+def q_residual_ols(spark, sf_dir):
+    """A second model fitted to the first one's training residuals; the forecast is
+    their sum, not below zero."""
+    b = base(spark, sf_dir)
+    train = b.where(F.col("role") == "train")
+    first = fit_ols(train, [PART], ["qty_lag_4"], "qty")
+    residuals = predict_linear(train, first, [PART], ["qty_lag_4"], "first").withColumn("r", F.col("qty") - F.col("first"))
+    second = fit_ols(residuals, [PART], ["release"], "r")
+    test = b.where((F.col("stage") == 1) & F.col("qty_lag_4").isNotNull())
+    both = predict_linear(predict_linear(test, first, [PART], ["qty_lag_4"], "first"), second, [PART], ["release"], "second")
+    return rounded(both.select(*K2, "date", F.greatest(F.col("first") + F.col("second"), F.lit(0.0)).alias("qty_hat")), 3)
+
+
+@query("scaled_linear_forecast", f"""
+WITH {BASE_SQL},
+g AS (SELECT stddev_pop(qty_lag_12) AS d1, stddev_pop(release) AS d2, avg(qty_lag_12) AS g1, avg(release) AS g2
+      FROM sp WHERE role = 'train' AND qty_lag_12 IS NOT NULL AND release IS NOT NULL),{two_sums_sql("sp", "qty_lag_12", "release", "0.0::DOUBLE", "co")}
+SELECT l_returnflag, term, round(coef, 3) + 0.0 AS coef FROM (
+  SELECT l_returnflag, unnest(['intercept', 'qty_lag_12_scaled', 'release_scaled']) AS term,
+         unnest([b0 + b1 * g1 + b2 * g2, b1 * g.d1, b2 * g.d2]) AS coef FROM co, g) t""")
+def q_scaled_linear_forecast(spark, sf_dir):
+    """Coefficients of a fit on features scaled by the training rows' mean and deviation."""
+    feats = ["qty_lag_12", "release"]
+    train = base(spark, sf_dir).where(F.col("role") == "train").dropna(subset=feats)
+    scaled = standard_scale(train, feats)
+    return rounded(fit_ols(scaled, [PART], [f"{f}_scaled" for f in feats], "qty"), 3)
+
+
+# ----------------------------------------------- evaluation of fitted models
+LAGGED_TS_SQL = TS_SQL.replace("date, qty,\n", f"date, qty, {g.lag_sql(K2, 'qty', 4)} AS x,\n")
+# Penalties of the search.
+PENALTIES = [0.0, 1000.0, 100000.0]
+
+
+def fold_fits(spark, sf_dir):
+    """Rows with their test fold, and per fold the regression sums of all earlier rows.
+
+    The sums come from one aggregate over the blocks, shifted by the overall
+    means so that they lose no digits, and are accumulated over the few
+    blocks; no row is copied into every fold."""
+    from pyspark.sql import Window
+    d = lag_features(dense_p2(spark, sf_dir).select(*K2, "date", "qty"), K2, "date", "qty", [4])
+    t = stored(ts_split(d, TS_ORDER, SPLITS).where(F.col("qty_lag_4").isNotNull())
+               .select("test_fold", F.col("qty_lag_4").alias("x"), F.col("qty").alias("y")), "folds")
+    mid = t.agg(F.struct(F.avg("x").alias("x"), F.avg("y").alias("y"))).scalar()
+    u, v = F.col("x") - mid["x"], F.col("y") - mid["y"]
+    sums = t.groupBy("test_fold").agg(*[F.sum(e).alias(n) for n, e in (
+        ("n", F.lit(1.0)), ("u", u), ("v", v), ("uu", u * u), ("uv", u * v))])
+    w = Window.orderBy("test_fold").rowsBetween(Window.unboundedPreceding, -1)
+    run = sums.select("test_fold", *[F.sum(c).over(w).alias(c) for c in ("n", "u", "v", "uu", "uv")])
+    c = F.col
+    folds = run.where(c("test_fold") >= 0).select(
+        c("test_fold").alias("fold"), c("n").cast("long").alias("n_train"), (c("u") / c("n") + mid["x"]).alias("mx"),
+        (c("v") / c("n") + mid["y"]).alias("my"), (c("uu") - c("u") * c("u") / c("n")).alias("sxx"),
+        (c("uv") - c("u") * c("v") / c("n")).alias("sxy"))
+    return t, folds
+
+
+_FOLD_FITS_SQL = f"""{LAGGED_TS_SQL},
+tx AS (SELECT * FROM ts WHERE x IS NOT NULL),
+ff AS (SELECT f.fold, count(*) AS n_train, avg(x) AS mx, avg(qty) AS my, var_pop(x) * count(*) AS sxx, covar_pop(x, qty) * count(*) AS sxy
+       FROM (SELECT DISTINCT test_fold AS fold FROM ts WHERE test_fold >= 0) f JOIN tx ON tx.test_fold < f.fold GROUP BY 1)"""
+
+
+@query("cv_ols_rmse", f"""
+WITH {_FOLD_FITS_SQL},
+r AS (SELECT fold, n_train, count(*) AS n_test, sqrt(avg(pow(qty - (my + sxy / sxx * (x - mx)), 2))) AS rmse
+      FROM tx JOIN ff ON tx.test_fold = ff.fold GROUP BY 1, 2)
+SELECT fold, n_train, n_test, round(rmse, 4) + 0.0 AS rmse, round(avg(rmse) OVER (), 4) + 0.0 AS mean_rmse FROM r""")
+def q_cv_ols_rmse(spark, sf_dir):
+    """Expanding folds of a fitted regression: score per fold and their mean."""
+    from pyspark.sql import Window
+    t, folds = fold_fits(spark, sf_dir)
+    te = t.join(F.broadcast(folds), F.col("test_fold") == F.col("fold"))  # folds: one row per split
+    hat = F.col("my") + F.col("sxy") / F.col("sxx") * (F.col("x") - F.col("mx"))
+    out = te.groupBy("fold", "n_train").agg(F.count(F.lit(1)).alias("n_test"), F.sqrt(F.avg(F.pow(F.col("y") - hat, 2))).alias("rmse"))
+    return rounded(out.withColumn("mean_rmse", F.avg("rmse").over(Window.partitionBy())), 4)
+
+
+@query("grid_ridge_cv", f"""
+WITH {_FOLD_FITS_SQL},
+p AS (SELECT unnest([{', '.join(f'{x}::DOUBLE' for x in PENALTIES)}]) AS penalty),
+r AS (SELECT penalty, fold, sqrt(avg(pow(qty - (my + sxy / (sxx + penalty) * (x - mx)), 2))) AS rmse
+      FROM tx JOIN ff ON tx.test_fold = ff.fold, p GROUP BY 1, 2),
+m AS (SELECT penalty, avg(rmse) AS mean_rmse, max(rmse) AS worst_rmse FROM r GROUP BY 1)
+SELECT penalty, round(mean_rmse, 4) + 0.0 AS mean_rmse, round(worst_rmse, 4) + 0.0 AS worst_rmse,
+       CAST(row_number() OVER (ORDER BY round(mean_rmse, 4), penalty) AS INTEGER) AS rank FROM m""")
+def q_grid_ridge_cv(spark, sf_dir):
+    """Penalties x folds: each test row is scored by all penalties where it is read."""
+    from pyspark.sql import Window
+    t, folds = fold_fits(spark, sf_dir)
+    te = t.join(F.broadcast(folds), F.col("test_fold") == F.col("fold"))  # folds: one row per split
+    errors = F.array(*[F.struct(F.lit(p).alias("penalty"), F.pow(F.col("y") - (
+        F.col("my") + F.col("sxy") / (F.col("sxx") + F.lit(p)) * (F.col("x") - F.col("mx"))), 2).alias("e")) for p in PENALTIES])
+    score = te.select("fold", F.inline(errors)).groupBy("penalty", "fold").agg(F.sqrt(F.avg("e")).alias("rmse"))
+    mean = rounded(score.groupBy("penalty").agg(F.avg("rmse").alias("mean_rmse"), F.max("rmse").alias("worst_rmse")), 4)
+    return mean.withColumn("rank", F.row_number().over(Window.orderBy("mean_rmse", "penalty")))
+
+
+@query("leaderboard_fitted", f"""
+WITH {OLS_SQL},
+li AS (SELECT l_returnflag, regr_slope(qty, qty_lag_4) AS s, regr_intercept(qty, qty_lag_4) AS i FROM sp WHERE role = 'train' GROUP BY 1),
+me AS (SELECT l_returnflag, avg(qty) AS m FROM sp WHERE role = 'train' GROUP BY 1),
+t AS (SELECT sp.*, i + s * qty_lag_4 AS ols, m FROM sp JOIN li ON sp.l_returnflag = li.l_returnflag
+      JOIN me ON sp.l_returnflag = me.l_returnflag WHERE stage = 1 AND qty_lag_4 IS NOT NULL),
+u AS (SELECT 'ols' AS model, ols AS p, qty FROM t UNION ALL SELECT 'mean', m, qty FROM t UNION ALL SELECT 'naive', qty_lag_4, qty FROM t),
+r AS (SELECT model, round(sqrt(avg(pow(qty - p, 2))), 4) + 0.0 AS rmse, round(avg(abs(qty - p)), 4) + 0.0 AS mae, count(*) AS n FROM u GROUP BY 1)
+SELECT *, CAST(row_number() OVER (ORDER BY rmse, model) AS INTEGER) AS rank FROM r""")
+def q_leaderboard_fitted(spark, sf_dir):
+    """A fitted regression against the training mean and the naive forecast on the same rows."""
+    from pyspark.sql import Window
+    b = base(spark, sf_dir)
+    train = b.where(F.col("role") == "train")
+    test = b.where((F.col("stage") == 1) & F.col("qty_lag_4").isNotNull())
+    scored = predict_linear(test, fit_ols(train, [PART], ["qty_lag_4"], "qty"), [PART], ["qty_lag_4"], "ols")
+    scored = scored.join(train.groupBy(PART).agg(F.avg("qty").alias("mean")), PART)
+    long = scored.select("qty", F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).alias("p"))
+                                                  for m, c in (("ols", "ols"), ("mean", "mean"), ("naive", "qty_lag_4"))])))
+    e = F.col("qty") - F.col("p")
+    out = rounded(long.groupBy("model").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), F.count(F.lit(1)).alias("n")), 4)
+    return out.withColumn("rank", F.row_number().over(Window.orderBy("rmse", "model")))
 
 
 @query("tweedie_glm_forecast")

@@ -20,15 +20,6 @@ def roll_sql(keys, target, stat, lag, win, digits=6):
             f" AS {target}_roll_{stat}_lag_{lag}_win_{win}")
 
 
-def ewm_base_sql(keys, target, alpha, name):
-    """Adjusted EWM mean at each row of a gap-free, null-free series."""
-    d = repr(1.0 - alpha)
-    xs = (f"list({target}) OVER (PARTITION BY {_part(keys)} ORDER BY date "
-          f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    return (f"list_sum(list_transform({xs}, lambda x, i: x * pow({d}, len({xs}) - i))) / "
-            f"list_sum(list_transform({xs}, lambda x, i: pow({d}, len({xs}) - i))) AS {name}")
-
-
 def alpha_tag(alpha):
     return str(alpha).replace(".", "")
 
@@ -49,11 +40,10 @@ def ewm_recursive_sql(keys, alphas, src="dense", out="eb", extra=""):
     Produces CTE ``out`` with keys, date, qty and ``e_{alpha}`` columns.
     Requires a null-free target (a dense, zero-filled panel).
     """
-    from ..operators.windows import ewm_decay
     k = ", ".join(keys)
     on = " AND ".join(f"e.{c} = r.{c}" for c in keys)
     tags = [alpha_tag(a) for a in alphas]
-    decays = [repr(ewm_decay(a)) for a in alphas]
+    decays = [repr(1.0 - 1.0 / (1.0 + (1.0 - a) / a)) for a in alphas]
     first = ", ".join(f"qty AS w_{t}, 1.0::DOUBLE AS o_{t}" for t in tags)
     step = ", ".join(
         f"CASE WHEN r.w_{t} <> e.qty THEN (r.o_{t} * {d} * r.w_{t} + e.qty) / (r.o_{t} * {d} + 1.0) "
