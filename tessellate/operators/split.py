@@ -55,7 +55,7 @@ class Stage:
         return [c for c in columns if self.allows(c)]
 
 
-_LAG = re.compile(r"(?:_(?P<kind>roll_mean|roll_std|ewm))?_lag_(?P<weeks>\d+)(?:_|$)")
+_LAG = re.compile(r"(?:_(?P<kind>roll_mean|roll_std|ewm))?_lag_(?P<weeks>\d+)(?:_|$)")  # as windows.py names them
 
 
 def stages(horizon: int = 12, step: int = 4, seasonal: tuple[int, ...] = ()) -> list[Stage]:

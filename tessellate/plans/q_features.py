@@ -9,6 +9,7 @@ from ..operators.panel import spine_fill
 from ..operators.prices import price_features
 from ..operators.windows import (ewm_features, lag_features, rolling_features,
                                  target_encoding)
+from ..session import stored
 from ..sources.tables import Tables
 from . import fixtures as fx
 from . import sqlgen as g
@@ -354,3 +355,47 @@ def q_daily_features(spark, sf_dir):
     d = lag_features(d, K3, "date", "qty", DAILY_LAGS)
     d = rolling_features(d, K3, "date", "qty", DAILY_RW, DAILY_RL)
     return rounded(d)
+
+
+# ------------------------------------------------- reference-sized daily grid
+# Lags, windows and decay rates of the daily feature grid.
+DAY_LAGS = [*range(7, 57), 60, 90, 182, 364]
+DAY_ROLL_LAGS = [7, 14, 21, 28, 35, 42, 49, 56, 60, 90, 182, 364]
+DAY_ROLL_WINDOWS = [7, 14, 21, 28, 60, 90, 182, 364]
+DAY_EWM_LAGS = DAY_ROLL_LAGS
+DAY_EWM_ALPHAS = [0.99, 0.95, 0.9, 0.8, 0.5, 0.2, 0.1]
+DAY_ENC = [["user_group"], ["event_type"], ["user_id"], ["user_group", "event_type"], ["user_group", "user_id"],
+           ["user_id", "event_type"]]
+
+
+def daily_feature_grid(spark, sf_dir):
+    """Full daily grid (54 lags, 192 rolling, 84 EWM, 12 encodings) on the gap-free daily
+    panel, written once: encodings first, while rows are narrow, then seven EWM
+    columns through Arrow, then all windows on one key partitioning."""
+    from ..operators.panel import densify
+    facts = fx.p3(spark, sf_dir)
+    dense = densify(facts, K3, "date", "qty", end=facts.agg(F.max("date")).scalar(), step_days=1)
+    dense = stored(dense.select(*K3, (F.col("user_id") % 10).alias("user_group"), "date", "qty"), "daily")
+    d = target_encoding(dense, "qty", DAY_ENC, stats_from=dense)
+    d = ewm_features(d, K3, "date", "qty", DAY_EWM_ALPHAS, DAY_EWM_LAGS)
+    d = lag_features(d, K3, "date", "qty", DAY_LAGS)
+    return rolling_features(d, K3, "date", "qty", DAY_ROLL_WINDOWS, DAY_ROLL_LAGS)
+
+
+def _day_grid_sql():
+    lags = ", ".join(f"round({g.lag_sql(K3, 'qty', l)}, 4) + 0.0 AS qty_lag_{l}" for l in DAY_LAGS)
+    rolls = ", ".join(g.roll_sql(K3, "qty", s, l, w, 4) for l in DAY_ROLL_LAGS for w in DAY_ROLL_WINDOWS for s in ("mean", "std"))
+    ewm_l = ", ".join(f"round({g.lag_sql(K3, 'qty', l, src='e_' + g.alpha_tag(a))}, 4) + 0.0 "
+                      f"AS qty_ewm_lag_{l}_alpha_{g.alpha_tag(a)}" for l in DAY_EWM_LAGS for a in DAY_EWM_ALPHAS)
+    return f"""
+WITH RECURSIVE {DAILY_SQL},
+dense AS (SELECT *, user_id % 10 AS user_group FROM dd),
+{g.ewm_recursive_sql(K3, DAY_EWM_ALPHAS, extra=", user_group")},
+w AS (SELECT user_id, event_type, user_group, date, round(qty, 4) + 0.0 AS qty, {lags}, {rolls}, {ewm_l} FROM eb)
+SELECT d.*, {_enc_select(DAY_ENC, 4)}
+FROM w d {' '.join(g.enc_sql('qty', c, src='dense') for c in DAY_ENC)}"""
+
+
+@query("daily_feature_grid", _day_grid_sql())
+def q_daily_feature_grid(spark, sf_dir):
+    return rounded(daily_feature_grid(spark, sf_dir), 4)

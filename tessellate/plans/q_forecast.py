@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggs
 from ..operators.forecast import (fit_ols, gbt_model, predict_linear, predict_stages, residual_stack,
                                   stage_coefficients, standard_scale, tweedie_glm, with_overrides)
+from ..operators.reshape import union_by_name
 from ..operators.split import day_split, horizon_split, stages, ts_split
 from ..operators.windows import ewm_features, lag_features, rolling_features
 from ..session import scratch_path, stored
@@ -527,20 +528,26 @@ def q_leaderboard_fitted(spark, sf_dir):
     return out.withColumn("rank", F.row_number().over(Window.orderBy("rmse", "model")))
 
 
+# ------------------------------------------------------- fitted by iteration
+def stage_models(b, fit):
+    """Fit and score every stage on what it may know. A lag that a row does not have
+    yet is zero with a flag of its own."""
+    lags = [f"qty_lag_{lag}" for lag in FLAGS]
+    flagged = b.select("*", *[F.col(c).isNull().cast("int").alias(f"missing_{c}") for c in lags]).na.fill(0.0, lags)
+    train, out = flagged.where((F.col("role") == "train") & F.col("qty").isNotNull()), []
+    for stage in stages(HORIZON, STEP):
+        features = stage.features([*lags, *[f"missing_{c}" for c in lags], "release"])
+        assembler, model = fit(train, features, "qty")
+        scored = model.transform(assembler.transform(flagged.where(F.col("stage") == stage.number)))
+        out.append(scored.select(*K2, "date", "stage", "qty", F.greatest(F.col("prediction"), F.lit(0.0)).alias("qty_hat")))
+    return union_by_name(out)
+
+
 @query("tweedie_glm_forecast")
 def q_tweedie_glm_forecast(spark, sf_dir):
-    b = base(spark, sf_dir).na.fill(0.0, ["qty_lag_12"])
-    feats = ["qty_lag_12", "release"]
-    va, model = tweedie_glm(b.where(F.col("role") == "train"), feats, "qty", power=1.1, max_iter=10)
-    pred = model.transform(va.transform(b.where(F.col("role") == "test")))
-    return pred.select(*K2, "date", "stage", "qty", F.col("prediction").alias("qty_hat"))
+    return stage_models(base(spark, sf_dir), lambda t, f, y: tweedie_glm(t, f, y, power=1.1, max_iter=10))
 
 
 @query("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
-    b = base(spark, sf_dir).na.fill(0.0, ["qty_lag_12", "qty_lag_8", "qty_lag_4"])
-    feats = ["qty_lag_12", "release"]
-    va, model = gbt_model(b.where(F.col("role") == "train"), feats, "qty", max_iter=10, max_depth=4)
-    pred = model.transform(va.transform(b.where(F.col("role") == "test")))
-    return pred.select(*K2, "date", "stage", "qty", F.when(F.col("prediction") < 0, 0.0)
-                       .otherwise(F.col("prediction")).alias("qty_hat"))
+    return stage_models(base(spark, sf_dir), lambda t, f, y: gbt_model(t, f, y, max_iter=10, max_depth=4))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.geo import nearest_with_data, station_series
-from ..operators.maintenance import compact, input_bytes, maintenance_candidates
+from ..operators.maintenance import compact, expired_files, input_bytes, maintenance_candidates
 from ..session import scratch_path
+from ..sources.files import list_files
+from ..sources.sinks import write_parquet
 from ..sources.tables import Tables
 from .registry import query, rounded
 
@@ -50,6 +52,21 @@ def q_retention_anti(spark, sf_dir):
     return old.join(live, "o_orderkey", "left_anti")
 
 
+@query("expired_files", """
+SELECT DISTINCT 'load_1/event_type=' || event_type AS dir FROM events""")
+def q_expired_files(spark, sf_dir):
+    """Real files of two loads: those of the first, which is no longer live, are past
+    their retention eight days from now. Report only."""
+    root = scratch_path(spark, "loads")
+    for load in ("load_1", "load_2"):
+        write_parquet(Tables(spark, sf_dir).events, f"{root}/{load}", partition_by=["event_type"])
+    files = list_files(spark, root, "*.parquet")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    live = files.select(folder.alias("dir")).where(F.col("dir").contains("/load_2/")).distinct()
+    gone = expired_files(files, live, F.current_timestamp() + F.expr("INTERVAL 8 DAYS"))
+    return gone.select(F.regexp_extract("path", r"/(load_\d/[^/]+)/[^/]+$", 1).alias("dir")).distinct()
+
+
 def _stations(t):
     s = t.supplier
     return s.select(F.col("s_suppkey").alias("st_id"),
