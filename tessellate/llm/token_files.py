@@ -39,7 +39,8 @@ from .common import partitions, per_worker
 
 SCHEMA = ("shard_id long, shard_tie long, block int, width int, first long, n_ids long, "
           "doc_ids array<bigint>, n_tokens array<bigint>, payload binary")
-WORDS_KEPT = 1_000_000  # distinct words whose ids a worker remembers
+KEPT = 400_000  # distinct words, and runs of them, whose ids a worker remembers
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
@@ -80,8 +81,11 @@ class WordEncoder:
 
     Where the file lower-cases, composes (NFC) and then keeps the matches of a
     pattern as words, a text's ids are those of its words, and each distinct
-    word goes through the library once. Any other file, and any text whose
-    composed lower-case form is not stable, goes through the library whole.
+    word goes through the library once. No word has white space in it, so the
+    ids of each distinct run between white space are remembered as well. Any
+    other file, and any text whose composed lower-case form is not stable or
+    that holds a separator which only Python takes for white space, goes
+    through the library whole.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -89,7 +93,8 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(tokenizer_file)
         self.library.encode_special_tokens = True  # their names in a text are text
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
         self.pattern = None
         with open(tokenizer_file, encoding="utf-8") as f:
             made = json.load(f)
@@ -110,17 +115,26 @@ class WordEncoder:
         if self.pattern is None:
             return self._whole(text)
         composed = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        if not unicodedata.is_normalized("NFC", composed):
+        if not unicodedata.is_normalized("NFC", composed) or _SEPARATORS.search(composed):
             return self._whole(text)
-        words, known = self.pattern.findall(composed), self.known
+        runs, known = composed.split(), self.runs
         try:
-            return b"".join([known[w] for w in words])
+            return b"".join([known[r] for r in runs])
         except KeyError:
-            if len(known) > WORDS_KEPT:
+            if len(known) > KEPT:
                 known.clear()
-            for w in set(words) - known.keys():
-                known[w] = self._whole(w)
-            return b"".join([known[w] for w in words])
+            for r in runs:
+                if r not in known:
+                    known[r] = b"".join([self._word(w) for w in self.pattern.findall(r)])
+            return b"".join([known[r] for r in runs])
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) > KEPT:
+                self.words.clear()
+            ids = self.words[word] = self._whole(word)
+        return ids
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
