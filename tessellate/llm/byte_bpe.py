@@ -68,8 +68,11 @@ def stitch(chunks: list[str], ends: list[np.ndarray], starts: list[int], pattern
     return [p for p in pieces if p]
 
 
-def encode(docs: DataFrame, ranks_file: str, pattern: str, chunk: int = 1 << 15, overlap: int = 1 << 9) -> DataFrame:
-    """``doc_id, ids array<int>`` for every row of ``docs(doc_id, text)``.
+def encode(docs: DataFrame, ranks_file: str, pattern: str, chunk: int = 1 << 15, overlap: int = 1 << 9,
+           decoded: bool = False) -> DataFrame:
+    """``doc_id, ids array<int>`` for every row of ``docs(doc_id, text)``; with ``decoded``
+    also ``bytes``, what the ids decode to, by the worker that holds the ranks
+    already (piece by piece for long texts).
 
     Texts of up to ``chunk`` characters are encoded where they are read. A
     longer text is cut into chunks that overlap; tasks pre-tokenise the chunks
@@ -85,14 +88,21 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, chunk: int = 1 << 15,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids_type = pa.list_(pa.int32())
+    shape = "ids array<int>, bytes binary" if decoded else "ids array<int>"
 
-    def direct(batches):
+    def coded(batch, kept: list[str]) -> pa.RecordBatch:
+        """The kept columns of a batch with the ids (and bytes) of its texts."""
         enc = encoding(ranks_file, pattern)
+        ids = [enc.encode_ordinary(t) for t in batch.column("text").to_pylist()]
+        columns = [*(batch.column(c) for c in kept), pa.array(ids, ids_type)]
+        if decoded:
+            columns.append(pa.array([enc.decode_bytes(x) for x in ids], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, [*kept, "ids", "bytes"][:len(columns)])
+
+    def direct(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                ids = [enc.encode_ordinary(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, ids_type)], ["doc_id", "ids"])
+            for at in range(0, batch.num_rows, 256):
+                yield coded(batch.slice(at, 256), ["doc_id"])
 
     def cut(batches):
         for batch in batches:
@@ -129,20 +139,19 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, chunk: int = 1 << 15,
                          "text": pieces})
 
     def encode_pieces(batches):
-        enc = encoding(ranks_file, pattern)
         for batch in batches:
-            ids = [enc.encode_ordinary(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "digest", "piece", "copies")] + [pa.array(ids, ids_type)],
-                ["doc_id", "digest", "piece", "copies", "ids"])
+            for at in range(0, batch.num_rows, 32):
+                yield coded(batch.slice(at, 32), ["doc_id", "digest", "piece", "copies"])
 
     def join_ids(tab: pa.Table) -> pa.Table:
         tab = tab.combine_chunks().sort_by("piece")
         ids = tab.column("ids").combine_chunks().flatten()
         copies = tab.column("copies")[0].as_py()
-        one = pa.array([ids.to_numpy()], ids_type)
-        return pa.table({"doc_id": pa.array([tab.column("doc_id")[0].as_py()] * copies, pa.int64()),
-                         "ids": pa.concat_arrays([one] * copies)})
+        out = {"doc_id": pa.array([tab.column("doc_id")[0].as_py()] * copies, pa.int64()),
+               "ids": pa.concat_arrays([pa.array([ids.to_numpy()], ids_type)] * copies)}
+        if decoded:
+            out["bytes"] = pa.array([b"".join(tab.column("bytes").to_pylist())] * copies, pa.binary())
+        return pa.table(out)
 
     long = F.length("text") > chunk
     chunks = docs.where(long).mapInArrow(cut, "doc_id long, digest binary, start long, text string")
@@ -150,15 +159,15 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, chunk: int = 1 << 15,
         pretokenise, "doc_id long, digest binary, start long, text string, ends binary")
     pieces = marked.groupBy("doc_id", "digest").applyInArrow(
         join_chunks, "doc_id long, digest binary, piece int, copies int, text string")
-    coded = pieces.repartition("digest", "piece").mapInArrow(
-        encode_pieces, "doc_id long, digest binary, piece int, copies int, ids array<int>")
-    whole = coded.groupBy("doc_id", "digest").applyInArrow(join_ids, "doc_id long, ids array<int>")
-    return docs.where(~long).mapInArrow(direct, "doc_id long, ids array<int>").union(whole)
+    parts = pieces.repartition("digest", "piece").mapInArrow(
+        encode_pieces, f"doc_id long, digest binary, piece int, copies int, {shape}")
+    whole = parts.groupBy("doc_id", "digest").applyInArrow(join_ids, f"doc_id long, {shape}")
+    return docs.where(~long).mapInArrow(direct, f"doc_id long, {shape}").union(whole)
 
 
 def decode(encoded: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """``doc_id, ids, bytes``: the raw bytes of the ids, one after the other.
-    Null ids give empty bytes."""
+    """``doc_id, ids, bytes``: the raw bytes of the ids, one after the other, for ids
+    that come from elsewhere. Null ids give empty bytes."""
 
     def run(batches):
         enc = encoding(ranks_file, pattern)

@@ -60,8 +60,7 @@ def op5_token_files(spark, sf_dir):
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.decode(coded, ranks, public_tokenizers.PATTERN).select(
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))

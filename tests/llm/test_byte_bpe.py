@@ -49,6 +49,8 @@ def test_encode_and_decode_equal_the_library(spark):
     want = [(i, tuple(enc.encode_ordinary(t or "")), (t or "").encode()) for i, t in rows]
     key = lambda x: (x[0] is None, x[0] or 0, x[1])
     assert sorted(((r.doc_id, tuple(r.ids), bytes(r.bytes)) for r in got), key=key) == sorted(want, key=key)
+    both = byte_bpe.encode(docs, RANKS, PATTERN, chunk=64, overlap=24, decoded=True).collect()
+    assert sorted(((r.doc_id, tuple(r.ids), bytes(r.bytes)) for r in both), key=key) == sorted(want, key=key)
     assert byte_bpe.encode(docs.limit(0), RANKS, PATTERN).count() == 0
 
 
