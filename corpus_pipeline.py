@@ -58,8 +58,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of the bytes they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return byte_bpe.decode(coded, ranks, public_tokenizers.PATTERN).select(
+    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
