@@ -37,6 +37,14 @@ def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
     return sorted({int(x) for x in row["b"] or []})
 
 
+def long_array(values) -> Column:
+    """A constant array of longs that is one literal in the plan, however many values."""
+    if not values:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(",".join("" if v is None else str(int(v)) for v in values)), ",").cast("array<string>").try_cast(
+        "array<bigint>")
+
+
 def range_of(key: Column, bounds: list[int]) -> Column:
     """Index of the range a key falls into (null keys: range 0).
 
@@ -48,14 +56,10 @@ def range_of(key: Column, bounds: list[int]) -> Column:
     if not bounds:
         return F.lit(0)
     step = max(1, math.isqrt(len(bounds)))
-    groups = [bounds[i:i + step] for i in range(0, len(bounds), step)]
     key = key.cast("long")
     below = lambda col: F.size(F.filter(col, lambda b: b < key))
-    last = F.array(*[F.lit(g[-1]).cast("long") for g in groups])
-    inner = F.array(*[F.array(*[F.lit(b).cast("long") for b in g]) for g in groups] +
-                    [F.array().cast("array<bigint>")])
-    coarse = below(last)
-    found = coarse * F.lit(step) + below(F.element_at(inner, coarse + 1))
+    before = below(long_array([bounds[min(i + step, len(bounds)) - 1] for i in range(0, len(bounds), step)])) * F.lit(step)
+    found = F.least(before + below(F.slice(long_array(bounds), before + 1, step)), F.lit(len(bounds)))
     return F.when(key.isNull(), F.lit(0)).otherwise(found).cast("int")
 
 

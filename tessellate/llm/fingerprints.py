@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, range_bounds, range_of
+from .common import long_array, partitions, range_bounds, range_of
 
 SUBTABLES = 3  # a digest goes to one cell of each
 CELLS = 24  # of a published fingerprint
@@ -187,11 +187,11 @@ def fingerprint_edits(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     present = sorted(last)
     after = dict(zip(present, present[1:] + present[:1]))
     size = max(present, default=0) + 1
-    ends = F.array(*[F.lit(last.get(p)).cast("long") for p in range(size)])
-    nexts = F.array(*[F.lit(after.get(p, 0)) for p in range(size)])
+    ends = long_array([last.get(p) for p in range(size)])
+    nexts = long_array([after.get(p, 0) for p in range(size)])
     at_end = F.col("doc_id").eqNullSafe(F.element_at(ends, F.col("part") + 1))
     own = F.struct(F.col("part"), F.lit(True).alias("own"))
-    halo = F.struct(F.element_at(nexts, F.col("part") + 1).alias("part"), F.lit(False).alias("own"))
+    halo = F.struct(F.element_at(nexts, F.col("part") + 1).cast("int").alias("part"), F.lit(False).alias("own"))
     placed = ranged.select("doc_id", "text", F.explode(F.when(at_end, F.array(own, halo)).otherwise(F.array(own))).alias("to"))
 
     def results(rows, following, following_digests):

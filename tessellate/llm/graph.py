@@ -10,8 +10,9 @@ from .common import stored
 
 def _with_minimum(sym: DataFrame) -> DataFrame:
     """Each (u, v) with ``m``, the least of u and its neighbours. The minimum is
-    aggregated before the shuffle; a hub's rows are split by the skew join."""
-    low = sym.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+    aggregated before the shuffle and stored, so that the join shuffles both
+    sides itself and can split the rows of a hub."""
+    low = stored(sym.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "least")
     return sym.join(low, F.col("u") == F.col("w")).select("u", "v", F.least("u", "m").alias("m"))
 
 

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # Comments, elements whose content is no markup, and tags. Quantifiers don't give back, so broken markup costs no time.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -234,8 +236,10 @@ def extract(pages: DataFrame) -> DataFrame:
                                               "votes": pa.array(list(votes.values()), pa.int64())})
 
     votes = hosted.select("host", "html").mapInArrow(vote, "host string, path string, votes long")
-    winners = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes")).groupBy(
-        F.col("host").alias("of_host")).agg(F.max_by("path", F.struct("votes", F.size(F.split("path", ">")), "path")).alias("path"))
+    # stored, so that the join below shuffles both sides itself and can split a host's pages
+    winners = stored(votes.groupBy("host", "path").agg(F.sum("votes").alias("votes")).groupBy(
+        F.col("host").alias("of_host")).agg(F.max_by("path", F.struct("votes", F.size(F.split("path", ">")), "path")).alias("path")),
+        "host-paths")
 
     def again(batches):
         for batch in batches:

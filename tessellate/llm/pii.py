@@ -182,8 +182,9 @@ def pseudonymise(docs: DataFrame, key: str = "tessellate") -> DataFrame:
     hits = rows.where(found).withColumn("digest", F.sha2("body", 256))
     pairs = stored(hits.select("digest", F.explode(F.array_distinct(spans)).alias("value")).distinct(), "entities")
     swap = replacements(pairs.select("value").distinct(), key).select(F.col("value").alias("v"), "replacement")
-    by_text = (pairs.join(swap, F.col("value") == F.col("v")).groupBy(F.col("digest").alias("of_digest"))
-               .agg(F.map_from_entries(F.collect_list(F.struct("value", "replacement"))).alias("swap")))
+    # stored, so that the join below shuffles both sides itself and can split the copies of one text
+    by_text = stored(pairs.join(swap, F.col("value") == F.col("v")).groupBy(F.col("digest").alias("of_digest"))
+                     .agg(F.map_from_entries(F.collect_list(F.struct("value", "replacement"))).alias("swap")), "surrogates-of")
     put = F.zip_with(F.split("body", ENTITY, -1), F.transform(spans, lambda s: F.element_at("swap", s)),
                      lambda text, r: F.concat(text, F.coalesce(r, F.lit(""))))
     changed = hits.join(by_text, F.col("digest") == F.col("of_digest")).select(
