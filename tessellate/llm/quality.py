@@ -131,18 +131,30 @@ def fit(trusted: DataFrame, order: int = ORDER, most_grams: int = MOST_GRAMS) ->
     """
     counts = stored(count_grams(trusted, order), "grams")
     tables, contexts, unseen = kneser_ney(counts, order)
-
-    def bounded(frames, value: str) -> dict[str, float]:
-        out = {}
-        for t in frames:
-            least = 1
-            while t.where(F.col("c") >= least).count() > most_grams:
-                least *= 2
-            for gram, x in t.where(F.col("c") >= least).select("gram", value).toLocalIterator(True):
-                out[gram] = math.log(x)
-        return out
-
-    return {"grams": bounded(tables, "p"), "rests": bounded(contexts, "rest"), "order": order, "unseen": math.log(unseen)}
+    frames = [*(t.select("gram", "c", F.col("p").alias("x")) for t in tables),
+              *(t.select("gram", "c", F.col("rest").alias("x")) for t in contexts)]
+    rows = None
+    for i, t in enumerate(frames):
+        t = t.withColumn("i", F.lit(i))
+        rows = t if rows is None else rows.union(t)
+    rows = stored(rows, "model")
+    # rows of each table by the power of two that their count reaches
+    sizes = rows.groupBy("i", F.floor(F.log2("c")).alias("power")).count().collect()
+    least = []
+    for i in range(len(frames)):
+        powers = sorted(((r["power"], r["count"]) for r in sizes if r["i"] == i), reverse=True)
+        kept, power = 0, powers[0][0] + 1 if powers else 0
+        for at, n in powers:
+            if kept + n > most_grams:
+                break
+            kept, power = kept + n, at
+        least.append(2 ** power)
+    bound = F.element_at(F.array(*[F.lit(n).cast("long") for n in least]), F.col("i") + 1)
+    kept = rows.where(F.col("c") >= bound).select("i", "gram", F.log("x").alias("x")).toPandas()
+    model: dict = {"grams": {}, "rests": {}, "order": order, "unseen": math.log(unseen)}
+    for i, part in kept.groupby("i"):
+        model["grams" if i < len(tables) else "rests"].update(zip(part["gram"], part["x"]))
+    return model
 
 
 def log_probability(gram: str, model: dict) -> float:
