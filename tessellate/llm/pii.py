@@ -31,7 +31,7 @@ _ASSIGN = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"'
 # Kinds in the order in which they are tried at a place.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "secret": r"(?<![\p{L}\p{N}])" + _ASSIGN + r"(?=[^\s\"']{0,200}[0-9])[^\s\"']{6,200}",
+    "secret": r"(?<![\p{L}\p{N}])(?=[PpSsTtAa])" + _ASSIGN + r"(?=[^\s\"']{0,200}[0-9])[^\s\"']{6,200}",
     "key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])",
     "hex": r"(?<![\p{L}\p{N}])(?=[A-Fa-f]{0,60}[0-9])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)",
@@ -40,9 +40,10 @@ KINDS = {
              r"|\+1[^\p{L}\p{N}\n]{0,6}\(\d{3}\)[^\p{L}\p{N}\n]{0,6}\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "card": r"(?<![\p{L}\p{N}.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?{_NAME}|(?:{_GIVEN}) {_NAME})",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?=[\p{{Lu}}гκ])(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?{_NAME}|(?:{_GIVEN}) {_NAME})",
 }
-ENTITY = "|".join(KINDS.values())
+# Every kind begins where no letter or digit stands before, so most places are passed over by one look.
+ENTITY = r"(?<![\p{L}\p{N}])(?:" + "|".join(KINDS.values()) + ")"
 MAX_ROUNDS = 40
 
 
@@ -179,7 +180,9 @@ def pseudonymise(docs: DataFrame, key: str = "tessellate") -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").cast("string").alias("body"))
     found = F.coalesce(F.col("body").rlike(ENTITY), F.lit(False))
     spans = F.regexp_extract_all("body", F.lit(ENTITY), F.lit(0))
-    hits = rows.where(found).withColumn("digest", F.sha2("body", 256))
+    # read once more than needed here, but not searched again
+    hits = stored(rows.where(found).withColumn("digest", F.sha2("body", 256)).withColumn("spans", spans), "entity-texts")
+    spans = F.col("spans")
     pairs = stored(hits.select("digest", F.explode(F.array_distinct(spans)).alias("value")).distinct(), "entities")
     swap = replacements(pairs.select("value").distinct(), key).select(F.col("value").alias("v"), "replacement")
     # stored, so that the join below shuffles both sides itself and can split the copies of one text
