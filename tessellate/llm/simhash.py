@@ -141,7 +141,9 @@ def links(fps: DataFrame, radius: int = 3, bucket_bytes: int = 16 << 20) -> Data
         return pa.table({"a": edges[:, 0].astype(np.uint64).view(np.int64) if len(edges) else np.empty(0, np.int64),
                          "b": np.ascontiguousarray(edges[:, 1]).view(np.int64) if len(edges) else np.empty(0, np.int64)})
 
-    packed = fps.select(F.col("fp").cast("long")).mapInArrow(emit, "bucket int, variants binary, flips binary")
+    # a fingerprint makes kilobytes, so few of them fill a task
+    spread = fps.select(F.col("fp").cast("long")).repartition(buckets // 4 + 1, "fp")
+    packed = spread.mapInArrow(emit, "bucket int, variants binary, flips binary")
     return (packed.repartition(buckets, "bucket").groupBy("bucket")
             .applyInArrow(meet, "a long, b long").distinct())
 
