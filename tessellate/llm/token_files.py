@@ -39,7 +39,7 @@ from .common import partitions, per_worker
 
 SCHEMA = ("shard_id long, shard_tie long, block int, width int, first long, n_ids long, "
           "doc_ids array<bigint>, n_tokens array<bigint>, payload binary")
-KEPT = 400_000  # distinct words, and runs of them, whose ids a worker remembers
+KEPT = 300_000  # distinct words, and runs of them, in each of the two generations a worker remembers
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -76,12 +76,40 @@ def _class(kind: str) -> str:
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
+class Memo:
+    """A bounded memory: once ``most`` entries are new, those before them are
+    forgotten, save the ones that were asked for meanwhile."""
+
+    def __init__(self, make, most: int = KEPT):
+        self.make, self.most = make, most
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __call__(self, key: str) -> bytes:
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = self.make(key)
+            if len(self.new) >= self.most:
+                self.old, self.new = self.new, {}
+            self.new[key] = value
+        return value
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters that byte-level models write bytes as: printable Latin-1
+    characters stand for themselves, the others for 256 and on."""
+    plain = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    return {b: 256 + i for i, b in enumerate(sorted({*range(256)} - plain))}
+
+
 class WordEncoder:
     """Ids of texts by a ``tokenizers`` file.
 
     Where the file lower-cases, composes (NFC) and then keeps the matches of a
-    pattern as words, a text's ids are those of its words, and each distinct
-    word goes through the library once. No word has white space in it, so the
+    pattern as words, a text's ids are those of its words, and the library's
+    model gets each word alone, and the more frequent ones once. No word has white space in it, so the
     ids of each distinct run between white space are remembered as well. Any
     other file, and any text whose composed lower-case form is not stable or
     that holds a separator which only Python takes for white space, goes
@@ -93,8 +121,9 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(tokenizer_file)
         self.library.encode_special_tokens = True  # their names in a text are text
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self.words = Memo(self._word)
+        self.runs = Memo(lambda run: b"".join([self.words(w) for w in self.pattern.findall(run)]))
         self.pattern = None
         with open(tokenizer_file, encoding="utf-8") as f:
             made = json.load(f)
@@ -118,23 +147,20 @@ class WordEncoder:
         if not unicodedata.is_normalized("NFC", composed) or _SEPARATORS.search(composed):
             return self._whole(text)
         runs, known = composed.split(), self.runs
+        new = known.new
         try:
-            return b"".join([known[r] for r in runs])
+            return b"".join([new[r] for r in runs])
         except KeyError:
-            if len(known) > KEPT:
-                known.clear()
             for r in runs:
-                if r not in known:
-                    known[r] = b"".join([self._word(w) for w in self.pattern.findall(r)])
-            return b"".join([known[r] for r in runs])
+                if r not in new:
+                    known(r)
+            if known.new is new:
+                return b"".join([new[r] for r in runs])
+            return b"".join([known(r) for r in runs])
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) > KEPT:
-                self.words.clear()
-            ids = self.words[word] = self._whole(word)
-        return ids
+        spelt = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.library.model.tokenize(spelt)], "<u4").tobytes()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
