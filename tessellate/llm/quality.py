@@ -14,10 +14,11 @@ from .common import salted_join, stored
 
 ORDER = 5  # characters of the longest n-gram
 START = "\x02"  # stands before a text
-MOST_GRAMS = 400_000  # n-grams of each length that are sent to the tasks
+MOST_GRAMS = 100_000  # n-grams of each length that are sent to the tasks
 QUANTILE = 0.99  # of the trusted documents' log perplexities, by language
-SLACK = 0.15  # added to it, in log perplexity
+SLACK = 0.2  # added to it, in log perplexity
 SHRINK = 60  # characters by which a short text's mean is drawn to the trusted one
+FILTER_BITS = 1 << 23  # of the pre-filter for trusted documents: 131,072 rows at most
 SLICE = 1 << 21  # characters at once
 
 
@@ -150,10 +151,11 @@ def fit(trusted: DataFrame, order: int = ORDER, most_grams: int = MOST_GRAMS) ->
             kept, power = kept + n, at
         least.append(2 ** power)
     bound = F.element_at(F.array(*[F.lit(n).cast("long") for n in least]), F.col("i") + 1)
-    kept = rows.where(F.col("c") >= bound).select("i", "gram", F.log("x").alias("x")).toPandas()
+    kept = rows.where(F.col("c") >= bound).select("i", "gram", F.log("x").alias("x")).toArrow()
     model: dict = {"grams": {}, "rests": {}, "order": order, "unseen": math.log(unseen)}
-    for i, part in kept.groupby("i"):
-        model["grams" if i < len(tables) else "rests"].update(zip(part["gram"], part["x"]))
+    for batch in kept.to_batches(max_chunksize=10_000):
+        for i, gram, x in zip(*(c.to_pylist() for c in batch.columns)):
+            model["grams" if i < len(tables) else "rests"][gram] = x
     return model
 
 
@@ -201,6 +203,22 @@ def perplexities(docs: DataFrame, model: dict) -> DataFrame:
         run, "doc_id long, lang string, n long, nll double")
 
 
+def trusted_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is among ``good.good_id``.
+
+    A bit map of the ids' hashes, of at most FILTER_BITS / 64 rows however many
+    ids there are, goes to the tasks first, so that the join shuffles little
+    more than the texts that it keeps.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    words = (good.where(F.col("good_id").isNotNull())
+             .select(F.floor(bit("good_id") / 64).alias("word"), (bit("good_id") % 64).cast("int").alias("at"))
+             .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")))
+    marked = (docs.join(F.broadcast(words), F.floor(bit("doc_id") / 64) == F.col("word"))
+              .where(F.getbit("bits", (bit("doc_id") % 64).cast("int")) == 1).drop("word", "bits"))
+    return marked.join(good, F.col("doc_id") == F.col("good_id"), "left_semi")
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """``doc_id, lang, perplexity, threshold, accepted`` of every row of
     ``docs(doc_id, text, lang)``, by ``labels(doc_id, quality, toxic)``.
@@ -221,7 +239,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     good = (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(
         F.col("doc_id").cast("long").alias("good_id")).distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    model = fit(texts.join(good, F.col("doc_id") == F.col("good_id"), "left_semi"))
+    model = fit(trusted_texts(texts, good))
     scored = stored(perplexities(docs, model), "perplexities")
     of_trusted = scored.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n > 0")
     means = _by_language(of_trusted, F.sum("nll") / F.sum("n"), "mean", scored)

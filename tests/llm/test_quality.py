@@ -89,6 +89,14 @@ def test_perplexities_of_whole_texts(spark):
         assert r.n == len(r.text) and math.isclose(r.nll, want, rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_trusted_texts_are_those_of_a_plain_join(spark):
+    docs = spark.range(3000).selectExpr("id * 7 AS doc_id", "cast(id AS string) AS text").union(
+        spark.createDataFrame([(None, "no id"), (14, "again")], "doc_id long, text string"))
+    good = spark.range(0, 40_000, 14).selectExpr("id AS good_id").union(spark.createDataFrame([(None,)], "good_id long"))
+    got = sorted((r.doc_id, r.text) for r in quality.trusted_texts(docs, good).collect())
+    assert got == sorted([(i * 7, str(i)) for i in range(0, 3000, 2)] + [(14, "again")])
+
+
 def test_query_keeps_good_and_rejects_bad_documents(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op10_quality"](spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").count()
