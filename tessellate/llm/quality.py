@@ -216,7 +216,8 @@ def trusted_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
              .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")))
     marked = (docs.join(F.broadcast(words), F.floor(bit("doc_id") / 64) == F.col("word"))
               .where(F.getbit("bits", (bit("doc_id") % 64).cast("int")) == 1).drop("word", "bits"))
-    return marked.join(good, F.col("doc_id") == F.col("good_id"), "left_semi")
+    # ids are distinct, so this keeps each text once; a semi join would be planned before the bit map
+    return marked.join(good.distinct(), F.col("doc_id") == F.col("good_id")).drop("good_id")
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
