@@ -14,7 +14,7 @@ from .common import salted_join, stored
 
 ORDER = 5  # characters of the longest n-gram
 START = "\x02"  # stands before a text
-MOST_GRAMS = 100_000  # n-grams of each length that are sent to the tasks
+BLOCK = 1 << 23  # characters of the documents whose n-grams are looked up together
 QUANTILE = 0.99  # of the trusted documents' log perplexities, by language
 SLACK = 0.2  # added to it, in log perplexity
 SHRINK = 60  # characters by which a short text's mean is drawn to the trusted one
@@ -120,42 +120,32 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> tuple[list[DataFrame],
     return out, contexts, unseen
 
 
-def fit(trusted: DataFrame, order: int = ORDER, most_grams: int = MOST_GRAMS) -> dict:
-    """A model from all of ``trusted(text)``: log probabilities of n-grams of all
-    lengths, log weights that contexts leave, and the log probability of a
-    character that never occurs.
+def fit(trusted: DataFrame, order: int = ORDER, most_grams: int | None = None) -> dict:
+    """A model from all of ``trusted(text)`` in the driver's memory, for small texts: log
+    probabilities of n-grams of all lengths, log weights that contexts leave,
+    and the log probability of a character that never occurs. ``classify``
+    looks n-grams up in the stored tables instead (``score``).
 
-    Counts, continuation counts, discounts and probabilities are those of the
-    whole text. What is sent to the tasks is bounded: of a table with over
-    ``most_grams`` rows those are left out whose count is below a power of
-    two, and score by their shorter forms.
+    With ``most_grams``, of a table with more rows those are left out whose
+    count is below a power of two, and score by their shorter forms.
     """
     counts = stored(count_grams(trusted, order), "grams")
     tables, contexts, unseen = kneser_ney(counts, order)
     frames = [*(t.select("gram", "c", F.col("p").alias("x")) for t in tables),
               *(t.select("gram", "c", F.col("rest").alias("x")) for t in contexts)]
-    rows = None
-    for i, t in enumerate(frames):
-        t = t.withColumn("i", F.lit(i))
-        rows = t if rows is None else rows.union(t)
-    rows = stored(rows, "model")
-    # rows of each table by the power of two that their count reaches
-    sizes = rows.groupBy("i", F.floor(F.log2("c")).alias("power")).count().collect()
-    least = []
-    for i in range(len(frames)):
-        powers = sorted(((r["power"], r["count"]) for r in sizes if r["i"] == i), reverse=True)
-        kept, power = 0, powers[0][0] + 1 if powers else 0
-        for at, n in powers:
-            if kept + n > most_grams:
-                break
-            kept, power = kept + n, at
-        least.append(2 ** power)
-    bound = F.element_at(F.array(*[F.lit(n).cast("long") for n in least]), F.col("i") + 1)
-    kept = rows.where(F.col("c") >= bound).select("i", "gram", F.log("x").alias("x")).toArrow()
     model: dict = {"grams": {}, "rests": {}, "order": order, "unseen": math.log(unseen)}
-    for batch in kept.to_batches(max_chunksize=10_000):
-        for i, gram, x in zip(*(c.to_pylist() for c in batch.columns)):
-            model["grams" if i < len(tables) else "rests"][gram] = x
+    for i, t in enumerate(frames):
+        if most_grams is not None:
+            # rows by the power of two that their count reaches
+            powers = sorted(t.groupBy(F.floor(F.log2("c")).alias("power")).count().collect(), reverse=True)
+            kept, power = 0, powers[0]["power"] + 1 if powers else 0
+            for at, n in powers:
+                if kept + n > most_grams:
+                    break
+                kept, power = kept + n, at
+            t = t.where(F.col("c") >= 2 ** power)
+        for batch in t.select("gram", F.log("x").alias("x")).toArrow().to_batches(max_chunksize=10_000):
+            model["grams" if i < len(tables) else "rests"].update(zip(*(c.to_pylist() for c in batch.columns)))
     return model
 
 
@@ -173,8 +163,8 @@ def log_probability(gram: str, model: dict) -> float:
 
 def perplexities(docs: DataFrame, model: dict) -> DataFrame:
     """``doc_id, lang, n, nll`` of every row: its characters and the sum of their
-    negative log probabilities. Null texts have no characters."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by fit()
+    negative log probabilities, by a model of ``fit``. Null texts have no characters."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # small, see fit()
 
     def run(batches):
         model, memo = sent.value, {}
@@ -203,6 +193,68 @@ def perplexities(docs: DataFrame, model: dict) -> DataFrame:
         run, "doc_id long, lang string, n long, nll double")
 
 
+def resolve(grams: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], unseen: float) -> DataFrame:
+    """``gram, x``: the log probability of distinct n-grams of the length of the last of
+    ``tables``, by hash joins with the model's tables. Those not found take the
+    weight their context leaves and the log probability of the n-gram without
+    its first character, which are looked up likewise."""
+    k = len(tables)
+    known = tables[-1].select(F.col("gram").alias("g"), F.log("p").alias("x"))
+    looked = stored(grams.join(known, F.col("gram") == F.col("g"), "left").select("gram", "x"), "looked-up")
+    found, missed = looked.where(F.col("x").isNotNull()), looked.where(F.col("x").isNull())
+    if k == 1:
+        return found.union(missed.select("gram", F.lit(math.log(unseen)).alias("x")))
+    missed = missed.select("gram", F.expr(f"substring(gram, 1, {k - 1})").alias("context"), F.expr("substring(gram, 2)").alias("suffix"))
+    shorter = resolve(missed.select(F.col("suffix").alias("gram")).distinct(), tables[:-1], contexts[:-1], unseen).select(
+        F.col("gram").alias("s"), "x")
+    left = contexts[-1].select(F.col("gram").alias("ctx"), F.log("rest").alias("w"))
+    backed = (missed.join(left, F.col("context") == F.col("ctx"), "left").join(shorter, F.col("suffix") == F.col("s"))
+              .select("gram", (F.coalesce("w", F.lit(0.0)) + F.col("x")).alias("x")))
+    return found.union(backed)
+
+
+def score(docs: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], unseen: float, block: int = BLOCK) -> DataFrame:
+    """As ``perplexities``, by the tables of ``kneser_ney``, however large they are.
+
+    Documents fall into blocks of about ``block`` characters. The distinct
+    n-grams of a block are joined with the resolved ones of the corpus, and
+    come back to its texts. A frequent n-gram has a row for each block, not for
+    each document, so no join key is hotter than the number of blocks.
+    """
+    order = len(tables)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n = max(1, math.ceil((texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0) / block))
+    # empty texts have nothing to look up
+    blocked = texts.where("text != ''").select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block"), "doc_id", "lang", "text")
+
+    def distinct(key, rows):
+        found, all_texts = set(), rows.column("text").to_pylist()
+        for a, b in _slices(all_texts):
+            found.update(grams_of(all_texts[a:b], order)[1])
+        return pa.table({"block": pa.array([key[0].as_py()] * len(found), pa.int64()), "gram": pa.array(list(found), pa.string())})
+
+    grams = stored(blocked.groupBy("block").applyInArrow(distinct, "block long, gram string"), "block-grams")
+    logs = resolve(grams.select("gram").distinct(), tables, contexts, unseen).select(F.col("gram").alias("g"), "x")
+    looked = grams.join(logs, F.col("gram") == F.col("g")).select("block", "gram", "x")
+
+    def run(rows, found):
+        log_of = dict(zip(found.column("gram").to_pylist(), found.column("x").to_pylist()))
+        all_texts = rows.column("text").to_pylist()
+        nll = np.zeros(len(all_texts))
+        for a, b in _slices(all_texts):
+            codes, distinct, lengths = grams_of(all_texts[a:b], order)
+            scores = np.array([log_of[g] for g in distinct])
+            sums = np.concatenate([[0.0], np.cumsum(scores[codes])])
+            ends = np.cumsum(lengths)
+            nll[a:b] = sums[ends - lengths] - sums[ends]
+        return pa.table([rows.column("doc_id"), rows.column("lang"), pa.array([len(t) for t in all_texts], pa.int64()),
+                         pa.array(nll)], ["doc_id", "lang", "n", "nll"])
+
+    scored = blocked.groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(run, "doc_id long, lang string, n long, nll double")
+    return scored.union(texts.where("text = ''").select("doc_id", "lang", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("nll")))
+
+
 def trusted_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among ``good.good_id``.
 
@@ -240,8 +292,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     good = (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(
         F.col("doc_id").cast("long").alias("good_id")).distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    model = fit(trusted_texts(texts, good))
-    scored = stored(perplexities(docs, model), "perplexities")
+    counts = stored(count_grams(trusted_texts(texts, good)), "grams")
+    scored = stored(score(docs, *kneser_ney(counts)), "perplexities")
     of_trusted = scored.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n > 0")
     means = _by_language(of_trusted, F.sum("nll") / F.sum("n"), "mean", scored)
     lang = F.coalesce("lang", F.lit(""))

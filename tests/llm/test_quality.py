@@ -119,3 +119,30 @@ def test_edge_rows(spark):
     none = quality.classify(docs, labels.limit(0)).collect()
     assert len(none) == 7 and all(r.accepted and r.threshold is None for r in none)
     assert quality.classify(docs.limit(0), labels).count() == 0
+
+
+def test_rare_grams_of_large_corpora_count(spark):
+    import random
+
+    draw = random.Random(5)
+    # more distinct n-grams than 100,000, almost all of them once
+    texts = ["".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(30_000)) for _ in range(4)]
+    docs = documents(spark, [(i, t) for i, t in enumerate(texts)] + [(9, texts[0][:500] + "x" + texts[1][:500])])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality long, toxic long")
+    model = quality.fit(docs.where("doc_id < 9").select("text"))
+    assert sum(len(g) == quality.ORDER for g in model["grams"]) > 100_000
+    nll = {r.doc_id: r.nll for r in quality.perplexities(docs, model).collect()}
+    mean = sum(nll[i] for i in range(4)) / 120_000
+    want = (nll[9] + quality.SHRINK * mean) / (1001 + quality.SHRINK)
+    seen = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    assert math.isclose(math.log(seen[9].perplexity), want, rel_tol=1e-9)
+
+
+def test_joined_scores_equal_those_of_the_gathered_model(spark):
+    docs = documents(spark, [(i, t) for i, t in enumerate(TEXTS)] + [(90, "the cat " * 500), (91, None), (None, "xyz 𝔘 log"), (1, TEXTS[1])])
+    trusted = docs.where("doc_id < 5").select("text")
+    model = quality.fit(trusted, 3)
+    tables = quality.kneser_ney(quality.count_grams(trusted, 3), 3)
+    plain = lambda df: sorted((r.doc_id or -1, r.lang, r.n, round(r.nll, 8)) for r in df.collect())
+    for block in (10, 1 << 20):
+        assert plain(quality.score(docs, *tables, block=block)) == plain(quality.perplexities(docs, model))
