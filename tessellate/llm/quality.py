@@ -16,7 +16,8 @@ ORDER = 5  # characters of the longest n-gram
 START = "\x02"  # stands before a text
 BLOCK = 1 << 23  # characters of the documents whose n-grams are looked up together
 QUANTILE = 0.99  # of the trusted documents' log perplexities, by language
-SLACK = 0.2  # added to it, in log perplexity
+HELD_OUT = 10  # one of so many trusted texts is scored by a model of the others
+SLACK = 0.15  # log perplexity added to the in-sample quantile of a language without held-out texts
 SHRINK = 60  # characters by which a short text's mean is drawn to the trusted one
 FILTER_BITS = 1 << 23  # of the pre-filter for trusted documents: 131,072 rows at most
 SLICE = 1 << 21  # characters at once
@@ -272,14 +273,17 @@ def trusted_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
     return marked.join(good.distinct(), F.col("doc_id") == F.col("good_id")).drop("good_id")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id, lang, perplexity, threshold, accepted`` of every row of
     ``docs(doc_id, text, lang)``, by ``labels(doc_id, quality, toxic)``.
 
     Documents labelled quality 1 and not toxic are trusted. A model of all
     their text scores every document; a document is rejected if its log
-    perplexity is above the ``quantile`` of its language's trusted documents
-    plus ``slack``. A text's mean is taken with SHRINK characters of the
+    perplexity is above the ``quantile`` of its language's trusted documents.
+    Since a model knows its own texts too well, the quantile is that of one
+    in HELD_OUT trusted texts (copies together) under a model of the others,
+    or that of all under the whole model if it is greater. A language with
+    none held out has the latter and SLACK. A text's mean is taken with SHRINK characters of the
     language's trusted mean, since a few characters tell little.
 
     Null and empty texts are accepted with perplexity 1; a null lang is a
@@ -291,17 +295,25 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     """
     good = (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(
         F.col("doc_id").cast("long").alias("good_id")).distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    counts = stored(count_grams(trusted_texts(texts, good)), "grams")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang"), F.col("text").cast("string").alias("text"))
+    held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
+    others = stored(count_grams(trusted_texts(texts.where(~held), good)), "grams")
+    rest = stored(count_grams(trusted_texts(texts.where(held), good)), "grams")
+    counts = others.union(rest).groupBy("gram").agg(F.sum("c").alias("c"))
     scored = stored(score(docs, *kneser_ney(counts)), "perplexities")
+    unseen = stored(score(trusted_texts(texts.where(held), good), *kneser_ney(others)), "perplexities").where("n > 0")
     of_trusted = scored.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n > 0")
     means = _by_language(of_trusted, F.sum("nll") / F.sum("n"), "mean", scored)
     lang = F.coalesce("lang", F.lit(""))
     drawn = (F.col("nll") + SHRINK * F.col("mean")) / (F.col("n") + SHRINK)
     value = F.when(F.col("n") > 0, F.coalesce(drawn, F.col("nll") / F.col("n"))).otherwise(F.lit(0.0))
-    valued = salted_join(scored.withColumn("key", lang), means, "key", "of_lang").select("doc_id", "lang", "n", value.alias("value"))
+    valued, of_unseen = (salted_join(x.withColumn("key", lang), means, "key", "of_lang").select(
+        "doc_id", "lang", "n", value.alias("value")) for x in (scored, unseen))
     again = valued.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n > 0")
-    limits = _by_language(again, F.percentile_approx("value", quantile, 10_000) + slack, "limit", scored)
+    cut = F.percentile_approx("value", quantile, 10_000)
+    strict = of_unseen.groupBy(lang.alias("held_lang")).agg(cut.alias("held_limit"))
+    limits = _by_language(again, cut, "limit", scored).join(strict, F.col("of_lang") == F.col("held_lang"), "left").select(
+        "of_lang", F.greatest("limit", F.coalesce("held_limit", F.col("limit") + SLACK)).alias("limit"))
     return salted_join(valued.withColumn("key", lang), limits, "key", "of_lang").select(
         "doc_id", "lang", F.exp("value").alias("perplexity"), F.exp("limit").alias("threshold"),
         F.coalesce(F.col("value") <= F.col("limit"), F.lit(True)).alias("accepted"))

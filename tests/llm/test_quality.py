@@ -146,3 +146,18 @@ def test_joined_scores_equal_those_of_the_gathered_model(spark):
     plain = lambda df: sorted((r.doc_id or -1, r.lang, r.n, round(r.nll, 8)) for r in df.collect())
     for block in (10, 1 << 20):
         assert plain(quality.score(docs, *tables, block=block)) == plain(quality.perplexities(docs, model))
+
+
+def test_threshold_is_the_quantile_of_held_out_documents(spark):
+    import random
+
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(3, 8))) for _ in range(300)]
+    prose = lambda: " ".join(draw.choice(words) for _ in range(60))
+    mixed = lambda: prose()[:310] + " " + "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40))
+    rows = ([(i, prose()) for i in range(400)] + [(i, prose()) for i in range(400, 600)] + [(i, mixed()) for i in range(600, 700)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id long, quality long, toxic long")
+    got = {r.doc_id: r.accepted for r in quality.classify(documents(spark, rows), labels).collect()}
+    clean = sum(got[i] for i in range(400, 600)) / 200
+    junk = sum(got[i] for i in range(600, 700)) / 100
+    assert clean >= 0.95 and junk <= 0.05, (clean, junk)
