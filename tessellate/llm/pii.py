@@ -31,9 +31,9 @@ _ASSIGN = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"'
 # Kinds in the order in which they are tried at a place.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "secret": r"(?<![\p{L}\p{N}])(?=[PpSsTtAa])" + _ASSIGN + r"(?=[^\s\"']{0,200}[0-9])[^\s\"']{6,200}",
+    "secret": r"(?<![\p{L}\p{N}])(?=[PpSsTtAa])" + _ASSIGN + r"(?=[^\s\"'\p{L}\p{N}]*+[\p{L}\p{N}])[^\s\"']{6,}+",
     "key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])",
-    "hex": r"(?<![\p{L}\p{N}])(?=[A-Fa-f]{0,60}[0-9])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
+    "hex": r"(?<![\p{L}\p{N}])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
@@ -91,6 +91,7 @@ def _expressions() -> tuple[str, str, str]:
              when {char} between '0' and '9' then cast({pair} % 10 as string)
              when {char} between 'a' and 'z' then substring('abcdefghijklmnopqrstuvwxyz', 1 + {pair} % if({hexed}, 6, 26), 1)
              when {char} between 'A' and 'Z' then substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ', 1 + {pair} % if({hexed}, 6, 26), 1)
+             when part_kind in ('email', 'secret') and {char} rlike '[\\\\p{{L}}\\\\p{{N}}]' then substring('abcdefghijklmnopqrstuvwxyz', 1 + {pair} % 26, 1)
              else {char} end), '')"""
     ip = f"array_join(transform(sequence(1, 4), i -> cast(1 + {pair} % 254 as string)), '.')"
 
@@ -108,7 +109,9 @@ def _expressions() -> tuple[str, str, str]:
     body = "substring(shape, 1, length(norm) - 1)"
     digit = f"(10 - {luhn.format(s=f'concat({body}, 0)')} % 10) % 10"
     card = f"if({luhn.format(s='norm')} % 10 = 0, concat({body}, cast({digit} as string)), shape)"
-    return stream, same_shape, f"case when part_kind = 'ip' then {ip} when part_kind = 'card' then {card} {cases} else shape end"
+    # a secret of few letters and digits gets longer with the attempts, as names do
+    return stream, same_shape, (f"case when part_kind = 'ip' then {ip} when part_kind = 'card' then {card} {cases} "
+                                f"when part_kind = 'secret' and attempt >= 8 then concat(shape, substring(stream, 1, attempt div 8)) else shape end")
 
 
 def _with_candidates(entities: DataFrame, key: str) -> DataFrame:

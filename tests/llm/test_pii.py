@@ -117,3 +117,16 @@ def test_edge_rows(spark):
     assert got[1].text is None and got[2].text == "" and got[0].text == got[3].text == got[4].text
     assert got[0].text.split()[1] == got[6].text and "10.1.2.3" not in got[5].text
     assert pii.pseudonymise(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("length", [201, 500, 5000])
+def test_long_secrets_are_replaced_to_their_end(spark, length):
+    value = ("Zq7-kXw_" * 700)[:length]
+    digits = ("0b96a8c8d79c4a50" * 400)[:length]
+    letters = "correcthorsebattery"
+    out = swap(spark, [f"token={value} end", f"sum {digits} end", f"password={letters} end", "password=******** end"])
+    new = out[0].removeprefix("token=").removesuffix(" end")
+    assert len(new) == length and value[-8:] not in new and value[:8] not in new
+    new = out[1].removeprefix("sum ").removesuffix(" end")
+    assert len(new) == length and digits[-16:] not in new
+    assert letters not in out[2] and out[2].endswith(" end") and out[3] == "password=******** end"
