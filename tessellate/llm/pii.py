@@ -28,9 +28,12 @@ _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 _TITLE = "|".join(MALE_TITLES + FEMALE_TITLES)
 _GIVEN = "|".join(MALE_NAMES + FEMALE_NAMES)
 _ASSIGN = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
+_DOMAIN = r"@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 # Kinds in the order in which they are tried at a place.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
+    # letters of scripts with case, or of those without (often written without spaces before a Latin address)
+    "email": r"(?:(?<![\p{Lu}\p{Ll}\p{M}\p{N}])[\p{Lu}\p{Ll}\p{N}][\p{Lu}\p{Ll}\p{M}\p{N}._%+-]{0,63}"
+             r"|(?<![\p{L}\p{M}\p{N}])\p{Lo}[\p{Lo}\p{M}\p{N}._%+-]{0,63})" + _DOMAIN,
     "secret": r"(?<![\p{L}\p{N}])(?=[PpSsTtAa])" + _ASSIGN + r"(?=[^\s\"'\p{L}\p{N}]*+[\p{L}\p{N}])[^\s\"']{6,}+",
     "key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])",
     "hex": r"(?<![\p{L}\p{N}])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+(?![\p{L}\p{N}])",
@@ -42,8 +45,8 @@ KINDS = {
     "card": r"(?<![\p{L}\p{N}.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?=[\p{{Lu}}гκ])(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?{_NAME}|(?:{_GIVEN}) {_NAME})",
 }
-# Every kind begins where no letter or digit stands before, so most places are passed over by one look.
-ENTITY = r"(?<![\p{L}\p{N}])(?:" + "|".join(KINDS.values()) + ")"
+# Every other kind than e-mail begins where no letter or digit stands before, so most places are passed over by one look.
+ENTITY = rf"(?:{KINDS['email']}|(?<![\p{{L}}\p{{N}}])(?:" + "|".join(p for k, p in KINDS.items() if k != "email") + "))"
 MAX_ROUNDS = 40
 
 

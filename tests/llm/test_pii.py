@@ -130,3 +130,14 @@ def test_long_secrets_are_replaced_to_their_end(spark, length):
     new = out[1].removeprefix("sum ").removesuffix(" end")
     assert len(new) == length and digits[-16:] not in new
     assert letters not in out[2] and out[2].endswith(" end") and out[3] == "password=******** end"
+
+
+def test_addresses_next_to_letters_of_other_scripts(spark):
+    texts = ["联系user@example.com", "señor.juan@example.com", "пишитеuser@example.com", "иван.user@example.com",
+             "用户@example.com。", "ask user@example.com联系"]
+    out = swap(spark, texts)
+    for old, new in zip(texts, out):
+        assert "@example" not in new and "user" not in new and "juan" not in new and "ñ" not in new, new
+    assert out[0].startswith("联系") and out[5].endswith("联系")
+    assert out[0].removeprefix("联系") == out[5].removeprefix("ask ").removesuffix("联系")
+    assert "иван" not in out[3] and "用户" not in out[4]
