@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessellate.session import scratch_path
 
-from . import byte_bpe, decontam, fingerprints, html_text, language_id, pii, preferences, quality, quality_rules, simhash, token_files
+from . import byte_bpe, decontam, fingerprints, html_text, language_id, merkle, pii, preferences, quality, quality_rules, simhash, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op10_quality(spark, sf_dir):
 def op13_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op12_merkle", merkle.MANIFEST_SQL)
+def op12_merkle(spark, sf_dir):
+    return merkle.tampered_rows(table(spark, sf_dir, "documents"))
