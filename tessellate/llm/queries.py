@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessellate.session import scratch_path
 
-from . import byte_bpe, decontam, fingerprints, html_text, language_id, merkle, pii, preferences, quality, quality_rules, simhash, token_files
+from . import byte_bpe, conversation_repair, decontam, fingerprints, html_text, language_id, merkle, pii, preferences, quality, quality_rules, simhash, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op13_quality_rules(spark, sf_dir):
 @query("op12_merkle", merkle.MANIFEST_SQL)
 def op12_merkle(spark, sf_dir):
     return merkle.tampered_rows(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_repair", conversation_repair.REPAIR_SQL)
+def op11_conversation_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(turns), turns)
