@@ -14,6 +14,7 @@ from tessellate.operators.split import global_position
 from .common import stored
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+CHECKED = 1_024  # rows folded at a time
 LEVELS = 12  # of a block: 4,096 leaves, or roots of blocks, in a task at a time
 
 # Where the sibling of a node on the way to the root stands.
@@ -175,30 +176,28 @@ def numbered(rows: DataFrame, group: str, order: list[str], levels: int = LEVELS
         *rows.columns, "tree", (F.col("pos") - F.col("tree")).alias("place"), "n")
 
 
-def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """``doc_id, leaf, tampered_leaf, subroot, root, sides, siblings`` of every row of
-    ``docs(doc_id, source, lang, n_chars, text)``: its place in the hash tree
-    over all rows, as binary digests, and its witness up to ``root``.
+def manifest(docs: DataFrame, start: Column | None = None, levels: int = LEVELS) -> DataFrame:
+    """``doc_id, leaf, start, subroot, root, sides, siblings`` of every row of ``docs(doc_id,
+    source, lang, n_chars, text)``: its place in the hash tree over all rows, as
+    binary digests, and its witness up to ``root``. ``start`` is any other digest
+    of the row to be carried along (null: the leaf).
 
     Leaves are the digests of FIELDS. Those of a lang form a tree, by doc_id
     (nulls first; rows with the same id by digest, so that repeated rows are
     leaves of their own whose order does not matter); the roots of these
-    trees, by lang (null first), form the tree of ``root``. ``tampered_leaf``
-    is the leaf if one is added to n_chars (a null n_chars stays).
+    trees, by lang (null first), form the tree of ``root``.
 
     Null and empty values, and texts of any length, have digests of their own;
     an empty table gives no rows; other columns are not read. A lang may hold
     any share of the rows: its leaves are sorted by ranges and hashed by blocks.
     """
-    cols = {c: F.col(c) for c in FIELDS}
-    changed = cols | {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
     # the text is read once; rows are numbered for the order of equal ones, which may be any, but must not change
     hashed = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        leaf(*cols.values()).alias("leaf"), leaf(*changed.values()).alias("tampered"),
+        leaf(*map(F.col, FIELDS)).alias("leaf"), (F.lit(None).cast("binary") if start is None else start).alias("start"),
         F.monotonically_increasing_id().alias("number")), "leaf-digests")
     placed = numbered(hashed, "lang", ["doc_id", "leaf", "number"])
-    rows, subroots = witnesses(placed.select("tree", "place", "n", F.struct("doc_id", "tampered").alias("row"),
+    rows, subroots = witnesses(placed.select("tree", "place", "n", F.struct("doc_id", "start").alias("row"),
                                              F.col("leaf").alias("root")), levels)
     # trees are numbered in the order of lang
     tops = numbered(stored(subroots.select(F.lit(0).alias("all"), F.col("tree").alias("lang_tree"), "root"), "subroots"),
@@ -208,36 +207,39 @@ def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     last = top_rows.select(F.col("row.lang_tree").alias("lang_tree"), F.col("leaf").alias("subroot"),
                            F.col("sides").alias("top_sides"), F.col("siblings").alias("top_siblings"))
     return rows.join(last, F.col("tree") == F.col("lang_tree")).select(
-        "row.doc_id", "leaf", F.col("row.tampered").alias("tampered_leaf"), "subroot",
+        "row.doc_id", "leaf", F.coalesce("row.start", "leaf").alias("start"), "subroot",
         F.lit(root["root"] if root else None).cast("binary").alias("root"),
         F.concat("sides", "top_sides").alias("sides"), F.concat("siblings", "top_siblings").alias("siblings"))
 
 
-def verify(rows: DataFrame, leaf_col: str) -> DataFrame:
-    """``rows(doc_id, leaf, subroot, root, sides, siblings)`` with hex digests, a digest of
-    the witness, ``folded_root`` that ``leaf_col`` and the witness lead to, and
+def verify(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, leaf, start, subroot, root, sides, siblings)`` with hex digests, a digest
+    of the witness, ``folded_root`` that ``start`` and the witness lead to, and
     whether it is ``root``."""
     def run(batches):
         for batch in batches:
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            folded = [fold(*x) for x in zip(*(c.to_pylist() for c in columns[4:]))]
-            hexed = [pa.array([d.hex() for d in c.to_pylist()], pa.string()) for c in columns[1:4]]
-            proofs = pa.array([hashlib.sha256(s.hex().encode()).hexdigest() for s in columns[6].to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [columns[0], *hexed, proofs, pa.array([f.hex() for f in folded]),
-                 pa.array([f == r for f, r in zip(folded, columns[3].to_pylist())])],
-                ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"])
-
-    return rows.select("doc_id", "leaf", "subroot", "root", F.col(leaf_col).alias("start"), "sides", "siblings").mapInArrow(
+            for at in range(0, batch.num_rows, CHECKED):
+                ids, *binary, sides, siblings = batch.slice(at, CHECKED).columns
+                leaves, starts, subroots, roots = (c.to_pylist() for c in binary)
+                siblings = siblings.to_pylist()
+                folded = [fold(*x) for x in zip(starts, sides.to_pylist(), siblings)]
+                proofs = [hashlib.sha256(s.hex().encode()).hexdigest() for s in siblings]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, *(pa.array([d.hex() for d in c], pa.string()) for c in (leaves, subroots, roots)),
+                     pa.array(proofs, pa.string()), pa.array([d.hex() for d in folded], pa.string()),
+                     pa.array([f == r for f, r in zip(folded, roots)], pa.bool_())],
+                    ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"])
+
+    return rows.select("doc_id", "leaf", "start", "subroot", "root", "sides", "siblings").mapInArrow(
         run, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
 
 
 def tampered_rows(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """The manifest of ``docs``, checked with every row's own leaf, or with the tampered
-    one where 7 divides the crc32 of its id."""
-    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
-    start = F.when(changed, F.coalesce("tampered_leaf", "leaf")).otherwise(F.col("leaf"))
-    return verify(manifest(docs, levels).withColumn("start", start), "start")
+    """The manifest of ``docs``, checked with every row's own leaf, or with that of the row
+    and one more in n_chars where 7 divides the crc32 of its id (nulls stay)."""
+    changed = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & F.col("n_chars").isNotNull()
+    more = [F.col("n_chars").cast("decimal(20,0)") + 1 if c == "n_chars" else F.col(c) for c in FIELDS]
+    return verify(manifest(docs, F.when(changed, leaf(*more)), levels))
 
 
 def _crc32_sql(text: str) -> str:
