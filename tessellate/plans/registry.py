@@ -94,4 +94,4 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def load_all() -> None:
     """Import every query module so their decorators run."""
     from . import (q_calendar, q_columns, q_features, q_forecast, q_ingest,  # noqa: F401
-                   q_maintenance, q_panel, q_relational)
+                   q_maintenance, q_models, q_panel, q_relational)
