@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions._util import as_list
+from ..session import stored
 
 
 def _gate(keys) -> Column:
@@ -47,35 +48,65 @@ def lag_features(df: DataFrame, keys, order, target: str, lags) -> DataFrame:
     return df.select("*", *lag_columns(keys, order, target, lags))
 
 
-_STATS = {"mean": F.avg, "std": F.stddev_samp}
+# Sums are exact: values, and squares as the nearest double, are added as decimals
+# with so many digits after the point, so they do not depend on the order.
+EXACT = "decimal(38,10)"
+NOISE = 1e-14  # share of the squares below which a sum of squared deviations is zero
+
+
+def exact(x) -> Column:
+    return (F.col(x) if isinstance(x, str) else x).cast("double").cast(EXACT)
+
+
+def moments(target: str) -> list[Column]:
+    """``_n, _s, _q``: count, exact sum and exact sum of squares, which merge by addition."""
+    x = F.col(target).cast("double")
+    return [F.count(target).alias("_n"), F.sum(exact(x)).alias("_s"), F.sum(exact(x * x)).alias("_q")]
+
+
+def mean_of(n: Column, s: Column) -> Column:
+    return F.when(n > 0, s.cast("double") / n)
+
+
+def std_of(n: Column, s: Column, q: Column) -> Column:
+    """Sample deviation from moments; null below two values."""
+    s, q = s.cast("double"), q.cast("double")
+    spread = q - s * s / n
+    return F.when(n > 1, F.when(spread <= NOISE * q, F.lit(0.0)).otherwise(F.sqrt(spread / (n - 1))))
 
 
 def rolling_features(df: DataFrame, keys, order, target: str, windows, lags,
                      stats=("mean", "std")) -> DataFrame:
     """``{target}_roll_{stat}_lag_{l}_win_{w}`` for every lag x window x stat.
 
-    A value needs all ``w`` observations present (pandas ``min_periods=w``),
-    enforced by gating on ``count(x) over frame == w``.
+    A value needs all ``w`` observations present (pandas ``min_periods=w``).
+    A window's moments are the difference of two running ones, ``w`` rows apart;
+    these are exact, so nothing is lost, and a long window costs as much as a
+    short one.
     """
     keys, order = as_list(keys), as_list(order)
     base = Window.partitionBy(*keys).orderBy(*order)
+    upto = base.rowsBetween(Window.unboundedPreceding, 0)
     g = _gate(keys)
-    tmp = {}
-    first = []
+    x = F.col(target).cast("double")
+    running = {"_n": F.count(target), "_s": F.sum(exact(x))} | ({"_q": F.sum(exact(x * x))} if "std" in stats else {})
+    summed = df.select("*", *[c.over(upto).alias(f"_run{n}") for n, c in running.items()])
+    tmp, values, parts = {}, [], []
     for win in windows:
-        frame = base.rowsBetween(-(int(win) - 1), 0)
-        full = F.count(target).over(frame) == int(win)
+        win = int(win)
+        of = {}
+        for n in running:
+            now, before = F.col(f"_run{n}"), F.coalesce(F.lag(f"_run{n}", win).over(base), F.lit(0))
+            parts.append((F.coalesce(now, F.lit(0)) - before).alias(f"_{win}{n}"))
+            of[n] = F.col(f"_{win}{n}")
+        full = of["_n"] == win
         for stat in stats:
-            name = f"__{stat}_{win}"
-            tmp[(stat, win)] = name
-            first.append(F.when(full, _STATS[stat](target).over(frame)).alias(name))
-    staged = df.select("*", *first)
-    out = []
-    for lag in lags:
-        for win in windows:
-            for stat in stats:
-                out.append(F.when(g, F.lag(tmp[(stat, win)], int(lag)).over(base))
-                           .alias(roll_name(target, stat, lag, win)))
+            tmp[(stat, win)] = f"__{stat}_{win}"
+            value = mean_of(of["_n"], of["_s"]) if stat == "mean" else std_of(of["_n"], of["_s"], of["_q"])
+            values.append(F.when(full, value).alias(tmp[(stat, win)]))
+    staged = summed.select(*df.columns, *parts).select(*df.columns, *values)
+    out = [F.when(g, F.lag(tmp[(stat, win)], int(lag)).over(base)).alias(roll_name(target, stat, lag, win))
+           for lag in lags for win in windows for stat in stats]
     return staged.select(*df.columns, *out)
 
 
@@ -143,45 +174,45 @@ def target_encoding(df: DataFrame, target: str, enc_cols, as_of: str | None = No
     evaluation period. With ``as_of`` (a date/order column) only rows of the
     group with a strictly earlier ``as_of`` value are used (leak-free).
 
-    Both forms aggregate first (partial, map-side) and join the small result
-    back on the group columns, so a hot group never has to fit one task: the
-    join side can be skew-split or broadcast by AQE. The as-of form keeps one
-    row per (group, period) before its running window, so a window partition
-    holds at most the number of periods.
+    One aggregate reads the rows for all column sets: exact moments of the
+    finest groups (and periods), which grouping sets add up; it is stored, and
+    joined back on each set's columns, so a hot group never has to fit one task:
+    the join side can be skew-split or broadcast by AQE. The as-of form adds
+    its moments up in a running window of a row for each (group, period).
+    ``unique_keys``, whose rows have a period each, run over the rows themselves.
     """
+    sets = [as_list(c) for c in enc_cols]
+    own = [c for c in sets if as_of is not None and unique_keys is not None and set(c) == set(as_list(unique_keys))]
+    joined = [c for c in sets if c not in own]
+    period = [as_of] if as_of is not None else []
     out = df
-    for cols in enc_cols:
-        cols = as_list(cols)
+    if joined:
+        every = list(dict.fromkeys(c for cols in joined for c in cols))
+        source = (stats_from if stats_from is not None else df)
+        fine = source.groupBy(*every, *period).agg(*moments(target))
+        add_up = [F.sum(c).alias(c) for c in ("_n", "_s", "_q")]
+        table = stored(fine.groupingSets([[F.col(c) for c in [*cols, *period]] for cols in joined], *[F.col(c) for c in [*every, *period]])
+                       .agg(F.grouping_id().alias("_set"), *add_up), "encodings")
+        places = [*every, *period]
+    for cols in sets:
         name = "_".join(cols)
         m, s = f"enc_{name}_mean", f"enc_{name}_std"
         base_cols = out.columns
-        valid = (stats_from if stats_from is not None else df).where(_gate(cols))
-        if as_of is None:
-            stats = valid.groupBy(*cols).agg(F.avg(target).alias(m), F.stddev_samp(target).alias(s))
-            out = out.join(stats, on=cols, how="left").select(*base_cols, m, s)
-            continue
-        if unique_keys is not None and set(cols) == set(as_list(unique_keys)):
+        n, total, squares = F.col("_n"), F.col("_s"), F.col("_q")
+        if cols in own:
             w = Window.partitionBy(*cols).orderBy(as_of).rowsBetween(Window.unboundedPreceding, -1)
-            out = out.select(*base_cols, F.when(_gate(cols), F.avg(target).over(w)).alias(m),
-                             F.when(_gate(cols), F.stddev_samp(target).over(w)).alias(s))
+            x = F.col(target).cast("double")
+            run = out.select("*", F.count(target).over(w).alias("_n"), F.sum(exact(x)).over(w).alias("_s"),
+                             F.sum(exact(x * x)).over(w).alias("_q"))
+            out = run.select(*base_cols, F.when(_gate(cols), mean_of(n, total)).alias(m),
+                             F.when(_gate(cols), std_of(n, total, squares)).alias(s))
             continue
-        # one row per (group, period): count, exact sum, and the within-period
-        # sum of squared deviations; running sums of deviations from the
-        # group mean K combine them without cancellation (Chan et al.)
-        per = (valid.groupBy(*cols, as_of)
-               .agg(F.count(target).alias("_n"), F.sum(target).alias("_raw"),
-                    F.avg(target).alias("_mean"),
-                    (F.var_pop(target) * F.count(target)).alias("_m2")))
-        whole = Window.partitionBy(*cols)
-        per = per.select("*", (F.sum("_raw").over(whole) / F.sum("_n").over(whole)).alias("_k"))
-        w = Window.partitionBy(*cols).orderBy(as_of).rowsBetween(Window.unboundedPreceding, -1)
-        dev = F.col("_mean") - F.col("_k")
-        n = F.sum("_n").over(w)
-        sm = F.sum(F.col("_n") * dev).over(w)
-        sq = F.sum(F.col("_m2") + F.col("_n") * dev * dev).over(w)
-        run = per.select(*cols, as_of,
-                         F.when(n > 0, F.sum("_raw").over(w) / n).alias(m),
-                         F.when(n > 1, F.sqrt(F.greatest((sq - sm * sm / n) / (n - 1), F.lit(0.0))))
-                          .alias(s))
-        out = out.join(run, on=cols + [as_of], how="left").select(*base_cols, m, s)
+        # the bits of columns that a set leaves out, the first column highest
+        number = sum(1 << (len(places) - 1 - i) for i, c in enumerate(places) if c not in [*cols, *period])
+        stats = table.where((F.col("_set") == number) & _gate(cols))
+        if as_of is not None:
+            w = Window.partitionBy(*cols).orderBy(as_of).rowsBetween(Window.unboundedPreceding, -1)
+            stats = stats.select(*cols, as_of, *[F.sum(c).over(w).alias(c) for c in ("_n", "_s", "_q")])
+        stats = stats.select(*cols, *period, mean_of(n, total).alias(m), std_of(n, total, squares).alias(s))
+        out = out.join(stats, on=[*cols, *period], how="left").select(*base_cols, m, s)
     return out

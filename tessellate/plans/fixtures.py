@@ -8,6 +8,7 @@ sides describe the same data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.calendar import WeeklyCalendar, build_weekly_calendar, holiday_rules
 from ..operators.panel import period_aggregate
@@ -58,14 +59,15 @@ FROM lineitem WHERE l_suppkey IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY
 
 
 def p3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily value per (user, event type)."""
-    t = Tables(spark, sf_dir)
-    return period_aggregate(t.events, ["user_id", "event_type"], "ts", "value",
-                            how="sum", period="day")
+    """Daily value per (user, event type), summed exactly."""
+    events = Tables(spark, sf_dir).events
+    daily = period_aggregate(events.withColumn("value", F.col("value").cast("decimal(38,10)")), ["user_id", "event_type"],
+                             "ts", "value", how="sum", period="day")
+    return daily.withColumn("qty", F.col("qty").cast("double"))
 
 
 P3_SQL = """
-SELECT user_id, event_type, CAST(ts AS DATE) AS date, coalesce(sum(value), 0) AS qty
+SELECT user_id, event_type, CAST(ts AS DATE) AS date, CAST(coalesce(sum(CAST(value AS DECIMAL(38,10))), 0) AS DOUBLE) AS qty
 FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY 1, 2, 3"""
 
 

@@ -27,7 +27,8 @@ def alpha_tag(alpha):
 def enc_sql(target, cols, src="dense"):
     name = "_".join(cols)
     on = " AND ".join(f"d.{c} = e.{c}" for c in cols)
-    return (f"LEFT JOIN (SELECT {', '.join(cols)}, avg({target}) AS enc_{name}_mean, "
+    mean = f"CAST(sum(CAST({target} AS DECIMAL(38,10))) AS DOUBLE) / count({target})"  # exact, whatever the order
+    return (f"LEFT JOIN (SELECT {', '.join(cols)}, {mean} AS enc_{name}_mean, "
             f"stddev_samp({target}) AS enc_{name}_std FROM {src} GROUP BY {', '.join(cols)}) e_{name} "
             f"ON {on.replace('e.', f'e_{name}.')}")
 
