@@ -54,17 +54,18 @@ def _as_map(table: DataFrame, g, value: Column, name: str) -> DataFrame:
     return table.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct(F.col("node"), value))).alias(name))
 
 
-def _gradients(power: Column, y: Column, f: Column) -> list[Column]:
-    """First and second derivative of the Tweedie deviance by the raw score (log link)."""
+def _gradients(power: Column, n: Column, s: Column, f: Column) -> list[Column]:
+    """First and second derivative of the Tweedie deviance by the raw score (log link), of
+    ``n`` rows with the sum ``s``."""
     a, b = F.exp((1 - power) * f), F.exp((2 - power) * f)
-    return [(b - y * a).cast(EXACT).alias("g"), ((2 - power) * b - y * (1 - power) * a).cast(EXACT).alias("h")]
+    return [(n * b - s * a).cast(EXACT).alias("g"), (n * (2 - power) * b - s * (1 - power) * a).cast(EXACT).alias("h")]
 
 
 def _best_cuts(rows: DataFrame, g, min_rows: int) -> DataFrame:
     """``group..., node, feature, bin``: the cut with the greatest gain of each node, if
     there is any gain (equal gains: the first feature, the lowest bin)."""
-    hist = (rows.select(*g, "node", "g", "h", F.posexplode("bins").alias("feature", "bin"))
-            .groupBy(*g, "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n")))
+    hist = (rows.select(*g, "node", "g", "h", "n", F.posexplode("bins").alias("feature", "bin"))
+            .groupBy(*g, "node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("g", "h", "n")]))
     of = Window.partitionBy(*g, "node", "feature")
     upto = of.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     sums = hist.select(*g, "node", "feature", "bin", *[F.sum(c).over(w).alias(f"{side}{c}") for side, w in (("l", upto), ("t", of))
@@ -83,25 +84,33 @@ def fit_trees(train: DataFrame, groups, target: str, trees: int = 100, depth: in
     """``group..., tree, splits, leaves`` (maps by node) for ``train`` rows with ``bins``,
     ``target`` and the group's parameters ``power`` and ``rate``.
 
-    The raw score starts at 0; a leaf adds ``-rate * G / H`` of its rows. With
-    ``feature_share`` each tree sees the features, with ``row_share`` the rows
-    (drawn anew every ``freq`` trees), that a hash of their values and the
-    tree's number picks. Rows without target are not used.
+    The raw score starts at 0; a leaf adds ``-rate * G / H`` of its rows. Rows of a
+    group with the same bins always have the same score, so they are added up
+    once, to their number and the exact sum of their targets, and the trees
+    grow on these cells. With ``feature_share`` each tree sees the features, with
+    ``row_share`` the rows (drawn anew every ``freq`` trees), that a hash of their
+    values and the tree's number picks. Rows without target are not used.
     """
     g = as_list(groups)
-    score = stored(train.where(F.col(target).isNotNull()).select(
-        *g, F.col(target).cast("double").alias("y"), "bins", F.col("power").cast("double").alias("power"),
-        F.col("rate").cast("double").alias("rate"), F.lit(0.0).alias("f")), "scores")
+    used = train.where(F.col(target).isNotNull())
+    parameters = [F.first(F.col(c).cast("double")).alias(c) for c in ("power", "rate")]
+
+    def cells(rows):
+        y = F.sum(F.col(target).cast("double").cast("decimal(38,9)")).cast("double")
+        return rows.groupBy(*g, "bins").agg(F.count("*").alias("n"), y.alias("s"), *parameters)
+
+    score = stored(cells(used).withColumn("f", F.lit(0.0)), "scores")
     out = []
     for t in range(trees):
-        picked = score
-        if row_share < 1:
-            picked = picked.where(F.pmod(F.xxhash64(F.lit(t // freq), *g, "bins", "y"), F.lit(1_000_000)) < int(row_share * 1_000_000))
+        if row_share < 1 and t % freq == 0:
+            drawn = stored(cells(used.where(F.pmod(F.xxhash64(F.lit(t), *used.columns), F.lit(1_000_000)) < int(row_share * 1_000_000))),
+                           "drawn").select(*g, "bins", "n", "s")
+        picked = score if row_share == 1 else score.drop("n", "s").join(drawn, [*g, "bins"])
         if feature_share < 1:
             share = F.transform("bins", lambda b, i: F.when(
                 F.pmod(F.xxhash64(F.lit(t), i), F.lit(1_000_000)) < int(feature_share * 1_000_000), b).otherwise(0))
             picked = picked.withColumn("bins", share)
-        picked = picked.select(*g, "bins", "rate", *_gradients(F.col("power"), F.col("y"), F.col("f")))
+        picked = picked.select(*g, "bins", "n", "rate", *_gradients(*map(F.col, ("power", "n", "s", "f"))))
         cuts, splits = [], None
         at = lambda rows, d: rows.withColumn("node", F.lit(1)) if splits is None else rows.join(
             splits, g, "left").withColumn("node", _node(F.col("splits"), d))
@@ -116,7 +125,7 @@ def fit_trees(train: DataFrame, groups, target: str, trees: int = 100, depth: in
         out.append(tree)
         if t + 1 < trees:
             grown = F.col("f") + F.coalesce(F.try_element_at("leaves", _node(F.col("splits"), depth)), F.lit(0.0))
-            score = stored(score.join(tree, g).select(*g, "y", "bins", "power", "rate", grown.alias("f")), "scores")
+            score = stored(score.join(tree, g).select(*g, "bins", "n", "s", "power", "rate", grown.alias("f")), "scores")
     return reduce(DataFrame.union, out)
 
 
