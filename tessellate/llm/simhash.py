@@ -131,12 +131,13 @@ def links(fps: DataFrame, radius: int = 3, bucket_bytes: int = 16 << 20) -> Data
             run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(variant))))
             fp = variant ^ masks[flip]
             near = flip < n_near
-            none = np.uint64(2 ** 64 - 1)
-            centre = np.minimum.reduceat(np.where(near, fp, none), start)
-            anchor = np.minimum.reduceat(np.where(near & _odd(fp), fp, none), start)
+            most = np.uint64(2 ** 64 - 1)
+            odd = near & _odd(fp)
+            centre = np.minimum.reduceat(np.where(near, fp, most), start)
+            anchor = np.minimum.reduceat(np.where(odd, fp, most), start)
             to = np.where(near, centre[run], anchor[run])
-            # the largest value stands for none as well; the distance tells them apart
-            ok = (to != fp) & (np.bitwise_count(to ^ fp) <= radius)
+            # where no fingerprint of odd parity came near, there is nothing to link those further away to
+            ok = (near | np.logical_or.reduceat(odd, start)[run]) & (to != fp) & (np.bitwise_count(to ^ fp) <= radius)
             edges = np.unique(np.stack([np.minimum(fp[ok], to[ok]), np.maximum(fp[ok], to[ok])], axis=1), axis=0)
         return pa.table({"a": edges[:, 0].astype(np.uint64).view(np.int64) if len(edges) else np.empty(0, np.int64),
                          "b": np.ascontiguousarray(edges[:, 1]).view(np.int64) if len(edges) else np.empty(0, np.int64)})

@@ -51,7 +51,12 @@ def test_fingerprint_matches_definition():
 @pytest.mark.parametrize("radius", [0, 1, 2, 3])
 def test_links_give_the_components_of_all_pairs(spark, radius):
     rnd = random.Random(radius)
-    fps = {0, 2 ** 64 - 1, 1, 7, 15}
+    full = 2 ** 64 - 1
+    fps = {0, 1, 7, 15, full ^ 0b11, full ^ 0b1100}  # the last two are four bits apart, each two from all ones
+    if radius % 2:
+        fps |= {full ^ 0b111000000, full ^ 0b111 << 40}
+    else:
+        fps.add(full)
     for _ in range(30):
         base = rnd.getrandbits(64)
         for _ in range(8):
