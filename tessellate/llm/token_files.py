@@ -44,13 +44,17 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
-    """Ids in ``width`` bits each, least significant bit first."""
+    """Ids in ``width`` bits each, least significant bit first (whole bytes: little-endian)."""
+    if width in (8, 16, 32):
+        return ids.astype(f"<u{width // 8}").tobytes()
     bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
     return np.packbits(bits.ravel(), bitorder="little").tobytes()
 
 
 def unpack(payload: bytes, width: int, start: int, n: int) -> np.ndarray:
     """``n`` ids from number ``start`` on, without touching what stands before."""
+    if width in (8, 16, 32):
+        return np.frombuffer(payload, f"<u{width // 8}", n, start * width // 8).astype(np.uint32)
     first = start * width
     raw = np.frombuffer(payload, np.uint8, offset=first // 8, count=-(-(first % 8 + n * width) // 8))
     bits = np.unpackbits(raw, bitorder="little")[first % 8:first % 8 + n * width].reshape(n, width)
@@ -60,10 +64,11 @@ def unpack(payload: bytes, width: int, start: int, n: int) -> np.ndarray:
 
 
 def _class(kind: str) -> str:
-    """The characters of a general category as ranges for a pattern's set."""
+    """The characters of a general category, or of those that begin with it, as ranges
+    for a pattern's set."""
     spans, begin = [], None
     for c in range(sys.maxunicode + 2):
-        inside = c <= sys.maxunicode and unicodedata.category(chr(c))[0] == kind
+        inside = c <= sys.maxunicode and unicodedata.category(chr(c)).startswith(kind)
         if inside and begin is None:
             begin = c
         elif not inside and begin is not None:
@@ -104,6 +109,10 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(sorted({*range(256)} - plain))}
 
 
+class UnknownCharacter(ValueError):
+    """A character that Python's tables have no category for."""
+
+
 class WordEncoder:
     """Ids of texts by a ``tokenizers`` file.
 
@@ -111,22 +120,24 @@ class WordEncoder:
     pattern as words, a text's ids are those of its words, and the library's
     model gets each word alone, and the more frequent ones once. No word has white space in it, so the
     ids of each distinct run between white space are remembered as well. Any
-    other file, and any text whose composed lower-case form is not stable or
-    that holds a separator which only Python takes for white space, goes
-    through the library whole.
+    other file, and any text whose composed lower-case form is not stable, that
+    holds a separator which only Python takes for white space, the name of one
+    of the file's special tokens, or a character that Python's tables don't
+    have yet, goes through the library whole.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_file)
-        self.library.encode_special_tokens = True  # their names in a text are text
         self.letters = _byte_letters()
         self.words = Memo(self._word)
-        self.runs = Memo(lambda run: b"".join([self.words(w) for w in self.pattern.findall(run)]))
+        self.runs = Memo(self._run)
         self.pattern = None
         with open(tokenizer_file, encoding="utf-8") as f:
             made = json.load(f)
+        names = {x["content"] for x in made["added_tokens"]}
+        self.special = [n for n in {*names, *(n.lower() for n in names)} if n]
         kinds = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
         steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
         if (kinds == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"]
@@ -137,6 +148,7 @@ class WordEncoder:
             if "\\s" not in inner:
                 letters, numbers = _class("L"), _class("N")
                 inner = inner.replace("\\p{L}", f"[{letters}]").replace("\\p{N}", f"[{numbers}]")
+                self.unknown = re.compile(f"[{_class('Cn')}]")
                 self.pattern = re.compile(inner.replace("\0", f"[^{SPACE}{letters}{numbers}]"))
 
     def ids(self, text: str) -> bytes:
@@ -146,17 +158,28 @@ class WordEncoder:
         composed = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         if not unicodedata.is_normalized("NFC", composed) or _SEPARATORS.search(composed):
             return self._whole(text)
+        for name in self.special:
+            if name in composed or name in text:
+                return self._whole(text)
         runs, known = composed.split(), self.runs
         new = known.new
         try:
-            return b"".join([new[r] for r in runs])
-        except KeyError:
-            for r in runs:
-                if r not in new:
-                    known(r)
-            if known.new is new:
+            try:
                 return b"".join([new[r] for r in runs])
-            return b"".join([known(r) for r in runs])
+            except KeyError:
+                for r in runs:
+                    if r not in new:
+                        known(r)
+                if known.new is new:
+                    return b"".join([new[r] for r in runs])
+                return b"".join([known(r) for r in runs])
+        except UnknownCharacter:
+            return self._whole(text)
+
+    def _run(self, run: str) -> bytes:
+        if not run.isascii() and self.unknown.search(run):
+            raise UnknownCharacter(run)
+        return b"".join([self.words(w) for w in self.pattern.findall(run)])
 
     def _word(self, word: str) -> bytes:
         spelt = word.encode().decode("latin-1").translate(self.letters)
@@ -226,6 +249,16 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, block_id
      .mapInArrow(run, SCHEMA).write.parquet(path))
 
 
+def _placed(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``base``, the ids of all shards before."""
+    before = W.orderBy(F.col("shard_id").asc_nulls_first(), F.col("shard_tie").asc_nulls_first())
+    shards = blocks.groupBy("shard_id", "shard_tie").agg(F.sum("n_ids").alias("n")).select(
+        F.col("shard_id").alias("s_id"), F.col("shard_tie").alias("s_tie"),
+        (F.sum("n").over(before.rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("base"))
+    return blocks.join(F.broadcast(shards), F.col("shard_id").eqNullSafe(F.col("s_id"))
+                        & F.col("shard_tie").eqNullSafe(F.col("s_tie")))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` for every document of the files at ``path``:
     ``start`` counts the ids of all documents before it, ``ids`` is binary
@@ -235,13 +268,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     are no more shards than the writer had partitions, so these rows go to
     every task and the blocks stay where they are read.
     """
-    blocks = spark.read.schema(SCHEMA).parquet(path)
-    before = W.orderBy(F.col("shard_id").asc_nulls_first(), F.col("shard_tie").asc_nulls_first())
-    shards = blocks.groupBy("shard_id", "shard_tie").agg(F.sum("n_ids").alias("n")).select(
-        F.col("shard_id").alias("s_id"), F.col("shard_tie").alias("s_tie"),
-        (F.sum("n").over(before.rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("base"))
-    found = blocks.join(F.broadcast(shards), F.col("shard_id").eqNullSafe(F.col("s_id"))
-                        & F.col("shard_tie").eqNullSafe(F.col("s_tie")))
+    found = _placed(spark.read.schema(SCHEMA).parquet(path))
 
     def run(batches):
         for batch in batches:
@@ -258,3 +285,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     return found.select("doc_ids", "n_tokens", (F.col("base") + F.col("first")).alias("at"), "width", "n_ids",
                         "payload").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+
+
+def read_at(spark: SparkSession, path: str, start: int, n: int) -> np.ndarray:
+    """The ``n`` ids from number ``start`` of the whole on (fewer at its end), whichever
+    documents they belong to. Of the blocks, only those that hold some of them
+    are read, and only these ids unpacked; they come to the driver."""
+    found = _placed(spark.read.schema(SCHEMA).parquet(path))
+    at = F.col("base") + F.col("first")
+    rows = found.where((at < start + n) & (at + F.col("n_ids") > start)).select(
+        at.alias("at"), "n_ids", "width", "payload").orderBy("at").collect()
+    parts = [unpack(r.payload, r.width, max(start - r["at"], 0), min(start + n, r["at"] + r.n_ids) - max(start, r["at"])) for r in rows]
+    return np.concatenate([np.empty(0, np.uint32), *parts])

@@ -17,7 +17,6 @@ FILE = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def library():
     tok = Tokenizer.from_file(FILE)
-    tok.encode_special_tokens = True
     return lambda t: tok.encode(t or "", add_special_tokens=False).ids
 
 
@@ -34,7 +33,7 @@ def test_pack_and_unpack(width):
 def test_words_have_the_ids_of_whole_texts(library):
     rnd, enc = random.Random(3), token_files.WordEncoder(FILE)
     assert enc.pattern is not None
-    some = ["It's", "WE'LL", " ", "\n", "ÉTÉ", "é", "ΟΔΟΣ", "İstanbul", "漢字", "42", "½²", "!?", "<|endoftext|>",
+    some = ["It's", "WE'LL", " ", "\n", "ÉTÉ", "é", "ΟΔΟΣ", "İstanbul", "漢字", "42", "½²", "!?", "<|endoftext|>", "<|StartOfText|>", "hello <|startoftext|> world",
             " ", "\x1c", "naïve", "ß", "'s", "x" * 40, "Ⅷ", "ʰ", "ﬁ", "\U0001f600"]
     for i in range(400):
         text = "".join(rnd.choice(some) for _ in range(rnd.randrange(30)))
@@ -44,6 +43,14 @@ def test_words_have_the_ids_of_whole_texts(library):
         assert np.frombuffer(enc.ids(text), "<u4").tolist() == library(text), ascii(text)
 
 
+def test_characters_newer_than_python_and_special_names(library):
+    enc = token_files.WordEncoder(FILE)
+    for text in ["hello <|startoftext|> world", "<|endoftext|>", "a<|ENDOFTEXT|>b", *(f"old {chr(c)}new {chr(c)} 1" for c in (
+            0xa7cb, 0xa7da, 0x105c0, 0x1e5f0, 0x16d40, 0x1c89, 0x378, 0xe0080, 0xe000))]:
+        for _ in range(2):  # and again, when words are remembered
+            assert np.frombuffer(enc.ids(text), "<u4").tolist() == library(text), ascii(text)
+
+
 def test_files_hold_documents_in_order(spark, library):
     rows = [(9, "nine words of a text"), (3, None), (None, "no id"), (4, ""), (3, "three"), (3, "three"),
             (11, "long text " * 900), (-5, "below")]
@@ -56,6 +63,9 @@ def test_files_hold_documents_in_order(spark, library):
     assert sorted(((g[0], g[3]) for g in got), key=lambda r: (r[0] is not None, r[0] or 0, r[1])) == want
     assert [g[0] for g in got] == [w[0] for w in want]
     assert [g[1] for g in got] == np.cumsum([0] + [g[2] for g in got])[:-1].tolist()
+    whole = [x for g in got for x in g[3]]
+    for start, n in ((0, 5), (3, 20), (len(whole) - 4, 99), (7, 0), (0, len(whole)), (len(whole) + 5, 3)):
+        assert token_files.read_at(spark, path, start, n).tolist() == whole[start:start + n]
     empty = scratch_path(spark, "token-test")
     token_files.write(docs.limit(0), empty, FILE, end_id=2)
     assert token_files.read(spark, empty).count() == 0
