@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# Letters are what Python takes for a word's character, but for digits and other numerals (such as ² or Ⅷ).
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
+LETTERS = re.compile(f"[^\\W\\d_{NUMERALS}]+")
 GRAMS = (4, 3, 2, 1)  # lengths tried for an unseen word, longest first
 TRAIN_DOCS = 2_000  # labelled documents of each language that the fit reads, about
-TOP_WORDS = 50_000  # entries of a fitted model, by frequency
+TOP_WORDS = 50_000  # entries of each language in a fitted model, by their frequency in it
 TOP_GRAMS = 50_000
 REMEMBERED = 500_000
 
@@ -28,8 +32,8 @@ def fit(labelled: DataFrame, train_docs: int = TRAIN_DOCS, top_words: int = TOP_
     Of each language about ``train_docs`` documents are read, those whose hash
     is below the share this needs; whole texts, counted in Spark with partial
     sums. The model keeps the most frequent ``top_words`` words and
-    ``top_grams`` n-grams of the sample, so its size is bounded whatever the
-    corpus. Rows without text or lang are not used; None if none is left.
+    ``top_grams`` n-grams of each language by itself, so a small language keeps
+    as many as a large one, and the size is bounded whatever the corpus. Rows without text or lang are not used; None if none is left.
     """
     labelled = labelled.where(F.col("lang").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
@@ -65,11 +69,12 @@ def fit(labelled: DataFrame, train_docs: int = TRAIN_DOCS, top_words: int = TOP_
     languages = sorted(per)
 
     def table(frame: DataFrame, name: str, top: int) -> dict:
-        """``name`` to its counts by language, the most frequent first; ties by name."""
-        wide = frame.groupBy(name).agg(F.sum("n").alias("all"), F.map_from_entries(
+        """``name`` to its counts by language, of those that are among the ``top`` most
+        frequent of any language (ties by name)."""
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), name))
+        wide = frame.withColumn("place", place).groupBy(name).agg(F.min("place").alias("place"), F.map_from_entries(
             F.collect_list(F.struct("lang", "n"))).alias("by"))
-        return {r[name]: [r["by"].get(x, 0) for x in languages]
-                for r in wide.orderBy(F.desc("all"), name).limit(top).collect()}
+        return {r[name]: [r["by"].get(x, 0) for x in languages] for r in wide.where(F.col("place") <= top).orderBy(name).collect()}
 
     def logs(counts: dict, group) -> dict:
         """Log frequencies with half a count added, in each group of entries by itself."""

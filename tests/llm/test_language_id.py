@@ -33,7 +33,7 @@ def test_predictions_equal_a_plain_sum(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     model = li.fit(docs, top_words=300, top_grams=500)
     languages, words, grams = model
-    assert len(words) == 300 and len(grams) == 500
+    assert 300 <= len(words) <= 300 * len(languages) and 500 <= len(grams) <= 500 * len(languages)
     for r in li.predict(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect():
         total = sum((li.word_score(w, words, grams, len(languages)) for w in li.words_of(r.text)), np.zeros(len(languages)))
         assert r.lang_pred == languages[int(np.argmax(total))]
@@ -41,7 +41,7 @@ def test_predictions_equal_a_plain_sum(spark):
 
 
 def test_edge_rows(spark):
-    rows = [(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, None, "en"), (4, "12 34 !", "de"),
+    rows = [(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, None, "en"), (4, "12 34 ! ² ½ Ⅷ ① ٣ _", "de"),
             (None, "the cat", "en"), (6, "die Katze " * 9000, None), (2, "der Hund und die Katze", "de")]
     docs = documents(spark, rows).withColumnRenamed("source", "lang_pred").withColumnRenamed("n_chars", "score")
     model = li.fit(docs)
