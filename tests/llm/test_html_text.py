@@ -25,6 +25,32 @@ def test_blocks_and_best_container():
     assert html_text.text_below(found, html_text.best(found)) == WANT
 
 
+BODY = "<h1>The head</h1><p>A first sentence of the article, long enough.</p><p>And a second one.</p>"
+TEXT = "The head\nA first sentence of the article, long enough.\nAnd a second one."
+MENU = "<div class='sidebar-left'><p>Side text of some length that is not wanted.</p></div>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='content has-sidebar'><article>{BODY}</article>{MENU}</div>", TEXT),
+    (f"<div id=page class=no-sidebar><div>{BODY}</div>{MENU}</div>", TEXT),
+    (f"<div class='header-fixed'><main>{BODY}</main></div>", TEXT),
+    (f"<article><div class=entry-header><h1>The head</h1></div>{BODY[17:]}</article>", TEXT),
+    (f"<article>{BODY}<section id=related-work><p>Others have done this before.</p></section></article>",
+     TEXT + "\nOthers have done this before."),
+    (f"<article>{BODY}<figure><img src=x><figcaption>A caption.</figcaption></figure></article>", TEXT + "\nA caption."),
+    (f"<article>{BODY}<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>", TEXT + "\nSo x=1 holds."),
+    (f"<body><form id=aspnetForm><div class=main>{BODY}</div>{MENU}</form></body>", TEXT),
+    (f"<article>{BODY}<form><label>Name of the reader who writes to us</label></form></article>", TEXT),
+    (f"<article>{BODY}<p>Seen <span class=ad>Buy it now!</span>by all.</p></article>", TEXT + "\nSeen by all."),
+    (f"<article>{BODY}<ol class=commentlist><li><article><p>A reader's own opinion of it all.</p></article></ol></article>", TEXT),
+    (f"<main>{BODY}</main><div class=sidebar><article><p>A teaser text.</p></article></div>", TEXT),
+    (f"<div class='header top'><form><div class=modal><article>{BODY}</article></div></form></div>", TEXT),
+])
+def test_layout_names_and_the_article_inside(page, want):
+    found = html_text.blocks(page)
+    assert html_text.text_below(found, html_text.best(found)) == want
+
+
 @pytest.mark.parametrize("page", ["", "plain words only", "<p>one<p>two", "<", "<p", "a < b and c > d", "</div></p>", "<b>x",
                                   "<script>never closed <p>x", "<!-- open <p>x", "<p a='x>y'>text</p>", "&am &#65; &bogus;",
                                   "<div>" * 500 + "deep" + "</div>" * 500, "<a href=\"x>" * 300])
