@@ -15,8 +15,9 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def _key() -> Column:
-    """A document's id; one without an id goes by a hash of its text."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64(F.col("text")), 1))
+    """What a document goes by within a stage: a hash of its id and text, so that two texts
+    with one id, and texts without an id, are documents of their own."""
+    return F.xxhash64(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -26,18 +27,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def drop_bad_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is above their language's threshold go."""
     docs = docs.select(*DOCUMENT)
-    rejected = (quality.classify(_keyed(docs), table(spark, sf_dir, "labels")).where(~F.col("accepted"))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of_id"), "quality", "toxic")
+    labels = docs.select("doc_id", _key().alias("key")).distinct().join(labels, F.col("doc_id") == F.col("of_id")).select(
+        F.col("key").alias("doc_id"), "quality", "toxic")
+    rejected = (quality.classify(_keyed(docs), labels).where(~F.col("accepted"))
                 .select(F.col("doc_id").alias("key")).distinct())
     return docs.join(rejected, _key() == F.col("key"), "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that SimHash links, the document whose id names the group stays
-    (of repeated rows with this id the least)."""
+    """Of each group that SimHash links, the document with the least id stays (documents
+    without one come last, and of repeated rows one stays)."""
     docs = docs.select(*DOCUMENT)
-    kept = (simhash.near_duplicates(_keyed(docs), shingle=3, radius=3)
-            .where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct())
-    return (docs.withColumn("key", _key()).join(kept, "key", "left_semi").groupBy("key")
+    groups = simhash.near_duplicates(_keyed(docs), shingle=3, radius=3).select(F.col("doc_id").alias("of_key"), "component_id").distinct()
+    ids = docs.select("doc_id", _key().alias("key")).distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    kept = (ids.join(groups, F.col("key") == F.col("of_key")).groupBy("component_id").agg(first)
+            .select(F.col("first.key").alias("kept_key")))
+    return (docs.withColumn("key", _key()).join(kept, F.col("key") == F.col("kept_key"), "left_semi").groupBy("key")
             .agg(F.min(F.struct(*DOCUMENT)).alias("least")).select("least.*"))
 
 
