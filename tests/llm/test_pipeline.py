@@ -80,6 +80,20 @@ def test_run_equals_the_chain(spark, chain):
     assert sorted(map(key, cp.run(spark, SF).collect())) == sorted(map(key, chain[5]))
 
 
+def test_documents_with_one_id_or_none_stay_apart(spark):
+    folder = scratch_path(spark, "identity")
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcdef"]
+    rows = [(21, texts[0], "en", "s", 1), (None, None, None, None, None), (5, texts[1], "en", "s", 1), (5, texts[2], "en", "s", 1),
+            (5, texts[1], "en", "s", 1), (None, texts[3], "en", "s", 1), (None, texts[4], "en", "s", 1), (9, texts[4], "en", "s", 1),
+            *[(8, texts[5], "en", "s", 1)] * 30]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = sorted((r.doc_id or 0, r.text or "") for r in cp.drop_near_copies(spark, docs, SF).collect())
+    assert got == sorted([(21, texts[0]), (0, ""), (5, texts[1]), (5, texts[2]), (0, texts[3]), (9, texts[4]), (8, texts[5])])
+    spark.createDataFrame([(10, texts[2])], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    left = {(r.doc_id, r.text) for r in cp.drop_benchmark_leaks(spark, docs, folder).collect()}
+    assert left == {r[:2] for r in rows} - {(5, texts[2])}
+
+
 def test_edge_rows_pass_all_stages(spark):
     folder = scratch_path(spark, "edge")
     rows = [(1, "Some plain words of a text that is kept here.", "en", "s", 1), (2, None, None, None, None), (3, "", "en", "s", 0),
