@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 WINDOW = 5  # tokens of a template window
-MIN_LITERALS = 3  # of them that are not placeholders
+MIN_LITERALS = 3  # of them that are not placeholders; windows with fewer must match with their values
 MIN_COVERAGE = 0.4  # of an item's windows
 MIN_RUN = 13  # words that match without a gap, however long the item
 FILTER_BITS = 1 << 23  # of the pre-filter that is sent to the tasks: 1 MB, whatever the benchmark's size
@@ -63,9 +64,8 @@ class Words:
             self.unit[at] = t.lower() in UNITS
             self.hash[at] = xxhash.xxh64_intdigest(t.lower())
 
-    def template(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Words of a text, their hashes with placeholders in place of numbers, names
-        and units, and which are placeholders (1 number, 2 name, 3 unit).
+    def parse(self, text: str) -> "Parsed":
+        """The words of a text.
 
         A name is a capitalised word that does not begin a sentence; a unit is
         a unit word right after a number. Other words are literal, in lower
@@ -73,49 +73,77 @@ class Words:
         """
         tokens = TOKEN.findall(text)
         try:
-            at = [self.index[t] for t in tokens]
+            at = np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))
         except KeyError:
             self._learn(tokens)
-            at = [self.index[t] for t in tokens]
-        at = np.array(at, np.int64)
+            at = np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))
         kind = self.kind[at]
-        before = np.append(np.uint8(BREAK), kind[:-1]) if len(kind) else kind
         slot = np.zeros(len(at), np.uint8)
-        slot[(kind == CAPITAL) & (before != BREAK)] = 2
-        slot[self.unit[at] & (before == NUMBER)] = 3
-        slot[kind == NUMBER] = 1
-        hashes = np.where(slot > 0, PLACEHOLDER[slot], self.hash[at])
-        words = kind != BREAK
-        return [tokens[i] for i in np.flatnonzero(words).tolist()], hashes[words], slot[words]
+        if len(at):
+            after = kind[:-1]  # what stands before each token but the first
+            slot[1:][(kind[1:] == CAPITAL) & (after != BREAK)] = 2
+            slot[1:][self.unit[at[1:]] & (after == NUMBER)] = 3
+            slot[kind == NUMBER] = 1
+        where = np.flatnonzero(kind != BREAK)
+        slot, plain = slot[where], self.hash[at[where]]
+        return Parsed(tokens, where, np.where(slot > 0, PLACEHOLDER[slot], plain), plain, slot)
 
 
 PLACEHOLDER = np.array([0] + [xxhash.xxh64_intdigest(f"<{x}>") for x in ("number", "name", "unit")], np.uint64)
 
 
-def windows(hashes: np.ndarray, slot: np.ndarray, k: int = WINDOW, literals: int = MIN_LITERALS):
-    """Places and hashes of the windows of ``k`` tokens that hold enough literal words."""
-    n = len(hashes) - k + 1
-    if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+class Parsed(NamedTuple):
+    """Words of a text: all ``tokens``, ``where`` of them the words are, the words' hashes
+    with placeholders for numbers, names and units, those of the words
+    themselves, and which are placeholders (1 number, 2 name, 3 unit)."""
+
+    tokens: list[str]
+    where: np.ndarray
+    hashes: np.ndarray
+    plain: np.ndarray
+    slot: np.ndarray
+
+    def word(self, i: int) -> str:
+        return self.tokens[self.where[i]]
+
+
+def _rolled(hashes: np.ndarray, k: int, n: int) -> np.ndarray:
     value = np.full(n, k, np.uint64)
-    plain = np.zeros(n, np.int64)
     for j in range(k):
         value = (value * np.uint64(0x9E3779B97F4A7C15)) ^ hashes[j:j + n]
         value ^= value >> np.uint64(31)
-        plain += slot[j:j + n] == 0
-    keep = np.flatnonzero(plain >= literals)
-    return keep, value[keep]
+    return value
+
+
+def windows(text: Parsed, k: int = WINDOW, literals: int = MIN_LITERALS):
+    """Places and hashes of the windows of ``k`` words. One with fewer than ``literals``
+    literal words is hashed with its values in place of placeholders, so that
+    only exact copies match; in texts shorter than WINDOW it is left out."""
+    n = len(text.hashes) - k + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    value = _rolled(text.hashes, k, n)
+    filled = np.append(0, np.cumsum(text.slot > 0))
+    few = k - (filled[k:] - filled[:-k]) < literals
+    if not few.any():
+        return np.arange(n), value
+    if k < WINDOW:
+        keep = np.flatnonzero(~few)
+        return keep, value[keep]
+    value[few] = ~_rolled(text.plain, k, n)[few]
+    return np.arange(n), value
 
 
 ROWS = "doc long, pos int, hash long, len int, n_windows int, slots array<string>"
 
 
-def _rows(doc, words, pos, values, slot, k, n_windows):
+def _rows(doc, text: Parsed, pos, values, k, n_windows):
     """Window rows of one text; ``slots`` are 'place:kind:value' of the placeholders."""
+    slot = text.slot
     where = np.flatnonzero(slot)
     first = np.searchsorted(where, pos)
     last = np.searchsorted(where, pos + k)
-    slots = [[f"{i - p}:{slot[i]}:{words[i].lower()}" for i in where[a:b].tolist()]
+    slots = [[f"{i - p}:{slot[i]}:{text.word(i).lower()}" for i in where[a:b].tolist()]
              for p, a, b in zip(pos.tolist(), first.tolist(), last.tolist())]
     n = len(pos)
     return pa.RecordBatch.from_pydict({
@@ -132,12 +160,12 @@ def item_windows(items: DataFrame) -> DataFrame:
         known = Words()
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, hashes, slot = known.template(text)
-                k = min(WINDOW, len(words))
+                parsed = known.parse(text)
+                k = min(WINDOW, len(parsed.slot))
                 if k:
-                    pos, values = windows(hashes, slot, k)
+                    pos, values = windows(parsed, k)
                     if len(pos):
-                        yield _rows(item, words, pos, values, slot, k, len(pos))
+                        yield _rows(item, parsed, pos, values, k, len(pos))
 
     return items.mapInArrow(run, ROWS)
 
@@ -164,17 +192,35 @@ def document_windows(docs: DataFrame, item_rows: DataFrame) -> DataFrame:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not text:
                     continue
-                words, hashes, slot = known.template(text)
+                parsed = known.parse(text)
                 for k in lengths:
-                    pos, values = windows(hashes, slot, k)
-                    hit = allowed[(values % np.uint64(FILTER_BITS)).astype(np.int64)]
+                    pos, values = windows(parsed, k)
+                    hit = allowed[values & np.uint64(FILTER_BITS - 1)]
                     if hit.any():
-                        yield _rows(doc, words, pos[hit], values[hit], slot, k, 0)
+                        yield _rows(doc, parsed, pos[hit], values[hit], k, 0)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, ROWS)
 
 
+def _consistent(slots: str):
+    """Whether each value has one replacement, and each replacement one value."""
+    was = F.array_distinct(F.transform(slots, lambda s: s["was"]))
+    now = F.array_distinct(F.transform(slots, lambda s: s["now"]))
+    return (F.size(was) == F.size(slots)) & (F.size(now) == F.size(slots))
+
+
+def _longest_run(places: str):
+    """The longest run of consecutive numbers among distinct ones."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"))
+
+    def step(a, x):
+        run = F.when(x == a["last"] + 1, a["run"] + 1).otherwise(F.lit(1))
+        return F.struct(x.alias("last"), run.alias("run"), F.greatest(a["most"], run).alias("most"))
+
+    return F.aggregate(F.sort_array(places), start, step, lambda a: a["most"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE,
                  min_run: int = MIN_RUN) -> DataFrame:
     """Pairs of a document and a benchmark item whose template it holds.
@@ -184,14 +230,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
     are hash-joined. Matches of one document and item with the same shift are
     an alignment; it counts if its slots are consistent: each original value
     is replaced by one value throughout and different values by different
-    ones. A pair is reported if the windows of consistent alignments are
-    ``min_coverage`` of the item's, or at least those of a run of ``min_run``
-    words.
+    ones. Alignments of a pair count together if their slots are consistent
+    with each other, else the one with the most windows does. A pair is
+    reported if these windows are ``min_coverage`` of the item's, or if one
+    alignment has ``min_run`` words without a gap.
 
     Returns doc_id, item_id, n_matched, n_windows, coverage, n_slots,
     n_changed (slots with another value). Items with the same text count as
-    the one with the least id. Null and empty texts, and items without
-    windows of enough literal words, match nothing; rows without doc_id are
+    the one with the least id. Null and empty texts, and items of fewer than
+    WINDOW words without enough literal ones, match nothing; rows without doc_id are
     reported under a null id and repeated rows once; empty tables give no
     rows; other columns are not read.
     """
@@ -210,16 +257,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
     aligned = met.groupBy("doc", "item", "shift").agg(
         F.collect_set("item_pos").alias("places"), F.first("n_windows").alias("n_windows"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    was = F.array_distinct(F.transform("slots", lambda s: s["was"]))
-    now = F.array_distinct(F.transform("slots", lambda s: s["now"]))
-    good = aligned.where((F.size(was) == F.size("slots")) & (F.size(now) == F.size("slots")))
-    pairs = good.groupBy("doc", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_matched"),
-        F.first("n_windows").alias("n_windows"),
-        F.max(F.size("slots")).alias("n_slots"),
-        F.max(F.size(F.filter("slots", lambda s: s["was"] != s["now"]))).alias("n_changed"))
-    enough = ((F.col("n_matched") >= min_coverage * F.col("n_windows"))
-              | (F.col("n_matched") >= min_run - WINDOW + 1))
+    good = aligned.where(_consistent("slots")).select(
+        "doc", "item", "n_windows", F.struct(F.size("places").alias("n"), (-F.col("shift")).alias("before"), "places", "slots").alias("one"),
+        _longest_run("places").alias("run"))
+    pairs = good.groupBy("doc", "item").agg(F.first("n_windows").alias("n_windows"), F.max("run").alias("run"),
+                                            F.collect_list("one").alias("all"))
+    together = pairs.select("*", F.array_distinct(F.flatten(F.transform("all", lambda x: x["slots"]))).alias("union"))
+    most = F.array_max(F.transform("all", lambda x: F.struct(x["n"], x["before"], F.sort_array(x["places"]).alias("places"), x["slots"])))
+    counted = together.withColumn("most", most).select(
+        "doc", "item", "n_windows", "run",
+        F.when(_consistent("union"), F.col("union")).otherwise(F.col("most.slots")).alias("slots"),
+        F.when(_consistent("union"), F.size(F.array_distinct(F.flatten(F.transform("all", lambda x: x["places"])))))
+        .otherwise(F.size("most.places")).alias("n_matched"))
+    pairs = counted.withColumn("n_slots", F.size("slots")).withColumn(
+        "n_changed", F.size(F.filter("slots", lambda s: s["was"] != s["now"])))
+    enough = (F.col("n_matched") >= min_coverage * F.col("n_windows")) | (F.col("run") >= min_run - WINDOW + 1)
     return pairs.where(enough).select(
         F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_matched", "n_windows",
         (F.col("n_matched") / F.col("n_windows")).alias("coverage"), "n_slots", "n_changed")
