@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import sys
 import unicodedata
 
@@ -161,29 +162,28 @@ class WordEncoder:
         for name in self.special:
             if name in composed or name in text:
                 return self._whole(text)
-        runs, known = composed.split(), self.runs
-        new = known.new
-        try:
+        runs = composed.split()
+        ids = list(map(self.runs.new.get, runs))
+        if None in ids:
             try:
-                return b"".join([new[r] for r in runs])
-            except KeyError:
-                for r in runs:
-                    if r not in new:
-                        known(r)
-                if known.new is new:
-                    return b"".join([new[r] for r in runs])
-                return b"".join([known(r) for r in runs])
-        except UnknownCharacter:
-            return self._whole(text)
+                ids = [self.runs(r) if x is None else x for r, x in zip(runs, ids)]
+            except UnknownCharacter:
+                return self._whole(text)
+        return b"".join(ids)
 
     def _run(self, run: str) -> bytes:
-        if not run.isascii() and self.unknown.search(run):
+        # what is printable has a category
+        if not run.isprintable() and self.unknown.search(run):
             raise UnknownCharacter(run)
-        return b"".join([self.words(w) for w in self.pattern.findall(run)])
+        words = self.pattern.findall(run)
+        if len(words) == 1 and words[0] == run:
+            return self._word(run)  # remembered as a run
+        return b"".join([self.words(w) for w in words])
 
     def _word(self, word: str) -> bytes:
         spelt = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.library.model.tokenize(spelt)], "<u4").tobytes()
+        ids = [t.id for t in self.library.model.tokenize(spelt)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
