@@ -116,29 +116,30 @@ def _rolled(hashes: np.ndarray, k: int, n: int) -> np.ndarray:
 
 
 def windows(text: Parsed, k: int = WINDOW, literals: int = MIN_LITERALS):
-    """Places and hashes of the windows of ``k`` words. One with fewer than ``literals``
+    """Places, hashes and kinds of the windows of ``k`` words. One with fewer than ``literals``
     literal words is hashed with its values in place of placeholders, so that
-    only exact copies match; in texts shorter than WINDOW it is left out."""
+    only exact copies match (kind true); in texts shorter than WINDOW it is left out."""
     n = len(text.hashes) - k + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
     value = _rolled(text.hashes, k, n)
     filled = np.append(0, np.cumsum(text.slot > 0))
     few = k - (filled[k:] - filled[:-k]) < literals
     if not few.any():
-        return np.arange(n), value
+        return np.arange(n), value, few
     if k < WINDOW:
         keep = np.flatnonzero(~few)
-        return keep, value[keep]
-    value[few] = ~_rolled(text.plain, k, n)[few]
-    return np.arange(n), value
+        return keep, value[keep], few[keep]
+    value[few] = _rolled(text.plain, k, n)[few]
+    return np.arange(n), value, few
 
 
 ROWS = "doc long, pos int, hash long, len int, n_windows int, slots array<string>"
 
 
-def _rows(doc, text: Parsed, pos, values, k, n_windows):
-    """Window rows of one text; ``slots`` are 'place:kind:value' of the placeholders."""
+def _rows(doc, text: Parsed, pos, values, exact, k, n_windows):
+    """Window rows of one text; ``slots`` are 'place:kind:value' of the placeholders,
+    ``len`` is below zero for windows that match exactly."""
     slot = text.slot
     where = np.flatnonzero(slot)
     first = np.searchsorted(where, pos)
@@ -148,7 +149,7 @@ def _rows(doc, text: Parsed, pos, values, k, n_windows):
     n = len(pos)
     return pa.RecordBatch.from_pydict({
         "doc": pa.array([doc] * n, pa.int64()), "pos": pa.array(pos, pa.int32()), "hash": pa.array(values.view(np.int64)),
-        "len": pa.array([k] * n, pa.int32()), "n_windows": pa.array([n_windows] * n, pa.int32()),
+        "len": pa.array(np.where(exact, -k, k), pa.int32()), "n_windows": pa.array([n_windows] * n, pa.int32()),
         "slots": pa.array(slots, pa.list_(pa.string()))})
 
 
@@ -163,9 +164,9 @@ def item_windows(items: DataFrame) -> DataFrame:
                 parsed = known.parse(text)
                 k = min(WINDOW, len(parsed.slot))
                 if k:
-                    pos, values = windows(parsed, k)
+                    pos, values, exact = windows(parsed, k)
                     if len(pos):
-                        yield _rows(item, parsed, pos, values, k, len(pos))
+                        yield _rows(item, parsed, pos, values, exact, k, len(pos))
 
     return items.mapInArrow(run, ROWS)
 
@@ -183,7 +184,7 @@ def document_windows(docs: DataFrame, item_rows: DataFrame) -> DataFrame:
     bitmap = np.zeros(FILTER_BITS // 64, "<i8")
     for r in marked.toLocalIterator():
         bitmap[r["word"]] = r["bits"]
-    lengths = sorted(r["len"] for r in item_rows.select("len").distinct().collect())
+    lengths = sorted(r["len"] for r in item_rows.select(F.abs("len").alias("len")).distinct().collect())
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
@@ -194,10 +195,10 @@ def document_windows(docs: DataFrame, item_rows: DataFrame) -> DataFrame:
                     continue
                 parsed = known.parse(text)
                 for k in lengths:
-                    pos, values = windows(parsed, k)
+                    pos, values, exact = windows(parsed, k)
                     hit = allowed[values & np.uint64(FILTER_BITS - 1)]
                     if hit.any():
-                        yield _rows(doc, parsed, pos[hit], values[hit], k, 0)
+                        yield _rows(doc, parsed, pos[hit], values[hit], exact[hit], k, 0)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, ROWS)
@@ -248,12 +249,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
     right = item_rows.select(F.col("doc").alias("item"), F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"),
                              F.col("len").alias("item_len"), "n_windows", F.col("slots").alias("item_slots"))
     left = document_windows(docs, item_rows).drop("n_windows")
+    value = lambda a, b: F.struct(F.substring_index(a, ":", -2).alias("was"), F.substring_index(b, ":", -2).alias("now"))
     met = left.join(right, (F.col("hash") == F.col("item_hash")) & (F.col("len") == F.col("item_len"))).select(
         "doc", "item", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", "n_windows",
-        F.zip_with("item_slots", "slots", lambda a, b: F.struct(
-            # kind and value in the item, and in the document
-            F.substring_index(a, ":", -2).alias("was"),
-            F.substring_index(b, ":", -2).alias("now"))).alias("slots"))
+        # kind and value in the item, and in the document
+        F.when(F.col("len") < 0, F.transform("item_slots", lambda a: value(a, a)))
+        .otherwise(F.zip_with("item_slots", "slots", value)).alias("slots"))
     aligned = met.groupBy("doc", "item", "shift").agg(
         F.collect_set("item_pos").alias("places"), F.first("n_windows").alias("n_windows"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
