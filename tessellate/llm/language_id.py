@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Letters are what Python takes for a word's character, but for digits and other numerals (such as ² or Ⅷ).
+RUNS = re.compile(r"[^\W\d_]+")  # words, and numerals that are no digits (such as ² or Ⅷ) among their letters
 NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
 LETTERS = re.compile(f"[^\\W\\d_{NUMERALS}]+")
 GRAMS = (4, 3, 2, 1)  # lengths tried for an unseen word, longest first
@@ -107,7 +107,8 @@ def word_score(word: str, words: dict, grams: dict, n_languages: int) -> np.ndar
 
 
 class Scorer:
-    """Sums of word scores; the rows of unseen words are remembered up to a bound."""
+    """Sums of word scores; the rows of unseen words are remembered up to a bound. A run
+    with numerals has the sum of the words between them."""
 
     def __init__(self, model):
         self.languages, self.words, self.grams = model
@@ -117,6 +118,7 @@ class Scorer:
         n = len(self.languages)
         self.index = {w: i for i, w in enumerate(self.words)}
         self.rows = np.concatenate([np.array(list(self.words.values())).reshape(-1, n), np.zeros((1 << 16, n))])
+        self.letters = np.ones(len(self.rows), bool)
 
     def _learn(self, found: list[str]) -> None:
         if len(self.index) > len(self.words) + REMEMBERED:
@@ -126,21 +128,24 @@ class Scorer:
                 at = len(self.index)
                 if at == len(self.rows):
                     self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                self.rows[at] = word_score(w, self.words, self.grams, len(self.languages))
+                    self.letters = np.concatenate([self.letters, np.ones_like(self.letters)])
+                parts = [w] if w.isalpha() else words_of(w)
+                self.rows[at] = sum(word_score(p, self.words, self.grams, len(self.languages)) for p in parts)
+                self.letters[at] = bool(parts)
                 self.index[w] = at
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its share of the likelihood, all languages
         being equally likely before; the first by name of equals."""
-        found = words_of(text) if text else []
-        if not found:
-            return "und", 0.0
+        found = RUNS.findall(text.lower()) if text else []
         index = self.index
         try:
             at = [index[w] for w in found]
         except KeyError:
             self._learn(found)
             at = [self.index[w] for w in found]
+        if not self.letters[at].any():
+            return "und", 0.0
         total = self.rows[at].sum(axis=0)
         best = int(np.argmax(total))
         return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())

@@ -40,6 +40,16 @@ def test_predictions_equal_a_plain_sum(spark):
         assert abs(r.score - 1 / np.exp(total - total.max()).sum()) < 1e-9
 
 
+def test_numerals_are_no_letters():
+    words = {"the": np.array([-1.0, -5.0]), "der": np.array([-6.0, -1.0])}
+    scorer = li.Scorer((["en", "de"], words, {}))
+    assert li.words_of("the²der Ⅷ ½the") == ["the", "der", "the"]
+    for text in ("the²der", "the der", "½the Ⅷ der②"):
+        assert scorer.predict(text) == scorer.predict("der the")
+    assert [scorer.predict(t)[0] for t in ("² ½", "Ⅷ", "12 _", "", None)] == ["und"] * 5
+    assert scorer.predict("qq")[0] == "en"  # a letter, but nothing known
+
+
 def test_edge_rows(spark):
     rows = [(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, None, "en"), (4, "12 34 ! ² ½ Ⅷ ① ٣ _", "de"),
             (None, "the cat", "en"), (6, "die Katze " * 9000, None), (2, "der Hund und die Katze", "de")]
