@@ -46,7 +46,7 @@ RULES = (
     Rule("word length", "word_chars", "n_words", 200, 1500),
     Rule("symbols", "n_symbols", "n_words", None, 10),
     Rule("capitals", "n_capitals", "n_letters", None, 30),
-    Rule("letters", "n_letters", "word_chars", 60, None),
+    Rule("letters", "n_letters", "word_chars", 60, None, None, 30),
     Rule("repeated lines", "n_dup_lines", "n_lines", None, 40),
     Rule("bullets", "n_bullets", "n_lines", None, 90, None, 30),
     Rule("unfinished lines", "n_ellipses", "n_lines", None, 30, None, 30),
@@ -94,8 +94,8 @@ def metrics(docs: DataFrame) -> DataFrame:
     # a window reaches over its words, or to the next repeated window if that begins earlier
     reach = F.transform("places", lambda x, i: F.least(
         F.lit(WINDOW), F.coalesce(F.get("places", i + 1), x + WINDOW) - x))
-    return repeats.select(
-        "doc_id", "lang", n.cast("long").alias("n_words"), _word_chars().alias("word_chars"),
+    found = F.struct(
+        n.cast("long").alias("n_words"), _word_chars().alias("word_chars"),
         _matched_out("text", f"[{SYMBOLS}]+").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.aggregate(reach, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_repeat_words"),
@@ -104,6 +104,8 @@ def metrics(docs: DataFrame) -> DataFrame:
         _count("lines", lambda x: F.ltrim(x).rlike("^[-*•]")).alias("n_bullets"),
         _count("lines", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")).alias("n_ellipses"),
         _count("bare", lambda w: w.isin(*stops)).alias("n_stop_words"))
+    # a filter on the result is not pushed below this, where it would compute the metrics again
+    return repeats.select("doc_id", "lang", F.inline_outer(F.array(found)))
 
 
 def _word_chars() -> Column:

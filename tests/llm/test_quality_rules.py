@@ -56,7 +56,8 @@ CASES = [
     (PROSE + "It was not here.", []),
     (PROSE.upper(), ["capitals"]),
     (" ".join(w + "$" * (i % 2) for i, w in enumerate(PROSE.split())), ["symbols"]),
-    (" ".join("1234567" for _ in range(3)) + " 88 991 4711 0815 333 4444 55555 666", ["letters"]),
+    (" ".join(str(1000 + 37 * i) for i in range(40)), ["letters"]),
+    (" ".join(str(1000 + 37 * i) for i in range(20)), []),  # too short to tell
     (" ".join(f"averyveryverylongword{i}" for i in range(20)), ["word length"]),
     ("\n".join(f"- item {i} of the list" for i in range(12)), ["bullets"]),
     ("\n".join(f"line {i} of the text..." for i in range(12)), ["unfinished lines"]),
@@ -92,6 +93,14 @@ def test_labelled_documents(spark):
     assert sum(r.kept for r in bad) <= 0.05 * len(bad)
 
 
+def test_a_filter_on_the_verdict_computes_nothing_again(spark):
+    docs = documents(spark, EDGES)
+    kept = qr.judge(docs).where("kept")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace") == qr.judge(docs)._jdf.queryExecution().executedPlan().toString().count("regexp_replace")
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in qr.judge(docs).collect() if r.kept}
+
+
 def test_no_python_and_no_shuffle(spark):
     plan = qr.judge(documents(spark, EDGES[:3]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
