@@ -7,14 +7,16 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_join, stored
+from .common import partitions, salted_join, stored
 
 ORDER = 5  # characters of the longest n-gram
 START = "\x02"  # stands before a text
-BLOCK = 1 << 23  # characters of the documents whose n-grams are looked up together
+BLOCK = 1 << 24  # characters of the documents whose n-grams are looked up together
 QUANTILE = 0.99  # of the trusted documents' log perplexities, by language
 HELD_OUT = 10  # one of so many trusted texts is scored by a model of the others
 SLACK = 0.15  # log perplexity added to the in-sample quantile of a language without held-out texts
@@ -23,32 +25,55 @@ FILTER_BITS = 1 << 23  # of the pre-filter for trusted documents: 131,072 rows a
 SLICE = 1 << 21  # characters at once
 
 
-def grams_of(texts: list[str], order: int = ORDER):
+def _mix(value: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    value = (value ^ chars) * np.uint64(0x9E3779B97F4A7C15)
+    return value ^ (value >> np.uint64(32))
+
+
+def hash_rows(chars: np.ndarray) -> np.ndarray:
+    """64-bit hashes of n-grams given as rows of code points."""
+    value = np.zeros(len(chars), np.uint64)
+    for j in range(chars.shape[1]):
+        value = _mix(value, chars[:, j].astype(np.uint64))
+    return value
+
+
+def windows_of(texts: list[str], order: int = ORDER):
     """The n-grams that end at each character of the texts: number of the n-gram for
-    each character in order, and the distinct n-grams."""
+    each character in order, hashes and code points of the distinct n-grams, and lengths of the texts."""
     pad = START * (order - 1)
-    joined = "".join([pad + t for t in texts])
-    chars = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.uint64)
+    chars = np.frombuffer("".join([pad + t for t in texts]).encode("utf-32-le"), "<u4")
     lengths = np.array([len(t) for t in texts], np.int64)
     # places where an n-gram starts: as many as a text has characters, from its padding on
     starts = np.arange(lengths.sum()) + np.repeat(np.arange(len(texts)) * (order - 1), lengths)
-    n = len(chars) - order + 1
-    value = np.zeros(max(n, 0), np.uint64)
+    n = max(len(chars) - order + 1, 0)
+    value = np.zeros(n, np.uint64)
     for j in range(order):
-        value = (value ^ chars[j:j + n]) * np.uint64(0x9E3779B97F4A7C15)
-        value ^= value >> np.uint64(32)
+        value = _mix(value, chars[j:j + n].astype(np.uint64))
     codes, distinct = pd.factorize(value[starts])
     first = np.empty(len(distinct), np.int64)
     first[codes[::-1]] = starts[::-1]
-    return codes, [joined[i:i + order] for i in first.tolist()], lengths
+    return codes, distinct, chars[first[:, None] + np.arange(order)], lengths
+
 
+def strings_of(chars: np.ndarray) -> list[str]:
+    """N-grams given as rows of code points as strings."""
+    order, joined = chars.shape[1], np.ascontiguousarray(chars, "<u4").tobytes().decode("utf-32-le")
+    return [joined[i:i + order] for i in range(0, len(joined), order)]
 
-def _slices(texts: list[str]):
-    """Index ranges of the texts with about SLICE characters each."""
+
+def grams_of(texts: list[str], order: int = ORDER):
+    """As ``windows_of``, the distinct n-grams as strings and without hashes."""
+    codes, _, chars, lengths = windows_of(texts, order)
+    return codes, strings_of(chars), lengths
+
+
+def _slices(texts: list[str], most: int = SLICE):
+    """Index ranges of the texts with about ``most`` characters each."""
     begin = size = 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= SLICE:
+        if size >= most:
             yield begin, i + 1
             begin, size = i + 1, 0
     if begin < len(texts):
@@ -214,46 +239,187 @@ def resolve(grams: DataFrame, tables: list[DataFrame], contexts: list[DataFrame]
     return found.union(backed)
 
 
+def _squeeze(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True)
+
+
+def _expand(data: bytes, n: int, dtype: str, width: int = 1) -> np.ndarray:
+    size = n * width * np.dtype(dtype).itemsize
+    return np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True) if n else b"", dtype)
+
+
+def _merged(hashes: list[np.ndarray], chars: list[np.ndarray], counts: list[np.ndarray]):
+    """Distinct n-grams of several lists with their counts added up."""
+    codes, distinct = pd.factorize(np.concatenate(hashes))
+    first = np.empty(len(distinct), np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    added = np.zeros((len(distinct), counts[0].shape[1]), np.int64)
+    np.add.at(added, codes, np.concatenate(counts))
+    return [distinct], [np.concatenate(chars)[first]], [added]
+
+
+def packed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``block, doc_ids, piece``: the rows of ``docs(doc_id, lang, held, text)`` in
+    compressed pieces of about SLICE characters, and blocks of pieces of about
+    ``block`` characters. A block never spans tasks, so no text is shuffled; small input
+    partitions are put together first, since each block asks for its own n-grams."""
+    chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    most = max(math.ceil(chars / block), docs.sparkSession.sparkContext.defaultParallelism)
+
+    def run(batches):
+        at, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for a, b in _slices(texts, min(SLICE, block)):
+                rows = batch.slice(a, b - a)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at], pa.int64()), pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                     pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "doc_ids", "piece"])
+                size += sum(map(len, texts[a:b]))
+                if size >= block:
+                    at, size = at + 1, 0
+
+    return docs.select("doc_id", "lang", "held", "text").coalesce(most).mapInArrow(
+        run, "block long, doc_ids array<long>, piece binary")
+
+
+def _unpacked(pieces: pa.Table):
+    for piece in pieces.column("piece"):
+        yield pa.ipc.open_stream(piece.as_buffer()).read_all()
+
+
+def block_grams(pieces: DataFrame, good: DataFrame, order: int = ORDER) -> DataFrame:
+    """``block, shard, n, grams, counts``: the distinct n-grams of each block of
+    ``packed``, in a row for each shard of their hashes, and how often they occur in the
+    texts of ``good.good_id`` that are not held out, and in those that are."""
+    shards = partitions(pieces.sparkSession)
+    trusted = (pieces.select(F.col("block").alias("of_block"), F.explode("doc_ids").alias("doc_id")).distinct()
+               .join(good, F.col("doc_id") == F.col("good_id"), "left_semi"))
+
+    def run(key, rows, trusted):
+        ids = pd.Index(trusted.column("doc_id").to_numpy())
+        hashes, grams, counts = [], [], []
+        for piece in _unpacked(rows):
+            known = pc.fill_null(piece.column("doc_id"), 0).to_numpy()
+            present = pc.is_valid(piece.column("doc_id")).to_numpy()
+            use = ids.get_indexer(known) >= 0 if len(ids) else np.zeros(len(known), bool)
+            # 0: not trusted, 1: trusted, 2: trusted and held out
+            kind = (use & present) * (1 + piece.column("held").to_numpy().astype(np.int64))
+            codes, distinct, chars, lengths = windows_of(piece.column("text").to_pylist(), order)
+            of = np.repeat(kind, lengths)
+            hashes.append(distinct)
+            grams.append(chars)
+            counts.append(np.stack([np.bincount(codes[of == k], minlength=len(distinct)) for k in (1, 2)], axis=1))
+            if len(hashes) == 16:
+                hashes, grams, counts = _merged(hashes, grams, counts)
+        hashes, grams, counts = (x[0] for x in _merged(hashes, grams, counts))
+        shard = ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
+        by = np.lexsort([*(grams[:, j] for j in reversed(range(order))), shard])  # neighbours compress well
+        grams, counts = grams[by], counts[by]
+        present, starts = np.unique(shard[by], return_index=True)
+        ends = np.append(starts[1:], len(by))
+        return pa.table({"block": pa.array([key[0].as_py()] * len(present), pa.int64()), "shard": pa.array(present, pa.int32()),
+                         "n": pa.array(ends - starts, pa.int64()),
+                         "grams": pa.array([_squeeze(grams[a:b]) for a, b in zip(starts, ends)], pa.binary()),
+                         "counts": pa.array([_squeeze(counts[a:b]) for a, b in zip(starts, ends)], pa.binary())})
+
+    return pieces.select("block", "piece").groupBy("block").cogroup(trusted.groupBy("of_block")).applyInArrow(
+        run, "block long, shard int, n long, grams binary, counts binary")
+
+
+def gram_counts(asked: DataFrame, order: int = ORDER) -> DataFrame:
+    """``gram, others, rest``: the distinct n-grams of all rows of ``block_grams`` and the sums of their counts."""
+
+    def run(rows):
+        hashes, grams, counts, size = [], [], [], 0
+        for n, g, c in zip(*(rows.column(k).to_pylist() for k in ("n", "grams", "counts"))):
+            chars = _expand(g, n, "<u4", order).reshape(n, order)
+            hashes.append(hash_rows(chars))
+            grams.append(chars)
+            counts.append(_expand(c, n, "<i8", 2).reshape(n, 2))
+            size += n
+            if size > SLICE:
+                hashes, grams, counts = _merged(hashes, grams, counts)
+                size = 0
+        _, grams, counts = (x[0] for x in _merged(hashes, grams, counts))
+        return pa.table({"gram": pa.array(strings_of(grams), pa.string()), "others": counts[:, 0], "rest": counts[:, 1]})
+
+    return asked.groupBy("shard").applyInArrow(run, "gram string, others long, rest long")
+
+
+def read_off(pieces: DataFrame, asked: DataFrame, logs: DataFrame, order: int = ORDER) -> DataFrame:
+    """``doc_id, lang, held, n, nll, nll_others`` of every text of ``pieces``: its
+    characters and the sums of their negative log probabilities ``x`` and ``y`` in
+    ``logs(gram, x, y)``. The logs meet the blocks' n-grams shard by shard and go back
+    to the blocks as arrays; a null one makes the sums of its texts NaN."""
+    shards = partitions(pieces.sparkSession)
+
+    def with_shard(batches):
+        for batch in batches:
+            text = "".join(batch.column(0).to_pylist()).encode("utf-32-le")
+            hashes = hash_rows(np.frombuffer(text, "<u4").reshape(-1, order))
+            shard = ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(hashes.view(np.int64)), batch.column(1), batch.column(2)],
+                                             ["shard", "hash", "x", "y"])
+
+    def look_up(rows, found):
+        hashes = found.column("hash").to_numpy().view(np.uint64)
+        by = np.argsort(hashes)
+        hashes, x, y = hashes[by], found.column("x").to_numpy()[by], found.column("y").to_numpy()[by]
+        out = []
+        for n, g in zip(rows.column("n").to_pylist(), rows.column("grams").to_pylist()):
+            at = np.searchsorted(hashes, hash_rows(_expand(g, n, "<u4", order).reshape(n, order)))
+            out.append(_squeeze(np.concatenate([x[at], y[at]])))
+        return pa.table({"block": rows.column("block"), "n": rows.column("n"), "grams": rows.column("grams"),
+                         "logs": pa.array(out, pa.binary())})
+
+    def run(rows, looked):
+        hashes, logs = [np.empty(0, np.uint64)], [np.empty((2, 0))]
+        for n, g, v in zip(*(looked.column(k).to_pylist() for k in ("n", "grams", "logs"))):
+            hashes.append(hash_rows(_expand(g, n, "<u4", order).reshape(n, order)))
+            logs.append(_expand(v, n, "<f8", 2).reshape(2, n))
+        hashes, logs = np.concatenate(hashes), np.concatenate(logs, axis=1)
+        by = np.argsort(hashes)
+        hashes, logs = hashes[by], logs[:, by]
+        out = []
+        for piece in _unpacked(rows):
+            codes, distinct, _, lengths = windows_of(piece.column("text").to_pylist(), order)
+            at, of = np.searchsorted(hashes, distinct), np.repeat(np.arange(len(lengths)), lengths)
+            nll = [-np.bincount(of, weights=log[at][codes], minlength=len(lengths)).astype(float) for log in logs]
+            out.append(pa.table([piece.column("doc_id"), piece.column("lang"), piece.column("held"), pa.array(lengths), *map(pa.array, nll)],
+                                ["doc_id", "lang", "held", "n", "nll", "nll_others"]))
+        return pa.concat_tables(out)
+
+    spread = logs.select("gram", "x", "y").mapInArrow(with_shard, "shard int, hash long, x double, y double")
+    looked = asked.select("block", "shard", "n", "grams").groupBy("shard").cogroup(spread.groupBy("shard")).applyInArrow(
+        look_up, "block long, n long, grams binary, logs binary")
+    return pieces.select("block", "piece").groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(
+        run, "doc_id long, lang string, held boolean, n long, nll double, nll_others double")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+                       (F.pmod(F.xxhash64(text), F.lit(HELD_OUT)) == 0).alias("held"), F.coalesce(text, F.lit("")).alias("text"))
+
+
 def score(docs: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], unseen: float, block: int = BLOCK) -> DataFrame:
     """As ``perplexities``, by the tables of ``kneser_ney``, however large they are.
 
     Documents fall into blocks of about ``block`` characters. The distinct
     n-grams of a block are joined with the resolved ones of the corpus, and
-    come back to its texts. A frequent n-gram has a row for each block, not for
+    come back to its texts. A frequent n-gram is asked for by each block, not by
     each document, so no join key is hotter than the number of blocks.
     """
     order = len(tables)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n = max(1, math.ceil((texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0) / block))
-    # empty texts have nothing to look up
-    blocked = texts.where("text != ''").select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block"), "doc_id", "lang", "text")
-
-    def distinct(key, rows):
-        found, all_texts = set(), rows.column("text").to_pylist()
-        for a, b in _slices(all_texts):
-            found.update(grams_of(all_texts[a:b], order)[1])
-        return pa.table({"block": pa.array([key[0].as_py()] * len(found), pa.int64()), "gram": pa.array(list(found), pa.string())})
-
-    grams = stored(blocked.groupBy("block").applyInArrow(distinct, "block long, gram string"), "block-grams")
-    logs = resolve(grams.select("gram").distinct(), tables, contexts, unseen).select(F.col("gram").alias("g"), "x")
-    looked = grams.join(logs, F.col("gram") == F.col("g")).select("block", "gram", "x")
-
-    def run(rows, found):
-        log_of = dict(zip(found.column("gram").to_pylist(), found.column("x").to_pylist()))
-        all_texts = rows.column("text").to_pylist()
-        nll = np.zeros(len(all_texts))
-        for a, b in _slices(all_texts):
-            codes, distinct, lengths = grams_of(all_texts[a:b], order)
-            scores = np.array([log_of[g] for g in distinct])
-            sums = np.concatenate([[0.0], np.cumsum(scores[codes])])
-            ends = np.cumsum(lengths)
-            nll[a:b] = sums[ends - lengths] - sums[ends]
-        return pa.table([rows.column("doc_id"), rows.column("lang"), pa.array([len(t) for t in all_texts], pa.int64()),
-                         pa.array(nll)], ["doc_id", "lang", "n", "nll"])
-
-    scored = blocked.groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(run, "doc_id long, lang string, n long, nll double")
-    return scored.union(texts.where("text = ''").select("doc_id", "lang", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("nll")))
+    pieces = stored(packed(_texts(docs), block), "pieces")
+    none = docs.sparkSession.createDataFrame([], "good_id long")
+    asked = stored(block_grams(pieces, none, order), "block-grams")
+    logs = resolve(gram_counts(asked, order).select("gram"), tables, contexts, unseen)
+    return read_off(pieces, asked, logs.withColumn("y", F.col("x")), order).select("doc_id", "lang", "n", "nll")
 
 
 def trusted_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
@@ -295,13 +461,18 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     """
     good = (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(
         F.col("doc_id").cast("long").alias("good_id")).distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang"), F.col("text").cast("string").alias("text"))
-    held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
-    others = stored(count_grams(trusted_texts(texts.where(~held), good)), "grams")
-    rest = stored(count_grams(trusted_texts(texts.where(held), good)), "grams")
-    counts = others.union(rest).groupBy("gram").agg(F.sum("c").alias("c"))
-    scored = stored(score(docs, *kneser_ney(counts)), "perplexities")
-    unseen = stored(score(trusted_texts(texts.where(held), good), *kneser_ney(others)), "perplexities").where("n > 0")
+    # one pass over the packed texts counts the trusted n-grams, held out or not, and lists all
+    pieces = stored(packed(_texts(docs)), "pieces")
+    asked = stored(block_grams(pieces, good), "block-grams")
+    counts = stored(gram_counts(asked), "grams")
+    whole = kneser_ney(counts.select("gram", (F.col("others") + F.col("rest")).alias("c")).where("c > 0"))
+    part = kneser_ney(counts.select("gram", F.col("others").alias("c")).where("c > 0"))
+    by_part = resolve(counts.where("rest > 0").select("gram"), *part).select(F.col("gram").alias("g"), F.col("x").alias("y"))
+    logs = resolve(counts.select("gram"), *whole).join(by_part, F.col("gram") == F.col("g"), "left").select("gram", "x", "y")
+    scored = stored(read_off(pieces, asked, logs), "perplexities")
+    unseen = scored.where("held AND n > 0").join(good, F.col("doc_id") == F.col("good_id"), "left_semi").select(
+        "doc_id", "lang", "n", F.col("nll_others").alias("nll"))
+    scored = scored.select("doc_id", "lang", "n", "nll")
     of_trusted = scored.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n > 0")
     means = _by_language(of_trusted, F.sum("nll") / F.sum("n"), "mean", scored)
     lang = F.coalesce("lang", F.lit(""))
