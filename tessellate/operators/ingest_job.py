@@ -99,7 +99,7 @@ def run_ingest(spark: SparkSession, files: DataFrame, state: StateTable, table_r
                     if done is None:
                         first_load(spark, table.root, source, marks=marks)
                     else:
-                        apply_upsert(table, source, lambda t, s: upsert_soft_delete(t, s, keys), marks)
+                        apply_upsert(table, source, lambda t, s: upsert_soft_delete(t, s, keys), marks, keys)
                 out.append((row.table_name, result, attempt, start, _now(), row.new_watermark, None))
                 break
             except Exception as e:  # noqa: BLE001 - recorded per table, job goes on

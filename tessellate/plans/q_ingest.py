@@ -221,7 +221,7 @@ def q_apply_increment(spark, sf_dir):
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
     t = first_load(spark, scratch_path(spark, "table"), _snapshot(rows.where(F.col("SinkModifiedOn") < split)))
     apply_upsert(t, _snapshot(rows.where(F.col("SinkModifiedOn") >= split)),
-                 lambda a, b: upsert_soft_delete(a, b, ["Id"]))
+                 lambda a, b: upsert_soft_delete(a, b, ["Id"]), keys=["Id"])
     return t.read().select(*SNAP_COLS)
 
 

@@ -34,7 +34,7 @@ def make_batch_writer(spark: SparkSession, table_root: str, checkpoint: str, key
             return
         snap = prepare(batch)
         if table.exists():
-            apply_upsert(table, snap, lambda t, s: upsert_soft_delete(t, s, keys), {mark: batch_id})
+            apply_upsert(table, snap, lambda t, s: upsert_soft_delete(t, s, keys), {mark: batch_id}, keys)
         else:
             first_load(spark, table_root, snap, marks={mark: batch_id})
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tessellate.operators.increment import upsert_soft_delete
 from tessellate.session import scratch_path
 from tessellate.sources.snapshot_table import SnapshotTable, apply_upsert, first_load
@@ -99,3 +101,58 @@ def test_first_load_replaces_the_table(spark):
     first_load(spark, root, spark.createDataFrame([(1, "a", 2020, False), (2, "b", 2021, False)], UPSERT))
     table = first_load(spark, root, spark.createDataFrame([(2, "b", 2022, False)], UPSERT))
     assert [(r.Id, r.PartitionId) for r in table.read().collect()] == [(2, 2022)]
+
+
+def files_of(table):
+    return {r.p for r in table.read().select(F.input_file_name().alias("p")).distinct().collect()}
+
+
+def test_only_touched_partitions_are_written(spark):
+    root = scratch_path(spark, "pt-touched")
+    rows = [(1, "a", 2020, False), (2, "b", 2021, False), (3, "c", 2022, False), (4, "d", None, False), (5, "e", 2023, False)]
+    table = first_load(spark, root, spark.createDataFrame(rows, UPSERT))
+    before = files_of(table)
+    # 2 moves from 2021 to 2022, 5 is deleted in place, 6 opens a partition, a null key is inserted into 2022
+    source = spark.createDataFrame([(2, "B", 2022, False), (5, "x", 2030, True), (6, "f", 2024, False), (None, "n", 2022, False)], UPSERT)
+    whole = first_load(spark, scratch_path(spark, "pt-whole"), spark.createDataFrame(rows, UPSERT))
+    apply_upsert(table, source, merge, {"m": 3}, keys=["Id"])
+    apply_upsert(whole, source, merge)
+    plain = lambda t: sorted(tuple(str(x) for x in r) for r in t.read().collect())
+    assert plain(table) == plain(whole) and table.applied("m") == 3
+    kept = files_of(table) & before
+    assert {p.split("/")[-2] for p in kept} == {"PartitionId=2020", "PartitionId=__HIVE_DEFAULT_PARTITION__"}
+    # the null partition is found by its key and by the rows it receives
+    apply_upsert(table, spark.createDataFrame([(4, "D", 2020, False), (7, "g", None, None)], UPSERT), merge, keys=["Id"])
+    got = {r.Id: (r.name, r.PartitionId) for r in table.read().collect()}
+    assert got[4] == ("D", 2020) and got[7] == ("g", None) and got[1] == ("a", 2020)
+
+
+def test_kept_partitions_lack_new_columns_and_changed_types_rewrite_all(spark):
+    table = first_load(spark, scratch_path(spark, "pt-wide"), spark.createDataFrame(
+        [(1, "a", 2020, False), (2, "b", 2021, False)], UPSERT))
+    before = files_of(table)
+    apply_upsert(table, spark.createDataFrame([(2, "B", 2021, False, "x")], UPSERT + ", extra string"), merge, keys=["Id"])
+    assert {r.Id: r.extra for r in table.read().collect()} == {1: None, 2: "x"} and len(files_of(table) & before) == 1
+    widened = "Id int, name string, PartitionId int, IsDelete boolean, extra string"
+    as_text = lambda a, b: merge(a, b).withColumn("Id", F.col("Id").cast("string"))
+    apply_upsert(table, spark.createDataFrame([(2, "C", 2021, False, "y")], widened), as_text, keys=["Id"])
+    assert {r.Id: r.name for r in table.read().collect()} == {"1": "a", "2": "C"} and not files_of(table) & before
+
+
+def test_partitions_of_any_text_and_empty_loads(spark):
+    schema = "Id int, name string, part string, IsDelete boolean"
+    names = ["a/b", "c=d e", "50%", "ä+1", None]
+    table = first_load(spark, scratch_path(spark, "pt-text"), spark.createDataFrame(
+        [(i, "old", p, False) for i, p in enumerate(names)], schema), "part")
+    for i, p in enumerate(names):
+        before = files_of(table)
+        apply_upsert(table, spark.createDataFrame([(i, "new", p, False)], schema), merge, keys=["Id"])
+        assert len(files_of(table) & before) == len(names) - 1
+    assert sorted((r.Id, r.name, r.part) for r in table.read().collect()) == [(i, "new", p) for i, p in enumerate(names)]
+    before = files_of(table)
+    apply_upsert(table, spark.createDataFrame([], schema), merge, keys=["Id"])
+    assert files_of(table) == before
+    none = first_load(spark, scratch_path(spark, "pt-none"), spark.createDataFrame([], UPSERT))
+    assert none.read().count() == 0
+    apply_upsert(none, spark.createDataFrame([(1, "a", 2020, False)], UPSERT), merge, keys=["Id"])
+    assert ids(none) == [(1, "a")]
