@@ -12,17 +12,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessellate.session import scratch_path
+
 from .common import partitions, salted_join, stored
 
 ORDER = 5  # characters of the longest n-gram
 START = "\x02"  # stands before a text
-BLOCK = 1 << 24  # characters of the documents whose n-grams are looked up together
+BLOCK = 1 << 25  # characters of the documents whose n-grams are looked up together
 QUANTILE = 0.99  # of the trusted documents' log perplexities, by language
 HELD_OUT = 10  # one of so many trusted texts is scored by a model of the others
 SLACK = 0.15  # log perplexity added to the in-sample quantile of a language without held-out texts
 SHRINK = 60  # characters by which a short text's mean is drawn to the trusted one
 FILTER_BITS = 1 << 23  # of the pre-filter for trusted documents: 131,072 rows at most
 SLICE = 1 << 21  # characters at once
+LEVEL = 7  # of the compression of texts
+MOST_BUCKETS = 100_000  # that Spark allows a table
 
 
 def _mix(value: np.ndarray, chars: np.ndarray) -> np.ndarray:
@@ -126,20 +130,17 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> tuple[list[DataFrame],
     for k, t in enumerate(tables, 1):
         d = discounts(t)
         cut = F.when(F.col("c") == 1, d["d1"]).when(F.col("c") == 2, d["d2"]).otherwise(d["d3"])
-        own = t.select("gram", "c", (F.col("c") - cut).alias("left"), cut.alias("cut"),
-                       F.expr(f"substring(gram, 1, {k - 1})").alias("context"),
-                       F.expr("substring(gram, 2)").alias("suffix"))
-        of = own.groupBy(F.col("context").alias("ctx")).agg(F.sum("c").alias("total"), F.sum("cut").alias("mass"))
+        context = F.expr(f"substring(gram, 1, {k - 1})")
+        of = stored(t.groupBy(context.alias("ctx")).agg(F.sum("c").alias("total"), F.sum(cut).alias("mass")), "contexts")
+        joined = t.join(of, context == F.col("ctx"))
         if k == 1:
             n, share = t.count(), of.select(F.col("mass") / F.col("total")).first()
             unseen = (share[0] if share else 1.0) / (n + 1)
-            shorter = own.select("gram", F.lit(1.0 / (n + 1)).alias("low"))  # one more for all unseen characters
+            joined = joined.withColumn("low", F.lit(1.0 / (n + 1)))  # one more for all unseen characters
         else:
             low = out[-1].select(F.col("gram").alias("s"), F.col("p").alias("low"))
-            shorter = own.join(low, F.col("suffix") == F.col("s")).select("gram", "low")
-        shorter = shorter.withColumnRenamed("gram", "g")
-        probs = (own.join(of, F.col("context") == F.col("ctx")).join(shorter, F.col("gram") == F.col("g"))
-                 .select("gram", "c", ((F.col("left") + F.col("mass") * F.col("low")) / F.col("total")).alias("p")))
+            joined = joined.select("gram", "c", "mass", "total").join(low, F.expr("substring(gram, 2)") == F.col("s"))
+        probs = joined.select("gram", "c", ((F.col("c") - cut + F.col("mass") * F.col("low")) / F.col("total")).alias("p"))
         out.append(stored(probs, "probabilities"))
         contexts.append(of.select(F.col("ctx").alias("gram"), F.col("total").alias("c"),
                                   (F.col("mass") / F.col("total")).alias("rest")))
@@ -261,10 +262,12 @@ def _merged(hashes: list[np.ndarray], chars: list[np.ndarray], counts: list[np.n
 def packed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """``block, doc_ids, piece``: the rows of ``docs(doc_id, lang, held, text)`` in
     compressed pieces of about SLICE characters, and blocks of pieces of about
-    ``block`` characters. A block never spans tasks, so no text is shuffled; small input
+    ``block`` characters. A block never spans tasks, and the rows are written in buckets
+    of blocks, so that no text is shuffled, here or by the joins on ``block``. Small input
     partitions are put together first, since each block asks for its own n-grams."""
+    spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    most = max(math.ceil(chars / block), docs.sparkSession.sparkContext.defaultParallelism)
+    most = max(math.ceil(chars / block), spark.sparkContext.defaultParallelism)
 
     def run(batches):
         at, size = TaskContext.get().partitionId() << 32, 0
@@ -273,7 +276,8 @@ def packed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             for a, b in _slices(texts, min(SLICE, block)):
                 rows = batch.slice(a, b - a)
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(
+                        compression=pa.Codec("zstd", compression_level=LEVEL))) as out:
                     out.write_batch(rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([at], pa.int64()), pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
@@ -282,8 +286,16 @@ def packed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                 if size >= block:
                     at, size = at + 1, 0
 
-    return docs.select("doc_id", "lang", "held", "text").coalesce(most).mapInArrow(
+    rows = docs.select("doc_id", "lang", "held", "text").coalesce(most).mapInArrow(
         run, "block long, doc_ids array<long>, piece binary")
+    # only tables have buckets: this one is named until its files are known
+    path = scratch_path(spark, "pieces")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows.write.format("parquet").option("path", path).option("compression", "none").bucketBy(
+        min(max(most, partitions(spark)), MOST_BUCKETS), "block").saveAsTable(name)
+    pieces = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return pieces
 
 
 def _unpacked(pieces: pa.Table):
@@ -415,7 +427,7 @@ def score(docs: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], u
     each document, so no join key is hotter than the number of blocks.
     """
     order = len(tables)
-    pieces = stored(packed(_texts(docs), block), "pieces")
+    pieces = packed(_texts(docs), block)
     none = docs.sparkSession.createDataFrame([], "good_id long")
     asked = stored(block_grams(pieces, none, order), "block-grams")
     logs = resolve(gram_counts(asked, order).select("gram"), tables, contexts, unseen)
@@ -462,7 +474,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     good = (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(
         F.col("doc_id").cast("long").alias("good_id")).distinct())
     # one pass over the packed texts counts the trusted n-grams, held out or not, and lists all
-    pieces = stored(packed(_texts(docs)), "pieces")
+    pieces = packed(_texts(docs))
     asked = stored(block_grams(pieces, good), "block-grams")
     counts = stored(gram_counts(asked), "grams")
     whole = kneser_ney(counts.select("gram", (F.col("others") + F.col("rest")).alias("c")).where("c > 0"))
