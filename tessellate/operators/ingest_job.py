@@ -6,6 +6,9 @@ between first load, upsert and skip, and the planned folders of a table are
 read in one scan per column list, united by name, reduced to the latest row
 per key and merged into its snapshot table.
 
+Lines that do not parse as the manifest says, and rows without a key, go to a side
+table with their file and text, and the status row counts them.
+
 A table's data and its watermark are published together. The folder watermark,
 from which the next run starts, advances only if no table failed: folders that
 were missed are planned again, and tables that had them skip them by their own
@@ -25,13 +28,16 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import epoch_seconds
 from ..sources.files import list_files, read_manifests
+from ..session import stored
+from ..sources.sinks import write_parquet
 from ..sources.snapshot_table import SnapshotTable, apply_upsert, first_load
 from ..sources.state import StateTable
 from .increment import load_plan, source_snapshot, upsert_soft_delete
 from .reshape import union_by_name
 
 STATUS_SCHEMA = ("table_name string, status string, attempt int, start_time timestamp_ntz, "
-                 "end_time timestamp_ntz, new_watermark bigint, message string")
+                 "end_time timestamp_ntz, new_watermark bigint, message string, rejected bigint")
+REJECTED_SCHEMA = "folder string, file string, reason string, text string"
 WATERMARK = "watermark"  # a table's mark: modification time up to which it is loaded
 CSV_TIMES = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"  # the default would cut microseconds
 FOLDERS = "last_folder"  # name of the state row that holds the folder watermark
@@ -52,19 +58,39 @@ def change_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFra
 def read_folders(spark: SparkSession, folders: list, columns: dict[str, tuple]) -> DataFrame:
     """One entity's rows from its planned ``folders`` (rows with name and path), with
     ``__folder``. ``columns``: for each folder name its ``((name, type), ...)``;
-    folders with the same columns share a scan, columns that a folder lacks are null."""
+    folders with the same columns share a scan, columns that a folder lacks are null.
+    ``__file`` is a row's file and ``__line`` the text of a line that does not parse
+    (wrong number of fields, or a value that is not of its type), else null."""
     by_columns: dict[tuple, list] = {}
     for f in folders:
         by_columns.setdefault(columns[f.name], []).append(f.path)
     frames = []
     for fields, paths in by_columns.items():
-        schema = ", ".join(f"`{name}` {kind}" for name, kind in fields)
+        schema = ", ".join([*(f"`{name}` {kind}" for name, kind in fields), "__line string"])
         rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option(
-            "timestampNTZFormat", CSV_TIMES).csv(paths)
-        frames.append(rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/[^/]+$", 1).alias("__folder")))
+            "columnNameOfCorruptRecord", "__line").option("timestampNTZFormat", CSV_TIMES).csv(paths)
+        frames.append(rows.select("*", F.col("_metadata.file_path").alias("__file"), F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/[^/]+$", 1).alias("__folder")))
     return union_by_name(frames)
 
 
+def split_rejected(rows: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``read_folders`` that can be loaded, and the others as ``REJECTED_SCHEMA``.
+
+    The rows are stored once: a scan that needs fewer columns would not see
+    what is wrong with the others.
+    """
+    rows = stored(rows, "parsed")
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    fields = [c for c in rows.columns if c not in ("__line", "__file", "__folder")]
+    reason = F.when(F.col("__line").isNotNull(), "unparsable").when(no_key, "no key")
+    bad = rows.where(reason.isNotNull()).select(
+        F.col("__folder").alias("folder"), F.col("__file").alias("file"), reason.alias("reason"),
+        F.coalesce("__line", F.to_json(F.struct(*fields))).alias("text"))
+    return rows.where(reason.isNull()).drop("__line", "__file"), bad
+
+
 def run_ingest(spark: SparkSession, files: DataFrame, state: StateTable, table_root: str,
                snapshot: Callable[[str, list], DataFrame], keys=("Id",), max_retries: int = 0,
                retry_delay: float = 1.0, parallel: int = 4, current_folder: str | None = None,
@@ -72,7 +98,8 @@ def run_ingest(spark: SparkSession, files: DataFrame, state: StateTable, table_r
     """Load every table of the plan; returns one status row per attempt.
 
     ``snapshot(table_name, folders)`` builds the deduplicated source rows of a
-    table from its planned folders (rows with name, path, max_last_modified).
+    table from its planned folders (rows with name, path, max_last_modified), or
+    these and the number of rows that it rejected.
     Tables: ``{table_root}/{table_name}``; ``parallel`` of them are loaded at a
     time. Folders are planned from the folder watermark up to
     ``current_folder`` (exclusive), which becomes the watermark if all went
@@ -92,18 +119,20 @@ def run_ingest(spark: SparkSession, files: DataFrame, state: StateTable, table_r
             try:
                 done = table.applied(WATERMARK)  # data may be ahead of the job's state after a crash
                 folders = [f for f in row.folders if done is None or f.max_last_modified > done]
-                result = "SUCCEEDED" if folders else "SKIPPED"
+                result, rejected = "SUCCEEDED" if folders else "SKIPPED", 0
                 if folders:
                     marks = {WATERMARK: int(row.new_watermark)}
                     source = snapshot(row.table_name, folders)
+                    if isinstance(source, tuple):
+                        source, rejected = source
                     if done is None:
                         first_load(spark, table.root, source, marks=marks)
                     else:
                         apply_upsert(table, source, lambda t, s: upsert_soft_delete(t, s, keys), marks, keys)
-                out.append((row.table_name, result, attempt, start, _now(), row.new_watermark, None))
+                out.append((row.table_name, result, attempt, start, _now(), row.new_watermark, None, rejected))
                 break
             except Exception as e:  # noqa: BLE001 - recorded per table, job goes on
-                out.append((row.table_name, "FAILED", attempt, start, _now(), row.new_watermark, str(e)))
+                out.append((row.table_name, "FAILED", attempt, start, _now(), row.new_watermark, str(e), None))
                 if attempt <= max_retries:
                     time.sleep(retry_delay)
         return out
@@ -125,17 +154,22 @@ def ingest_folders(spark: SparkSession, root: str, state: StateTable, table_root
     a manifest ``root/<folder>/model.json`` that names each entity's columns.
 
     ``tie``: columns that, after ``modified`` and the folder, make the order of
-    a key's rows total.
+    a key's rows total. Rejected rows: ``{table_root}/{entity}/rejected/upto=<watermark>``,
+    which an attempt that is repeated writes anew.
     """
     files = change_files(spark, root)
     manifest = read_manifests(spark, f"{root.rstrip('/')}/*/model.json")
     columns: dict[str, dict[str, tuple]] = {}  # by entity and folder: as large as the manifests
 
-    def snapshot(table: str, folders: list) -> DataFrame:
+    def snapshot(table: str, folders: list) -> tuple[DataFrame, int]:
         names = [f.name for f in folders]
         wanted = manifest.where((F.col("entity") == table) & F.col("folder").isin(names)).collect()
         columns[table] = {r.folder: tuple((a["name"], a["dataType"]) for a in r.attributes) for r in wanted}
-        rows = read_folders(spark, folders, columns[table])
-        return source_snapshot(rows, list(keys), modified, created, tie=[*tie])
+        rows, bad = split_rejected(read_folders(spark, folders, columns[table]), keys)
+        upto = max(f.max_last_modified for f in folders)
+        path = f"{table_root.rstrip('/')}/{table}/rejected/upto={int(upto)}"
+        write_parquet(bad, path, "overwrite")
+        n = spark.read.schema(REJECTED_SCHEMA).parquet(path).count()
+        return source_snapshot(rows, list(keys), modified, created, tie=[*tie]), n
 
     return run_ingest(spark, files, state, table_root, snapshot, keys, manifest=manifest.select("folder", "entity"), **options)

@@ -427,10 +427,11 @@ WITH runs AS (SELECT event_type, bool_or(ts < TIMESTAMP '{SPLIT_TS}') AS early,
 SELECT m.*, runs.early, runs.late FROM ({merged}) m JOIN runs ON m.event_type = runs.event_type"""
 
 
-def write_wave(spark, rows, root, columns):
-    """Rows as change folders: ``<folder>/<entity>/*.csv`` and ``<folder>/model.json``."""
+def write_wave(spark, rows, root, columns, kinds=None):
+    """Rows as change folders: ``<folder>/<entity>/*.csv`` and ``<folder>/model.json``.
+    ``kinds``: types that the manifest names instead of those of the rows."""
     stage = scratch_path(spark, "wave")
-    kinds = dict(rows.dtypes)
+    kinds = dict(rows.dtypes) | (kinds or {})
     (rows.select("__folder", "event_type", *columns).write.partitionBy("__folder", "event_type").option("header", True)
      .option("timestampNTZFormat", CSV_TIMES).csv(stage))
     attributes = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(kinds[c]).alias("dataType")) for c in columns])
@@ -472,3 +473,34 @@ def q_ingest_job(spark, sf_dir):
               .select(F.lit(t).alias("event_type"), "*", F.lit(t in ran[0]).alias("early"), F.lit(t in ran[1]).alias("late"))
               for t in sorted(ran[0] | ran[1])]
     return union_by_name(tables).select("event_type", *JOB_COLS, "value", "early", "late")
+
+
+@query("ingest_quarantine", f"""
+SELECT event_type AS entity, {FOLDER_SQL} AS folder, CASE event_id % 10 WHEN 3 THEN 'unparsable' ELSE 'no key' END AS reason,
+       count(*) AS n_rows
+FROM events WHERE event_id % 10 IN (3, 7) GROUP BY ALL
+UNION ALL
+SELECT event_type, NULL, 'in the table', count(DISTINCT user_id) FROM events WHERE event_id % 10 NOT IN (3, 7) GROUP BY 1""")
+def q_ingest_quarantine(spark, sf_dir):
+    """The whole job over change folders with broken lines: in every tenth row a value
+    that is no number, in another tenth no key. Returns what was rejected by
+    folder and reason, and the number of rows of the tables."""
+    from ..operators.ingest_job import REJECTED_SCHEMA
+    from ..operators.reshape import union_by_name
+    from ..sources.state import StateTable
+    root = scratch_path(spark, "quarantine")
+    rows = entity_rows(spark, sf_dir)
+    digit = F.col("event_id") % 10
+    broken = (rows.withColumn("value", F.when(digit == 3, "n/a").otherwise(F.coalesce(F.col("value").cast("string"), F.lit(""))))
+              .withColumn("Id", F.when(digit != 7, F.col("Id"))))
+    write_wave(spark, broken, f"{root}/changes", [*JOB_COLS, "value"], {"value": "double"})
+    status = ingest_folders(spark, f"{root}/changes", StateTable(spark, f"{root}/state"), f"{root}/tables", tie=("event_id",),
+                            current_folder="9999")
+    entity = F.regexp_extract("file", r"/([^/]+)/[^/]+$", 1).alias("entity")
+    count = F.count(F.lit(1)).alias("n_rows")
+    rejected = (spark.read.schema(REJECTED_SCHEMA).parquet(f"{root}/tables/*/rejected/*")
+                .groupBy(entity, "folder", "reason").agg(count))
+    loaded = [SnapshotTable(spark, f"{root}/tables/{r.table_name}").read().agg(count)
+              .select(F.lit(r.table_name).alias("entity"), F.lit(None).cast("string").alias("folder"), F.lit("in the table").alias("reason"), "n_rows")
+              for r in status.collect()]
+    return union_by_name([rejected, *loaded])

@@ -5,7 +5,7 @@ import datetime as dt
 import pyspark.sql.functions as F
 
 from tessellate.operators.increment import source_snapshot
-from tessellate.operators.ingest_job import run_ingest
+from tessellate.operators.ingest_job import REJECTED_SCHEMA, ingest_folders, run_ingest
 from tessellate.session import scratch_path
 from tessellate.sources.snapshot_table import SnapshotTable
 from tessellate.sources.state import StateTable
@@ -90,3 +90,29 @@ def test_crash_between_data_and_state_is_not_applied_twice(spark):
         pass
     st = run_ingest(spark, files, StateTable(spark, f"{root}/state"), f"{root}/t", snapshot).collect()
     assert [r.status for r in st] == ["SKIPPED"] and SnapshotTable(spark, f"{root}/t/t").read().count() == 1
+
+
+def test_lines_that_do_not_parse_and_rows_without_a_key_go_to_a_side_table(spark, tmp_path):
+    import json
+
+    fields = [("Id", "int"), ("SinkModifiedOn", "timestamp_ntz"), ("createdon", "timestamp_ntz"), ("IsDelete", "boolean"), ("v", "double")]
+    lines = {"2024-01-01T00.00.00Z": ["1,2024-01-01T00:00:00,2024-01-01T00:00:00,false,1.5", "x,2024-01-01T00:00:00,2024-01-01T00:00:00,false,1.5",
+                                      "2,2024-01-01T00:00:00,2024-01-01T00:00:00,false", ",2024-01-01T00:00:00,2024-01-01T00:00:00,false,3.5"],
+             "2024-01-02T00.00.00Z": ["1,2024-01-02T00:00:00,2024-01-01T00:00:00,false,oops", "3,2024-01-02T00:00:00,2024-01-01T00:00:00,false,"]}
+    for folder, rows in lines.items():
+        (tmp_path / "changes" / folder / "t").mkdir(parents=True)
+        (tmp_path / "changes" / folder / "t" / "a.csv").write_text("\n".join([",".join(n for n, _ in fields), *rows]) + "\n")
+        (tmp_path / "changes" / folder / "model.json").write_text(json.dumps(
+            {"entities": [{"name": "t", "attributes": [{"name": n, "dataType": k} for n, k in fields]}]}))
+    state = StateTable(spark, f"{tmp_path}/state")
+    status = ingest_folders(spark, str(tmp_path / "changes"), state, f"{tmp_path}/tables", current_folder="9999").collect()
+    assert [(r.status, r.rejected) for r in status] == [("SUCCEEDED", 4)], status
+    table = SnapshotTable(spark, f"{tmp_path}/tables/t").read()
+    assert sorted((r.Id, r.v) for r in table.collect()) == [(1, 1.5), (3, None)]  # the older row 1 stays, it was not overwritten by nulls
+    assert "__line" not in table.columns
+    bad = spark.read.schema(REJECTED_SCHEMA).parquet(f"{tmp_path}/tables/t/rejected/*").collect()
+    assert sorted((r.folder[:10], r.reason) for r in bad) == [
+        ("2024-01-01", "no key"), ("2024-01-01", "unparsable"), ("2024-01-01", "unparsable"), ("2024-01-02", "unparsable")]
+    texts = {r.text for r in bad if r.reason == "unparsable"}
+    assert texts == {lines["2024-01-01T00.00.00Z"][1], lines["2024-01-01T00.00.00Z"][2], lines["2024-01-02T00.00.00Z"][0]}
+    assert all(r.file.endswith("/t/a.csv") for r in bad)
