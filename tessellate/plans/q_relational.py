@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import week_bucket
 from ..operators import aggs, dedup, joins, reshape
+from ..operators.quantiles import quantiles
 from ..sources.tables import Tables
 from . import fixtures as fx
 from .registry import fast_round, query, rounded
@@ -137,6 +138,16 @@ def quartiles(spark, sf_dir):
     return rounded(aggs.quartiles(scores, ["l_returnflag"], "score"))
 
 
+@query("quartiles_rows", """
+SELECT l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.0), 6) + 0.0 AS q0,
+       round(quantile_cont(l_extendedprice, 0.25), 6) + 0.0 AS q1, round(quantile_cont(l_extendedprice, 0.5), 6) + 0.0 AS q2,
+       round(quantile_cont(l_extendedprice, 0.75), 6) + 0.0 AS q3, round(quantile_cont(l_extendedprice, 1.0), 6) + 0.0 AS q4
+FROM lineitem GROUP BY 1, 2""")
+def quartiles_rows(spark, sf_dir):
+    """Quartiles over the fact rows: groups of any size."""
+    return rounded(quantiles(Tables(spark, sf_dir).lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice"))
+
+
 PROFILE_COLS = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
                 "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
                 "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
