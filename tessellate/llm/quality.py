@@ -241,12 +241,16 @@ def resolve(grams: DataFrame, tables: list[DataFrame], contexts: list[DataFrame]
 
 
 def _squeeze(values: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True)
+    """Rows of numbers, compressed byte by byte of a row: the high bytes are much alike."""
+    rows = np.ascontiguousarray(values)
+    planes = rows.view(np.uint8).reshape(len(rows), -1).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
-def _expand(data: bytes, n: int, dtype: str, width: int = 1) -> np.ndarray:
-    size = n * width * np.dtype(dtype).itemsize
-    return np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True) if n else b"", dtype)
+def _expand(data: bytes, n: int, dtype: str, width: int) -> np.ndarray:
+    size = width * np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * size, codec="zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(dtype)
 
 
 def _merged(hashes: list[np.ndarray], chars: list[np.ndarray], counts: list[np.ndarray]):
@@ -348,10 +352,10 @@ def gram_counts(asked: DataFrame, order: int = ORDER) -> DataFrame:
     def run(rows):
         hashes, grams, counts, size = [], [], [], 0
         for n, g, c in zip(*(rows.column(k).to_pylist() for k in ("n", "grams", "counts"))):
-            chars = _expand(g, n, "<u4", order).reshape(n, order)
+            chars = _expand(g, n, "<u4", order)
             hashes.append(hash_rows(chars))
             grams.append(chars)
-            counts.append(_expand(c, n, "<i8", 2).reshape(n, 2))
+            counts.append(_expand(c, n, "<i8", 2))
             size += n
             if size > SLICE:
                 hashes, grams, counts = _merged(hashes, grams, counts)
@@ -365,8 +369,8 @@ def gram_counts(asked: DataFrame, order: int = ORDER) -> DataFrame:
 def read_off(pieces: DataFrame, asked: DataFrame, logs: DataFrame, order: int = ORDER) -> DataFrame:
     """``doc_id, lang, held, n, nll, nll_others`` of every text of ``pieces``: its
     characters and the sums of their negative log probabilities ``x`` and ``y`` in
-    ``logs(gram, x, y)``. The logs meet the blocks' n-grams shard by shard and go back
-    to the blocks as arrays; a null one makes the sums of its texts NaN."""
+    ``logs(gram, x, y)`` (by ``y`` for trusted texts that are held out, else NaN). The logs meet the blocks' n-grams shard by shard and go back
+    to the blocks as arrays."""
     shards = partitions(pieces.sparkSession)
 
     def with_shard(batches):
@@ -382,17 +386,18 @@ def read_off(pieces: DataFrame, asked: DataFrame, logs: DataFrame, order: int =
         by = np.argsort(hashes)
         hashes, x, y = hashes[by], found.column("x").to_numpy()[by], found.column("y").to_numpy()[by]
         out = []
-        for n, g in zip(rows.column("n").to_pylist(), rows.column("grams").to_pylist()):
-            at = np.searchsorted(hashes, hash_rows(_expand(g, n, "<u4", order).reshape(n, order)))
-            out.append(_squeeze(np.concatenate([x[at], y[at]])))
+        for n, g, c in zip(*(rows.column(k).to_pylist() for k in ("n", "grams", "counts"))):
+            at = np.searchsorted(hashes, hash_rows(_expand(g, n, "<u4", order)))
+            # only texts that are held out ask for y
+            out.append(_squeeze(np.stack([x[at], np.where(_expand(c, n, "<i8", 2)[:, 1] > 0, y[at], np.nan)], axis=1)))
         return pa.table({"block": rows.column("block"), "n": rows.column("n"), "grams": rows.column("grams"),
                          "logs": pa.array(out, pa.binary())})
 
     def run(rows, looked):
         hashes, logs = [np.empty(0, np.uint64)], [np.empty((2, 0))]
         for n, g, v in zip(*(looked.column(k).to_pylist() for k in ("n", "grams", "logs"))):
-            hashes.append(hash_rows(_expand(g, n, "<u4", order).reshape(n, order)))
-            logs.append(_expand(v, n, "<f8", 2).reshape(2, n))
+            hashes.append(hash_rows(_expand(g, n, "<u4", order)))
+            logs.append(_expand(v, n, "<f8", 2).T)
         hashes, logs = np.concatenate(hashes), np.concatenate(logs, axis=1)
         by = np.argsort(hashes)
         hashes, logs = hashes[by], logs[:, by]
@@ -406,7 +411,7 @@ def read_off(pieces: DataFrame, asked: DataFrame, logs: DataFrame, order: int =
         return pa.concat_tables(out)
 
     spread = logs.select("gram", "x", "y").mapInArrow(with_shard, "shard int, hash long, x double, y double")
-    looked = asked.select("block", "shard", "n", "grams").groupBy("shard").cogroup(spread.groupBy("shard")).applyInArrow(
+    looked = asked.groupBy("shard").cogroup(spread.groupBy("shard")).applyInArrow(
         look_up, "block long, n long, grams binary, logs binary")
     return pieces.select("block", "piece").groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(
         run, "doc_id long, lang string, held boolean, n long, nll double, nll_others double")
