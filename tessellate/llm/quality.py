@@ -23,7 +23,6 @@ QUANTILE = 0.99  # of the trusted documents' log perplexities, by language
 HELD_OUT = 10  # one of so many trusted texts is scored by a model of the others
 SLACK = 0.15  # log perplexity added to the in-sample quantile of a language without held-out texts
 SHRINK = 60  # characters by which a short text's mean is drawn to the trusted one
-FILTER_BITS = 1 << 23  # of the pre-filter for trusted documents: 131,072 rows at most
 SLICE = 1 << 21  # characters at once
 LEVEL = 7  # of the compression of texts
 MOST_BUCKETS = 100_000  # that Spark allows a table
@@ -147,79 +146,6 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> tuple[list[DataFrame],
     return out, contexts, unseen
 
 
-def fit(trusted: DataFrame, order: int = ORDER, most_grams: int | None = None) -> dict:
-    """A model from all of ``trusted(text)`` in the driver's memory, for small texts: log
-    probabilities of n-grams of all lengths, log weights that contexts leave,
-    and the log probability of a character that never occurs. ``classify``
-    looks n-grams up in the stored tables instead (``score``).
-
-    With ``most_grams``, of a table with more rows those are left out whose
-    count is below a power of two, and score by their shorter forms.
-    """
-    counts = stored(count_grams(trusted, order), "grams")
-    tables, contexts, unseen = kneser_ney(counts, order)
-    frames = [*(t.select("gram", "c", F.col("p").alias("x")) for t in tables),
-              *(t.select("gram", "c", F.col("rest").alias("x")) for t in contexts)]
-    model: dict = {"grams": {}, "rests": {}, "order": order, "unseen": math.log(unseen)}
-    for i, t in enumerate(frames):
-        if most_grams is not None:
-            # rows by the power of two that their count reaches
-            powers = sorted(t.groupBy(F.floor(F.log2("c")).alias("power")).count().collect(), reverse=True)
-            kept, power = 0, powers[0]["power"] + 1 if powers else 0
-            for at, n in powers:
-                if kept + n > most_grams:
-                    break
-                kept, power = kept + n, at
-            t = t.where(F.col("c") >= 2 ** power)
-        for batch in t.select("gram", F.log("x").alias("x")).toArrow().to_batches(max_chunksize=10_000):
-            model["grams" if i < len(tables) else "rests"].update(zip(*(c.to_pylist() for c in batch.columns)))
-    return model
-
-
-def log_probability(gram: str, model: dict) -> float:
-    """Log probability of the last character after those before it."""
-    grams, rests, total = model["grams"], model["rests"], 0.0
-    while gram:
-        found = grams.get(gram)
-        if found is not None:
-            return total + found
-        total += rests.get(gram[:-1], 0.0) if len(gram) > 1 else 0.0
-        gram = gram[1:]
-    return total + model["unseen"]
-
-
-def perplexities(docs: DataFrame, model: dict) -> DataFrame:
-    """``doc_id, lang, n, nll`` of every row: its characters and the sum of their
-    negative log probabilities, by a model of ``fit``. Null texts have no characters."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # small, see fit()
-
-    def run(batches):
-        model, memo = sent.value, {}
-        for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            nll = np.zeros(len(texts))
-            for a, b in _slices(texts):
-                codes, distinct, lengths = grams_of(texts[a:b], model["order"])
-                if len(memo) > 1_000_000:
-                    memo.clear()
-                scores = np.empty(len(distinct))
-                for i, g in enumerate(distinct):
-                    s = memo.get(g)
-                    if s is None:
-                        s = memo[g] = log_probability(g, model)
-                    scores[i] = s
-                sums = np.concatenate([[0.0], np.cumsum(scores[codes])])
-                ends = np.cumsum(lengths)
-                nll[a:b] = sums[ends - lengths] - sums[ends]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(t) for t in texts], pa.int64()), pa.array(nll)],
-                ["doc_id", "lang", "n", "nll"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, lang string, n long, nll double")
-
-
 def resolve(grams: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], unseen: float) -> DataFrame:
     """``gram, x``: the log probability of distinct n-grams of the length of the last of
     ``tables``, by hash joins with the model's tables. Those not found take the
@@ -424,7 +350,9 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], unseen: float, block: int = BLOCK) -> DataFrame:
-    """As ``perplexities``, by the tables of ``kneser_ney``, however large they are.
+    """``doc_id, lang, n, nll`` of every row: its characters and the sum of their negative
+    log probabilities by the tables of ``kneser_ney``, however large they are.
+    Null texts have no characters.
 
     Documents fall into blocks of about ``block`` characters. The distinct
     n-grams of a block are joined with the resolved ones of the corpus, and
@@ -439,23 +367,6 @@ def score(docs: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], u
     return read_off(pieces, asked, logs.withColumn("y", F.col("x")), order).select("doc_id", "lang", "n", "nll")
 
 
-def trusted_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``good.good_id``.
-
-    A bit map of the ids' hashes, of at most FILTER_BITS / 64 rows however many
-    ids there are, goes to the tasks first, so that the join shuffles little
-    more than the texts that it keeps.
-    """
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    words = (good.where(F.col("good_id").isNotNull())
-             .select(F.floor(bit("good_id") / 64).alias("word"), (bit("good_id") % 64).cast("int").alias("at"))
-             .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")))
-    marked = (docs.join(F.broadcast(words), F.floor(bit("doc_id") / 64) == F.col("word"))
-              .where(F.getbit("bits", (bit("doc_id") % 64).cast("int")) == 1).drop("word", "bits"))
-    # ids are distinct, so this keeps each text once; a semi join would be planned before the bit map
-    return marked.join(good.distinct(), F.col("doc_id") == F.col("good_id")).drop("good_id")
-
-
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id, lang, perplexity, threshold, accepted`` of every row of
     ``docs(doc_id, text, lang)``, by ``labels(doc_id, quality, toxic)``.

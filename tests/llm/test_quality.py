@@ -49,54 +49,60 @@ def brute_model(texts, order):
     return p
 
 
+def fit(trusted, order=quality.ORDER):
+    """The library's model, gathered: log probabilities, log weights of contexts, and the log of what is never seen."""
+    tables, contexts, unseen = quality.kneser_ney(quality.count_grams(trusted, order), order)
+    model = {"grams": {}, "rests": {}, "order": order, "unseen": math.log(unseen)}
+    for name, frames, value in (("grams", tables, "p"), ("rests", contexts, "rest")):
+        for t in frames:
+            model[name].update((r[0], math.log(r[1])) for r in t.select("gram", value).collect())
+    return model
+
+
+def log_probability(gram, model):
+    total = 0.0
+    while gram:
+        if gram in model["grams"]:
+            return total + model["grams"][gram]
+        total += model["rests"].get(gram[:-1], 0.0) if len(gram) > 1 else 0.0
+        gram = gram[1:]
+    return total + model["unseen"]
+
+
+def plain_scores(docs, model):
+    """``(doc_id, lang, n, nll)`` of collected documents, character by character."""
+    pad = quality.START * (model["order"] - 1)
+    out = []
+    for r in docs.collect():
+        padded = pad + (r.text or "")
+        nll = -math.fsum(log_probability(padded[i:i + model["order"]], model) for i in range(len(r.text or "")))
+        out.append((r.doc_id, r.lang, len(r.text or ""), nll))
+    return out
+
+
 TEXTS = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "", "thé çà", "on on on"]
 
 
 @pytest.mark.parametrize("order", [1, 2, 3, 5])
 def test_model_equals_recursive_definition(spark, order):
-    model = quality.fit(spark.createDataFrame([(t,) for t in [*TEXTS, None]], "text string"), order)
+    model = fit(spark.createDataFrame([(t,) for t in [*TEXTS, None]], "text string"), order)
     p = brute_model(TEXTS, order)
     for text in ["the cat", "xyz", "a log on a mat", "thé"]:
         padded = quality.START * (order - 1) + text
         for i in range(len(text)):
             g = padded[i:i + order]
-            assert math.isclose(quality.log_probability(g, model), math.log(p(g)), rel_tol=1e-9), g
+            assert math.isclose(log_probability(g, model), math.log(p(g)), rel_tol=1e-9), g
 
 
 def test_probabilities_of_a_context_add_up(spark):
-    model = quality.fit(spark.createDataFrame([(t,) for t in TEXTS], "text string"), 3)
+    model = fit(spark.createDataFrame([(t,) for t in TEXTS], "text string"), 3)
     letters = {g for g in model["grams"] if len(g) == 1}
     for context in ["th", "at", "on", "zz"]:
-        total = sum(math.exp(quality.log_probability(context + c, model)) for c in letters)
-        total += math.exp(quality.log_probability(context + "\x07", model))
+        total = sum(math.exp(log_probability(context + c, model)) for c in letters)
+        total += math.exp(log_probability(context + "\x07", model))
         assert math.isclose(total, 1.0, rel_tol=1e-9)
 
 
-def test_rare_grams_back_off_when_the_model_is_bounded(spark):
-    texts = spark.createDataFrame([(t,) for t in TEXTS], "text string")
-    whole, cut = quality.fit(texts, 3), quality.fit(texts, 3, most_grams=12)
-    assert len([g for g in cut["grams"] if len(g) == 3]) <= 12 < len([g for g in whole["grams"] if len(g) == 3])
-    shared = set(cut["grams"]) & set(whole["grams"])
-    assert shared and all(cut["grams"][g] == whole["grams"][g] for g in shared)
-
-
-def test_perplexities_of_whole_texts(spark):
-    docs = documents(spark, [(i, t) for i, t in enumerate(TEXTS)] + [(90, "the cat " * 5000)])
-    model = quality.fit(docs.select("text"), 3)
-    for r in quality.perplexities(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect():
-        padded = quality.START * 2 + r.text
-        want = -sum(quality.log_probability(padded[i:i + 3], model) for i in range(len(r.text)))
-        assert r.n == len(r.text) and math.isclose(r.nll, want, rel_tol=1e-9, abs_tol=1e-9)
-
-
-def test_trusted_texts_are_those_of_a_plain_join(spark):
-    docs = spark.range(3000).selectExpr("id * 7 AS doc_id", "cast(id AS string) AS text").union(
-        spark.createDataFrame([(None, "no id"), (14, "again")], "doc_id long, text string"))
-    good = spark.range(0, 40_000, 14).selectExpr("id AS good_id").union(spark.createDataFrame([(None,)], "good_id long"))
-    got = sorted((r.doc_id, r.text) for r in quality.trusted_texts(docs, good).collect())
-    assert got == sorted([(i * 7, str(i)) for i in range(0, 3000, 2)] + [(14, "again")])
-
-
 def test_query_keeps_good_and_rejects_bad_documents(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op10_quality"](spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").count()
@@ -129,9 +135,9 @@ def test_rare_grams_of_large_corpora_count(spark):
     texts = ["".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(30_000)) for _ in range(4)]
     docs = documents(spark, [(i, t) for i, t in enumerate(texts)] + [(9, texts[0][:500] + "x" + texts[1][:500])])
     labels = spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality long, toxic long")
-    model = quality.fit(docs.where("doc_id < 9").select("text"))
+    model = fit(docs.where("doc_id < 9").select("text"))
     assert sum(len(g) == quality.ORDER for g in model["grams"]) > 100_000
-    nll = {r.doc_id: r.nll for r in quality.perplexities(docs, model).collect()}
+    nll = {r[0]: r[3] for r in plain_scores(docs, model)}
     mean = sum(nll[i] for i in range(4)) / 120_000
     want = (nll[9] + quality.SHRINK * mean) / (1001 + quality.SHRINK)
     seen = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
@@ -141,11 +147,12 @@ def test_rare_grams_of_large_corpora_count(spark):
 def test_joined_scores_equal_those_of_the_gathered_model(spark):
     docs = documents(spark, [(i, t) for i, t in enumerate(TEXTS)] + [(90, "the cat " * 500), (91, None), (None, "xyz 𝔘 log"), (1, TEXTS[1])])
     trusted = docs.where("doc_id < 5").select("text")
-    model = quality.fit(trusted, 3)
+    model = fit(trusted, 3)
     tables = quality.kneser_ney(quality.count_grams(trusted, 3), 3)
-    plain = lambda df: sorted((r.doc_id or -1, r.lang, r.n, round(r.nll, 8)) for r in df.collect())
+    plain = lambda rows: sorted((r[0] or -1, r[1], r[2], round(r[3], 8) + 0.0) for r in rows)
+    want = plain(plain_scores(docs, model))
     for block in (10, 1 << 20):
-        assert plain(quality.score(docs, *tables, block=block)) == plain(quality.perplexities(docs, model))
+        assert plain(quality.score(docs, *tables, block=block).collect()) == want
 
 
 def test_threshold_is_the_quantile_of_held_out_documents(spark):
