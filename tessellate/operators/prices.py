@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions._util import as_list
 from ..functions.columns import signed_fraction
+from ..session import stored
 
 MONEY = "decimal(38,8)"
 
@@ -36,29 +37,33 @@ def price_features(df: DataFrame, keys, price: str, order: str,
     ``{p}_momentum``, ``{p}_momentum_m``, ``{p}_momentum_y``, ``{p}_cent``,
     ``{p}_max_cent``, ``{p}_min_cent``.
 
-    Group statistics and the cross-key distinct counts are aggregated and
-    joined back (map-side combined, skew-safe); the momentum features are
-    windows on the key (plus month / year), which reuse the key partitioning.
+    Group statistics and the cross-key distinct counts are aggregated from the
+    stored prices and joined back (map-side combined, skew-safe): the counts
+    first, while rows are narrow, then the statistics; the momentum features
+    are windows on the key (plus month / year), which reuse its partitioning.
     """
     keys = as_list(keys)
     p = price
+    df = stored(df, "prices")
     stats = (df.where(F.col(p).isNotNull()).groupBy(*keys)
              .agg(F.max(p).alias(f"{p}_max"), F.min(p).alias(f"{p}_min"),
                   F.stddev_samp(p).alias(f"{p}_std"), money_mean(p).alias(f"{p}_mean"),
                   F.count_distinct(p).alias(f"{p}_nunique")))
-    out = df.join(stats, on=keys, how="left")
-    out = out.withColumn(f"{p}_norm", F.col(p) / F.col(f"{p}_max"))
+    out, counts = df, []
     for col in keys:
         rest = [k for k in keys if k != col]
         name = f"{p}_nunique_{'_'.join(rest)}"
         nu = (df.where(F.col(p).isNotNull()).groupBy(*rest, p)
               .agg(F.count_distinct(col).alias(name)))
         out = out.join(nu, on=rest + [p], how="left")
+        counts.append(name)
+    out = out.join(stats, on=keys, how="left").withColumn(f"{p}_norm", F.col(p) / F.col(f"{p}_max"))
     w = Window.partitionBy(*keys).orderBy(order)
     wm = Window.partitionBy(*keys, month)
     wy = Window.partitionBy(*keys, year)
+    others = [c for c in df.columns if c not in keys and c != p]
     return out.select(
-        "*",
+        *keys[:-1], p, keys[-1], *others, *[f"{p}_{s}" for s in ("max", "min", "std", "mean", "nunique", "norm")], *counts,
         (F.col(p) / F.lag(p).over(w)).alias(f"{p}_momentum"),
         (F.col(p) / money_mean(p, wm)).alias(f"{p}_momentum_m"),
         (F.col(p) / money_mean(p, wy)).alias(f"{p}_momentum_y"),
