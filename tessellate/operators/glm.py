@@ -4,8 +4,11 @@ groups, and groups that have converged leave."""
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,3 +126,80 @@ def predict_tweedie(rows: DataFrame, fits: DataFrame, groups, features, power: f
     eta = F.when(eta > FARTHEST, FARTHEST).when(eta < -FARTHEST, -FARTHEST).otherwise(eta)
     mean = F.exp(eta) if power > 0 else eta
     return rows.join(fits.select(*g, "beta"), g, "left").select(*rows.columns, mean.alias(out))
+
+
+LEAST, START_AT = 1e-16, 0.1  # of the means, and that from which a target of zero starts, as in MLlib
+
+
+class TweedieModel:
+    """A fitted model; ``transform`` adds ``prediction`` and leaves out rows with a null feature."""
+
+    def __init__(self, features, beta, steps: int):
+        self.features, self.intercept, self.coefficients, self.steps = as_list(features), float(beta[0]), [float(b) for b in beta[1:]], steps
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        eta = F.lit(self.intercept)
+        for f, b in zip(self.features, self.coefficients):
+            eta = eta + F.lit(b) * F.col(f)
+        mean = F.least(F.greatest(F.exp(eta), F.lit(LEAST)), F.lit(sys.float_info.max))
+        return rows.dropna(subset=self.features).withColumn("prediction", mean)
+
+
+def tweedie_glm(train: DataFrame, features, target: str, power: float = 1.1, max_iter: int = 25, tolerance: float = 1e-6) -> TweedieModel:
+    """Global Tweedie GLM (log link, ``power`` from 1) by the steps of MLlib's
+    GeneralizedLinearRegression: least squares on the logarithms of the targets, then at most
+    ``max_iter`` reweighted ones, until no coefficient moves by ``tolerance``.
+
+    The rows are written once, as numbers; a step is one pass of matrix products, of which
+    the driver gets a few sums for each task. Rows with a null feature or target are not used;
+    a negative target (from power 2 on also zero), or none at all, is an error.
+    """
+    if power < 1:
+        raise ValueError("power must be 1 or more")
+    feats = as_list(features)
+    cols, k = [*feats, target], len(feats)
+    rows = stored(train.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).dropna(), "glm-rows")
+
+    def step(beta: np.ndarray | None) -> np.ndarray:
+        def run(batches):
+            total = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                x, y = x[:, :-1], x[:, -1]
+                if (y < 0).any() or (power >= 2 and (y == 0).any()):
+                    raise ValueError(f"{target} must not be {'negative' if power < 2 else 'zero or less'}")
+                if beta is None:
+                    first = np.maximum(y, START_AT) if power == 1 else np.where(y == 0, START_AT, y)
+                    w, z = np.ones(len(y)), np.log(first)
+                else:
+                    eta = beta[0] + x @ beta[1:]
+                    with np.errstate(over="ignore"):
+                        mu = np.clip(np.exp(eta), LEAST, sys.float_info.max)
+                    w, z = mu ** (2 - power), eta + (y - mu) / mu
+                new = _weighted(np.column_stack([x, z]), w)
+                total = new if total is None else total.merge(new)
+            if total is not None:
+                yield pa.RecordBatch.from_pydict({"n": [total.n], "mean": [total.mean.tolist()], "cross": [total.cross.ravel().tolist()]})
+
+        parts = rows.mapInArrow(run, "n double, mean array<double>, cross array<double>").toPandas()
+        if not len(parts):
+            raise ValueError("no rows to fit a model to")
+        s = _merged(parts)
+        slope = _solved(s.cross[:k, :k], s.cross[:k, k])
+        return np.array([s.mean[k] - s.mean[:k] @ slope, *slope])
+
+    beta, steps = step(None), 0
+    for steps in range(1, max_iter + 1):
+        old, beta = beta, step(beta)
+        if np.max(np.abs(beta - old)) < tolerance:
+            break
+    return TweedieModel(feats, beta, steps)
+
+
+def _solved(cross: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The least solution, at one scale of the features; those that do not vary have none."""
+    scale = np.sqrt(np.diag(cross))
+    scale[scale == 0] = 1.0
+    return np.linalg.lstsq(cross / np.outer(scale, scale), right / scale, rcond=None)[0] / scale
