@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessellate.operators.boosting import binned, cut_points, fit_trees, predict_trees
-from tessellate.operators.glm import fit_tweedie, predict_tweedie
+from tessellate.operators.boosting import binned, cut_points, fit_trees, predict_trees, thresholds
+from tessellate.operators.forecast import gbt_model
+from tessellate.operators.glm import fit_tweedie, predict_tweedie, tweedie_glm
 from tessellate.operators.grid_path import elastic_path, mean_scores, path_scores, ridge_path
 
 
@@ -131,3 +132,74 @@ def test_path_scores_match_fits_on_the_rows(spark):
         hat = m[2] + ((test[:, :2] - m[:2]) / d) @ b
         assert r.rmse == pytest.approx(np.sqrt(np.mean((test[:, 2] - hat) ** 2)), rel=1e-6)
     assert mean_scores(scores, "grp").where("folds = 3").count() == 8
+
+
+def regression_rows(spark, n):
+    rng = random.Random(n)
+    rows = []
+    for i in range(n):
+        a, b = float(rng.choice([0, 0, 0, *range(60)])), round(rng.random() * 40, 1)
+        rows.append((i, a, b, int(i % 7 == 0), max(0.0, round(rng.gauss(2 + a / 20 + b * b / 300 - (a > 30) * 2, 1.5), 1))))
+    return spark.createDataFrame(rows, "id long, a double, b double, flag int, y double").repartition(5)
+
+
+def mllib(spark, df, regressor):
+    from pyspark.ml.feature import VectorAssembler
+    va = VectorAssembler(inputCols=["a", "b", "flag"], outputCol="f")
+    model = regressor.setFeaturesCol("f").setLabelCol("y").fit(va.transform(df))
+    return {r.id: r.prediction for r in model.transform(va.transform(df)).collect()}
+
+
+def test_thresholds_are_those_of_all_rows(spark):
+    df = regression_rows(spark, 12_000)
+    rows = df.collect()
+    got = thresholds(df.union(df.limit(1).selectExpr("-1L", "null", "null", "1", "0.0")), ["a", "b", "flag"], 16)
+    for found, name in zip(got, ("a", "b", "flag")):
+        counts = sorted((v, sum(r[name] == v for r in rows)) for v in {r[name] for r in rows})
+        if len(counts) <= 16:
+            assert found == [(u[0] + v[0]) / 2 for u, v in zip(counts, counts[1:])]
+            continue
+        want, upto, aim = [], counts[0][1], len(rows) / 16
+        for (u, _), (v, n) in zip(counts, counts[1:]):
+            before, upto = upto, upto + n
+            if abs(before - aim) < abs(upto - aim):
+                want.append((u + v) / 2)
+                aim += len(rows) / 16
+        assert found == want and len(want) > 10
+
+
+def test_trees_of_cells_are_those_of_rows(spark):
+    from pyspark.ml.regression import GBTRegressor
+    df = regression_rows(spark, 2_000)
+    want = mllib(spark, df, GBTRegressor(maxIter=4, maxDepth=3, seed=1))
+    va, model = gbt_model(df, ["a", "b", "flag"], "y", max_iter=4, max_depth=3, seed=1)
+    got = {r.id: r.prediction for r in model.transform(va.transform(df)).collect()}
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want) and len(got) == len(want)
+
+
+def test_trees_grow_on_as_many_rows_as_bins_allow(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+    sizes, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df, *a: sizes.append(df.count()) or fit(self, df, *a))
+    gbt_model(regression_rows(spark, 4_000), ["a", "flag"], "y", max_iter=1, max_depth=1, bins=8)
+    assert sizes[0] <= 16
+
+
+def test_glm_takes_the_steps_of_mllib_and_reads_the_rows_once(spark):
+    from pyspark.ml.regression import GeneralizedLinearRegression
+    df = regression_rows(spark, 1_500)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = df.cache()
+    model = tweedie_glm(df.mapInArrow(seen, df.schema), ["a", "b", "flag"], "y", 1.1, 10)
+    assert read.value == 1_500 and 1 < model.steps <= 10
+    want = mllib(spark, df, GeneralizedLinearRegression(family="tweedie", variancePower=1.1, linkPower=0.0, maxIter=10))
+    got = {r.id: r.prediction for r in model.transform(df).collect()}
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-8) for i in want) and len(got) == len(want)
+    with pytest.raises(Exception, match="negative"):
+        tweedie_glm(df.selectExpr("a", "-y AS y"), ["a"], "y")
