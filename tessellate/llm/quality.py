@@ -23,7 +23,8 @@ QUANTILE = 0.99  # of the trusted documents' log perplexities, by language
 HELD_OUT = 10  # one of so many trusted texts is scored by a model of the others
 SLACK = 0.15  # log perplexity added to the in-sample quantile of a language without held-out texts
 SHRINK = 60  # characters by which a short text's mean is drawn to the trusted one
-SLICE = 1 << 21  # characters at once
+SLICE = 1 << 19  # characters at once
+HELD = 1 << 20  # n-grams of lists that are merged together
 LEVEL = 7  # of the compression of texts
 MOST_BUCKETS = 100_000  # that Spark allows a table
 
@@ -243,7 +244,7 @@ def block_grams(pieces: DataFrame, good: DataFrame, order: int = ORDER) -> DataF
 
     def run(key, rows, trusted):
         ids = pd.Index(trusted.column("doc_id").to_numpy())
-        hashes, grams, counts = [], [], []
+        hashes, grams, counts, size = [], [], [], 0
         for piece in _unpacked(rows):
             known = pc.fill_null(piece.column("doc_id"), 0).to_numpy()
             present = pc.is_valid(piece.column("doc_id")).to_numpy()
@@ -255,8 +256,10 @@ def block_grams(pieces: DataFrame, good: DataFrame, order: int = ORDER) -> DataF
             hashes.append(distinct)
             grams.append(chars)
             counts.append(np.stack([np.bincount(codes[of == k], minlength=len(distinct)) for k in (1, 2)], axis=1))
-            if len(hashes) == 16:
+            size += len(distinct)
+            if size > HELD:
                 hashes, grams, counts = _merged(hashes, grams, counts)
+                size = 0
         hashes, grams, counts = (x[0] for x in _merged(hashes, grams, counts))
         shard = ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
         by = np.lexsort([*(grams[:, j] for j in reversed(range(order))), shard])  # neighbours compress well
@@ -283,7 +286,7 @@ def gram_counts(asked: DataFrame, order: int = ORDER) -> DataFrame:
             grams.append(chars)
             counts.append(_expand(c, n, "<i8", 2))
             size += n
-            if size > SLICE:
+            if size > HELD:
                 hashes, grams, counts = _merged(hashes, grams, counts)
                 size = 0
         _, grams, counts = (x[0] for x in _merged(hashes, grams, counts))

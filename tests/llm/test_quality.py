@@ -168,3 +168,14 @@ def test_threshold_is_the_quantile_of_held_out_documents(spark):
     clean = sum(got[i] for i in range(400, 600)) / 200
     junk = sum(got[i] for i in range(600, 700)) / 100
     assert clean >= 0.95 and junk <= 0.05, (clean, junk)
+
+
+def test_a_task_holds_small_pieces_and_merges_short_lists(spark, monkeypatch):
+    docs = documents(spark, [(i, TEXTS[i % 3] * 15_000, "en") for i in range(8)])  # 200,000 to 330,000 characters each
+    pieces = quality.packed(quality._texts(docs).coalesce(1))
+    assert all(sum(map(len, t.column("text").to_pylist())) < 1 << 20 for t in quality._unpacked(pieces.toArrow()))
+    none = spark.createDataFrame([], "good_id long")
+    listed = lambda: sorted((r.gram, r.others, r.rest) for r in quality.gram_counts(quality.block_grams(pieces, none)).collect())
+    want = listed()
+    monkeypatch.setattr(quality, "HELD", 10)
+    assert listed() == want and len(want) > 30
