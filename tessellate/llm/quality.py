@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessellate.session import scratch_path
@@ -99,72 +100,101 @@ def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
         "gram").agg(F.sum("c").alias("c"))
 
 
-def discounts(counts: DataFrame) -> dict[str, float]:
-    """The three discounts of modified Kneser-Ney from the counts of counts.
-    Where these are too few to tell, half of the largest possible ones."""
-    n = counts.agg(*[F.sum((F.col("c") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (n[f"n{k}"] or 0 for k in (1, 2, 3, 4))
-    if not (n1 and n2 and n3):
-        return {"d1": 0.5, "d2": 1.0, "d3": 1.5}
-    y = n1 / (n1 + 2 * n2)
+def discounts(tables: list[DataFrame], models: tuple[str, ...] = ("",)) -> list[dict[str, dict[str, float]]]:
+    """For each table and each of ``models`` the three discounts of modified Kneser-Ney, from the
+    counts of counts, and ``n``, the n-grams of the model; all tables in one query.
+    Where the counts are too few to tell, half of the largest possible discounts."""
+    rows = reduce(DataFrame.unionByName, [t.select(F.lit(k).alias("length"), *[f"c{m}" for m in models]) for k, t in enumerate(tables)])
+    few = [F.count_if(F.col(f"c{m}") == k).alias(f"n{k}{m}") for m in models for k in (1, 2, 3, 4)]
+    some = [F.count_if(F.col(f"c{m}") > 0).alias(f"n{m}") for m in models]
+    found = {r["length"]: r for r in rows.groupBy("length").agg(*few, *some).collect()}
     clip = lambda d, most: min(max(d, 0.05), most - 0.05)
-    return {"d1": clip(1 - 2 * y * n2 / n1, 1), "d2": clip(2 - 3 * y * n3 / n2, 2), "d3": clip(3 - 4 * y * n4 / n3, 3)}
 
-
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> tuple[list[DataFrame], list[DataFrame], float]:
-    """Tables ``gram, c, p`` of lengths 1 to ``order``, tables ``gram, c, rest`` of their
-    contexts, and the probability left for a character that never occurs.
-
-    The longest n-grams have their counts, shorter ones the number of
-    characters they follow (Kneser-Ney). ``p`` is the interpolated
-    probability of the last character after the others; ``rest`` the weight
-    a context leaves to the one without its first character. Each step is a join on the n-gram, the context or the suffix,
-    shuffled on it.
-    """
-    tables = [counts.select("gram", "c")]
+    def of(n, m):
+        n1, n2, n3, n4 = (n[f"n{k}{m}"] if n else 0 for k in (1, 2, 3, 4))
+        at = {"n": n[f"n{m}"] if n else 0}
+        if not (n1 and n2 and n3):
+            return at | {"d1": 0.5, "d2": 1.0, "d3": 1.5}
+        y = n1 / (n1 + 2 * n2)
+        return at | {"d1": clip(1 - 2 * y * n2 / n1, 1), "d2": clip(2 - 3 * y * n3 / n2, 2), "d3": clip(3 - 4 * y * n4 / n3, 3)}
+
+    return [{m: of(found.get(k), m) for m in models} for k in range(len(tables))]
+
+
+def kneser_neys(counts: DataFrame, models: tuple[str, ...], order: int = ORDER):
+    """The models of several corpora whose counts stand side by side: ``counts`` has a column
+    ``c<model>`` for each of ``models``, 0 where the n-gram does not occur. As ``kneser_ney``,
+    with columns ``c<model>, p<model>`` and ``rest<model>``, null where a model has no such n-gram
+    or context, and a dict of what is left for unseen characters. One set of queries makes all
+    models, however many they are: the driver plans, runs and keeps each only once."""
+    each = lambda f: [f(m) for m in models]
+    tables = [counts.select("gram", *each(lambda m: f"c{m}"))]
     for _ in range(order - 1):
-        tables.append(tables[-1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("c")))
+        tables.append(tables[-1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(
+            *each(lambda m: F.count_if(F.col(f"c{m}") > 0).alias(f"c{m}"))))
     tables = [stored(t, "grams") for t in reversed(tables)]  # by length, from 1
     out: list[DataFrame] = []
     contexts: list[DataFrame] = []
-    for k, t in enumerate(tables, 1):
-        d = discounts(t)
-        cut = F.when(F.col("c") == 1, d["d1"]).when(F.col("c") == 2, d["d2"]).otherwise(d["d3"])
+    unseen: dict[str, float] = {}
+    for k, (t, d) in enumerate(zip(tables, discounts(tables, models)), 1):
+        c = {m: F.col(f"c{m}") for m in models}
+        cut = {m: F.when(c[m] == 0, 0.0).when(c[m] == 1, d[m]["d1"]).when(c[m] == 2, d[m]["d2"]).otherwise(d[m]["d3"]) for m in models}
         context = F.expr(f"substring(gram, 1, {k - 1})")
-        of = stored(t.groupBy(context.alias("ctx")).agg(F.sum("c").alias("total"), F.sum(cut).alias("mass")), "contexts")
+        of = stored(t.groupBy(context.alias("ctx")).agg(*each(lambda m: F.sum(c[m]).alias(f"total{m}")),
+                                                        *each(lambda m: F.sum(cut[m]).alias(f"mass{m}"))), "contexts")
         joined = t.join(of, context == F.col("ctx"))
         if k == 1:
-            n, share = t.count(), of.select(F.col("mass") / F.col("total")).first()
-            unseen = (share[0] if share else 1.0) / (n + 1)
-            joined = joined.withColumn("low", F.lit(1.0 / (n + 1)))  # one more for all unseen characters
+            left = of.first()
+            for m in models:
+                share = left[f"mass{m}"] / left[f"total{m}"] if left and left[f"total{m}"] else 1.0
+                unseen[m] = share / (d[m]["n"] + 1)
+            joined = joined.withColumns({f"low{m}": F.lit(1.0 / (d[m]["n"] + 1)) for m in models})  # one more for all unseen characters
         else:
-            low = out[-1].select(F.col("gram").alias("s"), F.col("p").alias("low"))
-            joined = joined.select("gram", "c", "mass", "total").join(low, F.expr("substring(gram, 2)") == F.col("s"))
-        probs = joined.select("gram", "c", ((F.col("c") - cut + F.col("mass") * F.col("low")) / F.col("total")).alias("p"))
+            low = out[-1].select(F.col("gram").alias("s"), *each(lambda m: F.col(f"p{m}").alias(f"low{m}")))
+            joined = joined.drop("ctx").join(low, F.expr("substring(gram, 2)") == F.col("s"))
+        probs = joined.select("gram", *c.values(), *each(lambda m: F.when(
+            c[m] > 0, (c[m] - cut[m] + F.col(f"mass{m}") * F.col(f"low{m}")) / F.col(f"total{m}")).alias(f"p{m}")))
         out.append(stored(probs, "probabilities"))
-        contexts.append(of.select(F.col("ctx").alias("gram"), F.col("total").alias("c"),
-                                  (F.col("mass") / F.col("total")).alias("rest")))
+        contexts.append(of.select(F.col("ctx").alias("gram"), *each(lambda m: F.col(f"total{m}").alias(f"c{m}")), *each(
+            lambda m: F.when(F.col(f"total{m}") > 0, F.col(f"mass{m}") / F.col(f"total{m}")).alias(f"rest{m}"))))
     return out, contexts, unseen
 
 
-def resolve(grams: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], unseen: float) -> DataFrame:
-    """``gram, x``: the log probability of distinct n-grams of the length of the last of
-    ``tables``, by hash joins with the model's tables. Those not found take the
-    weight their context leaves and the log probability of the n-gram without
-    its first character, which are looked up likewise."""
-    k = len(tables)
-    known = tables[-1].select(F.col("gram").alias("g"), F.log("p").alias("x"))
-    looked = stored(grams.join(known, F.col("gram") == F.col("g"), "left").select("gram", "x"), "looked-up")
-    found, missed = looked.where(F.col("x").isNotNull()), looked.where(F.col("x").isNull())
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> tuple[list[DataFrame], list[DataFrame], float]:
+    """Tables ``gram, c, p`` of lengths 1 to ``order``, tables ``gram, c, rest`` of their
+    contexts, and the probability left for a character that never occurs.
+
+    The longest n-grams have their counts, shorter ones the number of
+    characters they follow (Kneser-Ney). ``p`` is the interpolated
+    probability of the last character after the others; ``rest`` the weight
+    a context leaves to the one without its first character. Each step is a join on the n-gram, the context or the suffix,
+    shuffled on it.
+    """
+    tables, contexts, unseen = kneser_neys(counts, ("",), order)
+    return tables, contexts, unseen[""]
+
+
+def resolve(grams: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], unseen: dict[str, float]) -> DataFrame:
+    """``gram, x<model>`` for each model of ``unseen``: the log probability of distinct n-grams
+    of the length of the last of ``tables``, by hash joins with the models' tables. Those that a
+    model does not have take the weight their context leaves and the log probability of the n-gram
+    without its first character, which are looked up likewise."""
+    k, models = len(tables), list(unseen)
+    x = {m: F.col(f"x{m}") for m in models}
+    known = tables[-1].select(F.col("gram").alias("g"), *[F.log(f"p{m}").alias(f"x{m}") for m in models])
+    looked = grams.join(known, F.col("gram") == F.col("g"), "left").select("gram", *x.values())
     if k == 1:
-        return found.union(missed.select("gram", F.lit(math.log(unseen)).alias("x")))
-    missed = missed.select("gram", F.expr(f"substring(gram, 1, {k - 1})").alias("context"), F.expr("substring(gram, 2)").alias("suffix"))
+        return looked.select("gram", *[F.coalesce(x[m], F.lit(math.log(unseen[m]))).alias(f"x{m}") for m in models])
+    looked = stored(looked, "looked-up")
+    lacks = reduce(Column.__or__, [x[m].isNull() for m in models])
+    missed = looked.where(lacks).select("gram", *x.values(), F.expr(f"substring(gram, 1, {k - 1})").alias("context"),
+                                        F.expr("substring(gram, 2)").alias("suffix"))
     shorter = resolve(missed.select(F.col("suffix").alias("gram")).distinct(), tables[:-1], contexts[:-1], unseen).select(
-        F.col("gram").alias("s"), "x")
-    left = contexts[-1].select(F.col("gram").alias("ctx"), F.log("rest").alias("w"))
+        F.col("gram").alias("s"), *[x[m].alias(f"low{m}") for m in models])
+    left = contexts[-1].select(F.col("gram").alias("ctx"), *[F.log(f"rest{m}").alias(f"w{m}") for m in models])
     backed = (missed.join(left, F.col("context") == F.col("ctx"), "left").join(shorter, F.col("suffix") == F.col("s"))
-              .select("gram", (F.coalesce("w", F.lit(0.0)) + F.col("x")).alias("x")))
-    return found.union(backed)
+              .select("gram", *[F.coalesce(x[m], F.coalesce(F.col(f"w{m}"), F.lit(0.0)) + F.col(f"low{m}")).alias(f"x{m}") for m in models]))
+    return looked.where(~lacks).union(backed)
 
 
 def _squeeze(values: np.ndarray) -> bytes:
@@ -366,7 +396,7 @@ def score(docs: DataFrame, tables: list[DataFrame], contexts: list[DataFrame], u
     pieces = packed(_texts(docs), block)
     none = docs.sparkSession.createDataFrame([], "good_id long")
     asked = stored(block_grams(pieces, none, order), "block-grams")
-    logs = resolve(gram_counts(asked, order).select("gram"), tables, contexts, unseen)
+    logs = resolve(gram_counts(asked, order).select("gram"), tables, contexts, {"": unseen})
     return read_off(pieces, asked, logs.withColumn("y", F.col("x")), order).select("doc_id", "lang", "n", "nll")
 
 
@@ -390,32 +420,33 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     rows are counted and returned as often as they occur; empty tables give
     no rows; other columns are not read.
     """
-    good = (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(
-        F.col("doc_id").cast("long").alias("good_id")).distinct())
+    good = stored(labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(
+        F.col("doc_id").cast("long").alias("good_id")).distinct(), "trusted")
     # one pass over the packed texts counts the trusted n-grams, held out or not, and lists all
     pieces = packed(_texts(docs))
     asked = stored(block_grams(pieces, good), "block-grams")
     counts = stored(gram_counts(asked), "grams")
-    whole = kneser_ney(counts.select("gram", (F.col("others") + F.col("rest")).alias("c")).where("c > 0"))
-    part = kneser_ney(counts.select("gram", F.col("others").alias("c")).where("c > 0"))
-    by_part = resolve(counts.where("rest > 0").select("gram"), *part).select(F.col("gram").alias("g"), F.col("x").alias("y"))
-    logs = resolve(counts.select("gram"), *whole).join(by_part, F.col("gram") == F.col("g"), "left").select("gram", "x", "y")
+    # the model of all trusted texts and that of those not held out, side by side
+    models = kneser_neys(counts.where("others + rest > 0").select(
+        "gram", (F.col("others") + F.col("rest")).alias("c_all"), F.col("others").alias("c_part")), ("_all", "_part"))
+    logs = resolve(counts.select("gram"), *models).select("gram", F.col("x_all").alias("x"), F.col("x_part").alias("y"))
     scored = stored(read_off(pieces, asked, logs), "perplexities")
     unseen = scored.where("held AND n > 0").join(good, F.col("doc_id") == F.col("good_id"), "left_semi").select(
         "doc_id", "lang", "n", F.col("nll_others").alias("nll"))
     scored = scored.select("doc_id", "lang", "n", "nll")
     of_trusted = scored.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n > 0")
-    means = _by_language(of_trusted, F.sum("nll") / F.sum("n"), "mean", scored)
+    means = stored(_by_language(of_trusted, F.sum("nll") / F.sum("n"), "mean", scored), "means")
     lang = F.coalesce("lang", F.lit(""))
     drawn = (F.col("nll") + SHRINK * F.col("mean")) / (F.col("n") + SHRINK)
     value = F.when(F.col("n") > 0, F.coalesce(drawn, F.col("nll") / F.col("n"))).otherwise(F.lit(0.0))
     valued, of_unseen = (salted_join(x.withColumn("key", lang), means, "key", "of_lang").select(
         "doc_id", "lang", "n", value.alias("value")) for x in (scored, unseen))
+    valued = stored(valued, "valued")
     again = valued.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n > 0")
     cut = F.percentile_approx("value", quantile, 10_000)
     strict = of_unseen.groupBy(lang.alias("held_lang")).agg(cut.alias("held_limit"))
-    limits = _by_language(again, cut, "limit", scored).join(strict, F.col("of_lang") == F.col("held_lang"), "left").select(
-        "of_lang", F.greatest("limit", F.coalesce("held_limit", F.col("limit") + SLACK)).alias("limit"))
+    limits = stored(_by_language(again, cut, "limit", scored).join(strict, F.col("of_lang") == F.col("held_lang"), "left").select(
+        "of_lang", F.greatest("limit", F.coalesce("held_limit", F.col("limit") + SLACK)).alias("limit")), "limits")
     return salted_join(valued.withColumn("key", lang), limits, "key", "of_lang").select(
         "doc_id", "lang", F.exp("value").alias("perplexity"), F.exp("limit").alias("threshold"),
         F.coalesce(F.col("value") <= F.col("limit"), F.lit(True)).alias("accepted"))

@@ -179,3 +179,36 @@ def test_a_task_holds_small_pieces_and_merges_short_lists(spark, monkeypatch):
     want = listed()
     monkeypatch.setattr(quality, "HELD", 10)
     assert listed() == want and len(want) > 30
+
+
+def test_models_side_by_side_equal_models_of_their_own(spark):
+    names = ("_all", "_part", "_none")
+    whole, part = (Counter({r.gram: r.c for r in quality.count_grams(spark.createDataFrame([(t,) for t in texts], "text string"), 3).collect()})
+                   for texts in (TEXTS, TEXTS[1:3]))
+    rows = [(g, whole[g], part[g], 0) for g in whole]
+    tables, contexts, unseen = quality.kneser_neys(spark.createDataFrame(rows, "gram string, c_all long, c_part long, c_none long"), names, 3)
+    asked = spark.createDataFrame([(g,) for g in ["the", "cat", "dog", "xyz", "aa ", "t\u00e9x", " \u00e7\u00e0"]], "gram string")
+    got = {r.gram: r for r in quality.resolve(asked, tables, contexts, unseen).collect()}
+    assert len(got) == 7
+    for name, texts in zip(names, (TEXTS, TEXTS[1:3], [])):
+        model = fit(spark.createDataFrame([(t,) for t in texts], "text string"), 3)
+        assert math.isclose(math.log(unseen[name]), model["unseen"], rel_tol=1e-12, abs_tol=1e-12)
+        for table, values in (("p", "grams"), ("rest", "rests")):
+            have = {r[0]: math.log(r[1]) for t in (tables if table == "p" else contexts)
+                    for r in t.select("gram", table + name).where(f"{table}{name} is not null").collect()}
+            assert have == pytest.approx(model[values], rel=1e-9, abs=1e-12)
+        for g, r in got.items():
+            assert math.isclose(r[f"x{name}"], log_probability(g, model), rel_tol=1e-9, abs_tol=1e-12), (name, g)
+
+
+def test_both_models_come_from_one_set_of_queries(spark, monkeypatch):
+    """What the driver plans, starts and keeps: the two models once made it exceed its memory."""
+    made, keep = Counter(), quality.stored
+    monkeypatch.setattr(quality, "stored", lambda df, name: made.update([name]) or keep(df, name))
+    docs = documents(spark, [(i, t, "en") for i, t in enumerate(TEXTS)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality long, toxic long")
+    rows = quality.classify(docs, labels)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == len(TEXTS)
+    assert made["contexts"] == made["probabilities"] == quality.ORDER and made["looked-up"] == quality.ORDER - 1, made
+    assert plan.count("Exchange") <= 6, plan
