@@ -3,6 +3,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,60 @@ def test_prices_are_read_once_and_counted_while_narrow(spark):
     got = {(r.a, r.b, r.w): (r.p_nunique_b, r.p_nunique_a, r.p_max, r.p_momentum) for r in out.collect()}
     assert got[1, 1, 1] == (1, 2, 4.0, None) and got[1, 1, 2] == (1, 1, 4.0, 2.0) and got[1, None, 3] == (None, None, None, None)
     assert plan(out).count("prices-") >= 1
+
+
+@pytest.fixture()
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    monkeypatch.setattr(windows, "FEW", 5)
+
+
+def test_grid_rows_are_shuffled_once(spark, rows, small_tasks, monkeypatch):
+    calendar = rows.select("date").distinct().withColumn("week", F.weekofyear("date"))
+    panel_rows = rows.select("k", "grp", "date", "qty")
+    keys = ["k", "grp"]
+
+    def grid(dense):
+        out = windows.target_encoding(dense, "qty", [["k"], ["grp"], keys], laid_by=keys)
+        out = windows.ewm_features(out, keys, "date", "qty", [0.5], [0, 1])
+        out = windows.lag_features(out, keys, "date", "qty", [2])
+        return windows.rolling_features(out, keys, "date", "qty", [2], [1])
+
+    kept = panel.spine_fill(panel_rows, calendar, keys, kept="kept")
+    out = grid(kept)
+    # only encodings are shuffled, to the buckets of the rows
+    moved = [line for line in plan(out).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 2 and "REPARTITION" not in plan(out) and plan(out).count("ShuffledHashJoin") == 1
+    assert out.count() == kept.count()
+    monkeypatch.undo()
+    plain = grid(panel.spine_fill(panel_rows, calendar, keys))
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.select(out.columns).collect()))
+
+
+@pytest.mark.parametrize("null", [None, "n"])
+def test_encodings_within_others_survive_null_groups(spark, small_tasks, null):
+    data = [(i % 8, "ab"[i % 2] if i % 5 else null, float(i)) for i in range(80)] + [(9, null, 1.0), (9, null, 2.0)]
+    frame = spark.createDataFrame(data, "k int, grp string, qty double")
+    out = windows.target_encoding(frame, "qty", [["k"], ["k", "grp"]]).collect()
+    assert len(out) == len(data)
+    for r in out:
+        own = [q for k, _, q in data if k == r.k]
+        both = [q for k, g, q in data if k == r.k and g == r.grp and g is not None]
+        assert r.enc_k_mean == pytest.approx(sum(own) / len(own))
+        assert r.enc_k_grp_mean == (pytest.approx(sum(both) / len(both)) if both else None)
+
+
+def test_ewm_leaves_rows_by_key_and_gathers_those_without_one_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(windows, "NULL_ROWS", 3)
+    data = [(k, i, float(i * (k or 1) % 7) if i % 4 else None, "x") for k in (1, 2, None) for i in range(10)]
+    frame = spark.createDataFrame(data, "k int, w int, qty double, note string").repartition(3, "k")
+    out = windows.lag_features(windows.ewm_features(frame, ["k"], "w", "qty", [0.3], [0, 2]), ["k"], "w", "qty", [1])
+    assert plan(out).count("Exchange hashpartitioning") == 1
+    got = {(r.k, r.w): r for r in out.collect() if r.k is not None}
+    assert out.count() == 30 and out.where("k IS NULL AND qty_ewm_lag_0_alpha_03 IS NULL AND note = 'x'").count() == 10
+    for k in (1, 2):
+        want = pd.Series([q for key, _, q, _ in data if key == k], dtype="float64").ewm(alpha=0.3).mean()
+        for i in range(10):
+            now, before = got[k, i].qty_ewm_lag_0_alpha_03, got[k, i].qty_ewm_lag_2_alpha_03
+            assert now == (None if want[i] != want[i] else want[i])
+            assert before == (None if i < 2 or want[i - 2] != want[i - 2] else want[i - 2])
