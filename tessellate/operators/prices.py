@@ -7,12 +7,14 @@ partitions are then bounded by the number of periods of a key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import as_list
 from ..functions.columns import signed_fraction
-from ..session import stored
+from ..session import stored, tasks_of
 
 MONEY = "decimal(38,8)"
 
@@ -37,36 +39,49 @@ def price_features(df: DataFrame, keys, price: str, order: str,
     ``{p}_momentum``, ``{p}_momentum_m``, ``{p}_momentum_y``, ``{p}_cent``,
     ``{p}_max_cent``, ``{p}_min_cent``.
 
-    Group statistics and the cross-key distinct counts are aggregated from the
-    stored prices and joined back (map-side combined, skew-safe): the counts
-    first, while rows are narrow, then the statistics; the momentum features
-    are windows on the key (plus month / year), which reuse its partitioning.
+    The prices are stored once and their rows, narrow until the last step, visit the
+    rows of an equal price and all keys but one, once for each key, and then their key, so they
+    are shuffled once more than there are keys. A distinct count is a sum of the
+    first rows of a key and price; a sum over a window needs no aggregate that
+    is shuffled as well and no rows that are shuffled to meet it. One task holds
+    the rows of a window (those of a price beyond memory are spilled); the number of
+    tasks follows the rows. Rows with a null key have no statistics.
     """
     keys = as_list(keys)
     p = price
     df = stored(df, "prices")
-    stats = (df.where(F.col(p).isNotNull()).groupBy(*keys)
-             .agg(F.max(p).alias(f"{p}_max"), F.min(p).alias(f"{p}_min"),
-                  F.stddev_samp(p).alias(f"{p}_std"), money_mean(p).alias(f"{p}_mean"),
-                  F.count_distinct(p).alias(f"{p}_nunique")))
+    tasks = tasks_of(df.sparkSession, df.count())
+    number = [tasks] if tasks else []  # else the planner's
     out, counts = df, []
     for col in keys:
         rest = [k for k in keys if k != col]
         name = f"{p}_nunique_{'_'.join(rest)}"
-        nu = (df.where(F.col(p).isNotNull()).groupBy(*rest, p)
-              .agg(F.count_distinct(col).alias(name)))
-        out = out.join(nu, on=rest + [p], how="left")
+        by = [*rest, F.xxhash64(p)]  # windows take doubles as equal that rows are not laid by: NaN, -0.0
+        out = out.repartition(*number, *by)
+        if not counts:
+            nth = F.row_number().over(Window.partitionBy(*by, p, col).orderBy(order))
+            out = out.withColumn("__first", F.when(F.col(p).isNotNull() & (nth == 1), 1))
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*rest, p]])
+        found = F.sum(F.when(F.col(col).isNotNull(), F.col("__first"))).over(Window.partitionBy(*by, p))
+        out = out.withColumn(name, F.when(known, F.coalesce(found, F.lit(0).cast("long"))))
         counts.append(name)
-    out = out.join(stats, on=keys, how="left").withColumn(f"{p}_norm", F.col(p) / F.col(f"{p}_max"))
-    w = Window.partitionBy(*keys).orderBy(order)
+    own = Window.partitionBy(*keys)
+    w = own.orderBy(order)
     wm = Window.partitionBy(*keys, month)
     wy = Window.partitionBy(*keys, year)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    stats = {"max": F.max(p).over(own), "min": F.min(p).over(own), "std": F.stddev_samp(p).over(own),
+             "mean": money_mean(p, own), "nunique": F.sum("__first").over(own)}
     others = [c for c in df.columns if c not in keys and c != p]
-    return out.select(
-        *keys[:-1], p, keys[-1], *others, *[f"{p}_{s}" for s in ("max", "min", "std", "mean", "nunique", "norm")], *counts,
+    out = out.repartition(*number, *keys).select(
+        *df.columns, *counts, *[F.when(known, c).alias(f"{p}_{s}") for s, c in stats.items()],
         (F.col(p) / F.lag(p).over(w)).alias(f"{p}_momentum"),
         (F.col(p) / money_mean(p, wm)).alias(f"{p}_momentum_m"),
-        (F.col(p) / money_mean(p, wy)).alias(f"{p}_momentum_y"),
+        (F.col(p) / money_mean(p, wy)).alias(f"{p}_momentum_y"))
+    return out.select(
+        *keys[:-1], p, keys[-1], *others, *[f"{p}_{s}" for s in stats],
+        (F.col(p) / F.col(f"{p}_max")).alias(f"{p}_norm"), *counts,
+        f"{p}_momentum", f"{p}_momentum_m", f"{p}_momentum_y",
         signed_fraction(p).alias(f"{p}_cent"),
         signed_fraction(f"{p}_max").alias(f"{p}_max_cent"),
         signed_fraction(f"{p}_min").alias(f"{p}_min_cent"),

@@ -137,3 +137,28 @@ def test_ewm_leaves_rows_by_key_and_gathers_those_without_one_in_parts(spark, mo
             now, before = got[k, i].qty_ewm_lag_0_alpha_03, got[k, i].qty_ewm_lag_2_alpha_03
             assert now == (None if want[i] != want[i] else want[i])
             assert before == (None if i < 2 or want[i - 2] != want[i - 2] else want[i - 2])
+
+
+@pytest.mark.parametrize("tasks", [False, True])
+def test_price_rows_are_shuffled_once_for_each_key_and_for_both(spark, monkeypatch, tasks):
+    if tasks:
+        monkeypatch.setattr(session, "ROWS_PER_TASK", 3)
+    data = [(a, b, q, w) for w in range(4) for a, b, q in [(1, 1, 2.0), (2, 1, 2.0), (None, 1, 2.0), (1, 2, 2.0 + w % 2), (2, 2, None), (3, None, 7.0),
+                                                           (4, 4, 2.0), (5, 4, 2.0), (6, 6, [1.0, 2.0, 2.0, -0.0][w]), (7, 6, [2.0, 3.0, 4.0, 0.0][w])]]
+    rows = spark.createDataFrame([*data, data[0]], "a int, b int, p double, w int").selectExpr("*", "w % 2 AS month", "2 AS year")
+    out = price_features(rows, ["a", "b"], "p", "w")
+    moved = [line for line in plan(out).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 3 and "Join" not in plan(out)
+    got = out.collect()
+    assert len(got) == len(data) + 1
+    for r in got:
+        of_b = {a for a, b, q, _ in data if r.b is not None and b == r.b and a is not None and q == r.p}
+        of_a = {b for a, b, q, _ in data if r.a is not None and a == r.a and b is not None and q == r.p}
+        assert r.p_nunique_b == (len(of_b) if r.b is not None and r.p is not None else None)
+        assert r.p_nunique_a == (len(of_a) if r.a is not None and r.p is not None else None)
+        own = [q for a, b, q, _ in data if a == r.a and b == r.b and q is not None] if r.a is not None and r.b is not None else []
+        assert r.p_nunique == (len(set(own)) if own else None)
+        if own:
+            assert (r.p_max, r.p_min, r.p_norm) == (max(own), min(own), r.p / max(own))
+        else:
+            assert (r.p_max, r.p_std, r.p_mean, r.p_norm) == (None,) * 4
